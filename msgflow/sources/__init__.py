@@ -1,5 +1,5 @@
 from .envelope import ENVELOPE, narrow_envelope, to_envelope, to_messages, wide_envelope
-from .files import binary_files, literal_messages, replay_batch, replay_stream
+from .files import binary_files, literal_messages, replay_batch, replay_stream, spread
 from .kafka import kafka_batch, kafka_options, kafka_stream, parse_properties, read_properties
 from .sample import first_document
 
@@ -16,6 +16,7 @@ __all__ = [
     "read_properties",
     "replay_batch",
     "replay_stream",
+    "spread",
     "to_envelope",
     "to_messages",
     "wide_envelope",
