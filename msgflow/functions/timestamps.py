@@ -12,11 +12,12 @@ ISO_ZONE = r"(Z|:.*[+-]\d{2}:\d{2})$"
 
 def as_utc_timestamp(text: Column) -> Column:
     """Timestamp of an ISO text; a text without a zone is taken as UTC. NULL for any other text."""
-    complete = (
-        F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00Z")))
-        .when(text.rlike(ISO_ZONE), text)
-        .otherwise(F.concat(text, F.lit("Z")))
-    )
+    # Spark reads a zone only after seconds, so both are filled in where the text leaves them out.
+    timed = F.when(F.length(text) == 10, F.concat(text, F.lit("T00:00:00"))).otherwise(text)
+    rest = F.substr(timed, F.lit(17))
+    seconds = F.when(rest.startswith(":"), rest).otherwise(F.concat(F.lit(":00"), rest))
+    zone = F.when(timed.rlike(ISO_ZONE), F.lit("")).otherwise(F.lit("Z"))
+    complete = F.concat(timed.substr(1, 16), seconds, zone)
     return F.when(text.rlike(ISO_FORM), complete).try_cast("timestamp")
 
 

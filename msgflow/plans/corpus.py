@@ -142,7 +142,7 @@ def keyed_messages(rows: DataFrame, key: str, value: str, topic: str) -> DataFra
     """Envelopes from any table with an integer id; the id is the offset of one partition."""
     return to_envelope(
         spread(rows),
-        key=F.expr(key),
+        key=F.expr(key).cast("string"),
         value=F.expr(value),
         topic=F.lit(topic),
         partition=F.lit(0),
