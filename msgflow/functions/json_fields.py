@@ -3,7 +3,8 @@
 ``from_json`` with VARIANT fields reads only the named fields, in one pass over the text. A field
 that is absent is NULL, an explicit JSON null is a VOID variant, and any other value keeps its own
 JSON type, so the policies can tell the three apart. Of repeated keys the last one wins, text after
-the first value is ignored, and no session setting is involved.
+the first value is ignored. (Only an object with repeated keys inside a named field needs
+``spark.sql.variant.allowDuplicateKeys``; without it that message counts as malformed.)
 """
 
 from __future__ import annotations

@@ -19,19 +19,21 @@ def compact(
     *,
     target_bytes: int = TARGET_BYTES,
     partition_by: Sequence[str] = (),
+    drop: Sequence[str] = (),
 ) -> None:
     """Copies a Parquet dataset into another folder, in files of about ``target_bytes``.
 
     Without partition columns there is no shuffle: the scan packs small files into splits of the
     target size and each split is written as one file. With partition columns the rows are
-    rebalanced by them; a large partition is spread over several tasks, so over several files.
+    rebalanced by them; a large partition is spread over several tasks, so over several files. ``drop`` names folder
+    columns to leave out, such as ``batch_id``.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
     session.conf.set("spark.sql.files.openCostInBytes", "0")
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    rows = session.read.parquet(source)
+    rows = session.read.parquet(source).drop(*drop)
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
     rows.write.options(**PARQUET_OPTIONS).partitionBy(*partition_by).parquet(target)

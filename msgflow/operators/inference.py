@@ -7,7 +7,8 @@ aggregation on the cluster; only the schema itself comes back to the driver.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 
 from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,6 +21,9 @@ from ..sources.sample import first_document
 # What a topic without a usable sample is parsed with.
 DEFAULT_SCHEMA = T.StructType([T.StructField("data", T.StringType())])
 
+# JSON with double quotes only; NaN and Infinity are numbers.
+OBJECT_TOKENS = {"allowSingleQuotes": "false"}
+
 # An integer column that also saw 2.0, or one with integers beyond 64 bits: told apart later.
 _UNSETTLED = T.DecimalType(20, 0)
 
@@ -49,7 +53,7 @@ def batch_schema(messages: DataFrame, column: str = "json_string") -> T.StructTy
     Arrays of objects count as their elements. int and double give double, all other conflicts
     give string, and so do fields that were null everywhere. Empty if no row holds an object.
     """
-    return _settle(messages, column, _widened(messages, column), timestamps=False)
+    return _settle(messages, column, _widened(messages, column, {}), {}, timestamps=False)
 
 
 def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.StructType:
@@ -58,8 +62,8 @@ def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.Stru
     A text field, at any depth of nested objects, becomes a timestamp if every value it has in the
     batch is an ISO date or date and time.
     """
-    schema = _widened(messages, column, arrays=False)
-    return _settle(messages, column, schema, timestamps=True)
+    schema = _widened(messages, column, OBJECT_TOKENS, arrays=False)
+    return _settle(messages, column, schema, OBJECT_TOKENS, timestamps=True)
 
 
 def merge_schemas(first: T.DataType, second: T.DataType) -> T.DataType:
@@ -85,16 +89,30 @@ def merge_schemas(first: T.DataType, second: T.DataType) -> T.DataType:
     return T.StringType()
 
 
-def _widened(messages: DataFrame, column: str, arrays: bool = True) -> T.StructType:
+@contextmanager
+def _repeated_keys(spark: SparkSession):
+    """Lets a variant keep the last of repeated keys, as parsing under a schema does."""
+    setting = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
+def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays: bool = True) -> T.StructType:
     lead = F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
-    documents = messages.select(lead.alias("lead"), F.try_parse_json(column).alias("document"))
+    document = F.from_json(column, T.VariantType(), dict(tokens))
+    documents = messages.select(lead.alias("lead"), document.alias("document"))
     document = F.col("document")
     is_object = F.col("lead") == "{"
     is_rows = (F.col("lead") == "[") & F.schema_of_variant(document).startswith("ARRAY<OBJECT<")
-    found = documents.agg(
-        F.schema_of_variant_agg(F.when(is_object, document)).alias("objects"),
-        F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
-    ).first()
+    with _repeated_keys(messages.sparkSession):
+        found = documents.agg(
+            F.schema_of_variant_agg(F.when(is_object, document)).alias("objects"),
+            F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
+        ).first()
     schema = _from_variant_schema(found["objects"])
     if arrays:
         rows = _from_variant_schema(found["rows"])
@@ -149,7 +167,9 @@ def _replace(schema: T.StructType, types: dict[tuple[str, ...], T.DataType], pat
     return T.StructType(fields)
 
 
-def _settle(messages: DataFrame, column: str, schema: T.StructType, timestamps: bool) -> T.StructType:
+def _settle(
+    messages: DataFrame, column: str, schema: T.StructType, tokens: Mapping[str, str], timestamps: bool
+) -> T.StructType:
     """Decide the leaves whose type depends on the texts of their values, in one aggregation."""
     leaves = dict(_leaves(schema))
     decimals = [path for path, leaf in leaves.items() if leaf == _UNSETTLED]
@@ -157,7 +177,7 @@ def _settle(messages: DataFrame, column: str, schema: T.StructType, timestamps:
     if not decimals and not texts:
         return schema
     as_text = _replace(schema, {path: T.StringType() for path in (*decimals, *texts)})
-    parsed = messages.select(F.from_json(column, as_text).alias("document"))
+    parsed = messages.select(F.from_json(column, as_text, dict(tokens)).alias("document"))
 
     def value(path: tuple[str, ...]) -> Column:
         node = F.col("document")

@@ -20,6 +20,7 @@ from ..functions.coerce import as_int, as_text, int_or_default, text_or_default
 from ..functions.json_fields import has_fields, open_document
 from ..functions.timestamps import as_utc_timestamp
 from ..sources.envelope import NARROW, ORIGIN
+from .inference import OBJECT_TOKENS
 from .shape import payload_fields, writable
 
 # Schemas with fixed field names and types.
@@ -186,7 +187,7 @@ def _lost(node: Column, data_type: T.DataType) -> Column:
 
 def _parsed_for_conversion(messages: DataFrame, schema: T.StructType, columns: Sequence[str]):
     text_schema = _with_capture(_text_schema(schema))
-    options = {"columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
+    options = {"columnNameOfCorruptRecord": CORRUPT, **OBJECT_TOKENS}
     parsed = messages.select(*columns, F.from_json("json_string", text_schema, options).alias("_data"))
     data = F.col("_data")
     fits = data.isNotNull() & data.getField(CORRUPT).isNull() & ~_lost(data, schema)

@@ -60,10 +60,11 @@ def product_stream_by_value(
 ) -> StreamingQuery:
     """``product_stream`` with a folder per value of ``partition_by``.
 
-    Every batch writes at least one file per value it holds, so choose a column with few values;
-    ``compact(..., partition_by=...)`` merges the files afterwards.
+    Each batch is rebalanced by those columns first, so it writes a file per value instead of one per
+    value and task; a value with many rows is spread over several tasks. Choose a column with few
+    values, and ``compact(..., partition_by=...)`` to merge the files of many batches.
     """
-    rows = fixed_schema_rows(narrow_envelope(messages), schema)
+    rows = fixed_schema_rows(narrow_envelope(messages), schema).hint("rebalance", *partition_by)
     return parquet_stream(rows, path, checkpoint, partition_by=partition_by, trigger=trigger or every("30 seconds"))
 
 
