@@ -10,62 +10,61 @@ from .json_fields import json_type
 INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 
 
-def _number(node: Column, spark_type: str) -> Column:
+# Type names of integers beyond 64 bits, which a variant holds as a decimal without scale.
+_BIG_INTEGER = r"^DECIMAL\((19|[23]\d),0\)$"
+
+
+def _value(node: Column, spark_type: str) -> Column:
     return F.try_variant_get(node, "$", spark_type)
 
 
-def _truncate(value: Column) -> Column:
-    """Double to int: cut the fraction, stop at the int bounds, NaN is 0; NULL stays NULL."""
-    bounded = F.least(F.greatest(value, F.lit(float(INT_MIN))), F.lit(float(INT_MAX)))
-    return F.when(F.isnan(value), F.lit(0)).when(value.isNotNull(), bounded.cast("int"))
+def _low_bits(value: Column) -> Column:
+    return F.shiftright(F.shiftleft(value, 32), 32).cast("int")
 
 
-def as_int(node: Column) -> Column:
+def as_int(node: Column, kind: Column | None = None) -> Column:
     """Force any JSON value into an int.
 
     Integers keep their low 32 bits; other numbers are truncated and stop at the int bounds; text is
     read as a number where it is one; true is 1; everything else is 0.
+
+    Here and below, ``kind`` is ``json_type(node)``; pass it as a column that exists already and the
+    type is determined once.
     """
-    kind = json_type(node)
-    low_bits = F.shiftright(F.shiftleft(_number(node, "bigint"), 32), 32).cast("int")
-    # An integer beyond 64 bits arrives as a decimal without scale.
-    wrapped = F.pmod(_number(node, "decimal(38,0)"), F.lit(2**32).cast("decimal(38,0)")).cast("bigint")
-    wrapped = F.shiftright(F.shiftleft(wrapped, 32), 32).cast("int")
-    fraction = _truncate(_number(node, "double"))
-    text = _number(node, "string")
-    from_text = F.when(text.rlike(r"^\s*[+-]?\d+\s*$"), text.try_cast("int")).otherwise(
-        _truncate(text.try_cast("double"))
-    )
+    kind = json_type(node) if kind is None else kind
+    big = F.pmod(_value(node, "decimal(38,0)"), F.lit(2**32).cast("decimal(38,0)")).cast("bigint")
+    whole_text = (kind == "STRING") & _value(node, "string").rlike(r"^\s*[+-]?\d+\s*$")
+    # NULL for what is no number; the expression is kept small so that the generated code is compiled.
+    number = F.coalesce(F.nanvl(_value(node, "double"), F.lit(0.0)), F.lit(0.0))
     return (
-        F.when(kind == "BIGINT", low_bits)
-        .when(kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$"), wrapped)
-        .when(kind.startswith("DECIMAL") | (kind == "DOUBLE"), fraction)
-        .when(kind == "BOOLEAN", _number(node, "boolean").cast("int"))
-        .when(kind == "STRING", F.coalesce(from_text, F.lit(0)))
-        .when(node.isNotNull(), F.lit(0))
+        F.when(kind == "BIGINT", _low_bits(_value(node, "bigint")))
+        .when(whole_text, F.coalesce(_value(node, "int"), F.lit(0)))
+        .when(kind.rlike(_BIG_INTEGER), _low_bits(big))
+        .when(kind.isNotNull(), F.greatest(F.least(number, F.lit(float(INT_MAX))), F.lit(float(INT_MIN))).cast("int"))
     )
 
 
-def as_text(node: Column) -> Column:
+def as_text(node: Column, kind: Column | None = None) -> Column:
     """Force any JSON value into text; objects and arrays give the empty text, null gives 'null'."""
-    kind = json_type(node)
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    fraction = kind.startswith("DECIMAL") & ~kind.rlike(r"^DECIMAL\((19|[23]\d),0\)$")
+    kind = json_type(node) if kind is None else kind
     return (
-        F.when(kind == "VOID", F.lit("null"))
-        .when(nested, F.lit(""))
-        .when(fraction, _number(node, "double").cast("string"))
-        .otherwise(_number(node, "string"))
+        F.when(kind.isin("STRING", "BIGINT", "BOOLEAN", "DOUBLE"), _value(node, "string"))
+        .when(kind == "VOID", F.lit("null"))
+        .when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.lit(""))
+        .when(kind.rlike(_BIG_INTEGER), _value(node, "string"))
+        .otherwise(_value(node, "double").cast("string"))
     )
 
 
-def int_or_default(node: Column, default: int = -1) -> Column:
+def int_or_default(node: Column, kind: Column | None = None, default: int = -1) -> Column:
     """The value if it is an integer within 32 bits, else the default (2.0, "2" and true are not)."""
-    value = _number(node, "bigint")
-    fits = (json_type(node) == "BIGINT") & value.between(INT_MIN, INT_MAX)
-    return F.when(fits, value.cast("int")).otherwise(F.lit(default))
+    kind = json_type(node) if kind is None else kind
+    # A failed read gives NULL, which is not an int, so the read alone covers the bounds.
+    fits = F.when(kind == "BIGINT", _value(node, "int"))
+    return F.coalesce(fits, F.lit(default))
 
 
-def text_or_default(node: Column, default: str = "Unknown") -> Column:
+def text_or_default(node: Column, kind: Column | None = None, default: str = "Unknown") -> Column:
     """The value if it is JSON text, else the default."""
-    return F.when(json_type(node) == "STRING", _number(node, "string")).otherwise(F.lit(default))
+    kind = json_type(node) if kind is None else kind
+    return F.when(kind == "STRING", _value(node, "string")).otherwise(F.lit(default))

@@ -6,6 +6,7 @@ aggregation on the cluster; only the schema itself comes back to the driver.
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
@@ -15,7 +16,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timestamps import is_iso_timestamp
+from ..functions.timestamps import ISO_FORM, is_iso_timestamp
 from ..sources.sample import first_document
 
 # What a topic without a usable sample is parsed with.
@@ -53,7 +54,8 @@ def batch_schema(messages: DataFrame, column: str = "json_string") -> T.StructTy
     Arrays of objects count as their elements. int and double give double, all other conflicts
     give string, and so do fields that were null everywhere. Empty if no row holds an object.
     """
-    return _settle(messages, column, _widened(messages, column, {}), {}, timestamps=False)
+    schema, _ = _widened(messages, column, {})
+    return _settle(messages, column, {}, schema, [])
 
 
 def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.StructType:
@@ -62,8 +64,9 @@ def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.Stru
     A text field, at any depth of nested objects, becomes a timestamp if every value it has in the
     batch is an ISO date or date and time.
     """
-    schema = _widened(messages, column, OBJECT_TOKENS, arrays=False)
-    return _settle(messages, column, schema, OBJECT_TOKENS, timestamps=True)
+    schema, witness = _widened(messages, column, OBJECT_TOKENS, arrays=False)
+    texts = [path for path, leaf in _leaves(schema) if leaf == T.StringType()]
+    return _settle(messages, column, OBJECT_TOKENS, schema, _not_refuted(texts, witness))
 
 
 def merge_schemas(first: T.DataType, second: T.DataType) -> T.DataType:
@@ -101,10 +104,13 @@ def _repeated_keys(spark: SparkSession):
         spark.conf.set(setting, before)
 
 
-def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays: bool = True) -> T.StructType:
+def _widened(
+    messages: DataFrame, column: str, tokens: Mapping[str, str], arrays: bool = True
+) -> tuple[T.StructType, str | None]:
+    """The widened schema, and the text of any one object."""
     lead = F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
     document = F.from_json(column, T.VariantType(), dict(tokens))
-    documents = messages.select(lead.alias("lead"), document.alias("document"))
+    documents = messages.select(F.col(column).alias("text"), lead.alias("lead"), document.alias("document"))
     document = F.col("document")
     is_object = F.col("lead") == "{"
     is_rows = (F.col("lead") == "[") & F.schema_of_variant(document).startswith("ARRAY<OBJECT<")
@@ -112,6 +118,7 @@ def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays
         found = documents.agg(
             F.schema_of_variant_agg(F.when(is_object, document)).alias("objects"),
             F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
+            F.any_value(F.when(is_object & document.isNotNull(), F.col("text")), F.lit(True)).alias("witness"),
         ).first()
     schema = _from_variant_schema(found["objects"])
     if arrays:
@@ -120,7 +127,23 @@ def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays
             rows = rows.elementType
         if isinstance(rows, T.StructType):
             schema = merge_schemas(schema, rows) if isinstance(schema, T.StructType) else rows
-    return schema if isinstance(schema, T.StructType) else T.StructType()
+    return schema if isinstance(schema, T.StructType) else T.StructType(), found["witness"]
+
+
+def _not_refuted(paths: list[tuple[str, ...]], witness: str | None) -> list[tuple[str, ...]]:
+    """The paths that are not shown to hold other texts than timestamps by this one object."""
+    try:
+        document = json.loads(witness or "")
+    except ValueError:
+        return paths
+
+    def refuted(path: tuple[str, ...]) -> bool:
+        node = document
+        for name in path:
+            node = node.get(name) if isinstance(node, dict) else None
+        return isinstance(node, str) and re.match(ISO_FORM, node, re.ASCII) is None
+
+    return [path for path in paths if not refuted(path)]
 
 
 def _from_variant_schema(text: str | None) -> T.DataType | None:
@@ -167,17 +190,37 @@ def _replace(schema: T.StructType, types: dict[tuple[str, ...], T.DataType], pat
     return T.StructType(fields)
 
 
+def _only(schema: T.StructType, paths: set[tuple[str, ...]], path=()) -> T.StructType:
+    """The schema without the leaves that are not asked for, the others as text."""
+    fields = []
+    for field in schema.fields:
+        here = (*path, field.name)
+        if here in paths:
+            fields.append(T.StructField(field.name, T.StringType()))
+        elif isinstance(field.dataType, T.StructType):
+            inner = _only(field.dataType, paths, here)
+            if inner.fields:
+                fields.append(T.StructField(field.name, inner))
+    return T.StructType(fields)
+
+
 def _settle(
-    messages: DataFrame, column: str, schema: T.StructType, tokens: Mapping[str, str], timestamps: bool
+    messages: DataFrame,
+    column: str,
+    tokens: Mapping[str, str],
+    schema: T.StructType,
+    texts: list[tuple[str, ...]],
 ) -> T.StructType:
-    """Decide the leaves whose type depends on the texts of their values, in one aggregation."""
-    leaves = dict(_leaves(schema))
-    decimals = [path for path, leaf in leaves.items() if leaf == _UNSETTLED]
-    texts = [path for path, leaf in leaves.items() if timestamps and leaf == T.StringType()]
+    """Decide the leaves whose type depends on the texts of their values, in one aggregation.
+
+    These are the given text leaves, and integers of 20 digits that may have been 2.0 somewhere. Only
+    they are read; without any there is no pass over the data.
+    """
+    decimals = [path for path, leaf in _leaves(schema) if leaf == _UNSETTLED]
     if not decimals and not texts:
         return schema
-    as_text = _replace(schema, {path: T.StringType() for path in (*decimals, *texts)})
-    parsed = messages.select(F.from_json(column, as_text, dict(tokens)).alias("document"))
+    asked = _only(schema, {*decimals, *texts})
+    parsed = messages.select(F.from_json(column, asked, dict(tokens)).alias("document"))
 
     def value(path: tuple[str, ...]) -> Column:
         node = F.col("document")
@@ -188,12 +231,14 @@ def _settle(
     fractions = [F.count_if(value(path).rlike("[.eE]")) for path in decimals]
     seen = [F.count(value(path)) for path in texts]
     other = [F.count_if(value(path).isNotNull() & ~is_iso_timestamp(value(path))) for path in texts]
-    found = list(parsed.agg(*[c.alias(f"n{i}") for i, c in enumerate((*fractions, *seen, *other))]).first())
-    settled: dict[tuple[str, ...], T.DataType] = {
-        path: T.DoubleType() for path, count in zip(decimals, found, strict=False) if count
-    }
-    found = found[len(decimals) :]
-    for path, count, mismatches in zip(texts, found, found[len(texts) :], strict=False):
+    counts = [count.alias(f"n{i}") for i, count in enumerate((*fractions, *seen, *other))]
+    found = list(parsed.agg(*counts).first())
+    settled: dict[tuple[str, ...], T.DataType] = {}
+    for path, fraction in zip(decimals, found[: len(decimals)], strict=True):
+        if fraction:
+            settled[path] = T.DoubleType()
+    seen_counts = found[len(decimals) : len(decimals) + len(texts)]
+    for path, count, mismatches in zip(texts, seen_counts, found[len(decimals) + len(texts) :], strict=True):
         if count and not mismatches:
             settled[path] = T.TimestampType()
     return _replace(schema, settled)

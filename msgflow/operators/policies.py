@@ -1,8 +1,9 @@
 """Parse policies: how a message text becomes a row, and what happens to texts that do not fit.
 
 All of them are narrow DataFrame -> DataFrame steps without a shuffle, for batch and stream alike.
-The parse sits in its own projection and rows are kept or dropped by ``inline``. A filter on the
-parsed column would be pushed below the projection and parse each text again for every condition.
+The parse sits in its own projection and rows are kept or dropped by ``inline`` (``_rows_of``). A
+filter on the parsed column would be pushed below the projection and parse each text again for every
+condition.
 
 ``keep`` names the input columns that stay next to the parsed fields. With ``counter`` the policy
 adds observed counts (seen, kept, skipped) under that name.
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import as_int, as_text, int_or_default, text_or_default
-from ..functions.json_fields import has_fields, open_document
+from ..functions.json_fields import has_fields, json_type, open_document
 from ..functions.timestamps import as_utc_timestamp
 from ..sources.envelope import NARROW, ORIGIN
 from .inference import OBJECT_TOKENS
@@ -32,15 +33,28 @@ FALLBACK_EVENT = T.StructType().add("id", "string").add("timestamp", "string").a
 
 CORRUPT = "_corrupt_record"
 
-FieldReaders = Mapping[str, Callable[[Column], Column]]
+# Field name -> function of the JSON value and its type.
+FieldReaders = Mapping[str, Callable[[Column, Column], Column]]
 USER_COERCED: FieldReaders = {"id": as_int, "name": as_text, "age": as_int}
 USER_DEFAULTED: FieldReaders = {"id": int_or_default, "name": text_or_default, "age": int_or_default}
 
 
+def _rows_of(rows: DataFrame, keep: Sequence[str], record: Column) -> DataFrame:
+    """The fields of a struct column, for the rows where it is not null.
+
+    The struct is computed in a projection, which shares its common parts, before the generator.
+    """
+    records = rows.select(*keep, record.alias("_record"))
+    return records.select(*keep, F.inline(F.when(F.col("_record").isNotNull(), F.array("_record"))))
+
+
 def _opened(messages: DataFrame, fields: FieldReaders, keep: Sequence[str], counter: str | None):
     opened = messages.select(*keep, open_document(F.col("json_string"), fields).alias("_document"))
-    document = F.col("_document")
+    document, kinds = F.col("_document"), F.col("_kinds")
     complete = has_fields(document, fields)
+    opened = opened.withColumn(
+        "_kinds", F.struct(*[json_type(document.getField(name)).alias(name) for name in fields])
+    )
     if counter:
         opened = opened.observe(
             counter,
@@ -48,7 +62,8 @@ def _opened(messages: DataFrame, fields: FieldReaders, keep: Sequence[str], coun
             F.count_if(complete).alias("kept"),
             F.count_if(~complete).alias("skipped"),
         )
-    record = F.struct(*[read(document.getField(name)).alias(name) for name, read in fields.items()])
+    values = [read(document.getField(name), kinds.getField(name)).alias(name) for name, read in fields.items()]
+    record = F.struct(*values)
     return opened, complete, record
 
 
@@ -59,7 +74,7 @@ def strict_records(
     opened, complete, record = _opened(messages, fields, keep, counter)
     where = [F.concat(F.lit(f", {name} "), F.col(name).cast("string")) for name in keep if name in ORIGIN[3:]]
     text = F.concat(F.lit(f"message is not a JSON object with the fields {', '.join(fields)}"), *where)
-    return opened.select(*keep, F.inline(F.array(F.when(complete, record).otherwise(F.raise_error(text)))))
+    return _rows_of(opened, keep, F.when(complete, record).otherwise(F.raise_error(text)))
 
 
 def lenient_records(
@@ -67,7 +82,7 @@ def lenient_records(
 ) -> DataFrame:
     """Records of the messages that have every field; wrong types become defaults, the rest is skipped."""
     opened, complete, record = _opened(messages, fields, keep, counter)
-    return opened.select(*keep, F.inline(F.when(complete, F.array(record))))
+    return _rows_of(opened, keep, F.when(complete, record))
 
 
 def fixed_schema_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
@@ -103,7 +118,7 @@ def _payload_schema(parsed: DataFrame) -> T.StructType:
 def good_rows(parsed: DataFrame, keep: Sequence[str] = (NARROW[0], NARROW[2])) -> DataFrame:
     """Messages that fit the schema, flattened next to the envelope."""
     fields = payload_fields(F.col("parsed_data"), _payload_schema(parsed), keep)
-    return parsed.select(*keep, F.inline(F.when(~_is_bad(), F.array(F.struct(*fields)))))
+    return _rows_of(parsed, keep, F.when(~_is_bad(), F.struct(*fields)))
 
 
 def bad_rows(parsed: DataFrame, keep: Sequence[str] = NARROW) -> DataFrame:
@@ -111,7 +126,7 @@ def bad_rows(parsed: DataFrame, keep: Sequence[str] = NARROW) -> DataFrame:
     payload = F.col("parsed_data")
     fields = payload_fields(payload, _payload_schema(parsed))
     row = F.struct(F.struct(*fields).alias("parsed_data"), payload.getField(CORRUPT).alias("corrupt_record"))
-    return parsed.select(*keep, F.inline(F.when(_is_bad(), F.array(row))))
+    return _rows_of(parsed, keep, F.when(_is_bad(), row))
 
 
 def split_counts(parsed: DataFrame) -> DataFrame:
@@ -174,24 +189,26 @@ def _convert(node: Column, data_type: T.DataType) -> Column:
     return node
 
 
-def _lost(node: Column, data_type: T.DataType) -> Column:
+def _lost(text: Column, converted: Column, data_type: T.DataType) -> Column:
     """True where a text was present but is not the timestamp its field asks for."""
-    lost = F.lit(False)
     if isinstance(data_type, T.TimestampType):
-        return node.isNotNull() & as_utc_timestamp(node).isNull()
+        return text.isNotNull() & converted.isNull()
+    lost = F.lit(False)
     if isinstance(data_type, T.StructType):
         for field in data_type.fields:
-            lost = lost | _lost(node.getField(field.name), field.dataType)
+            lost = lost | _lost(text.getField(field.name), converted.getField(field.name), field.dataType)
     return lost
 
 
-def _parsed_for_conversion(messages: DataFrame, schema: T.StructType, columns: Sequence[str]):
+def _converted(messages: DataFrame, schema: T.StructType, columns: Sequence[str]) -> tuple[DataFrame, Column]:
+    """Adds ``_data``, the fields in their final types, and tells which messages fit the schema."""
     text_schema = _with_capture(_text_schema(schema))
     options = {"columnNameOfCorruptRecord": CORRUPT, **OBJECT_TOKENS}
-    parsed = messages.select(*columns, F.from_json("json_string", text_schema, options).alias("_data"))
-    data = F.col("_data")
-    fits = data.isNotNull() & data.getField(CORRUPT).isNull() & ~_lost(data, schema)
-    return parsed, fits
+    parsed = messages.select(*columns, F.from_json("json_string", text_schema, options).alias("_text"))
+    text = F.col("_text")
+    converted = parsed.select(*columns, "_text", _convert(text, schema).alias("_data"))
+    lost = _lost(text, F.col("_data"), schema)
+    return converted, text.isNotNull() & text.getField(CORRUPT).isNull() & ~lost
 
 
 def converted_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
@@ -201,14 +218,12 @@ def converted_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[
     cannot take, is left to ``rejected_rows``.
     """
     if not schema.fields:
-        return messages.select(*keep).limit(0)
-    parsed, fits = _parsed_for_conversion(messages, schema, keep)
-    converted = writable(schema, keep)
-    row = F.struct(*[_convert(F.col("_data").getField(f.name), f.dataType).alias(f.name) for f in schema.fields])
-    return parsed.select(*keep, F.inline(F.when(fits, F.array(row.cast(converted)))))
+        return messages.select(*keep).filter(F.lit(False))
+    converted, fits = _converted(messages, schema, keep)
+    return _rows_of(converted, keep, F.when(fits, F.col("_data").cast(writable(schema, keep))))
 
 
 def rejected_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
     """The messages ``converted_rows`` leaves out, as text."""
-    parsed, fits = _parsed_for_conversion(messages, schema, (*keep, "json_string"))
-    return parsed.select(*keep, F.inline(F.when(~fits, F.array(F.struct("json_string")))))
+    converted, fits = _converted(messages, schema, (*keep, "json_string"))
+    return _rows_of(converted, keep, F.when(~fits, F.struct("json_string")))
