@@ -11,12 +11,12 @@ import re
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.timestamps import ISO_FORM, is_iso_timestamp
+from ..sources.files import literal_messages
 from ..sources.sample import first_document
 
 # What a topic without a usable sample is parsed with.
@@ -31,14 +31,8 @@ _UNSETTLED = T.DecimalType(20, 0)
 
 def schema_of_sample(spark: SparkSession, text: str) -> T.StructType | None:
     """Schema of one JSON text; of the elements for an array of objects; None for anything else."""
-    try:
-        ddl = spark.range(1).select(F.schema_of_json(F.lit(text)).alias("ddl")).first()["ddl"]
-    except PySparkException:
-        return None
-    schema = T.DataType.fromDDL(ddl)
-    if isinstance(schema, T.ArrayType):
-        schema = schema.elementType
-    return schema if isinstance(schema, T.StructType) and schema.fields else None
+    schema = batch_schema(literal_messages(spark, [text]))
+    return schema if schema.fields else None
 
 
 def sample_schema(wide: DataFrame) -> T.StructType:
