@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import SparkSession
 
 # Snappy pages with dictionaries in the format every Parquet reader knows.
@@ -12,6 +15,16 @@ PARQUET_OPTIONS = {
 }
 
 
-def legacy_layout(spark: SparkSession, on: bool = True) -> None:
-    """Layout for old readers: two-level lists, decimals as fixed-length bytes. Session-wide."""
-    spark.conf.set("spark.sql.parquet.writeLegacyFormat", str(on).lower())
+@contextmanager
+def legacy_layout(spark: SparkSession) -> Iterator[None]:
+    """Layout for old readers while it is open: two-level lists, decimals as fixed-length bytes.
+
+    A streaming query takes the setting over when it starts.
+    """
+    setting = "spark.sql.parquet.writeLegacyFormat"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)

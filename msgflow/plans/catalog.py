@@ -41,7 +41,7 @@ from ..operators import (
     topic_profile,
     topic_totals,
 )
-from ..parquet import PARQUET_OPTIONS
+from ..parquet import PARQUET_OPTIONS, legacy_layout
 from ..session import work_folder
 from ..sources import (
     first_document,
@@ -412,6 +412,15 @@ def compacted(spark, sf_dir):
     return spark.read.parquet(f"{out}/large")
 
 
+def legacy_sales(spark, sf_dir):
+    """Nested sales written in the layout for old readers, read back item by item."""
+    out = work_folder(spark, "legacy-sales")
+    messages = transaction_texts(spark, sf_dir)
+    with legacy_layout(spark):
+        converted_rows(messages, recursive_schema(messages)).write.options(**PARQUET_OPTIONS).parquet(out)
+    return spark.read.parquet(out).select("transaction_id", F.inline("items"))
+
+
 # Topic profile
 
 
@@ -533,6 +542,7 @@ QUERIES = {
     "flt4_stream_rejected": stream_rejected,
     "stm4_stream_restart": stream_restart,
     "obs1_stream_counters": stream_counters,
+    "snk8_legacy_layout": legacy_sales,
     "snk9_compacted": compacted,
     "agg3_topic_profile": topic_profile_query,
     "agg4_topic_totals": topic_totals_query,

@@ -102,6 +102,16 @@ SELECT source, request_no, min_by(content, doc_id) AS first_image,
  || ',{{"type":"text","text":"{_PROMPT_JSON}"}}]}}],"temperature":0.5,"top_p":0.95,"max_tokens":3000}}}}' AS body
 FROM ({_NUMBERED}) GROUP BY source, request_no"""
 
+_ITEMS = """
+SELECT 'txn' || l_orderkey || '-' || l_linenumber AS transaction_id, 'STR' || l_suppkey AS store_id,
+ date_trunc('day', l_shipdate) + INTERVAL 875 MINUTE AS timestamp, l_returnflag AS payment_method,
+ CAST(l_partkey AS VARCHAR) AS item_id, 'line' AS name, l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS quantity
+FROM lineitem
+UNION ALL
+SELECT 'txn' || l_orderkey || '-' || l_linenumber, 'STR' || l_suppkey, date_trunc('day', l_shipdate) + INTERVAL 875 MINUTE,
+ l_returnflag, 'delivery', l_linestatus, l_tax, 1
+FROM lineitem"""
+
 ORACLES = {
     "prj1_envelope_wide": f"SELECT {ORIGIN}, {USER_VALUE} AS json_string FROM events",
     "prj2_envelope_narrow": f"SELECT {NARROW}, {USER_VALUE} AS json_string FROM events",
@@ -128,15 +138,7 @@ SELECT {AT}, {_SAMPLED_ID} AS id, {_USER_NAME} AS name, {_SAMPLED_AGE} AS age FR
     "prs6_batch_inferred": _INFERRED,
     "prs7_recursive_infer": f"SELECT {AT}, {_RECURSIVE}",
     "prs7_rejected_rows": f"SELECT {AT}, {USER_VALUE} AS json_string FROM events WHERE NOT ({_OBJECTS})",
-    "prs7_transaction_items": """
-SELECT 'txn' || l_orderkey || '-' || l_linenumber AS transaction_id, 'STR' || l_suppkey AS store_id,
- date_trunc('day', l_shipdate) + INTERVAL 875 MINUTE AS timestamp, l_returnflag AS payment_method,
- CAST(l_partkey AS VARCHAR) AS item_id, 'line' AS name, l_extendedprice AS price, CAST(l_quantity AS BIGINT) AS quantity
-FROM lineitem
-UNION ALL
-SELECT 'txn' || l_orderkey || '-' || l_linenumber, 'STR' || l_suppkey, date_trunc('day', l_shipdate) + INTERVAL 875 MINUTE,
- l_returnflag, 'delivery', l_linestatus, l_tax, 1
-FROM lineitem""",
+    "prs7_transaction_items": _ITEMS,
     "prs8_array_rows": _with_elements(AT),
     "prs9_corrupt_capture": f"""
 SELECT {AT}, {_USER_ID} AS id, {_USER_NAME} AS name, {_USER_AGE} AS age,
@@ -196,6 +198,7 @@ FROM ({_LENIENT}) GROUP BY kafka_partition""",
 SELECT count(*) AS seen, count(*) FILTER (WHERE {C} NOT IN (0, 1, 2, 7, 8, 12)) AS kept,
  count(*) FILTER (WHERE {C} IN (0, 1, 2, 7, 8, 12)) AS skipped
 FROM events""",
+    "snk8_legacy_layout": f"SELECT transaction_id, item_id, name, price, quantity FROM ({_ITEMS})",
     "snk9_compacted": _LENIENT,
     "agg3_topic_profile": _TOPIC_PARTITIONS,
     "agg4_topic_totals": f"""

@@ -8,7 +8,7 @@ from .batches import (
     write_batch,
 )
 from .metrics import CounterListener
-from .sinks import AVAILABLE_NOW, every, parquet_stream, run_batches, run_to_end
+from .sinks import AVAILABLE_NOW, every, parquet_stream, run_batches, run_to_end, send, with_peek
 
 __all__ = [
     "AVAILABLE_NOW",
@@ -23,5 +23,7 @@ __all__ = [
     "read_versions",
     "run_batches",
     "run_to_end",
+    "send",
+    "with_peek",
     "write_batch",
 ]

@@ -42,6 +42,15 @@ def parquet_stream(
     return writer.option("path", path).option("checkpointLocation", checkpoint).start()
 
 
+def send(messages: DataFrame, options: Mapping[str, str], topic: str) -> None:
+    """Produces the columns ``key`` and ``value`` of ``to_messages`` to a Kafka topic.
+
+    ``options`` are those of ``kafka_options``; what concerns reading is left out.
+    """
+    connection = {name: value for name, value in options.items() if name.startswith("kafka.")}
+    messages.write.format("kafka").options(**connection).option("topic", topic).save()
+
+
 def run_batches(
     messages: DataFrame,
     write: Callable[[DataFrame, int], None],
@@ -56,6 +65,18 @@ def run_batches(
     return writer.start()
 
 
+def with_peek(write: Callable[[DataFrame, int], None], count: int = 2) -> Callable[[DataFrame, int], None]:
+    """Wraps a batch writer: prints the schema and a few rows of each batch. For development only."""
+
+    def shown(batch: DataFrame, batch_id: int) -> None:
+        print(f"batch {batch_id}")
+        batch.printSchema()
+        batch.limit(count).show(truncate=False)
+        write(batch, batch_id)
+
+    return shown
+
+
 def run_to_end(query: StreamingQuery, timeout: int = 600) -> StreamingQuery:
     """Waits for an ``AVAILABLE_NOW`` query; stops it and raises if it takes longer than ``timeout`` s."""
     if not query.awaitTermination(timeout):

@@ -36,6 +36,7 @@ def test_schema_of_one_sample(spark, text, expected):
 
 def test_sample_is_the_first_object(wide):
     assert first_document(wide("bad", None, "", "[]", '{"a":1}', '{"b":1}')) == '{"a":1}'
+    assert first_document(wide('{"a":1', '{"a":{"b":[1,}}', '{"b":2}')) == '{"b":2}'
     assert sample_schema(wide("bad", None)) == DEFAULT_SCHEMA
     assert sample_schema(wide()) == DEFAULT_SCHEMA
 

@@ -3,6 +3,7 @@
 import pytest
 from msgflow.session import KAFKA_PACKAGE, kafka_session, work_folder
 from msgflow.sources import kafka_batch, kafka_options, kafka_stream, parse_properties, read_properties
+from msgflow.streaming import send
 
 PLAIN = {"bootstrap.servers": "broker:9092"}
 SECURE = {
@@ -112,3 +113,21 @@ def test_session(spark):
     base = spark.conf.get("spark.checkpoint.dir")
     assert work_folder(spark, "x").startswith(f"{base}/msgflow/x-")
     assert work_folder(spark, "x") != work_folder(spark, "x")
+
+
+def test_send():
+    class Sink(Recorder):
+        def __init__(self):
+            super().__init__()
+            self.write = self
+
+        def option(self, name, value):
+            return self.options(**{name: value})
+
+        def save(self):
+            pass
+
+    sink = Sink()
+    send(sink, kafka_options(SECURE, "read-topic"), "t")
+    assert sink.seen["format"] == "kafka" and sink.seen["topic"] == "t"
+    assert "kafka.sasl.jaas.config" in sink.seen and "subscribe" not in sink.seen

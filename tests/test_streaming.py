@@ -18,6 +18,7 @@ from msgflow.streaming import (
     read_batches,
     read_versions,
     run_to_end,
+    with_peek,
 )
 from pyspark.sql import functions as F
 
@@ -235,10 +236,18 @@ def test_file_format(spark, tmp_path):
 
 
 def test_legacy_layout(spark, tmp_path):
-    rows = spark.sql("SELECT array(1) AS l")
-    shapes = []
-    for on in (True, False):
-        legacy_layout(spark, on)
-        rows.coalesce(1).write.parquet(f"{tmp_path}/{on}")
-        shapes.append(pq.ParquetFile(glob.glob(f"{tmp_path}/{on}/*.parquet")[0]).schema.column(0).path)
-    assert shapes == ["l.array", "l.list.element"]
+    def list_column(path):
+        spark.sql("SELECT array(1) AS l").coalesce(1).write.parquet(path)
+        return pq.ParquetFile(glob.glob(f"{path}/*.parquet")[0]).schema.column(0).path
+
+    with legacy_layout(spark):
+        assert list_column(str(tmp_path / "old")) == "l.array"
+    assert list_column(str(tmp_path / "new")) == "l.list.element"
+
+
+def test_peek(wide, capsys):
+    written = []
+    with_peek(lambda batch, batch_id: written.append(batch.count()))(wide("a", "b", "c"), 5)
+    shown = capsys.readouterr().out
+    assert written == [3] and "batch 5" in shown and "json_string: string" in shown
+    assert "|a " in shown and "|c " not in shown
