@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -27,48 +28,64 @@ def _stored(table: DataFrame, purpose: str) -> DataFrame:
     return table.sparkSession.read.parquet(path)
 
 
-def _large_groups(items: DataFrame, group: str, order: str, group_rows: int) -> DataFrame | None:
-    """Groups too large for one task, with the width of the order ranges to cut them into."""
-    sizes = items.groupBy(F.col(group).alias("_group")).agg(
-        F.count(F.lit(1)).alias("_rows"), F.min(order).alias("_low"), F.max(order).alias("_high")
+def _same(left: Sequence[str], right: Sequence[str]) -> Column:
+    """Join condition that also matches groups without a name."""
+    pairs = zip(left, right, strict=True)
+    return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
+
+
+def _oversized(rows: DataFrame, keys: Sequence[str], order: str, limit: int) -> DataFrame | None:
+    """Groups with more rows than the limit, and the width of the order ranges to cut them into."""
+    low, high = F.min(order).cast("double"), F.max(order).cast("double")
+    sizes = rows.groupBy(*[F.col(key).alias(f"_of_{key}") for key in keys]).agg(
+        F.count(F.lit(1)).alias("_rows"), low.alias("_low"), high.alias("_high")
     )
-    pieces = F.ceil(F.col("_rows") / group_rows)
-    width = F.ceil((F.col("_high") - F.col("_low") + 1) / pieces)
-    large = sizes.filter(F.col("_rows") > group_rows).select("_group", "_low", width.alias("_width"))
-    large = _stored(large, "large-groups")
+    # Rows that all have the same order stay together. Ranges are made for half the limit, so that few
+    # of them exceed it and are cut again.
+    large = sizes.filter((F.col("_rows") > limit) & (F.col("_high") > F.col("_low"))).withColumn(
+        "_width", (F.col("_high") - F.col("_low")) / F.ceil(2 * F.col("_rows") / limit)
+    )
+    large = _stored(large.drop("_rows", "_high"), "large-groups")
     return None if large.isEmpty() else _broadcast_if_small(large)
 
 
-def _cut(items: DataFrame, large: DataFrame, group: str, order: str) -> DataFrame:
-    piece = F.coalesce(F.floor((F.col(order) - F.col("_low")) / F.col("_width")), F.lit(0))
-    joined = items.join(large, F.col(group).eqNullSafe(F.col("_group")))
-    return joined.withColumn("_piece", piece).drop("_group", "_low", "_width")
+def _cut(rows: DataFrame, large: DataFrame, keys: Sequence[str], order: str, how: str) -> DataFrame:
+    """Adds the number of its order range to the piece of each row of a large group."""
+    names = [f"_of_{key}" for key in keys]
+    number = F.floor((F.col(order).cast("double") - F.col("_low")) / F.col("_width")).cast("bigint")
+    piece = F.array_append("_piece", F.coalesce(number, F.lit(0)))
+    joined = rows.join(large, _same(keys, names), how)
+    return joined.withColumn("_piece", F.when(F.col("_width").isNotNull(), piece).otherwise(F.col("_piece"))).drop(
+        *names, "_low", "_width"
+    )
 
 
 def _numbered(items: DataFrame, group: str, order: str, group_rows: int) -> list[DataFrame]:
-    """Items with ``_rank``, their place in their group: the ordinary groups, then the large ones."""
+    """Items with ``_rank``, their place in their group: the ordinary groups, then the large ones.
+
+    Large groups are cut into ranges of their order, and ranges that are still too large are cut
+    again, until each fits a task. The rank is then the place in the range plus the sizes of the
+    ranges before it.
+    """
     by_group = F.row_number().over(Window.partitionBy(group).orderBy(order)).cast("bigint")
-    large = _large_groups(items, group, order, group_rows)
+    large = _oversized(items, [group], order, group_rows)
     if large is None:
         return [items.withColumn("_rank", by_group)]
-    ordinary = items.join(large, F.col(group).eqNullSafe(F.col("_group")), "left_anti")
-    pieces = _cut(items, large, group, order)
-    before = Window.partitionBy(group).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
+    ordinary = items.join(large, _same([group], [f"_of_{group}"]), "left_anti")
+    uncut = items.withColumn("_piece", F.array().cast("array<bigint>"))
+    pieces = _cut(uncut, large, [group], order, "inner")
+    while (large := _oversized(pieces, [group, "_piece"], order, group_rows)) is not None:
+        pieces = _cut(pieces, large, [group, "_piece"], order, "left")
+    before = Window.partitionBy("_group").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        _cut(items.select(group, order), large, group, order)
-        .groupBy(group, "_piece")
+        pieces.groupBy(F.col(group).alias("_group"), F.col("_piece").alias("_at"))
         .count()
-        .select(
-            F.col(group).alias("_group"),
-            F.col("_piece").alias("_at"),
-            F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"),
-        )
+        .select("_group", "_at", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
     )
     starts = _broadcast_if_small(_stored(starts, "group-pieces"))
-    same_piece = F.col(group).eqNullSafe(F.col("_group")) & (F.col("_piece") == F.col("_at"))
     in_piece = F.row_number().over(Window.partitionBy(group, "_piece").orderBy(order))
     ranked = (
-        pieces.join(starts, same_piece)
+        pieces.join(starts, _same([group, "_piece"], ["_group", "_at"]))
         .withColumn("_rank", F.col("_start") + in_piece)
         .drop("_piece", "_group", "_at", "_start")
     )

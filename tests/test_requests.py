@@ -41,6 +41,19 @@ def test_batches_against_brute_force(spark, group_rows, size):
     assert all(r["content"] == [str(p) for p in r["position"]] for r in found)
 
 
+def test_uneven_order(spark):
+    """Dense places with far outliers, and many items at one place."""
+    rows = [("a", i) for i in range(200)] + [("a", 2**62), ("a", -(2**62)), ("b", 1), ("b", 2**40)]
+    rows += [("b", 2**40 + i) for i in range(1, 150)]
+    items = spark.createDataFrame(rows, "source string, position bigint").repartition(5)
+    batches = request_batches(items, group="source", order="position", size=4, content=F.lit("x"), group_rows=16)
+    found = batches.select("source", "request_no", "items.position").collect()
+    assert {(r[0], r[1]): r[2] for r in found} == brute_force(rows, 4)
+    same = spark.range(100).select(F.lit("a").alias("source"), F.lit(5).cast("bigint").alias("position"))
+    batches = request_batches(same, group="source", order="position", size=4, content=F.lit("x"), group_rows=16)
+    assert sorted(r["request_no"] for r in batches.collect()) == list(range(25))
+
+
 def test_large_groups_without_broadcast(spark, monkeypatch):
     monkeypatch.setattr("msgflow.operators.requests.BROADCAST_ROWS", 0)
     rows, items = skewed(spark)
