@@ -46,7 +46,8 @@ def batch_schema(messages: DataFrame, column: str = "json_string") -> T.StructTy
     """Schema of all JSON objects in a column, widened over the rows.
 
     Arrays of objects count as their elements. int and double give double, all other conflicts
-    give string, and so do fields that were null everywhere. Empty if no row holds an object.
+    give string, and so do fields that were null everywhere; an empty text is a text. Empty if no row
+    holds an object with a field.
     """
     schema, _ = _widened(messages, column, {})
     return _settle(messages, column, {}, schema, [])
@@ -150,13 +151,14 @@ def _from_variant_schema(text: str | None) -> T.DataType | None:
 
 
 def _storable(data_type: T.DataType) -> T.DataType | None:
-    """Types a Parquet column can have; None for an object that never had a field."""
+    """Types a Parquet column can have; None for objects that never had a field, and lists of such."""
     if isinstance(data_type, T.StructType):
         fields = [(field.name, _storable(field.dataType)) for field in data_type.fields]
         fields = [T.StructField(name, kept) for name, kept in fields if kept is not None]
         return T.StructType(fields) if fields else None
     if isinstance(data_type, T.ArrayType):
-        return T.ArrayType(_storable(data_type.elementType) or T.StringType())
+        element = _storable(data_type.elementType)
+        return None if element is None else T.ArrayType(element)
     if isinstance(data_type, T.DecimalType):
         whole = data_type.scale == 0 and data_type.precision >= _UNSETTLED.precision
         return data_type if whole else T.DoubleType()

@@ -158,9 +158,11 @@ def inferred_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[s
 
 
 def _element_rows(messages: DataFrame, schema: T.StructType, keep: Sequence[str]) -> DataFrame:
-    text = F.col("json_string")
     if not schema.fields:
-        return messages.select(*keep, text.alias(CORRUPT))
+        # Something to parse for, to tell objects without fields from other texts.
+        nothing = T.StructType().add("_nothing", "string")
+        return _element_rows(messages, nothing, keep).drop("_nothing")
+    text = F.col("json_string")
     renamed = T.ArrayType(writable(schema, (*keep, CORRUPT)))
     elements = F.from_json(text, T.ArrayType(schema)).cast(renamed)
     parsed = messages.select(*keep, "json_string", elements.alias("_elements"))

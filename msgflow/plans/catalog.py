@@ -87,8 +87,8 @@ from .jobs import (
 )
 
 AT = ("kafka_partition", "kafka_offset")
-SYSTEM = "You check which lights are on."
-PROMPT = 'Which lights are "on"?'
+SYSTEM = "You describe documents."
+PROMPT = 'What is "new" here?'
 IMAGES_PER_REQUEST = 3
 MAX_BODY_BYTES = 20_000
 
@@ -460,7 +460,7 @@ def _batches(spark, sf_dir):
 
 
 def _bodies(spark, sf_dir):
-    return request_bodies(_batches(spark, sf_dir), system=SYSTEM, prompt=PROMPT, domain="Vision", model="checker")
+    return request_bodies(_batches(spark, sf_dir), system=SYSTEM, prompt=PROMPT, domain="Text", model="describer")
 
 
 def request_batches_query(spark, sf_dir):
@@ -493,7 +493,7 @@ def request_bodies_query(spark, sf_dir):
 
 
 def score_requests_query(spark, sf_dir):
-    """A local scorer that refuses bodies above a size, as a gateway would."""
+    """A local scorer that refuses bodies above a size, as a service would."""
     limit = MAX_BODY_BYTES
 
     def size_scorer(bodies):

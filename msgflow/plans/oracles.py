@@ -97,7 +97,7 @@ FROM documents"""
 _PROMPT_JSON = PROMPT.replace('"', '\\"')
 _BODIES = f"""
 SELECT source, request_no, min_by(content, doc_id) AS first_image,
- '{{"domainName":"Vision","modelName":"checker","modelPayload":{{"messages":[{{"role":"system","content":"{SYSTEM}"}},'
+ '{{"domainName":"Text","modelName":"describer","modelPayload":{{"messages":[{{"role":"system","content":"{SYSTEM}"}},'
  || '{{"role":"user","content":[' || string_agg('{{"image":"' || content || '"}}', ',' ORDER BY doc_id)
  || ',{{"type":"text","text":"{_PROMPT_JSON}"}}]}}],"temperature":0.5,"top_p":0.95,"max_tokens":3000}}}}' AS body
 FROM ({_NUMBERED}) GROUP BY source, request_no"""
@@ -217,7 +217,7 @@ SELECT source, request_no, CAST(count(*) AS INTEGER) AS n_items,
  string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS item_ids
 FROM ({_NUMBERED}) GROUP BY source, request_no""",
     "req3_request_bodies": f"""
-SELECT source, request_no, 'checker' AS model, 3000 AS max_tokens, 'system' AS first_role, first_image,
+SELECT source, request_no, 'describer' AS model, 3000 AS max_tokens, 'system' AS first_role, first_image,
  CAST(octet_length(encode(body)) AS INTEGER) AS body_bytes, md5(body) AS body_md5
 FROM ({_BODIES})""",
     "udf4_score_requests": f"""

@@ -9,11 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from .envelope import ENVELOPE
 
 
-def replay_stream(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Stream over a directory of envelope-shaped Parquet; new files become new messages."""
+def replay_stream(
+    spark: SparkSession, path: str, files_per_trigger: int | None = None, bytes_per_trigger: int | None = None
+) -> DataFrame:
+    """Stream over a directory of envelope-shaped Parquet; new files become new messages.
+
+    One of the two limits bounds a batch, by number or by size of its files.
+    """
     reader = spark.readStream.schema(ENVELOPE)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    if bytes_per_trigger is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_trigger)
     return reader.parquet(path)
 
 

@@ -1,7 +1,11 @@
+import json
+import random
+
 import pytest
 from msgflow.operators import (
     DEFAULT_SCHEMA,
     batch_schema,
+    inferred_rows,
     merge_schemas,
     recursive_schema,
     sample_schema,
@@ -60,6 +64,7 @@ def test_sample_beyond_the_first_window(wide):
         (['{"a":12345678901234567890}', '{"a":1.0}'], "a:double"),
         (['{"a":[1,"x"]}'], "a:array<string>"),
         (['{"a":{}}', '{"b":1}'], "b:bigint"),
+        (['{"a":[{}]}', '{"b":[]}'], "b:array<string>"),
         (['{"b":1}', '[{"a":1}]', "[1]", "[]", "5", "bad", None], "b:bigint,a:bigint"),
         (['[{"a":1},5]'], ""),
         (["{'a':1}", '{"b":NaN}'], "a:bigint,b:double"),
@@ -89,6 +94,49 @@ def test_recursive_schema(wide, texts, expected):
     assert of(recursive_schema(wide(*texts).coalesce(1))) == expected
 
 
+class Documents:
+    """Random JSON texts, some malformed or not objects."""
+
+    def __init__(self, seed):
+        self.random = random.Random(seed)
+
+    def value(self, depth=2):
+        r = self.random
+        leaf = r.choice([None, True, False, 1, -5, 2**40, 1.5, 2.0, 1e20, -0.25, 1e-7, "x", "2024-03-22", "5", "é\n"])
+        nested = r.choice([self.object, self.list]) if depth and r.random() < 0.3 else None
+        return nested(depth - 1) if nested else leaf
+
+    def list(self, depth):
+        return [self.value(depth) for _ in range(self.random.randrange(4))]
+
+    def object(self, depth=2):
+        return {name: self.value(depth) for name in self.random.sample("abcde", self.random.randrange(5))}
+
+    def text(self):
+        kind = self.random.randrange(20)
+        if kind < 2:
+            return self.random.choice(["bad", "5", "null", "[1]", '"s"', "[]"])
+        if kind == 2:
+            return json.dumps([self.object() for _ in range(self.random.randrange(3))])
+        return json.dumps(self.object())[: -1 if kind == 3 else None]
+
+
+def test_inference_and_rows_against_the_json_reader(spark, wide):
+    for seed in range(25):
+        documents = Documents(seed)
+        texts = [documents.text() for _ in range(documents.random.randrange(1, 6))]
+        reader = spark.read.json(spark.sparkContext.parallelize(texts, 1), multiLine=True)
+        messages = wide(*texts).coalesce(1)
+        schema = batch_schema(messages)
+        expected_fields = {f.name: f.dataType for f in reader.schema.fields if f.name != "_corrupt_record"}
+        assert {f.name: f.dataType for f in schema.fields} == expected_fields, texts
+        names = [*expected_fields, *(["_corrupt_record"] if "_corrupt_record" in reader.columns else [])]
+        rows = inferred_rows(messages, schema, keep=[])
+        if names:
+            assert rows.select(*names).collect() == reader.select(*names).collect(), texts
+        assert rows.count() == reader.count()
+
+
 def test_inference_restores_the_session(spark, wide):
     before = spark.conf.get("spark.sql.variant.allowDuplicateKeys")
     batch_schema(wide('{"a":1}'))

@@ -134,9 +134,9 @@ def test_inferred_rows_belong_to_their_message(wide):
 
 
 def test_inferred_rows_without_any_object(wide):
-    messages = wide("bad", None)
+    messages = wide("bad", None, "{}", "[]", '{"a":{}}')
     rows = inferred_rows(messages, batch_schema(messages), keep=["kafka_offset"])
-    assert tuples(rows) == [(0, "bad"), (1, None)]
+    assert tuples(rows) == [(0, "bad"), (1, None), (2, None), (4, None)]
 
 
 def test_array_rows(wide):

@@ -68,7 +68,7 @@ def test_images_to_bodies(spark, tmp_path):
         (tmp_path / name).write_bytes(data)
     (tmp_path / "notes.txt").write_text("no image")
     files = binary_files(spark, str(tmp_path), "*.jpg").select(
-        F.lit("gateway").alias("device"),
+        F.lit("camera").alias("device"),
         F.regexp_extract("path", r"(\d+)\.jpg$", 1).cast("bigint").alias("n"),
         "content",
     )

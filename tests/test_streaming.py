@@ -80,9 +80,11 @@ def test_a_query_that_does_not_end(spark, send, tmp_path):
 def test_stream_equals_batch_over_several_batches(spark, send, tmp_path):
     for number in range(4):
         source = send(user(number), "bad", None)
-    messages = replay_stream(spark, source, files_per_trigger=1)
+    messages = replay_stream(spark, source, bytes_per_trigger=1)
     rows = fixed_schema_rows(wide_envelope(messages), USER, keep=["kafka_offset"])
-    run_to_end(parquet_stream(rows, str(tmp_path / "out"), str(tmp_path / "checkpoint"), trigger=AVAILABLE_NOW))
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    query = run_to_end(parquet_stream(rows, out, checkpoint, trigger=AVAILABLE_NOW))
+    assert query.lastProgress.batchId == 3
     batch = fixed_schema_rows(wide_envelope(spark.read.schema(ENVELOPE).parquet(source)), USER, keep=["kafka_offset"])
     written = spark.read.parquet(str(tmp_path / "out"))
     assert sorted(map(str, written.collect())) == sorted(map(str, batch.collect()))
