@@ -102,15 +102,16 @@ class _SchemaLog:
 
     def versions(self, spark: SparkSession) -> list[T.StructType]:
         try:
-            rows = spark.read.text(self.path).orderBy("version").collect()
+            rows = spark.read.text(self.path).collect()
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return []
             raise
+        rows.sort(key=lambda row: row["version"])
         return [T.StructType.fromJson(json.loads(row["value"])) for row in rows]
 
     def add(self, spark: SparkSession, version: int, schema: T.StructType) -> None:
-        row = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+        row = spark.range(0, 1, 1, 1).select(F.lit(schema.json()).alias("value"))
         row.write.mode("overwrite").text(f"{self.path}/version={version}")
 
 
@@ -151,12 +152,11 @@ class InferredBatches:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         with _persisted(batch):
-            seen = batch.count()
-            if not seen:
+            if batch.isEmpty():
                 return
             folder, schema = self._folder(batch.sparkSession, self.infer(batch))
             self.write(batch, schema, folder, batch_id)
-            self.report(batch_id, {"seen": seen})
+            self.report(batch_id, {"seen": batch.count()})
 
     def write(self, batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> None:
         write_batch(self.rows(batch, schema), folder, batch_id)
