@@ -24,7 +24,7 @@ from .policies import (
     split_counts,
     strict_records,
 )
-from .profile import describe_topic, topic_list, topic_profile, topic_totals
+from .profile import describe_topic, end_offsets, topic_list, topic_profile, topic_totals
 from .requests import request_batches, request_bodies, score_requests
 
 __all__ = [
@@ -39,6 +39,7 @@ __all__ = [
     "compact",
     "converted_rows",
     "describe_topic",
+    "end_offsets",
     "fixed_schema_rows",
     "good_rows",
     "inferred_rows",

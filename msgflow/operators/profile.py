@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -46,3 +46,18 @@ def describe_topic(envelope: DataFrame, topic: str) -> DataFrame:
         F.coalesce(F.sum("end_offset"), F.lit(0)).alias("approximate_messages"),
         F.coalesce(F.sum("messages"), F.lit(0)).alias("messages"),
     )
+
+
+def end_offsets(spark: SparkSession, reported: str) -> DataFrame:
+    """End offset per topic partition as a Kafka query reports it; no message is read for that.
+
+    ``reported`` is ``query.lastProgress.sources[0].endOffset``. A query that starts at ``latest`` with
+    the trigger ``AVAILABLE_NOW`` reports the ends of a topic at once, where ``topic_profile`` reads all of it.
+    """
+    offsets = F.from_json(F.lit(reported), "map<string, map<string, bigint>>")
+    return (
+        spark.range(0, 1, 1, 1)
+        .select(F.explode(offsets).alias("topic", "partitions"))
+        .select("topic", F.explode("partitions").alias("partition", "end_offset"))
+        .withColumn("partition", F.col("partition").cast("int"))
+    )

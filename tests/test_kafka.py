@@ -1,6 +1,7 @@
 """Options of the Kafka source. There is no broker or connector here, so nothing is read."""
 
 import pytest
+from msgflow.operators import end_offsets
 from msgflow.session import KAFKA_PACKAGE, kafka_session, work_folder
 from msgflow.sources import kafka_batch, kafka_options, kafka_stream, parse_properties, read_properties
 from msgflow.streaming import send
@@ -131,3 +132,9 @@ def test_send():
     send(sink, kafka_options(SECURE, "read-topic"), "t")
     assert sink.seen["format"] == "kafka" and sink.seen["topic"] == "t"
     assert "kafka.sasl.jaas.config" in sink.seen and "subscribe" not in sink.seen
+
+
+def test_reported_offsets(spark):
+    rows = end_offsets(spark, '{"a":{"0":5,"10":7},"b":{"0":0}}')
+    assert rows.dtypes == [("topic", "string"), ("partition", "int"), ("end_offset", "bigint")]
+    assert sorted(map(tuple, rows.collect())) == [("a", 0, 5), ("a", 10, 7), ("b", 0, 0)]

@@ -119,6 +119,21 @@ def test_partitioned_sink(spark, send, tmp_path):
     assert {tuple(r) for r in written.groupBy("id").count().collect()} == {(0, 17), (1, 17), (2, 16), (None, 1)}
 
 
+def test_a_hot_value_is_spread_over_several_files(spark, send, tmp_path):
+    texts = [f'{{"id":{max(i - 3000, 0)},"product":"product {i * 7919}","price":{i}.5}}' for i in range(3010)]
+    source = send(*texts[:1500])
+    send(*texts[1500:])
+    out, setting = str(tmp_path / "out"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(setting, "30k")
+    try:
+        messages = replay_stream(spark, source)
+        run_to_end(product_stream_by_value(messages, out, str(tmp_path / "checkpoint"), trigger=AVAILABLE_NOW))
+    finally:
+        spark.conf.unset(setting)
+    assert len(glob.glob(f"{out}/id=0/*.parquet")) > 1
+    assert spark.read.parquet(out).count() == 3010
+
+
 def test_split_job(spark, send, tmp_path):
     source = send(user(1), "bad", user(2))
     send("bad")
