@@ -19,15 +19,15 @@ def compact(
     *,
     target_bytes: int = TARGET_BYTES,
     partition_by: Sequence[str] = (),
-    drop: Sequence[str] = (),
+    ignore_folders: bool = False,
 ) -> None:
     """Copies a Parquet dataset into another folder, in files of about ``target_bytes``.
 
     Without partition columns there is no shuffle: the scan packs small files into splits of the
     target size and each split is written as one file. (Of very small files a split takes some 2,000 at
-    most, so these may need a second run.) With partition columns the rows are
-    rebalanced by them; a large partition is spread over several tasks, so over several files. ``drop`` names folder
-    columns to leave out, such as ``batch_id``.
+    most, so these may need a second run.) With partition columns the rows are rebalanced by them; a
+    large partition is spread over several tasks, so over several files. ``ignore_folders`` keeps
+    folder names such as ``batch_id=7`` from becoming columns.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
@@ -35,7 +35,7 @@ def compact(
     session.conf.set("spark.sql.files.openCostInBytes", str(target_bytes // 2000))
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    rows = session.read.parquet(source).drop(*drop)
+    rows = session.read.option("recursiveFileLookup", str(ignore_folders).lower()).parquet(source)
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
     rows.write.options(**PARQUET_OPTIONS).partitionBy(*partition_by).parquet(target)

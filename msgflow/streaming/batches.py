@@ -47,8 +47,8 @@ def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all batches below a folder, without the batch number."""
-    return spark.read.parquet(path).drop("batch_id")
+    """The rows of all batches below a folder; folder names do not become columns."""
+    return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
 
 @contextmanager
@@ -202,7 +202,7 @@ def read_versions(spark: SparkSession, path: str) -> DataFrame:
     parts = []
     for version in range(len(_SchemaLog(path).versions(spark))):
         try:
-            parts.append(spark.read.parquet(f"{path}/schema_version={version}").drop("batch_id"))
+            parts.append(read_batches(spark, f"{path}/schema_version={version}"))
         except AnalysisException as error:
             # A batch that failed after its schema was logged leaves a version without rows.
             if error.getCondition() != "PATH_NOT_FOUND":

@@ -21,6 +21,7 @@ from msgflow.streaming import (
     with_peek,
 )
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @pytest.fixture
@@ -174,6 +175,15 @@ def test_schemas_drift_and_survive_a_restart(spark, wide, tmp_path):
     assert len(glob.glob(f"{path}/schema_version=*")) == 4
 
 
+def test_payload_named_like_the_folders(spark, wide, tmp_path):
+    text = '{"batch_id":"mine","schema_version":"too"}'
+    schema = T.StructType().add("batch_id", "string").add("schema_version", "string")
+    SplitBatches(schema, str(tmp_path / "good"), str(tmp_path / "bad"))(wide(text), 3)
+    InferredBatches(str(tmp_path / "data"))(wide(text), 3)
+    for rows in (read_batches(spark, str(tmp_path / "good")), read_versions(spark, str(tmp_path / "data"))):
+        assert rows.select("batch_id", "schema_version").collect() == [("mine", "too")]
+
+
 def test_each_batch_with_its_own_schema(spark, wide, tmp_path):
     write = InferredBatches(str(tmp_path / "data"), accumulate=False)
     write(wide('{"a":1}'), 0)
@@ -232,11 +242,11 @@ def test_per_batch_schema_job(spark, send, tmp_path):
 def test_compaction(spark, tmp_path):
     small, large = str(tmp_path / "small"), str(tmp_path / "large")
     spark.range(1000).withColumn("d", F.col("id") % 2).repartition(40).write.parquet(f"{small}/batch_id=1")
-    compact(spark, small, large, drop=["batch_id"])
+    compact(spark, small, large, ignore_folders=True)
     files = glob.glob(f"{large}/*.parquet")
     assert len(files) == 1 and spark.read.parquet(large).columns == ["id", "d"]
     assert spark.read.parquet(large).exceptAll(spark.read.parquet(small).drop("batch_id")).isEmpty()
-    compact(spark, small, f"{large}-by-d", partition_by=["d"], drop=["batch_id"])
+    compact(spark, small, f"{large}-by-d", partition_by=["d"], ignore_folders=True)
     assert len(glob.glob(f"{large}-by-d/d=*/*.parquet")) == 2
     assert spark.read.parquet(f"{large}-by-d").count() == 1000
     size = sum(map(len, (open(f, "rb").read() for f in glob.glob(f"{small}/*/*.parquet"))))
