@@ -49,8 +49,7 @@ def batch_schema(messages: DataFrame, column: str = "json_string") -> T.StructTy
     give string, and so do fields that were null everywhere; an empty text is a text. Empty if no row
     holds an object with a field.
     """
-    schema, _ = _widened(messages, column, {})
-    return _settle(messages, column, {}, schema, [])
+    return _settle(messages, column, {}, _widened(messages, column, {}), [])
 
 
 def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.StructType:
@@ -59,9 +58,12 @@ def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.Stru
     A text field, at any depth of nested objects, becomes a timestamp if every value it has in the
     batch is an ISO date or date and time.
     """
-    schema, witness = _widened(messages, column, OBJECT_TOKENS, arrays=False)
+    schema = _widened(messages, column, OBJECT_TOKENS, arrays=False)
     texts = [path for path, leaf in _leaves(schema) if leaf == T.StringType()]
-    return _settle(messages, column, OBJECT_TOKENS, schema, _not_refuted(texts, witness))
+    if texts:
+        witness = messages.filter(_lead(column) == "{").select(column).first()
+        texts = _not_refuted(texts, witness and witness[0])
+    return _settle(messages, column, OBJECT_TOKENS, schema, texts)
 
 
 def merge_schemas(first: T.DataType, second: T.DataType) -> T.DataType:
@@ -99,13 +101,14 @@ def _repeated_keys(spark: SparkSession):
         spark.conf.set(setting, before)
 
 
-def _widened(
-    messages: DataFrame, column: str, tokens: Mapping[str, str], arrays: bool = True
-) -> tuple[T.StructType, str | None]:
-    """The widened schema, and the text of any one object."""
-    lead = F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
+def _lead(column: str) -> Column:
+    """The first character that is no white space: tells objects and arrays apart without parsing."""
+    return F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
+
+
+def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays: bool = True) -> T.StructType:
     document = F.from_json(column, T.VariantType(), dict(tokens))
-    documents = messages.select(F.col(column).alias("text"), lead.alias("lead"), document.alias("document"))
+    documents = messages.select(_lead(column).alias("lead"), document.alias("document"))
     document = F.col("document")
     is_object = F.col("lead") == "{"
     is_rows = (F.col("lead") == "[") & F.schema_of_variant(document).startswith("ARRAY<OBJECT<")
@@ -113,7 +116,6 @@ def _widened(
         found = documents.agg(
             F.schema_of_variant_agg(F.when(is_object, document)).alias("objects"),
             F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
-            F.any_value(F.when(is_object & document.isNotNull(), F.col("text")), F.lit(True)).alias("witness"),
         ).first()
     schema = _from_variant_schema(found["objects"])
     if arrays:
@@ -122,7 +124,7 @@ def _widened(
             rows = rows.elementType
         if isinstance(rows, T.StructType):
             schema = merge_schemas(schema, rows) if isinstance(schema, T.StructType) else rows
-    return schema if isinstance(schema, T.StructType) else T.StructType(), found["witness"]
+    return schema if isinstance(schema, T.StructType) else T.StructType()
 
 
 def _not_refuted(paths: list[tuple[str, ...]], witness: str | None) -> list[tuple[str, ...]]:
