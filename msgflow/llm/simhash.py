@@ -21,10 +21,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import components
-from .tables import Tables, add_columns
+from .tables import Tables, add_columns, row_key, unused
 from .text import column_bytes
+from .tiles import TILE_ROWS, tiles
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -33,8 +35,6 @@ SEED = 42
 PARTS = 7
 #: Full-width reference fingerprints, taken from a fixed random sequence.
 PIVOTS = np.random.default_rng(64).integers(0, 1 << 64, 16, dtype=np.uint64)
-#: Rows of a tile: larger groups of one key are compared tile by tile.
-TILE_ROWS = 1000
 _CHUNK_WORDS = 1 << 16
 
 
@@ -82,18 +82,8 @@ def _masks(parts: int, alike: int) -> list[int]:
 
 
 def _coordinates(fingerprints: np.ndarray) -> np.ndarray:
-    return np.bitwise_count(fingerprints[:, None] ^ PIVOTS[None, :]).astype(np.uint8)
-
-
-def _pivot_table(prints: DataFrame) -> DataFrame:
-    """``prints`` with ``pivots``: the distances to all pivots, a byte each."""
-
-    def compute(batch: pa.RecordBatch) -> dict:
-        x = batch.column(batch.schema.get_field_index("simhash")).to_numpy(zero_copy_only=False).view(np.uint64)
-        flat = pa.py_buffer(_coordinates(x).tobytes())
-        return {"pivots": pa.FixedSizeBinaryArray.from_buffers(pa.binary(len(PIVOTS)), len(x), [None, flat]).cast(pa.binary())}
-
-    return add_columns(prints, compute, "pivots binary")
+    """The table of distances to all pivots, a row per fingerprint."""
+    return np.bitwise_count(fingerprints[:, None] ^ PIVOTS[None, :]).astype(np.int16)
 
 
 def linked(x: np.ndarray, px: np.ndarray, y: np.ndarray, py: np.ndarray, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -125,31 +115,17 @@ def forest(n: int, i: np.ndarray, j: np.ndarray) -> list[tuple[int, int]]:
     return kept
 
 
-def _tiles(rows: DataFrame, keys: DataFrame, tile_rows: int, hashed: Column, *payload: str) -> DataFrame:
-    """(k, one, two, first[], second[]): the rows of each key, or for large keys all pairs of tiles of its rows.
+def _links(tables: Tables, prints: DataFrame, max_bits: int, parts: int, tile_rows: int) -> DataFrame:
+    """Links (a, b) between different fingerprints: within each tile enough to connect all that are linked there.
 
-    ``keys`` has the keys that more than one row has, with their counts ``n``. Every row of a key with t tiles
-    goes to t tiles pairs, so no task holds a large group.
+    The rows that are shuffled carry the fingerprint only; a tile's table of pivot distances is computed once, before
+    its rows are compared, which is cheaper than shuffling it with every key.
     """
-    tiles = F.ceil(F.col("n") / tile_rows).cast("int")
-    own = F.pmod(hashed, tiles).cast("int")
-    dealt = rows.join(keys, "k").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), tiles - 1)))
-    row = F.struct("own", *payload)
-    return (
-        dealt.groupBy("k", F.least("own", "other").alias("one"), F.greatest("own", "other").alias("two"))
-        .agg(F.collect_list(row).alias("rows"))
-        .where(F.size("rows") > 1)
-    )
-
-
-def _links(tables: Tables, prints: DataFrame, max_bits: int, parts: int, tile_rows: int) -> DataFrame:
-    """Links (a, b) between different fingerprints: within each tile enough to connect all that are linked there."""
-    table = tables.store(_pivot_table(prints))
     masks = F.array(*[F.lit(m) for m in _masks(parts, parts - max_bits)])
     key = F.transform(masks, lambda m, i: F.xxhash64(i, F.col("simhash").bitwiseAND(m)))
-    keyed = table.select("simhash", "pivots", F.explode(key).alias("k"))
-    counts = tables.store(keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1"))
-    tiles = _tiles(keyed, counts, tile_rows, F.xxhash64("simhash"), "simhash", "pivots")
+    keyed = prints.select("simhash", F.explode(key).alias("k"))
+    counts = tables.store(keyed.groupBy("k").agg(F.count("*").alias("n_rows")).where("n_rows > 1"))
+    dealt = tiles(keyed, counts, F.xxhash64("simhash"), ["simhash"], tile_rows)
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,29 +133,48 @@ def _links(tables: Tables, prints: DataFrame, max_bits: int, parts: int, tile_ro
             flat = lists.flatten()
             x = flat.field("simhash").to_numpy(zero_copy_only=False).view(np.uint64)
             own = flat.field("own").to_numpy(zero_copy_only=False)
-            p = np.frombuffer(b"".join(flat.field("pivots").to_pylist()), np.uint8).reshape(-1, len(PIVOTS)).astype(np.int16)
+            table = _coordinates(x)
             bounds = np.append(0, np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False)))
             one, two = batch.column("one").to_pylist(), batch.column("two").to_pylist()
             found_a, found_b = [], []
             for g, (lo, hi) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
                 first = np.flatnonzero(own[lo:hi] == one[g]) + lo
                 second = first if one[g] == two[g] else np.flatnonzero(own[lo:hi] == two[g]) + lo
-                i, j = linked(x[first], p[first], x[second], p[second], max_bits)
-                if one[g] == two[g]:
-                    i, j = i[i < j], j[i < j]
+                i, j = linked(x[first], table[first], x[second], table[second], max_bits)
+                i, j = first[i], second[j]
+                i, j = (i[i < j], j[i < j]) if one[g] == two[g] else (i, j)
                 if len(i):
-                    kept = np.array(forest(hi - lo, first[i] - lo, second[j] - lo), np.int64) + lo
+                    kept = np.array(forest(hi - lo, i - lo, j - lo), np.int64) + lo
                     found_a.append(x[kept[:, 0]].view(np.int64))
                     found_b.append(x[kept[:, 1]].view(np.int64))
             if found_a:
                 columns = [pa.array(np.concatenate(c)) for c in (found_a, found_b)]
                 yield pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
-    links = tables.store(tiles.mapInArrow(pairs, "a bigint, b bigint").distinct())
-    tables.drop(table, counts)
+    links = tables.store(dealt.mapInArrow(pairs, "a bigint, b bigint").distinct())
+    tables.drop(counts)
     return links
 
 
+def _grouped(
+    tables: Tables, docs: DataFrame, id_col: str, text: str, shingle: int, max_bits: int, parts: int, tile_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, key, simhash) of all documents, and (simhash, root, component_id) of all fingerprints."""
+    narrow = docs.select(F.col(id_col).alias("id"), row_key(id_col, text).alias("key"), F.col(text).alias("text"))
+    rows = tables.store(with_fingerprint(narrow, "text", shingle, drop=("text",)))
+    prints = tables.store(rows.groupBy("simhash").agg(F.min("id").alias("least")))
+    links = _links(tables, prints.select("simhash"), max_bits, parts, tile_rows)
+    nodes = components(tables, links)
+    rooted = prints.join(nodes, prints["simhash"] == nodes["node"], "left").select(
+        "simhash", "least", F.coalesce("root", "simhash").alias("root")
+    )
+    rooted = tables.store(rooted)
+    least = tables.store(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
+    named = tables.store(rooted.join(least, "root").select("simhash", "root", "component_id"))
+    tables.drop(prints, links, nodes, rooted, least)
+    return rows, named
+
+
 def simhash_groups(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -197,21 +192,34 @@ def simhash_groups(
     an id keep their own fingerprints. An empty table gives an empty result. Other columns are not read.
     """
     tables = Tables(docs.sparkSession, "simhash")
-    narrow = docs.select(F.col(id_col).alias("id"), F.col(text).alias("text"))
-    rows = tables.store(with_fingerprint(narrow, "text", shingle, drop=("text",)))
-    prints = tables.store(rows.groupBy("simhash").agg(F.min("id").alias("least")))
-    links = _links(tables, prints.select("simhash"), max_bits, parts, tile_rows)
-    nodes = components(tables, links)
-    rooted = prints.join(nodes, prints["simhash"] == nodes["node"], "left").select(
-        "simhash", "least", F.coalesce("root", "simhash").alias("root")
-    )
-    rooted = tables.store(rooted)
-    least = tables.store(rooted.groupBy("root").agg(F.min("least").alias("component_id")))
-    named = tables.store(rooted.join(least, "root").select("simhash", "component_id"))
-    tables.drop(prints, links, nodes, rooted, least)
+    rows, named = _grouped(tables, docs, id_col, text, shingle, max_bits, parts, tile_rows)
     return rows.join(named, "simhash").select(F.col("id").alias(id_col), "simhash", "component_id")
 
 
+def one_of_each_group(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text: str = "text",
+    shingle: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+    parts: int = PARTS,
+    tile_rows: int = TILE_ROWS,
+) -> DataFrame:
+    """The documents, with all columns, of which each group keeps one: that with the least id, null ids last.
+
+    Among rows with the same least id a hash of the text decides, and of rows that repeat id and text one stays.
+    """
+    tables = Tables(docs.sparkSession, "simhash")
+    rows, named = _grouped(tables, docs, id_col, text, shingle, max_bits, parts, tile_rows)
+    first = F.min(F.struct(F.col("id").isNull(), "id", "key"))
+    kept = tables.store(rows.join(named, "simhash").groupBy("root").agg(first["key"].alias("key")).select("key"))
+    tables.drop(rows, named)
+    key, place = unused(docs, "_key", "_place")
+    found = docs.withColumn(key, row_key(id_col, text)).join(kept.withColumnRenamed("key", key), key, "left_semi")
+    numbered = found.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key)))
+    return numbered.where(F.col(place) == 1).drop(key, place)
+
+
 def fingerprint_hex(simhash: Column) -> Column:
     """The fingerprint as 16 lowercase hexadecimal digits."""
     return F.lower(F.lpad(F.hex(simhash), 16, "0"))

@@ -6,7 +6,8 @@ import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
 
@@ -69,6 +70,11 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def row_key(id_col: str, text: str) -> Column:
+    """Tells rows apart by 96 bits of their id and text; null ids and texts have keys like others."""
+    return F.struct(F.xxhash64(id_col, text).alias("a"), F.hash(id_col, text).alias("b"))
+
+
 def add_columns(
     df: DataFrame,
     compute: Callable[[pa.RecordBatch], dict[str, object]],
