@@ -1,0 +1,143 @@
+import numpy as np
+import pytest
+from edge import SCHEMA, clashing, with_edges
+from pyspark.sql import functions as F
+
+from msgflow.llm import langid, quality, toxicity
+from msgflow.llm.queries import op1_toxicity, op4_quality, op9_languages, remainder
+
+WIDER = "/root/testdata/sf0.01"
+
+
+def labels(spark, sf_dir=WIDER):
+    return spark.read.parquet(f"{sf_dir}/labels.parquet")
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    return clashing(with_edges(spark, WIDER), "score", "SEVERITY", "lang_pred", "rejected", "id", "rows").persist()
+
+
+def auc(score, y):
+    order = np.argsort(score)
+    rank = np.empty(len(order))
+    rank[order] = np.arange(1, len(order) + 1)
+    ones = y == 1
+    return (rank[ones].sum() - ones.sum() * (ones.sum() + 1) / 2) / (ones.sum() * (~ones).sum())
+
+
+def test_quality_on_held_out_rows(spark):
+    found = op4_quality(spark, WIDER)
+    assert found.columns == ["doc_id", "held_out", "score", "predicted"]
+    rows = found.join(labels(spark), "doc_id").where("held_out").collect()
+    y, score = (np.array([r[c] for r in rows]) for c in ("quality", "score"))
+    assert auc(score, y) > 0.95
+    assert np.mean([r.predicted == r.quality for r in rows]) > 0.92
+    assert all((r.score >= 0.3) == r.predicted for r in rows)
+
+
+def test_quality_of_all_rows(spark, docs):
+    model = quality.fit_quality(docs, labels(spark), use=remainder("doc_id", 5) != 0)
+    rows = quality.score_quality(docs, model).collect()
+    assert len(rows) == docs.count()
+    assert all(0 <= r.score <= 1 for r in rows)
+    empty = [r.score for r in rows if r.doc_id in (9_000_001, 9_000_002, 9_000_004)]
+    assert len(set(empty)) == 1
+    assert len({r.score for r in rows if r.doc_id == 9_000_007}) == 1
+    nothing = spark.createDataFrame([], SCHEMA)
+    assert quality.score_quality(nothing, model).collect() == []
+    blank = quality.fit_quality(nothing, labels(spark))
+    assert {r.score for r in quality.score_quality(docs.limit(3), blank).collect()} == {0.5}
+
+
+def test_word_vectors_do_not_depend_on_partitions(spark, docs):
+    one = quality.word_vectors(docs.repartition(1))
+    assert np.array_equal(one, quality.word_vectors(docs.repartition(7)))
+    seen = np.linalg.norm(one, axis=1)
+    assert np.allclose(seen[seen > 0], 1, atol=1e-5)
+
+
+def test_temperature_calibrates():
+    rng = np.random.default_rng(0)
+    x = rng.normal(size=(4000, 5))
+    p = 1 / (1 + np.exp(-2 * x[:, 0]))
+    y = (rng.random(4000) < p).astype(float)
+    score = quality.fit(x, y).scores(x)
+    for lo in (0.1, 0.3, 0.5, 0.7):
+        inside = (score > lo) & (score < lo + 0.2)
+        assert abs(score[inside].mean() - y[inside].mean()) < 0.06
+
+
+def test_languages(spark, docs):
+    found = op9_languages(spark, WIDER)
+    assert found.columns == ["doc_id", "held_out", "lang_pred", "score", "rejected"]
+    rows = found.join(spark.read.parquet(f"{WIDER}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
+    rows = rows.collect()
+    assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.98
+    model = langid.fit_languages(docs, use=remainder("id", 4) != 2)
+    answers = {r.doc_id: r for r in langid.with_language(docs, model).collect()}
+    assert len(answers) <= docs.count() and answers[9_000_008].lang_pred in model.languages
+    for doc in (9_000_001, 9_000_002, 9_000_004):
+        assert (answers[doc].lang_pred, answers[doc].score, answers[doc].rejected) == ("und", 0.0, True)
+    digits = spark.createDataFrame([(1, "123 --- 4"), (2, "漢"), (3, "e")], "doc_id bigint, text string")
+    assert [r.lang_pred == "und" for r in langid.with_language(digits, model).orderBy("doc_id").collect()] == [True, False, False]
+    nothing = spark.createDataFrame([], SCHEMA)
+    blank = langid.fit_languages(nothing)
+    assert {r.lang_pred for r in langid.with_language(docs.limit(3), blank).collect()} == {"und"}
+    assert langid.with_language(nothing, model).collect() == []
+
+
+def test_subwords_stay_within_documents():
+    texts = [b"ab cd", b"", b"xyz"]
+    data = np.frombuffer(b"".join(texts), np.uint8)
+    doc, row = langid.subwords(data, np.array([0, 5, 5, 8]))
+    alone = [langid.subwords(np.frombuffer(t, np.uint8), np.array([0, len(t)]))[1] for t in texts]
+    for k in range(3):
+        assert sorted(row[doc == k]) == sorted(alone[k])
+
+
+def test_toxicity_on_held_out_rows(spark):
+    """Of English texts: in the other languages of the given tables some labels are set without a toxic word."""
+    found = op1_toxicity(spark, WIDER).join(labels(spark).withColumnRenamed("toxic", "marked"), "doc_id")
+    found = found.join(spark.read.parquet(f"{WIDER}/documents.parquet").where("lang = 'en'").select("doc_id"), "doc_id")
+    rows = found.where(remainder("doc_id", 5) == 0).collect()
+    y, severity = (np.array([r[c] for r in rows]) for c in ("marked", "severity"))
+    assert auc(severity, y) > 0.95
+    assert np.mean([r.toxic == r.marked for r in rows]) > 0.95
+
+
+def test_toxicity_of_all_rows(spark, docs):
+    model = toxicity.fit_toxicity(docs, labels(spark))
+    assert (np.diff(model.thresholds) >= 0).all()
+    assert (model.weights != 0).sum() < 5000
+    rows = toxicity.score_toxicity(docs, model).collect()
+    assert len(rows) == docs.count()
+    assert all(0 <= r.severity <= 3 and 0 <= r.grade <= 3 for r in rows)
+    assert not any(r.toxic for r in rows if r.doc_id in (None, 9_000_001, 9_000_002, 9_000_009))
+    nothing = spark.createDataFrame([], SCHEMA)
+    assert toxicity.score_toxicity(nothing, model).collect() == []
+    blank = toxicity.fit_toxicity(nothing, labels(spark))
+    assert not any(r.toxic for r in toxicity.score_toxicity(docs.limit(3), blank).collect())
+
+
+def test_ordinal_regression_finds_shared_weights():
+    rng = np.random.default_rng(2)
+    n = 4000
+    x = rng.integers(0, 3, (n, 4)).astype(float)
+    eta = x @ np.array([2.0, -1.0, 0, 0]) + rng.logistic(size=n)
+    y = (eta[:, None] > np.array([0.5, 2.0, 4.0])).sum(axis=1)
+    doc, row = np.nonzero(x)
+    weights, theta = toxicity.fit_ordinal(doc, row, x[doc, row], y)
+    assert np.allclose(weights[:4], [2, -1, 0, 0], atol=0.25)
+    assert np.allclose(theta, [0.5, 2, 4], atol=0.35)
+    severity = toxicity.expected_severity(np.array([-50.0, 50.0]), theta)
+    assert np.allclose(severity, [0, 3])
+
+
+def test_samples_are_bounded_and_repeatable(spark, docs):
+    sample = quality.labelled_sample(docs, labels(spark), "quality", 50)
+    assert sample.count() == 50
+    again = quality.labelled_sample(docs.repartition(5), labels(spark).repartition(3), "quality", 50)
+    assert sorted(map(tuple, sample.collect())) == sorted(map(tuple, again.collect()))
+    twice = labels(spark).union(labels(spark).withColumn("quality", F.lit(0)))
+    assert {r.target for r in quality.labelled_sample(docs, twice, "quality", 50).collect()} == {0}
