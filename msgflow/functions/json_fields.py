@@ -3,8 +3,8 @@
 ``from_json`` with VARIANT fields reads only the named fields, in one pass over the text. A field
 that is absent is NULL, an explicit JSON null is a VOID variant, and any other value keeps its own
 JSON type, so the policies can tell the three apart. Of repeated keys the last one wins, text after
-the first value is ignored. (Only an object with repeated keys inside a named field needs
-``spark.sql.variant.allowDuplicateKeys``; without it that message counts as malformed.)
+the first value is ignored. For keys repeated inside a named field that takes a session setting, which is read when a
+query starts: the policies turn it on and leave it on (``keep_repeated_keys``).
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Iterable
 from functools import reduce
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +22,15 @@ MALFORMED = "_malformed"
 PLAIN_JSON = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
 
 
+def keep_repeated_keys(spark: SparkSession) -> None:
+    """Lets a variant keep the last of repeated keys, as parsing under a schema does.
+
+    The setting stays on for the session: turning it off again would reach into queries of other threads, and streams
+    read it when they start.
+    """
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def open_document(json: Column, fields: Iterable[str]) -> Column:
     """Struct with one VARIANT per named field, plus the text itself if it is not an object."""
     schema = T.StructType([T.StructField(name, T.VariantType()) for name in fields])

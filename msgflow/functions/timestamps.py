@@ -23,3 +23,10 @@ def as_utc_timestamp(text: Column) -> Column:
 
 def is_iso_timestamp(text: Column) -> Column:
     return as_utc_timestamp(text).isNotNull()
+
+
+def utc_text(timestamp: Column) -> Column:
+    """ISO text of a timestamp in UTC, as in ``2024-03-22T09:05:00Z``, whatever the session's zone."""
+    seconds = (F.unix_micros(timestamp) / F.lit(1_000_000).cast("decimal(8,0)")).cast("decimal(18,6)")
+    local = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(secs=seconds)
+    return F.concat(F.translate(local.cast("string"), " ", "T"), F.lit("Z"))

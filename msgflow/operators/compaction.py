@@ -24,15 +24,15 @@ def compact(
     """Copies a Parquet dataset into another folder, in files of about ``target_bytes``.
 
     Without partition columns there is no shuffle: the scan packs small files into splits of the
-    target size and each split is written as one file. (Of very small files a split takes some 2,000 at
-    most, so these may need a second run.) With partition columns the rows are rebalanced by them; a
-    large partition is spread over several tasks, so over several files. ``ignore_folders`` keeps
-    folder names such as ``batch_id=7`` from becoming columns.
+    target size and each split is written as one file, however many files that takes. With partition columns the
+    rows are rebalanced by them; a large partition is spread over several tasks, so over several files.
+    ``ignore_folders`` keeps folder names such as ``batch_id=7`` from becoming columns; for the output of
+    ``InferredBatches`` compact the folder of one schema version at a time, as their files differ in types.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    # What a file counts beyond its size: no task opens more than some 2,000 files.
-    session.conf.set("spark.sql.files.openCostInBytes", str(target_bytes // 2000))
+    # A file counts with its size only, so that one pass is enough for files of any size.
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     rows = session.read.option("recursiveFileLookup", str(ignore_folders).lower()).parquet(source)

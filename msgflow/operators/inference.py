@@ -9,12 +9,12 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.json_fields import keep_repeated_keys
 from ..functions.timestamps import ISO_FORM, is_iso_timestamp
 from ..sources.files import literal_messages
 from ..sources.sample import first_document
@@ -66,41 +66,32 @@ def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.Stru
     return _settle(messages, column, OBJECT_TOKENS, schema, texts)
 
 
-def merge_schemas(first: T.DataType, second: T.DataType) -> T.DataType:
-    """The narrowest type both fit in: fields of both, int -> decimal -> double -> string."""
+def merge_schemas(first: T.DataType, second: T.DataType, *, exact: bool = False) -> T.DataType:
+    """The narrowest type both fit in: fields of both, int -> decimal -> double -> string.
+
+    With ``exact`` integers and doubles meet in string, since a double does not hold every integer.
+    """
     if first == second:
         return first
     if isinstance(first, T.StructType) and isinstance(second, T.StructType):
         other = {field.name: field.dataType for field in second.fields}
         fields = [
-            T.StructField(f.name, merge_schemas(f.dataType, other.pop(f.name, f.dataType)))
+            T.StructField(f.name, merge_schemas(f.dataType, other.pop(f.name, f.dataType), exact=exact))
             for f in first.fields
         ]
         fields += [T.StructField(name, data_type) for name, data_type in other.items()]
         return T.StructType(fields)
     if isinstance(first, T.ArrayType) and isinstance(second, T.ArrayType):
-        return T.ArrayType(merge_schemas(first.elementType, second.elementType))
+        return T.ArrayType(merge_schemas(first.elementType, second.elementType, exact=exact))
     numbers = (T.IntegerType, T.LongType, T.DecimalType, T.DoubleType)
     if isinstance(first, numbers) and isinstance(second, numbers):
         if isinstance(first, T.DoubleType) or isinstance(second, T.DoubleType):
-            return T.DoubleType()
+            return T.StringType() if exact else T.DoubleType()
         decimals = [t.precision for t in (first, second) if isinstance(t, T.DecimalType)]
         return T.DecimalType(max(decimals), 0) if decimals else T.LongType()
     return T.StringType()
 
 
-@contextmanager
-def _repeated_keys(spark: SparkSession):
-    """Lets a variant keep the last of repeated keys, as parsing under a schema does."""
-    setting = "spark.sql.variant.allowDuplicateKeys"
-    before = spark.conf.get(setting)
-    spark.conf.set(setting, "true")
-    try:
-        yield
-    finally:
-        spark.conf.set(setting, before)
-
-
 def _lead(column: str) -> Column:
     """The first character that is no white space: tells objects and arrays apart without parsing."""
     return F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
@@ -112,11 +103,11 @@ def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays
     document = F.col("document")
     is_object = F.col("lead") == "{"
     is_rows = (F.col("lead") == "[") & F.schema_of_variant(document).startswith("ARRAY<OBJECT<")
-    with _repeated_keys(messages.sparkSession):
-        found = documents.agg(
-            F.schema_of_variant_agg(F.when(is_object, document)).alias("objects"),
-            F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
-        ).first()
+    keep_repeated_keys(messages.sparkSession)
+    found = documents.agg(
+        F.schema_of_variant_agg(F.when(is_object, document)).alias("objects"),
+        F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
+    ).first()
     schema = _from_variant_schema(found["objects"])
     if arrays:
         rows = _from_variant_schema(found["rows"])

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.coerce import as_int, as_text, int_or_default, text_or_default
-from ..functions.json_fields import has_fields, json_type, open_document
+from ..functions.json_fields import has_fields, json_type, keep_repeated_keys, open_document
 from ..functions.timestamps import as_utc_timestamp
 from ..sources.envelope import NARROW, ORIGIN
 from .inference import OBJECT_TOKENS
@@ -49,6 +49,7 @@ def _rows_of(rows: DataFrame, keep: Sequence[str], record: Column) -> DataFrame:
 
 
 def _opened(messages: DataFrame, fields: FieldReaders, keep: Sequence[str], counter: str | None):
+    keep_repeated_keys(messages.sparkSession)
     opened = messages.select(*keep, open_document(F.col("json_string"), fields).alias("_document"))
     document, kinds = F.col("_document"), F.col("_kinds")
     complete = has_fields(document, fields)
@@ -136,23 +137,30 @@ def split_counts(parsed: DataFrame) -> DataFrame:
 
 
 def captured_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
-    """Every message as a row: the fields that fit, and ``_corrupt_record`` where not all did."""
+    """Every message as a row: the fields that fit, and ``_corrupt_record`` where not all did.
+
+    A blank text has no field and stands in ``_corrupt_record`` as well; a message without a value is a null row.
+    """
     parsed = parse_with_capture(messages.select(*keep, "json_string"), schema)
     payload = F.col("parsed_data")
     fields = payload_fields(payload, schema, (*keep, CORRUPT))
-    return parsed.select(*keep, *fields, payload.getField(CORRUPT).alias(CORRUPT))
+    blank = F.when(F.ltrim("json_string", F.lit(" \t\r\n")) == "", F.col("json_string"))
+    return parsed.select(*keep, *fields, F.coalesce(payload.getField(CORRUPT), blank).alias(CORRUPT))
 
 
 def array_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
-    """A row per element of a top-level array, one row for a single object, a null row otherwise."""
+    """A row per element of a top-level array, one row for a single object, a null row otherwise.
+
+    An array without elements gives a null row too, so every message has at least one row.
+    """
     return _element_rows(messages, schema, keep).drop(CORRUPT)
 
 
 def inferred_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ORIGIN) -> DataFrame:
     """Rows under an inferred schema, each with the envelope of its own message.
 
-    Arrays of objects give a row per element. A text that is no object keeps its envelope and
-    stands in ``_corrupt_record``; a message without a value is a null row.
+    Arrays of objects give a row per element. A text that is no object, and an array without elements, keeps
+    its envelope and stands in ``_corrupt_record``; a message without a value is a null row.
     """
     return _element_rows(messages, schema, keep)
 
@@ -166,7 +174,7 @@ def _element_rows(messages: DataFrame, schema: T.StructType, keep: Sequence[str]
     renamed = T.ArrayType(writable(schema, (*keep, CORRUPT)))
     elements = F.from_json(text, T.ArrayType(schema)).cast(renamed)
     parsed = messages.select(*keep, "json_string", elements.alias("_elements"))
-    missing = F.col("_elements").isNull()
+    missing = F.col("_elements").isNull() | (F.size("_elements") == 0)
     one_null_row = F.array(F.lit(None).cast(renamed.elementType))
     return parsed.select(
         *keep,
@@ -202,15 +210,41 @@ def _lost(text: Column, converted: Column, data_type: T.DataType) -> Column:
     return lost
 
 
-def _converted(messages: DataFrame, schema: T.StructType, columns: Sequence[str]) -> tuple[DataFrame, Column]:
-    """Adds ``_data``, the fields in their final types, and tells which messages fit the schema."""
+def parse_converted(messages: DataFrame, schema: T.StructType) -> DataFrame:
+    """Adds ``_data``, the fields in their final types, and ``_fits``, which tells the messages that fit the schema.
+
+    Feeds ``converted_of``, ``rejected_of`` and ``conversion_counts``; persist it where several of them are wanted. Nothing
+    fits a schema without fields.
+    """
+    if not schema.fields:
+        return messages.withColumns({"_data": F.struct(F.lit(None).alias("_nothing")), "_fits": F.lit(False)})
     text_schema = _with_capture(_text_schema(schema))
     options = {"columnNameOfCorruptRecord": CORRUPT, **OBJECT_TOKENS}
-    parsed = messages.select(*columns, F.from_json("json_string", text_schema, options).alias("_text"))
+    parsed = messages.withColumn("_text", F.from_json("json_string", text_schema, options))
     text = F.col("_text")
-    converted = parsed.select(*columns, "_text", _convert(text, schema).alias("_data"))
+    converted = parsed.withColumn("_data", _convert(text, schema))
     lost = _lost(text, F.col("_data"), schema)
-    return converted, text.isNotNull() & text.getField(CORRUPT).isNull() & ~lost
+    fits = text.isNotNull() & text.getField(CORRUPT).isNull() & ~lost
+    return converted.select(*messages.columns, "_data", fits.alias("_fits"))
+
+
+def converted_of(parsed: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
+    if not schema.fields:
+        return parsed.select(*keep).filter(F.lit(False))
+    return _rows_of(parsed, keep, F.when(F.col("_fits"), F.col("_data").cast(writable(schema, keep))))
+
+
+def rejected_of(parsed: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
+    return _rows_of(parsed, (*keep, "json_string"), F.when(~F.col("_fits"), F.struct(F.lit(True).alias("_rejected")))).drop(
+        "_rejected"
+    )
+
+
+def conversion_counts(parsed: DataFrame) -> DataFrame:
+    fits = F.col("_fits")
+    return parsed.agg(
+        F.count(F.lit(1)).alias("seen"), F.count_if(fits).alias("kept"), F.count_if(~fits).alias("rejected")
+    )
 
 
 def converted_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
@@ -219,13 +253,11 @@ def converted_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[
     Absent fields are null, unknown ones are dropped; what is no object, or holds a value its field
     cannot take, is left to ``rejected_rows``.
     """
-    if not schema.fields:
-        return messages.select(*keep).filter(F.lit(False))
-    converted, fits = _converted(messages, schema, keep)
-    return _rows_of(converted, keep, F.when(fits, F.col("_data").cast(writable(schema, keep))))
+    return converted_of(parse_converted(messages.select(*keep, "json_string"), schema), schema, keep=keep)
 
 
 def rejected_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
-    """The messages ``converted_rows`` leaves out, as text."""
-    converted, fits = _converted(messages, schema, (*keep, "json_string"))
-    return _rows_of(converted, keep, F.when(~fits, F.struct("json_string")))
+    """The messages ``converted_rows`` leaves out, as text; all of them under a schema without fields."""
+    if not schema.fields:
+        return messages.select(*keep, "json_string")
+    return rejected_of(parse_converted(messages.select(*keep, "json_string"), schema), keep=keep)

@@ -8,6 +8,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.timestamps import utc_text
+
 
 def unique_names(names: Iterable[str], reserved: Iterable[str] = ()) -> list[str]:
     """Output names that differ in more than case, from each other and from the reserved ones.
@@ -66,4 +68,6 @@ def align(column: Column, source: T.DataType, target: T.DataType) -> Column:
         return F.transform(column, lambda item: align(item, source.elementType, target.elementType))
     if isinstance(target, T.StringType) and isinstance(source, (T.StructType, T.ArrayType)):
         return F.to_json(column)
+    if isinstance(target, T.StringType) and isinstance(source, T.TimestampType):
+        return utc_text(column)
     return column.try_cast(target)

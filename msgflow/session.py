@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,13 +18,14 @@ def kafka_session(app_name: str, package: str = KAFKA_PACKAGE) -> SparkSession.B
 def work_folder(spark: SparkSession, purpose: str) -> str:
     """A fresh folder for intermediate tables that every executor can reach.
 
-    It lies below the folder the cluster names in ``spark.checkpoint.dir``. Only a local
-    session without that setting falls back to the machine's temporary folder; on a cluster
-    the setting is required, since executors do not share local disks.
+    It lies below the folder the cluster names in ``spark.checkpoint.dir``. A session without that
+    setting uses its warehouse, which executors share as well; never a machine's own temporary folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.gettempdir()
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{base.rstrip('/')}/msgflow/{purpose}-{uuid.uuid4().hex}"
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder, if it is there, through Hadoop's file systems."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -1,8 +1,8 @@
 """Micro-batch writers for ``foreachBatch``.
 
-Each batch goes to its own folder ``batch_id=N`` and replaces what is there, so a batch that runs
-again after a failure leaves one copy. The folder belongs to one checkpoint: a query that starts
-with a new checkpoint counts from 0 again and needs a new folder.
+Each batch goes to its own folder ``run=<query id>/batch_id=N`` and replaces what is there, so a batch that runs
+again after a failure leaves one copy. The query id belongs to the checkpoint: a query that starts with a new
+checkpoint counts from 0 again, below a folder of its own, and earlier runs stay readable next to it.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ import json
 import logging
 from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
-from functools import reduce
+from functools import partial, reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,15 +22,19 @@ from ..operators.inference import batch_schema, merge_schemas, recursive_schema
 from ..operators.policies import (
     CORRUPT,
     bad_rows,
+    conversion_counts,
+    converted_of,
     converted_rows,
     good_rows,
     inferred_rows,
+    parse_converted,
     parse_with_capture,
-    rejected_rows,
+    rejected_of,
     split_counts,
 )
 from ..operators.shape import align
 from ..parquet import PARQUET_OPTIONS
+from ..session import delete_folder
 from ..sources.envelope import ORIGIN
 
 logger = logging.getLogger(__name__)
@@ -42,12 +46,24 @@ def log_counts(batch_id: int, counts: Mapping[str, int]) -> None:
     logger.info("batch %d: %s", batch_id, ", ".join(f"{name} {n}" for name, n in counts.items()))
 
 
+def batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
+    """The folder of a batch of the query that is running; outside of a query, of no run."""
+    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    return f"{path}/run={run}/batch_id={batch_id}" if run else f"{path}/batch_id={batch_id}"
+
+
 def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    rows.write.options(**PARQUET_OPTIONS).mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    folder = batch_folder(rows.sparkSession, path, batch_id)
+    rows.write.options(**PARQUET_OPTIONS).mode("overwrite").parquet(folder)
+
+
+def discard_batch(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Removes what an earlier attempt at this batch has left."""
+    delete_folder(spark, batch_folder(spark, path, batch_id))
 
 
 def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all batches below a folder; folder names do not become columns."""
+    """The rows of all batches of all runs below a folder; folder names do not become columns."""
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
 
@@ -60,7 +76,28 @@ def _persisted(rows: DataFrame):
         rows.unpersist()
 
 
-class SplitBatches:
+class BatchWriter:
+    """A writer of batches that reports counts once a batch is written, and can take a batch back."""
+
+    report: Report
+
+    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        self.reported(batch_id, self.process(batch, batch_id))
+
+    def reported(self, batch_id: int, counts: Mapping[str, int]) -> None:
+        if counts.get("seen"):
+            self.report(batch_id, counts)
+
+    def process(self, batch: DataFrame, batch_id: int) -> Mapping[str, int]:
+        """Writes the batch and returns its counts, without ``seen`` or with 0 for an empty one."""
+        raise NotImplementedError
+
+    def discard(self, batch: DataFrame, batch_id: int) -> None:
+        """Removes whatever of the batch has been written."""
+        raise NotImplementedError
+
+
+class SplitBatches(BatchWriter):
     """Good rows to one folder, bad rows to another, under a fixed schema; parsed once per batch."""
 
     def __init__(self, schema: T.StructType, good_path: str, bad_path: str, report: Report = log_counts):
@@ -69,58 +106,109 @@ class SplitBatches:
         self.bad_path = bad_path
         self.report = report
 
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+    def process(self, batch: DataFrame, batch_id: int) -> Mapping[str, int]:
         with _persisted(parse_with_capture(batch, self.schema)) as parsed:
             counts = split_counts(parsed).first().asDict()
             if counts["good"]:
                 write_batch(good_rows(parsed), self.good_path, batch_id)
             if counts["bad"]:
                 write_batch(bad_rows(parsed), self.bad_path, batch_id)
-            if counts["seen"]:
-                self.report(batch_id, counts)
+            return counts
 
+    def discard(self, batch: DataFrame, batch_id: int) -> None:
+        for path in (self.good_path, self.bad_path):
+            discard_batch(batch.sparkSession, path, batch_id)
 
-def dead_letter_batch(write: Callable[[DataFrame, int], None], error_path: str) -> Callable[[DataFrame, int], None]:
-    """Wraps a batch writer: a batch it fails on goes, unparsed and whole, to ``error_path``."""
+
+def dead_letter_batch(
+    write: Callable[[DataFrame, int], None],
+    error_path: str,
+    discard: Callable[[DataFrame, int], None] | None = None,
+) -> Callable[[DataFrame, int], None]:
+    """Wraps a batch writer: a batch it fails on goes, unparsed and whole, to ``error_path``.
+
+    A batch ends up in one place: after a failure, what has been written of it is discarded (``BatchWriter`` does
+    that itself, for other functions pass ``discard``), and after a success, what a failed attempt has left in
+    ``error_path``. Counts are reported outside of the guard, so a report that fails is no failed batch.
+    """
+    writer = write if isinstance(write, BatchWriter) else None
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
         try:
-            write(batch, batch_id)
+            counts = (writer.process if writer else write)(batch, batch_id)
         except Exception as error:  # whatever the reason, the batch is kept and the query goes on
             # The message of the error may quote payload, so only its type is logged.
             logger.error("batch %d failed (%s), kept in %s", batch_id, type(error).__name__, error_path)
             write_batch(batch, error_path, batch_id)
+            if undo := discard or (writer and writer.discard):
+                undo(batch, batch_id)
+            return
+        discard_batch(batch.sparkSession, error_path, batch_id)
+        if writer:
+            writer.reported(batch_id, counts)
 
     return guarded
 
 
 class _SchemaLog:
-    """The schemas a folder has been written with, one small text file per version."""
+    """The schemas a folder has been written with: an entry per change, in a small text file of its own.
+
+    An entry has its version, the payload's schema and that of the written rows. Entries are only added, so a failure
+    leaves the ones before it whole.
+    """
 
     def __init__(self, path: str):
         self.path = f"{path.rstrip('/')}.schemas"
 
-    def versions(self, spark: SparkSession) -> list[T.StructType]:
+    def _entries(self, spark: SparkSession) -> DataFrame | None:
         try:
-            rows = spark.read.text(self.path).collect()
+            return spark.read.text(self.path)
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
-                return []
+                return None
             raise
-        rows.sort(key=lambda row: row["version"])
-        return [T.StructType.fromJson(json.loads(row["value"])) for row in rows]
-
-    def add(self, spark: SparkSession, version: int, schema: T.StructType) -> None:
-        row = spark.range(0, 1, 1, 1).select(F.lit(schema.json()).alias("value"))
-        row.write.mode("overwrite").text(f"{self.path}/version={version}")
 
-
-class InferredBatches:
+    def latest(self, spark: SparkSession) -> tuple[int, int, T.StructType] | None:
+        """Number, version and payload schema of the last entry."""
+        entries = self._entries(spark)
+        last = entries and entries.orderBy(F.desc("entry")).first()
+        if last is None:
+            return None
+        found = json.loads(last["value"])
+        return last["entry"], found["version"], T.StructType.fromJson(found["payload"])
+
+    def versions(self, spark: SparkSession) -> list[tuple[int, T.StructType]]:
+        """Each version with the schema of its rows, after its last entry. A version is a change of a type."""
+        entries = self._entries(spark)
+        if entries is None:
+            return []
+        version = F.get_json_object("value", "$.version").cast("int").alias("version")
+        found = entries.groupBy(version).agg(F.max_by("value", "entry").alias("value")).orderBy("version").collect()
+        return [(r["version"], T.StructType.fromJson(json.loads(r["value"])["rows"])) for r in found]
+
+    def add(self, spark: SparkSession, entry: int, version: int, payload: T.StructType, rows: T.StructType) -> None:
+        text = json.dumps({"version": version, "payload": payload.jsonValue(), "rows": rows.jsonValue()})
+        row = spark.range(0, 1, 1, 1).select(F.lit(text).alias("value"))
+        row.write.mode("overwrite").text(f"{self.path}/entry={entry}")
+
+
+def _only_adds(known: T.DataType, wider: T.DataType) -> bool:
+    """Whether files with the first schema can be read with the second one: no type differs, fields are added at most."""
+    if isinstance(known, T.StructType) and isinstance(wider, T.StructType):
+        other = {field.name: field.dataType for field in wider.fields}
+        return all(f.name in other and _only_adds(f.dataType, other[f.name]) for f in known.fields)
+    if isinstance(known, T.ArrayType) and isinstance(wider, T.ArrayType):
+        return _only_adds(known.elementType, wider.elementType)
+    return known == wider
+
+
+class InferredBatches(BatchWriter):
     """Schema inferred from every batch, rows with the envelope of their own message.
 
     With ``accumulate`` (the default) each batch is written with the schema of all batches so far,
     kept in a log next to the folder: fields are added and types widened, never lost, and
-    ``read_versions`` reads the whole folder. Without it each batch keeps its own schema.
+    ``read_versions`` reads the whole folder. Without it each batch keeps its own schema. Reported are the messages
+    seen and, of the rows, those kept and those whose text stands in ``_corrupt_record``.
     """
 
     keep: Sequence[str] = ORIGIN
@@ -130,7 +218,7 @@ class InferredBatches:
         self.accumulate = accumulate
         self.report = report
         self._log = _SchemaLog(path)
-        self._versions: list[T.StructType] | None = None
+        self._latest: tuple[int, int, T.StructType] | None = None
 
     def infer(self, batch: DataFrame) -> T.StructType:
         return batch_schema(batch)
@@ -138,32 +226,48 @@ class InferredBatches:
     def rows(self, batch: DataFrame, schema: T.StructType) -> DataFrame:
         return inferred_rows(batch, schema, keep=(*self.keep,))
 
-    def _folder(self, spark: SparkSession, schema: T.StructType) -> tuple[str, T.StructType]:
+    def _folder(self, batch: DataFrame, schema: T.StructType) -> tuple[str, T.StructType]:
+        """Where the batch goes, and the schema it is written with. A new version starts where a type changes."""
         if not self.accumulate:
             return self.path, schema
-        if self._versions is None:
-            self._versions = self._log.versions(spark)
-        if self._versions:
-            schema = merge_schemas(self._versions[-1], schema)
-        if not self._versions or schema != self._versions[-1]:
-            self._log.add(spark, len(self._versions), schema)
-            self._versions.append(schema)
-        return f"{self.path}/schema_version={len(self._versions) - 1}", schema
-
-    def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        entry, version, known = self._latest or self._log.latest(spark) or (-1, 0, None)
+        schema = merge_schemas(known, schema) if known is not None else schema
+        if schema != known:
+            version += known is not None and not _only_adds(known, schema)
+            entry += 1
+            self._log.add(spark, entry, version, schema, self.rows(batch, schema).schema)
+        self._latest = entry, version, schema
+        return f"{self.path}/schema_version={version}", schema
+
+    def process(self, batch: DataFrame, batch_id: int) -> Mapping[str, int]:
         with _persisted(batch):
             if batch.isEmpty():
-                return
-            folder, schema = self._folder(batch.sparkSession, self.infer(batch))
-            self.write(batch, schema, folder, batch_id)
-            self.report(batch_id, {"seen": batch.count()})
+                return {}
+            folder, schema = self._folder(batch, self.infer(batch))
+            return self.write(batch, schema, folder, batch_id)
 
-    def write(self, batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> None:
-        write_batch(self.rows(batch, schema), folder, batch_id)
+    def write(self, batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> Mapping[str, int]:
+        seen, written = Observation(), Observation()
+        rows = self.rows(batch.observe(seen, F.count(F.lit(1)).alias("seen")), schema)
+        corrupt = F.col(CORRUPT).isNotNull()
+        rows = rows.observe(written, F.count_if(~corrupt).alias("kept"), F.count_if(corrupt).alias("rejected"))
+        write_batch(rows, folder, batch_id)
+        return {**seen.get, **written.get}
+
+    def discard(self, batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        folders = [f"{self.path}/schema_version={v}" for v, _ in self._log.versions(spark)] if self.accumulate else []
+        for folder in folders or [self.path]:
+            discard_batch(spark, folder, batch_id)
 
 
 class ConvertedBatches(InferredBatches):
-    """``InferredBatches`` with timestamp detection; texts that are no object go to ``bad_path``."""
+    """``InferredBatches`` with timestamp detection; messages it cannot use go to ``bad_path``.
+
+    Rejected messages are counted whether or not ``bad_path`` is given. A batch is parsed once more after its
+    schema is known, and both sides are written from that.
+    """
 
     def __init__(
         self,
@@ -184,32 +288,43 @@ class ConvertedBatches(InferredBatches):
     def rows(self, batch: DataFrame, schema: T.StructType) -> DataFrame:
         return converted_rows(batch, schema, keep=self.keep)
 
-    def write(self, batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> None:
-        if schema.fields:
-            super().write(batch, schema, folder, batch_id)
+    def write(self, batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> Mapping[str, int]:
+        with _persisted(parse_converted(batch, schema)) as parsed:
+            counts = conversion_counts(parsed).first().asDict()
+            # The rejected ones first: if they fail, nothing has been written.
+            if self.bad_path and counts["rejected"]:
+                write_batch(rejected_of(parsed, keep=ORIGIN), self.bad_path, batch_id)
+            if counts["kept"]:
+                write_batch(converted_of(parsed, schema, keep=self.keep), folder, batch_id)
+        return counts
+
+    def discard(self, batch: DataFrame, batch_id: int) -> None:
+        super().discard(batch, batch_id)
         if self.bad_path:
-            with _persisted(rejected_rows(batch, schema, keep=ORIGIN)) as bad:
-                if not bad.isEmpty():
-                    write_batch(bad, self.bad_path, batch_id)
+            discard_batch(batch.sparkSession, self.bad_path, batch_id)
 
 
-def read_versions(spark: SparkSession, path: str) -> DataFrame:
+def read_versions(spark: SparkSession, path: str, *, exact: bool = False) -> DataFrame:
     """All rows of an ``InferredBatches`` folder under its latest schema.
 
-    Files are read version by version with the types they were written with, and cast to the latest
-    ones; there are as many reads as there were schema changes.
+    Files are read version by version with the types of their version, and cast to the latest ones; there are as many
+    reads as there were changes of a type. A timestamp that later became text reads as ISO text in UTC, whatever the
+    session's zone. Integers that later met a fraction read as doubles, which cannot hold all integers
+    beyond 2**53; with ``exact`` such columns are read as text instead, every number as it was written.
     """
     parts = []
-    for version in range(len(_SchemaLog(path).versions(spark))):
+    for version, schema in _SchemaLog(path).versions(spark):
         try:
-            parts.append(read_batches(spark, f"{path}/schema_version={version}"))
+            reader = spark.read.option("recursiveFileLookup", "true").schema(schema)
+            parts.append(reader.parquet(f"{path}/schema_version={version}"))
         except AnalysisException as error:
             # A batch that failed after its schema was logged leaves a version without rows.
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
     if not parts:
         raise ValueError(f"no batches below {path}")
-    target = reduce(merge_schemas, [part.schema for part in parts])
+    merge = partial(merge_schemas, exact=exact)
+    target = reduce(merge, [part.schema for part in parts])
     order = [name for name in target.names if name != CORRUPT]
     target = T.StructType([target[name] for name in (*order, *([CORRUPT] if CORRUPT in target.names else []))])
 

@@ -42,8 +42,8 @@ class CounterListener(StreamingQueryListener):
             self.finished.add(str(event.runId))
             self._changed.notify_all()
 
-    def wait_for(self, run_id, timeout: float = 30.0) -> dict:
-        """The counts of a run once its last event has arrived."""
+    def wait_for(self, run_id, timeout: float | None = None) -> dict:
+        """The counts of a run once its last event has arrived, however long that takes unless ``timeout`` is given."""
         run = str(run_id)
         with self._changed:
             if not self._changed.wait_for(lambda: run in self.finished, timeout):

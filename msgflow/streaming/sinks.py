@@ -77,9 +77,14 @@ def with_peek(write: Callable[[DataFrame, int], None], count: int = 2) -> Callab
     return shown
 
 
-def run_to_end(query: StreamingQuery, timeout: int = 600) -> StreamingQuery:
-    """Waits for an ``AVAILABLE_NOW`` query; stops it and raises if it takes longer than ``timeout`` s."""
-    if not query.awaitTermination(timeout):
+def run_to_end(query: StreamingQuery, timeout: int | None = None) -> StreamingQuery:
+    """Waits for an ``AVAILABLE_NOW`` query, however long it takes.
+
+    With ``timeout`` a query that takes longer than so many seconds is stopped, and an error is raised.
+    """
+    if timeout is None:
+        query.awaitTermination()
+    elif not query.awaitTermination(timeout):
         query.stop()
         raise TimeoutError(f"streaming query was not done after {timeout} s")
     return query

@@ -172,7 +172,88 @@ def test_schemas_drift_and_survive_a_restart(spark, wide, tmp_path):
     assert rows.schema["a"].dataType.simpleString() == "string"
     assert rows.schema["b"].dataType.simpleString() == "struct<c:bigint,d:string>"
     assert [r["a"] for r in rows.collect()] == [None, "1", "2.5", "3.0", "5", "x"]
-    assert len(glob.glob(f"{path}/schema_version=*")) == 4
+    assert len(glob.glob(f"{path}/schema_version=*")) == 3
+
+
+def test_added_fields_make_no_new_version(spark, wide, tmp_path):
+    path = str(tmp_path / "data")
+    for number in range(12):
+        InferredBatches(path)(wide(f'{{"a":1,"f{number}":{number},"s":{{"g{number}":"x"}}}}'), number)
+    assert len(glob.glob(f"{path}/schema_version=*")) == 1
+    rows = read_versions(spark, path)
+    assert {f"f{n}" for n in range(12)} <= set(rows.columns)
+    assert rows.selectExpr("count(f0)", "count(f11)", "count(s.g5)", "count(*)").first() == (1, 1, 1, 12)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/New_York"])
+def test_widened_columns_read_alike_in_any_zone(spark, wide, tmp_path, zone):
+    path, setting = str(tmp_path / "data"), "spark.sql.session.timeZone"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, zone)
+    try:
+        write = ConvertedBatches(path, keep=["kafka_offset"])
+        write(wide('{"at":"2024-03-22T14:35:00.25+05:30","n":9007199254740993}'), 0)
+        write(wide('{"at":"2024-11-03T01:30:00-05:00","n":2.5}'), 1)
+        write(wide('{"at":"soon","n":7}'), 2)
+        rows = read_versions(spark, path, exact=True).select("at", "n").collect()
+        assert sorted(map(tuple, rows)) == [
+            ("2024-03-22T09:05:00.25Z", "9007199254740993"),
+            ("2024-11-03T06:30:00Z", "2.5"),
+            ("soon", "7.0"),
+        ]
+        assert dict(read_versions(spark, path).dtypes)["n"] == "double"
+    finally:
+        spark.conf.set(setting, before)
+
+
+def test_a_new_checkpoint_keeps_earlier_runs(spark, send, tmp_path):
+    source, good = send(user(1)), str(tmp_path / "good")
+    for number in range(2):
+        messages = replay_stream(spark, source)
+        checkpoint = str(tmp_path / f"checkpoint-{number}")
+        run_to_end(split_stream(messages, good, str(tmp_path / "bad"), checkpoint, schema=USER, trigger=AVAILABLE_NOW))
+        run_to_end(split_stream(messages, good, str(tmp_path / "bad"), checkpoint, schema=USER, trigger=AVAILABLE_NOW))
+        send(user(2))
+    assert sorted(r["id"] for r in read_batches(spark, good).collect()) == [1, 1, 2]
+    assert len(glob.glob(f"{good}/run=*/batch_id=0")) == 2
+
+
+def test_a_batch_is_either_written_or_a_dead_letter(spark, wide, tmp_path):
+    good, bad, errors = (str(tmp_path / name) for name in ("good", "bad", "errors"))
+    fails = [True]
+
+    class Flaky(SplitBatches):
+        def process(self, batch, batch_id):
+            counts = super().process(batch, batch_id)
+            if fails[0]:
+                raise RuntimeError
+            return counts
+
+    def report(batch_id, counts):
+        raise ValueError("a report that fails")
+
+    write = dead_letter_batch(Flaky(USER, good, bad, report), errors)
+    batch = wide(user(1), "bad")
+    write(batch, 0)
+    assert not glob.glob(f"{good}/*") and not glob.glob(f"{bad}/*") and read_batches(spark, errors).count() == 2
+    fails[0] = False
+    with pytest.raises(ValueError):
+        write(batch, 0)
+    assert read_batches(spark, good).count() == read_batches(spark, bad).count() == 1
+    assert not glob.glob(f"{errors}/*")
+
+
+def test_counts_of_inferred_and_converted_batches(wide, tmp_path):
+    counts = []
+    report = lambda n, c: counts.append(dict(c))
+    InferredBatches(str(tmp_path / "inferred"), report=report)(wide('{"a":1}', "bad", "[]", '[{"a":2},{"a":3}]'), 0)
+    ConvertedBatches(str(tmp_path / "converted"), report=report)(wide('{"a":1}', "bad", "{}"), 0)
+    ConvertedBatches(str(tmp_path / "empty"), str(tmp_path / "bad"), report=report)(wide("{}", "{}"), 0)
+    assert counts == [
+        {"seen": 4, "kept": 3, "rejected": 2},
+        {"seen": 3, "kept": 2, "rejected": 1},
+        {"seen": 2, "kept": 0, "rejected": 2},
+    ]
 
 
 def test_payload_named_like_the_folders(spark, wide, tmp_path):
@@ -198,7 +279,7 @@ def test_converted_batches(spark, wide, tmp_path):
     write(wide('{"at":"2024-03-22"}', "bad"), 1)
     write(wide('{"at":"soon"}'), 2)
     rows = read_versions(spark, str(tmp_path / "data"))
-    assert sorted(map(tuple, rows.collect())) == [(0, "2024-03-22 00:00:00"), (0, "soon")]
+    assert sorted(map(tuple, rows.collect())) == [(0, "2024-03-22T00:00:00Z"), (0, "soon")]
     assert read_batches(spark, str(tmp_path / "bad")).count() == 3
 
 
