@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ..functions.json_fields import keep_repeated_keys
 from ..functions.timestamps import ISO_FORM, is_iso_timestamp
 from ..sources.files import literal_messages
-from ..sources.sample import first_document
+from ..sources.sample import first_document, first_document_of_stream
 
 # What a topic without a usable sample is parsed with.
 DEFAULT_SCHEMA = T.StructType([T.StructField("data", T.StringType())])
@@ -35,9 +35,12 @@ def schema_of_sample(spark: SparkSession, text: str) -> T.StructType | None:
     return schema if schema.fields else None
 
 
-def sample_schema(wide: DataFrame) -> T.StructType:
-    """Schema of the first JSON object of a bounded wide envelope, else the default schema."""
-    text = first_document(wide)
+def sample_schema(wide: DataFrame, checkpoint: str | None = None) -> T.StructType:
+    """Schema of the first JSON object of a wide envelope, else the default schema.
+
+    A streaming envelope is read in its bounded micro-batches until there is one; that takes a ``checkpoint``.
+    """
+    text = first_document_of_stream(wide, checkpoint) if wide.isStreaming else first_document(wide)
     schema = None if text is None else schema_of_sample(wide.sparkSession, text)
     return schema or DEFAULT_SCHEMA
 

@@ -139,13 +139,14 @@ def split_counts(parsed: DataFrame) -> DataFrame:
 def captured_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
     """Every message as a row: the fields that fit, and ``_corrupt_record`` where not all did.
 
-    A blank text has no field and stands in ``_corrupt_record`` as well; a message without a value is a null row.
+    A text without any object, such as a blank one or ``[]``, stands in ``_corrupt_record`` as well; a message without a
+    value is a null row.
     """
     parsed = parse_with_capture(messages.select(*keep, "json_string"), schema)
     payload = F.col("parsed_data")
     fields = payload_fields(payload, schema, (*keep, CORRUPT))
-    blank = F.when(F.ltrim("json_string", F.lit(" \t\r\n")) == "", F.col("json_string"))
-    return parsed.select(*keep, *fields, F.coalesce(payload.getField(CORRUPT), blank).alias(CORRUPT))
+    nothing = F.when(payload.isNull(), F.col("json_string"))
+    return parsed.select(*keep, *fields, F.coalesce(payload.getField(CORRUPT), nothing).alias(CORRUPT))
 
 
 def array_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:

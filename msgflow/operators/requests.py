@@ -3,114 +3,71 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Iterator, Sequence
-from functools import reduce
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..session import work_folder
+from ..session import delete_folder, work_folder
 
-# A group with more items than this is numbered in several tasks.
-GROUP_ROWS = 1_000_000
-# A table of groups up to this many rows (some 50 bytes each) is sent to every executor.
-BROADCAST_ROWS = 200_000
 
-
-def _broadcast_if_small(table: DataFrame) -> DataFrame:
-    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
-
-
-def _stored(table: DataFrame, purpose: str) -> DataFrame:
+def _stored(table: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     path = work_folder(table.sparkSession, purpose)
     table.write.parquet(path)
-    return table.sparkSession.read.parquet(path)
-
+    return table.sparkSession.read.schema(table.schema).parquet(path), path
 
-def _same(left: Sequence[str], right: Sequence[str]) -> Column:
-    """Join condition that also matches groups without a name."""
-    pairs = zip(left, right, strict=True)
-    return reduce(Column.__and__, [F.col(a).eqNullSafe(F.col(b)) for a, b in pairs])
 
+def _ranked(items: DataFrame, group: str, order: str) -> DataFrame:
+    """(group, order, rank, n): how many items of the group come before those with this order, and how many have it.
 
-def _oversized(rows: DataFrame, keys: Sequence[str], order: str, limit: int) -> DataFrame | None:
-    """Groups with more rows than the limit, and the width of the order ranges to cut them into."""
-    low, high = F.min(order).cast("double"), F.max(order).cast("double")
-    sizes = rows.groupBy(*[F.col(key).alias(f"_of_{key}") for key in keys]).agg(
-        F.count(F.lit(1)).alias("_rows"), low.alias("_low"), high.alias("_high")
-    )
-    # Rows that all have the same order stay together. Ranges are made for half the limit, so that few
-    # of them exceed it and are cut again.
-    large = sizes.filter((F.col("_rows") > limit) & (F.col("_high") > F.col("_low"))).withColumn(
-        "_width", (F.col("_high") - F.col("_low")) / F.ceil(2 * F.col("_rows") / limit)
-    )
-    large = _stored(large.drop("_rows", "_high"), "large-groups")
-    return None if large.isEmpty() else _broadcast_if_small(large)
-
-
-def _cut(rows: DataFrame, large: DataFrame, keys: Sequence[str], order: str, how: str) -> DataFrame:
-    """Adds the number of its order range to the piece of each row of a large group."""
-    names = [f"_of_{key}" for key in keys]
-    number = F.floor((F.col(order).cast("double") - F.col("_low")) / F.col("_width")).cast("bigint")
-    piece = F.array_append("_piece", F.coalesce(number, F.lit(0)))
-    joined = rows.join(large, _same(keys, names), how)
-    return joined.withColumn("_piece", F.when(F.col("_width").isNotNull(), piece).otherwise(F.col("_piece"))).drop(
-        *names, "_low", "_width"
-    )
-
-
-def _numbered(items: DataFrame, group: str, order: str, group_rows: int) -> list[DataFrame]:
-    """Items with ``_rank``, their place in their group: the ordinary groups, then the large ones.
-
-    Large groups are cut into ranges of their order, and ranges that are still too large are cut
-    again, until each fits a task. The rank is then the place in the range plus the sizes of the
-    ranges before it.
+    Only the two key columns are handled. They are dealt by ranges of (group, order), so a large group lies in many
+    ranges and a task never sees more than its range; the items before a range are added up from the ranges' sizes.
     """
-    by_group = F.row_number().over(Window.partitionBy(group).orderBy(order)).cast("bigint")
-    large = _oversized(items, [group], order, group_rows)
-    if large is None:
-        return [items.withColumn("_rank", by_group)]
-    ordinary = items.join(large, _same([group], [f"_of_{group}"]), "left_anti")
-    uncut = items.withColumn("_piece", F.array().cast("array<bigint>"))
-    pieces = _cut(uncut, large, [group], order, "inner")
-    while (large := _oversized(pieces, [group, "_piece"], order, group_rows)) is not None:
-        pieces = _cut(pieces, large, [group, "_piece"], order, "left")
-    before = Window.partitionBy("_group").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        pieces.groupBy(F.col(group).alias("_group"), F.col("_piece").alias("_at"))
-        .count()
-        .select("_group", "_at", F.coalesce(F.sum("count").over(before), F.lit(0)).alias("_start"))
+    keys = items.groupBy(F.col(group).alias("_group"), F.col(order).alias("_order")).agg(F.count(F.lit(1)).alias("_n"))
+    ranged = keys.repartitionByRange("_group", "_order").withColumn("_range", F.spark_partition_id())
+    ranged, path = _stored(ranged, "request-ranges")
+    before = Window.partitionBy("_group").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_group", "_range").agg(F.sum("_n").alias("_items"))
+    starts = sizes.select(
+        F.col("_group").alias("_of"),
+        F.col("_range").alias("_at"),
+        F.coalesce(F.sum("_items").over(before), F.lit(0)).alias("_start"),
     )
-    starts = _broadcast_if_small(_stored(starts, "group-pieces"))
-    in_piece = F.row_number().over(Window.partitionBy(group, "_piece").orderBy(order))
-    ranked = (
-        pieces.join(starts, _same([group, "_piece"], ["_group", "_at"]))
-        .withColumn("_rank", F.col("_start") + in_piece)
-        .drop("_piece", "_group", "_at", "_start")
-    )
-    return [ordinary.withColumn("_rank", by_group), ranked]
+    earlier = Window.partitionBy("_group", "_range").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("_earlier", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    same = F.col("_group").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_at"))
+    ranks = placed.join(starts, same).select("_group", "_order", (F.col("_start") + F.col("_earlier")).alias("_rank"), "_n")
+    ranks, _ = _stored(ranks, "request-ranks")
+    delete_folder(items.sparkSession, path)
+    return ranks
 
 
-def request_batches(
-    items: DataFrame, *, group: str, order: str, size: int, content: Column, group_rows: int = GROUP_ROWS
-) -> DataFrame:
+def request_batches(items: DataFrame, *, group: str, order: str, size: int, content: Column) -> DataFrame:
     """Items of each group, in the given order, ``size`` per request.
 
-    ``order`` is an integer column, unique within its group. Returns the group, ``request_no`` from
-    0, and ``items``: at most ``size`` pairs (position, content). A group is numbered in one task
-    up to ``group_rows`` items and in ranges of its order beyond that, with the same result.
+    ``order`` is an integer column. Returns the group, ``request_no`` from 0, and ``items``: at most ``size`` pairs
+    (position, content). The places of the items are found from the two key columns alone, whatever the sizes of
+    the groups; contents are joined to them and meet in requests only. Items that share a group and an order take
+    consecutive places in any order. The table of places stays below the work folder, as the result reads it.
     """
+    if not isinstance(items.schema[order].dataType, T.IntegralType):
+        raise ValueError(f"{order} must be an integer column, not {items.schema[order].dataType.simpleString()}")
+    ranks = _ranked(items, group, order)
     narrow = items.select(group, order, content.alias("_content"))
-    parts = [
-        part.groupBy(group, F.floor((F.col("_rank") - 1) / size).alias("request_no")).agg(
-            F.sort_array(
-                F.collect_list(F.struct(F.col(order).alias("position"), F.col("_content").alias("content")))
-            ).alias("items")
-        )
-        for part in _numbered(narrow, group, order, group_rows)
-    ]
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    same = F.col(group).eqNullSafe(F.col("_group")) & F.col(order).eqNullSafe(F.col("_order"))
+    placed = narrow.join(ranks, same)
+    rank = F.col("_rank")
+    if not ranks.where("_n > 1").isEmpty():
+        among = Window.partitionBy("_group", "_order").orderBy("_order")
+        rank = rank + F.row_number().over(among) - 1
+    item = F.struct(F.col(order).alias("position"), F.col("_content").alias("content"))
+    return (
+        placed.select(group, F.floor(rank / size).alias("request_no"), item.alias("_item"))
+        .groupBy(group, "request_no")
+        .agg(F.sort_array(F.collect_list("_item")).alias("items"))
+    )
 
 
 def request_bodies(

@@ -7,6 +7,7 @@ nested fields are flattened, so that results compare column by column with anoth
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -48,16 +49,17 @@ from ..sources import (
     narrow_envelope,
     replay_batch,
     replay_stream,
-    spread,
     to_messages,
     wide_envelope,
 )
-from ..sources.envelope import ORIGIN
+from ..sources.envelope import to_envelope
+from ..sources.envelope import ENVELOPE, ORIGIN
 from ..streaming import (
     AVAILABLE_NOW,
     ConvertedBatches,
     CounterListener,
     InferredBatches,
+    SplitBatches,
     dead_letter_batch,
     parquet_stream,
     read_batches,
@@ -67,10 +69,12 @@ from ..streaming import (
 )
 from .corpus import (
     COERCION_VALUE,
+    EDGE_VALUE,
     EVENT_VALUE,
     ONE_BAD_PARTITION_VALUE,
     TIMESTAMP_TEXT,
     USER_VALUE,
+    WIDENED_VALUE,
     event_messages,
     product_messages,
     store_messages,
@@ -90,7 +94,10 @@ AT = ("kafka_partition", "kafka_offset")
 SYSTEM = "You describe documents."
 PROMPT = 'What is "new" here?'
 IMAGES_PER_REQUEST = 3
-MAX_BODY_BYTES = 20_000
+# The scorer of the registered query refuses bodies whose size is divisible by this.
+REFUSED = 5
+# Files of a micro-batch at most; staged topics come in four batches or more.
+BATCH_FILES = 64
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -104,12 +111,19 @@ def _users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _staged(messages: DataFrame, purpose: str) -> str:
-    """Messages as a replay directory."""
+    """Messages as a replay directory: every task writes its messages in four files, by a remainder of the offset."""
     path = work_folder(messages.sparkSession, purpose)
-    messages.write.options(**PARQUET_OPTIONS).parquet(path)
+    parts = messages.withColumn("arrival", F.col("offset") % 4)
+    parts.write.options(**PARQUET_OPTIONS).partitionBy("arrival").parquet(path)
     return path
 
 
+def replayed(spark: SparkSession, path: str) -> DataFrame:
+    """A staged topic as a stream in bounded batches: a quarter of the files each, and BATCH_FILES at most."""
+    files = len(replay_batch(spark, path).inputFiles())
+    return replay_stream(spark, path, files_per_trigger=max(1, min(BATCH_FILES, files // 4)))
+
+
 # Envelopes and messages
 
 
@@ -122,10 +136,20 @@ def envelope_narrow(spark, sf_dir):
 
 
 def produce_messages(spark, sf_dir):
-    """Rows as key and JSON value, written as a replayable envelope and parsed again."""
+    """Rows as key and JSON value, written as a replayable envelope, replayed and parsed again."""
     customers = table(spark, sf_dir, "customer")
-    sent = to_messages(customers, F.col("c_custkey")).withColumnRenamed("value", "json_string")
-    return fixed_schema_rows(sent, customers.schema, keep=("key",))
+    sent = to_messages(customers, F.col("c_custkey"))
+    envelope = to_envelope(
+        sent,
+        key=F.col("key"),
+        value=F.col("value"),
+        topic=F.lit("customers"),
+        partition=F.lit(0),
+        offset=F.col("key").cast("bigint"),
+        timestamp=F.lit("2024-03-22 14:35:00"),
+    )
+    messages = wide_envelope(replay_batch(spark, _staged(envelope, "customers")))
+    return fixed_schema_rows(messages.withColumnRenamed("message_key", "key"), customers.schema, keep=("key",))
 
 
 def utf8_check(spark, sf_dir):
@@ -187,7 +211,7 @@ def sample_inferred(spark, sf_dir):
 
 def sample_fallback(spark, sf_dir):
     """Prose as messages: no sample can be parsed, so the default schema applies."""
-    documents = spread(table(spark, sf_dir, "documents"))
+    documents = table(spark, sf_dir, "documents")
     messages = documents.select(
         F.col("doc_id").alias("kafka_offset"), F.lit(0).alias("kafka_partition"), F.col("text").alias("json_string")
     )
@@ -225,12 +249,43 @@ def recursive_rejected(spark, sf_dir):
 
 def transaction_items(spark, sf_dir):
     """Nested sales messages under their inferred schema, one row per item."""
-    messages = transaction_texts(spark, sf_dir)
+    messages = _sales(spark, sf_dir)
     sales = converted_rows(messages, recursive_schema(messages))
     items = sales.select("transaction_id", "store_id", "timestamp", "payment_method", F.inline("items"))
     return _plain(items)
 
 
+def _sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The texts of the sales, stored once for the passes that inference and conversion make over them."""
+    path = work_folder(spark, "sales")
+    transaction_texts(spark, sf_dir).select("json_string").write.options(**PARQUET_OPTIONS).parquet(path)
+    return spark.read.parquet(path)
+
+
+def empty_arrays(spark, sf_dir):
+    """Every message has a row with its coordinates: arrays without elements and blank texts as well."""
+    messages = wide_envelope(event_messages(spark, sf_dir, EDGE_VALUE))
+    return inferred_rows(messages, batch_schema(messages), keep=AT).select(*AT, "id", "age", "_corrupt_record")
+
+
+def blank_texts(spark, sf_dir):
+    return captured_rows(wide_envelope(event_messages(spark, sf_dir, EDGE_VALUE)), USER, keep=AT)
+
+
+def empty_objects(spark, sf_dir):
+    """Messages without any field at all: none fits, so each is rejected with its text."""
+    messages = wide_envelope(event_messages(spark, sf_dir, "'{}'"))
+    schema = recursive_schema(messages)
+    return converted_rows(messages, schema, keep=AT).join(
+        rejected_rows(messages, schema, keep=AT), list(AT), "full_outer"
+    )
+
+
+def repeated_keys(spark, sf_dir):
+    """Records with a key repeated inside a field, which keeps the last one."""
+    return lenient_records(wide_envelope(event_messages(spark, sf_dir, EDGE_VALUE)), keep=AT)
+
+
 # Inference and conversion
 
 
@@ -271,34 +326,36 @@ def timestamp_detect(spark, sf_dir):
 
 def stream_file_sink(spark, sf_dir):
     path, out = _staged(product_messages(spark, sf_dir), "products"), work_folder(spark, "product-rows")
-    run_to_end(product_stream(replay_stream(spark, path), f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+    run_to_end(product_stream(replayed(spark, path), f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW))
     return spark.read.parquet(f"{out}/data")
 
 
 def stream_lenient(spark, sf_dir):
     path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "user-rows")
-    messages = replay_stream(spark, path)
+    messages = replayed(spark, path)
     run_to_end(validated_users_stream(messages, f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW))
     return spark.read.parquet(f"{out}/data")
 
 
 def stream_partitioned(spark, sf_dir):
     path, out = _staged(store_messages(spark, sf_dir), "stores"), work_folder(spark, "store-rows")
-    messages = replay_stream(spark, path)
-    run_to_end(product_stream_by_value(messages, f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+    messages = replayed(spark, path)
+    run_to_end(product_stream_by_value(
+            messages, f"{out}/data", f"{out}/checkpoint", partition_by=["id"], trigger=AVAILABLE_NOW
+        ))
     return spark.read.parquet(f"{out}/data")
 
 
 def stream_sampled(spark, sf_dir):
     path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "sampled-rows")
-    sample, messages = replay_batch(spark, path), replay_stream(spark, path)
+    sample, messages = replay_batch(spark, path), replayed(spark, path)
     run_to_end(sampled_schema_stream(messages, sample, f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW))
     return spark.read.parquet(f"{out}/data")
 
 
 def _run_split(spark, sf_dir):
     path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "split-rows")
-    messages = replay_stream(spark, path)
+    messages = replayed(spark, path)
     run_to_end(
         split_stream(
             messages, f"{out}/good", f"{out}/bad", f"{out}/checkpoint", schema=USER, trigger=AVAILABLE_NOW
@@ -320,7 +377,7 @@ def _run_by_partition(spark, sf_dir, run, parts, value=USER_VALUE):
     source = work_folder(spark, "drifting")
     messages = replay_batch(spark, _staged(event_messages(spark, sf_dir, value), "users"))
     for part in parts:
-        arrived = messages.filter(F.col("partition").isin(*part))
+        arrived = messages.filter(F.col("partition").isin(*part)).select(*ENVELOPE.names)
         arrived.write.mode("append").options(**PARQUET_OPTIONS).parquet(source)
         run(source)
 
@@ -356,9 +413,90 @@ def stream_dead_letter(spark, sf_dir):
     return written.unionByName(failed)
 
 
+def stream_checkpoint_reset(spark, sf_dir):
+    """The same topic split twice into the same folders, the second time with a new checkpoint: both runs are there."""
+    path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "reset-rows")
+    for number in range(2):
+        checkpoint = f"{out}/checkpoint-{number}"
+        run_to_end(
+            split_stream(
+                replayed(spark, path), f"{out}/good", f"{out}/bad", checkpoint, schema=USER, trigger=AVAILABLE_NOW
+            )
+        )
+    rows = read_batches(spark, f"{out}/good").select("message_key", "id", "name", "age")
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+
+
+def stream_replayed_failure(spark, sf_dir):
+    """A batch fails and is kept as a dead letter; the query breaks off, and the replay of the batch succeeds."""
+    path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "replayed-rows")
+    attempts = []
+
+    class FailsOnce(SplitBatches):
+        def process(self, batch, batch_id):
+            counts = super().process(batch, batch_id)
+            if batch_id == 1 and not attempts:
+                raise RuntimeError("the first attempt fails after it has written")
+            return counts
+
+    write = dead_letter_batch(FailsOnce(USER, f"{out}/good", f"{out}/bad"), f"{out}/errors")
+
+    def breaks_off(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1 and not attempts:
+            attempts.append(batch_id)
+            raise RuntimeError("the driver stops before the batch is committed")
+
+    for _ in range(2):
+        query = run_batches(
+            narrow_envelope(replayed(spark, path)).withColumn("kafka_offset", F.lit(0)),
+            breaks_off,
+            f"{out}/checkpoint",
+            trigger=AVAILABLE_NOW,
+        )
+        try:
+            run_to_end(query)
+        except StreamingQueryException:
+            continue
+    good = read_batches(spark, f"{out}/good").select(F.lit("good").alias("side"))
+    bad = read_batches(spark, f"{out}/bad").select(F.lit("bad").alias("side"))
+    return good.unionByName(bad).groupBy("side").agg(F.count(F.lit(1)).alias("messages"))
+
+
+def stream_widened(spark, sf_dir):
+    """A timestamp field that becomes text, and large integers that meet a fraction, read back exactly as text."""
+    out = work_folder(spark, "widened-rows")
+
+    def run(source):
+        write = ConvertedBatches(f"{out}/data", f"{out}/bad", keep=AT)
+        messages = wide_envelope(replay_stream(spark, source))
+        run_to_end(run_batches(messages, write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+
+    _run_by_partition(spark, sf_dir, run, [(0, 1), (2,), (3,)], WIDENED_VALUE)
+    return read_versions(spark, f"{out}/data", exact=True).select(*AT, "at", "n")
+
+
+def batch_counters(spark, sf_dir):
+    """What the batch writers report over a topic: messages seen, rows kept and rejected."""
+    path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "counted-batches")
+    totals = []
+    for name, kind in (("inferred", InferredBatches), ("converted", ConvertedBatches)):
+        sums = dict.fromkeys(("seen", "kept", "rejected"), 0)
+
+        def report(batch_id, counts, sums=sums):
+            for column in sums:
+                sums[column] += counts[column]
+
+        write = kind(f"{out}/{name}", report=report)
+        messages = wide_envelope(replayed(spark, path))
+        run_to_end(run_batches(messages, write, f"{out}/{name}-checkpoint", trigger=AVAILABLE_NOW))
+        totals.append((name, *sums.values()))
+    return spark.createDataFrame(totals, "writer string, seen bigint, kept bigint, rejected bigint")
+
+
 def stream_recursive(spark, sf_dir):
     path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "recursive-rows")
-    messages = replay_stream(spark, path)
+    messages = replayed(spark, path)
     run_to_end(
         recursive_schema_stream(messages, f"{out}/data", f"{out}/bad", f"{out}/checkpoint", trigger=AVAILABLE_NOW)
     )
@@ -369,7 +507,7 @@ def stream_rejected(spark, sf_dir):
     """What the recursive policy cannot use, from its dead-letter folder."""
     path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "rejected-rows")
     write = ConvertedBatches(f"{out}/data", f"{out}/bad")
-    messages = wide_envelope(replay_stream(spark, path))
+    messages = wide_envelope(replayed(spark, path))
     run_to_end(run_batches(messages, write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
     return _plain(read_batches(spark, f"{out}/bad").select(*ORIGIN, "json_string"))
 
@@ -396,7 +534,7 @@ def stream_counters(spark, sf_dir):
     listener = CounterListener()
     spark.streams.addListener(listener)
     try:
-        messages = replay_stream(spark, path)
+        messages = replayed(spark, path)
         query = validated_users_stream(messages, f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW)
         counts = listener.wait_for(run_to_end(query).runId)["users"]
     finally:
@@ -415,7 +553,7 @@ def compacted(spark, sf_dir):
 def legacy_sales(spark, sf_dir):
     """Nested sales written in the layout for old readers, read back item by item."""
     out = work_folder(spark, "legacy-sales")
-    messages = transaction_texts(spark, sf_dir)
+    messages = _sales(spark, sf_dir)
     with legacy_layout(spark):
         converted_rows(messages, recursive_schema(messages)).write.options(**PARQUET_OPTIONS).parquet(out)
     return spark.read.parquet(out).select("transaction_id", F.inline("items"))
@@ -451,7 +589,7 @@ def base64_documents(spark, sf_dir):
 
 def _batches(spark, sf_dir):
     return request_batches(
-        spread(table(spark, sf_dir, "documents")),
+        table(spark, sf_dir, "documents"),
         group="source",
         order="doc_id",
         size=IMAGES_PER_REQUEST,
@@ -473,6 +611,19 @@ def request_batches_query(spark, sf_dir):
     )
 
 
+def hot_group_requests(spark, sf_dir):
+    """Requests where one group holds nine of ten documents, the others lie in small groups."""
+    group = F.when(F.col("doc_id") % 10 > 0, F.lit("hot")).otherwise(F.col("source")).alias("owner")
+    documents = table(spark, sf_dir, "documents").select(group, "doc_id", "text")
+    batches = request_batches(documents, group="owner", order="doc_id", size=7, content=F.col("text"))
+    return batches.select(
+        "owner",
+        "request_no",
+        F.array_join(F.transform("items", lambda item: item["position"].cast("string")), ",").alias("item_ids"),
+        F.md5(F.array_join("items.content", "|").cast("binary")).alias("contents_md5"),
+    )
+
+
 def request_bodies_query(spark, sf_dir):
     """Fields read back from each body, its size and its fingerprint."""
     body = F.col("body")
@@ -493,12 +644,12 @@ def request_bodies_query(spark, sf_dir):
 
 
 def score_requests_query(spark, sf_dir):
-    """A local scorer that refuses bodies above a size, as a service would."""
-    limit = MAX_BODY_BYTES
+    """A local scorer that refuses some of the bodies, as a service would."""
+    refused = REFUSED
 
     def size_scorer(bodies):
         sizes = bodies.str.encode("utf-8").str.len()
-        status = sizes.le(limit).map({True: 200, False: 413})
+        status = (sizes % refused > 0).map({True: 200, False: 413})
         return pd.DataFrame({"status": status, "response": "bytes=" + sizes.astype(str)})
 
     return score_requests(_bodies(spark, sf_dir).select("source", "request_no", "body"), size_scorer)
@@ -525,7 +676,11 @@ QUERIES = {
     "prs7_rejected_rows": recursive_rejected,
     "prs7_transaction_items": transaction_items,
     "prs8_array_rows": array_rows_query,
+    "prs8_empty_array": empty_arrays,
     "prs9_corrupt_capture": corrupt_capture,
+    "prs9_blank_text": blank_texts,
+    "prs7_empty_objects": empty_objects,
+    "prs2_repeated_keys": repeated_keys,
     "inf1_sample_schema": sampled_schema_fields,
     "inf2_batch_schema": batch_schema_fields,
     "inf3_recursive_schema": recursive_schema_fields,
@@ -536,12 +691,16 @@ QUERIES = {
     "src10_stream_sampled": stream_sampled,
     "snk4_stream_split_good": stream_split_good,
     "snk5_stream_split_bad": stream_split_bad,
+    "snk4_checkpoint_reset": stream_checkpoint_reset,
     "stm5_stream_batch_inferred": stream_batch_inferred,
+    "stm5_widened_columns": stream_widened,
     "snk6_stream_dead_letter": stream_dead_letter,
+    "snk6_replayed_failure": stream_replayed_failure,
     "stm6_stream_recursive": stream_recursive,
     "flt4_stream_rejected": stream_rejected,
     "stm4_stream_restart": stream_restart,
     "obs1_stream_counters": stream_counters,
+    "obs1_batch_counters": batch_counters,
     "snk8_legacy_layout": legacy_sales,
     "snk9_compacted": compacted,
     "agg3_topic_profile": topic_profile_query,
@@ -550,6 +709,7 @@ QUERIES = {
     "flt7_describe_topic": describe_topic_query,
     "str2_base64_documents": base64_documents,
     "req1_request_batches": request_batches_query,
+    "req1_hot_group": hot_group_requests,
     "req3_request_bodies": request_bodies_query,
     "udf4_score_requests": score_requests_query,
 }

@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sources.envelope import to_envelope
-from ..sources.files import spread
 
 # User records by event_id % 20: 0 no JSON, 1 no value, 2 field absent, 3 nulls, 4 id as text, 5 id beyond
 # int, 6 fraction, 7 cut off, 8 array, 9 wrong types, 10 no key, 11 nested object, 12 empty object, else good.
@@ -105,6 +104,24 @@ concat('{{"transaction_id":"', {TRANSACTION_KEY}, '","store_id":"STR', CAST(l_su
  '}},{{"item_id":"delivery","name":"', l_linestatus, '","quantity":1,"price":', CAST(l_tax AS STRING),
  '}}],"payment_method":"', l_returnflag, '"}}')"""
 
+# Records that are easily lost, by event_id % 6: 0 array without elements, 1 empty text, 2 blank text, 3 object without
+# fields, 4 key repeated inside a field, else good.
+EDGE_VALUE = """
+CASE event_id % 6
+ WHEN 0 THEN '[]'
+ WHEN 1 THEN ''
+ WHEN 2 THEN '  '
+ WHEN 3 THEN '{}'
+ WHEN 4 THEN concat('{"id":', CAST(event_id AS STRING), ',"name":{"a":1,"a":2},"age":3}')
+ ELSE concat('{"id":', CAST(event_id AS STRING), ',"name":"', event_type, '","age":', CAST(user_id AS STRING), '}')
+END"""
+
+# Records whose fields change their type with the partition (event_id % 4): a timestamp, then text; a large integer, then a
+# fraction.
+WIDENED_VALUE = """
+concat('{"at":"', CASE WHEN event_id % 4 = 3 THEN 'soon' ELSE '2024-03-22T14:35:00+05:30' END,
+ '","n":', CASE WHEN event_id % 4 >= 2 THEN '2.5' ELSE '9007199254740993' END, '}')"""
+
 # Timestamp texts by event_id % 10: seven accepted forms, then text, compact date, impossible date.
 TIMESTAMP_TEXT = """
 CASE event_id % 10
@@ -128,7 +145,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def event_messages(spark: SparkSession, sf_dir: str, value: str = USER_VALUE, key: str = USER_KEY) -> DataFrame:
     """Envelopes from ``events``: topic is the event type, offset the event id, four partitions."""
     return to_envelope(
-        spread(table(spark, sf_dir, "events")),
+        table(spark, sf_dir, "events"),
         key=F.expr(key),
         value=F.expr(value),
         topic=F.col("event_type"),
@@ -141,7 +158,7 @@ def event_messages(spark: SparkSession, sf_dir: str, value: str = USER_VALUE, ke
 def keyed_messages(rows: DataFrame, key: str, value: str, topic: str) -> DataFrame:
     """Envelopes from any table with an integer id; the id is the offset of one partition."""
     return to_envelope(
-        spread(rows),
+        rows,
         key=F.expr(key).cast("string"),
         value=F.expr(value),
         topic=F.lit(topic),
@@ -160,5 +177,5 @@ def store_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def transaction_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = table(spark, sf_dir, "lineitem")
     return lines.select(F.expr(TRANSACTION_KEY).alias("message_key"), F.expr(TRANSACTION_VALUE).alias("json_string"))

@@ -54,8 +54,8 @@ def product_stream_by_value(
     path: str,
     checkpoint: str,
     *,
+    partition_by: Sequence[str],
     schema: T.StructType = PRODUCT,
-    partition_by: Sequence[str] = ("id",),
     trigger: Mapping | None = None,
 ) -> StreamingQuery:
     """``product_stream`` with a folder per value of ``partition_by``.
@@ -71,8 +71,12 @@ def product_stream_by_value(
 def sampled_schema_stream(
     messages: DataFrame, sample: DataFrame, path: str, checkpoint: str, *, trigger: Mapping | None = None
 ) -> StreamingQuery:
-    """Fixed schema taken from the first JSON object of ``sample``, a bounded read of the same topic."""
-    schema = sample_schema(wide_envelope(sample))
+    """Fixed schema taken from the first JSON object of ``sample``.
+
+    ``sample`` is a bounded read of replayed messages; for a Kafka topic pass a stream of it that is bounded by
+    ``max_offsets_per_trigger``, of which only the first batches are read (see ``first_document_of_stream``).
+    """
+    schema = sample_schema(wide_envelope(sample), f"{checkpoint}.sample")
     return product_stream(messages, path, checkpoint, schema=schema, trigger=trigger)
 
 

@@ -6,8 +6,8 @@ base tables without parsing any JSON.
 
 from __future__ import annotations
 
-from .catalog import IMAGES_PER_REQUEST, MAX_BODY_BYTES, PROMPT, SYSTEM
-from .corpus import TIMESTAMP_TEXT, USER_KEY, USER_VALUE
+from .catalog import IMAGES_PER_REQUEST, PROMPT, REFUSED, SYSTEM
+from .corpus import EDGE_VALUE, TIMESTAMP_TEXT, USER_KEY, USER_VALUE
 
 AT = "CAST(event_id % 4 AS INTEGER) AS kafka_partition, event_id AS kafka_offset"
 ORIGIN = f"""coalesce({USER_KEY}, 'no_key') AS message_key, ts AS kafka_timestamp, event_type AS kafka_topic,
@@ -144,6 +144,22 @@ SELECT {AT}, {_SAMPLED_ID} AS id, {_USER_NAME} AS name, {_SAMPLED_AGE} AS age FR
 SELECT {AT}, {_USER_ID} AS id, {_USER_NAME} AS name, {_USER_AGE} AS age,
  CASE WHEN {_BAD} THEN {USER_VALUE} END AS _corrupt_record
 FROM events""",
+    "prs8_empty_array": f"""
+SELECT {AT}, CASE WHEN event_id % 6 > 3 THEN event_id END AS id,
+ CAST(CASE event_id % 6 WHEN 4 THEN 3 WHEN 5 THEN user_id END AS BIGINT) AS age,
+ CASE WHEN event_id % 6 < 3 THEN {EDGE_VALUE} END AS _corrupt_record
+FROM events""",
+    "prs9_blank_text": f"""
+SELECT {AT}, CAST(CASE WHEN event_id % 6 > 3 THEN event_id END AS INTEGER) AS id,
+ CASE event_id % 6 WHEN 4 THEN '{{"a":1,"a":2}}' WHEN 5 THEN event_type END AS name,
+ CAST(CASE event_id % 6 WHEN 4 THEN 3 WHEN 5 THEN user_id END AS INTEGER) AS age,
+ CASE WHEN event_id % 6 < 3 THEN {EDGE_VALUE} END AS _corrupt_record
+FROM events""",
+    "prs7_empty_objects": f"SELECT {AT}, '{{}}' AS json_string FROM events",
+    "prs2_repeated_keys": f"""
+SELECT {AT}, CAST(event_id AS INTEGER) AS id, CASE event_id % 6 WHEN 4 THEN 'Unknown' ELSE event_type END AS name,
+ CAST(CASE event_id % 6 WHEN 4 THEN 3 ELSE user_id END AS INTEGER) AS age
+FROM events WHERE event_id % 6 > 3""",
     "inf1_sample_schema": f"""
 WITH first AS (SELECT {USER_VALUE} AS v FROM events WHERE {C} NOT IN (0, 1, 7, 8) ORDER BY event_id % 4, event_id LIMIT 1)
 SELECT unnest(json_keys(v)) AS field,
@@ -187,7 +203,20 @@ SELECT c_nationkey AS id, c_name AS product, c_acctbal AS price, c_acctbal > 0 A
     "src10_stream_sampled": f"SELECT {_SAMPLED_ID} AS id, {_USER_NAME} AS name, {_SAMPLED_AGE} AS age FROM events",
     "snk4_stream_split_good": _GOOD,
     "snk5_stream_split_bad": _BAD_ROWS,
+    "snk4_checkpoint_reset": f"""
+SELECT message_key, id, name, age, 2 * count(*) AS copies FROM ({_GOOD}) GROUP BY message_key, id, name, age""",
     "stm5_stream_batch_inferred": _INFERRED,
+    "stm5_widened_columns": f"""
+SELECT {AT}, CASE WHEN event_id % 4 = 3 THEN 'soon' ELSE '2024-03-22T09:05:00Z' END AS at,
+ CASE WHEN event_id % 4 >= 2 THEN '2.5' ELSE '9007199254740993' END AS n
+FROM events""",
+    "snk6_replayed_failure": f"""
+SELECT CASE WHEN {_BAD} THEN 'bad' ELSE 'good' END AS side, count(*) AS messages FROM events GROUP BY 1""",
+    "obs1_batch_counters": f"""
+SELECT 'inferred' AS writer, count(*) AS seen, count(*) FILTER (WHERE {C} NOT IN (0, 7)) + count(*) FILTER (WHERE {C} = 8) AS kept,
+ count(*) FILTER (WHERE {C} IN (0, 7)) AS rejected FROM events
+UNION ALL
+SELECT 'converted', count(*), count(*) FILTER (WHERE {_OBJECTS}), count(*) FILTER (WHERE NOT ({_OBJECTS})) FROM events""",
     "snk6_stream_dead_letter": f"SELECT {AT}, event_id % 4 = 3 AS failed FROM events",
     "stm6_stream_recursive": f"SELECT {_RECURSIVE}",
     "flt4_stream_rejected": f"SELECT {ORIGIN}, {USER_VALUE} AS json_string FROM events WHERE NOT ({_OBJECTS})",
@@ -216,13 +245,19 @@ GROUP BY name""",
 SELECT source, request_no, CAST(count(*) AS INTEGER) AS n_items,
  string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS item_ids
 FROM ({_NUMBERED}) GROUP BY source, request_no""",
+    "req1_hot_group": """
+SELECT owner, request_no, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_id) AS item_ids,
+ md5(string_agg(text, '|' ORDER BY doc_id)) AS contents_md5
+FROM (SELECT *, (row_number() OVER (PARTITION BY owner ORDER BY doc_id) - 1) // 7 AS request_no
+ FROM (SELECT CASE WHEN doc_id % 10 > 0 THEN 'hot' ELSE source END AS owner, doc_id, text FROM documents))
+GROUP BY owner, request_no""",
     "req3_request_bodies": f"""
 SELECT source, request_no, 'describer' AS model, 3000 AS max_tokens, 'system' AS first_role, first_image,
  CAST(octet_length(encode(body)) AS INTEGER) AS body_bytes, md5(body) AS body_md5
 FROM ({_BODIES})""",
     "udf4_score_requests": f"""
-SELECT source, request_no, CASE WHEN bytes <= {MAX_BODY_BYTES} THEN 200 ELSE 413 END AS status,
- CASE WHEN bytes <= {MAX_BODY_BYTES} THEN 'bytes=' || bytes END AS response,
- CASE WHEN bytes > {MAX_BODY_BYTES} THEN 'bytes=' || bytes END AS error
+SELECT source, request_no, CASE WHEN bytes % {REFUSED} > 0 THEN 200 ELSE 413 END AS status,
+ CASE WHEN bytes % {REFUSED} > 0 THEN 'bytes=' || bytes END AS response,
+ CASE WHEN bytes % {REFUSED} = 0 THEN 'bytes=' || bytes END AS error
 FROM (SELECT source, request_no, octet_length(encode(body)) AS bytes FROM ({_BODIES}))""",
 }

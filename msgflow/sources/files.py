@@ -28,16 +28,6 @@ def replay_batch(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ENVELOPE).parquet(path)
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all task slots where a scan has fewer splits than the cluster has slots.
-
-    JSON work costs far more than reading, so a small input in one file would keep one core busy.
-    A scan with enough splits, the normal case for large inputs, is returned as it is.
-    """
-    slots = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(slots) if rows.rdd.getNumPartitions() < slots else rows
-
-
 def literal_messages(spark: SparkSession, texts: Sequence[str | None]) -> DataFrame:
     """A handful of texts given in code, as column ``json_string``."""
     return spark.createDataFrame([(text,) for text in texts], "json_string string")

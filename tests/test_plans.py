@@ -54,7 +54,8 @@ def test_scans_read_what_they_need(spark, sf_dir, tmp_path):
     assert "GreaterThanOrEqual(offset,5), LessThanOrEqual(offset,10)" in plan_of(near)
 
 
-def test_requests_without_large_groups_shuffle_once(spark):
-    items = spark.range(100).selectExpr("id % 5 AS g", "id AS n")
-    batches = request_batches(items, group="g", order="n", size=3, content=F.lit("x"))
-    assert plan_of(batches).count(") Exchange\n") == 1
+def test_requests_do_not_sort_contents_in_a_window(spark):
+    """Places come from the keys alone; the contents are joined to them and grouped by request."""
+    items = spark.range(100).selectExpr("IF(id < 80, 0, id % 5) AS g", "id AS n", "repeat('x', 100) AS payload")
+    plan = plan_of(request_batches(items, group="g", order="n", size=3, content=F.col("payload")))
+    assert "Window" not in plan

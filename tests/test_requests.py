@@ -29,12 +29,11 @@ def brute_force(rows, size):
     }
 
 
-@pytest.mark.parametrize("group_rows", [10, 64, 299, 1000])
 @pytest.mark.parametrize("size", [1, 3, 7])
-def test_batches_against_brute_force(spark, group_rows, size):
+def test_batches_against_brute_force(spark, size):
     rows, items = skewed(spark)
     batches = request_batches(
-        items, group="source", order="position", size=size, content=F.col("position").cast("string"), group_rows=group_rows
+        items, group="source", order="position", size=size, content=F.col("position").cast("string")
     )
     found = batches.select("source", "request_no", "items.position", "items.content").collect()
     assert {(r["source"], r["request_no"]): r["position"] for r in found} == brute_force(rows, size)
@@ -46,20 +45,18 @@ def test_uneven_order(spark):
     rows = [("a", i) for i in range(200)] + [("a", 2**62), ("a", -(2**62)), ("b", 1), ("b", 2**40)]
     rows += [("b", 2**40 + i) for i in range(1, 150)]
     items = spark.createDataFrame(rows, "source string, position bigint").repartition(5)
-    batches = request_batches(items, group="source", order="position", size=4, content=F.lit("x"), group_rows=16)
+    batches = request_batches(items, group="source", order="position", size=4, content=F.lit("x"))
     found = batches.select("source", "request_no", "items.position").collect()
     assert {(r[0], r[1]): r[2] for r in found} == brute_force(rows, 4)
     same = spark.range(100).select(F.lit("a").alias("source"), F.lit(5).cast("bigint").alias("position"))
-    batches = request_batches(same, group="source", order="position", size=4, content=F.lit("x"), group_rows=16)
+    batches = request_batches(same, group="source", order="position", size=4, content=F.lit("x"))
     assert sorted(r["request_no"] for r in batches.collect()) == list(range(25))
 
 
-def test_large_groups_without_broadcast(spark, monkeypatch):
-    monkeypatch.setattr("msgflow.operators.requests.BROADCAST_ROWS", 0)
-    rows, items = skewed(spark)
-    batches = request_batches(items, group="source", order="position", size=3, content=F.lit("x"), group_rows=20)
-    found = batches.select("source", "request_no", "items.position").collect()
-    assert {(r[0], r[1]): r[2] for r in found} == brute_force(rows, 3)
+def test_order_must_be_an_integer(spark):
+    items = spark.createDataFrame([("a", "1")], "source string, position string")
+    with pytest.raises(ValueError, match="position must be an integer column"):
+        request_batches(items, group="source", order="position", size=3, content=F.lit("x"))
 
 
 def test_images_to_bodies(spark, tmp_path):

@@ -5,7 +5,10 @@ import pytest
 from msgflow.operators import USER, compact, fixed_schema_rows, strict_records
 from msgflow.parquet import legacy_layout
 from msgflow.plans import per_batch_schema_stream, product_stream_by_value, split_stream, validated_users_stream
-from msgflow.sources import ENVELOPE, replay_stream, wide_envelope
+from msgflow.plans import catalog
+from msgflow.plans.corpus import event_messages
+from msgflow.sources import ENVELOPE, replay_stream, sample, wide_envelope
+from msgflow.sources.sample import first_document_of_stream
 from msgflow.streaming import (
     AVAILABLE_NOW,
     ConvertedBatches,
@@ -91,6 +94,28 @@ def test_stream_equals_batch_over_several_batches(spark, send, tmp_path):
     assert sorted(map(str, written.collect())) == sorted(map(str, batch.collect()))
 
 
+def test_registered_streams_run_in_bounded_batches(spark, sf_dir, tmp_path):
+    path = catalog._staged(event_messages(spark, sf_dir), "bounded")
+    messages = catalog.replayed(spark, path)
+    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "checkpoint")
+    query = run_to_end(split_stream(messages, out, f"{out}-bad", checkpoint, schema=USER, trigger=AVAILABLE_NOW))
+    assert query.lastProgress.batchId >= 3
+
+
+def test_a_sample_of_a_stream_reads_only_the_first_batches(spark, send, tmp_path, monkeypatch):
+    looked = []
+    look = sample.first_document
+    monkeypatch.setattr(sample, "first_document", lambda batch: looked.append(1) or look(batch))
+    source = send("bad")
+    for texts in (["[1]", user(7), user(8)], [user(9)], [user(10)]):
+        send(*texts)
+    wide = wide_envelope(replay_stream(spark, source, files_per_trigger=1))
+    assert first_document_of_stream(wide, str(tmp_path / "checkpoint")) == user(7)
+    assert len(looked) == 2
+    nothing = wide_envelope(replay_stream(spark, send(), files_per_trigger=9)).filter("json_string = 'bad'")
+    assert first_document_of_stream(nothing, str(tmp_path / "other")) is None
+
+
 def test_counters(spark, send, tmp_path):
     source = send(user(1), "bad", None)
     send(user(2))
@@ -113,7 +138,9 @@ def test_partitioned_sink(spark, send, tmp_path):
     source = send(*texts, "bad")
     out = str(tmp_path / "out")
     messages = replay_stream(spark, source)
-    run_to_end(product_stream_by_value(messages, out, str(tmp_path / "checkpoint"), trigger=AVAILABLE_NOW))
+    run_to_end(
+        product_stream_by_value(messages, out, str(tmp_path / "checkpoint"), partition_by=["id"], trigger=AVAILABLE_NOW)
+    )
     written = spark.read.parquet(out)
     assert written.columns[-1] == "id"
     assert len(glob.glob(f"{out}/id=*/*.parquet")) == 4
@@ -128,7 +155,9 @@ def test_a_hot_value_is_spread_over_several_files(spark, send, tmp_path):
     spark.conf.set(setting, "30k")
     try:
         messages = replay_stream(spark, source)
-        run_to_end(product_stream_by_value(messages, out, str(tmp_path / "checkpoint"), trigger=AVAILABLE_NOW))
+        run_to_end(
+        product_stream_by_value(messages, out, str(tmp_path / "checkpoint"), partition_by=["id"], trigger=AVAILABLE_NOW)
+    )
     finally:
         spark.conf.unset(setting)
     assert len(glob.glob(f"{out}/id=0/*.parquet")) > 1
