@@ -20,12 +20,13 @@ import re
 import struct
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import compress, count, islice
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyarrow import fs as pafs
 from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -39,8 +40,11 @@ BLOCK_IDS = 1 << 16
 #: Ids per word and bits per id of selectors 1 to 15. Fixed values of the format.
 COUNTS = np.array([0, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
+#: Bits of the numbers below 2**16.
+_BITS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
 _TEXT_BYTES = 4 << 20
-_KEPT_WORDS = 300_000
+#: Words that a task keeps with their ids before it starts afresh, some 200 bytes each.
+_KEPT_WORDS = 1_200_000
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -52,9 +56,12 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     n = len(ids)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(0, np.uint32)
-    large = ids >> np.uint64(60) > 0
-    bits = np.where(large, 61, np.minimum(np.frexp(ids.astype(np.float64))[1], 60)).astype(np.uint8)
-    best = np.where(large, 0, 15).astype(np.uint8)
+    if ids.max() < len(_BITS):
+        bits = _BITS[ids]
+    else:
+        bits = np.minimum(np.frexp(ids.astype(np.float64))[1], 60).astype(np.uint8)
+        bits[ids >> np.uint64(60) > 0] = 61
+    best = np.where(bits > 60, 0, 15).astype(np.uint8)
     widest, size = bits.copy(), 1  # the most bits among the next ``size`` ids
     for selector in range(14, 0, -1):
         count, width = int(COUNTS[selector]), WIDTHS[selector]
@@ -65,11 +72,12 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             size += 1
         best[: len(widest)][widest <= width] = selector
     steps = np.maximum(COUNTS[best], 1).tolist()
-    starts, at = [], 0
+    begins, at = [], 0
+    push = begins.append
     while at < n:
-        starts.append(at)
+        push(at)
         at += steps[at]
-    starts = np.array(starts)
+    starts = np.fromiter(begins, np.int64, len(begins))
     chosen = best[starts]
     raw = chosen == 0
     places = np.arange(len(starts)) + np.cumsum(raw) - raw
@@ -192,10 +200,14 @@ class Reader:
         self.file.close()
 
 
-# Fixed value: the library's own pattern for splitting text before the merges of this kind of vocabulary.
-_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Texts with other characters, or with the mark of a special token, go to the library whole.
-_UNUSUAL = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-ɏ]|<\|")
+#: Splits texts of plain characters as the library's own pattern for this kind of vocabulary does: letters or digits or signs
+#: with a space before them, contractions, white space. Plain are the characters up to U+024F but for rare white space and numbers.
+_PLAIN_WORDS = re.compile(
+    r" ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+"
+)
+#: Texts with other characters, or with what may be the mark of a special token, go to the library whole.
+_UNUSUAL = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]|<\|")
+_JOINED_WORDS = 500
 
 
 class WordTokens:
@@ -210,18 +222,37 @@ class WordTokens:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.split = regex.compile(_PATTERN).findall
         self._afresh()
 
     def _afresh(self) -> None:
-        self.slot: dict[str, int] = {}
+        self.slot: dict[str, int] = defaultdict(count().__next__)
         self.values, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
-    def _ids(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the texts as the library gives them, and their offsets."""
-        found = [e.ids for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
-        sizes = np.append(0, np.cumsum([len(f) for f in found], dtype=np.int64))
-        return np.fromiter((i for f in found for i in f), np.uint32, int(sizes[-1])), sizes
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words as the library gives them, and their offsets.
+
+        Words of a space and letters stay apart when they are joined, so many of them are encoded as one text.
+        """
+        joins = [len(w) > 1 and w[0] == " " and w[1:].isalpha() for w in words]
+        plain = list(compress(words, joins))
+        texts = ["".join(plain[i : i + _JOINED_WORDS]) for i in range(0, len(plain), _JOINED_WORDS)]
+        found, sizes = [], np.zeros(len(words), np.int64)
+        owner = []
+        for k, e in enumerate(self.library.encode_batch(texts, add_special_tokens=False)):
+            found.append(np.array(e.ids, np.uint32))
+            owner.append(np.array(e.word_ids, np.int64) + k * _JOINED_WORDS)
+        joins = np.array(joins, bool)
+        if found:
+            sizes[joins] = np.bincount(np.concatenate(owner), minlength=len(plain))
+        single = self.library.encode_batch_fast(list(compress(words, ~joins)), add_special_tokens=False)
+        sizes[~joins] = [len(e) for e in single]
+        ends = np.append(0, np.cumsum(sizes))
+        out = np.zeros(int(ends[-1]), np.uint32)
+        mine = np.repeat(joins, sizes)
+        if found:
+            out[mine] = np.concatenate(found)
+        out[~mine] = np.fromiter((i for e in single for i in e.ids), np.uint32)
+        return out, ends
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offsets of each text's ids."""
@@ -229,17 +260,15 @@ class WordTokens:
             self._afresh()
         words, counts = [], []
         for text in texts:
-            found = [text] if _UNUSUAL.search(text) else self.split(text)
+            found = [text] if _UNUSUAL.search(text) else _PLAIN_WORDS.findall(text)
             counts.append(len(found))
             words += found
-        slot = self.slot
-        fresh = [w for w in dict.fromkeys(words) if w not in slot]
-        if fresh:
-            slot.update(zip(fresh, range(len(slot), len(slot) + len(fresh)), strict=True))
-            values, offsets = self._ids(fresh)
+        known = len(self.slot)
+        at = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))  # gives new words the next slots
+        if len(self.slot) > known:
+            values, offsets = self._ids(list(islice(self.slot, known, None)))
             self.offsets = np.concatenate([self.offsets, offsets[1:] + len(self.values)])
             self.values = np.concatenate([self.values, values])
-        at = np.fromiter(map(slot.__getitem__, words), np.int64, len(words))
         starts = self.offsets[at]
         lengths = self.offsets[at + 1] - starts
         ends = np.append(0, np.cumsum(lengths))
