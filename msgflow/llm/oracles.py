@@ -1,5 +1,67 @@
-"""SQL with the same results as the queries, where SQL can express them."""
+"""SQL with the same results as the queries, where SQL can express them.
+
+Model fits, hashes of shingles, alignments, merges and file formats are beyond it; those queries are tested against plain versions.
+"""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+from .secrets import ACCESS, ASSIGN, ASSIGN_VALUE, EXAMPLE_OWNERS, HEX, LEAST_VALUE, MIXED
+from .vectors import COSINE
+
+
+def _quoted(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _matches(kind: str, rank: int, pattern: str) -> str:
+    """All matches of a pattern with their positions, which follow from the lengths of the parts between them."""
+    p = _quoted(pattern)
+    return f"""
+SELECT doc_id, source, {rank} AS rank, '{kind}' AS kind, found[i] AS hit, place AS start, place + length(found[i]) AS stop
+FROM (SELECT *, CAST(list_sum(list_transform(parts[:i], lambda x: length(x)))
+   + coalesce(list_sum(list_transform(found[:i - 1], lambda x: length(x))), 0) AS BIGINT) AS place
+ FROM (SELECT *, unnest(range(1, len(found) + 1)) AS i
+  FROM (SELECT doc_id, source, regexp_extract_all(text, {p}) AS found, string_split_regex(text, {p}) AS parts FROM documents)))"""
+
+
+_SECRETS = f"""
+WITH base AS (
+ SELECT *, regexp_extract(hit, {_quoted(ASSIGN_VALUE)}, 1) AS value FROM ({_matches("assign", 0, ASSIGN)})
+ WHERE length(regexp_extract(hit, {_quoted(ASSIGN_VALUE)}, 1)) >= {LEAST_VALUE}
+ UNION ALL SELECT *, hit FROM ({_matches("access", 1, ACCESS)})
+ UNION ALL SELECT *, hit FROM ({_matches("hex", 2, HEX)})),
+mixed AS (
+ SELECT *, hit AS value FROM ({_matches("mixed", 3, MIXED)}) AS m
+ WHERE regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[0-9]')
+  AND NOT EXISTS (SELECT 1 FROM base AS b WHERE b.doc_id = m.doc_id AND b.start < m.stop AND m.start < b.stop)),
+findings AS (SELECT * FROM base UNION ALL SELECT * FROM mixed),
+owners AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) < {EXAMPLE_OWNERS} AS live FROM findings GROUP BY value),
+spans AS (
+ SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
+  count(*) FILTER (WHERE rank = 2) AS n_hex,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 3) AS base,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE rank < 3 OR live) AS spans,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, rank) FILTER (WHERE live) AS live_spans
+ FROM findings JOIN owners USING (value) GROUP BY doc_id)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+ sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans, coalesce(live_spans, '') AS live_spans
+FROM documents LEFT JOIN spans USING (doc_id)"""
+
+_VECTORS = f"""
+WITH RECURSIVE vectors AS (
+ SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v,
+  sqrt(list_sum(list_transform(CAST(embedding AS DOUBLE[]), lambda x: x * x))) AS norm FROM embeddings),
+usable AS (
+ SELECT * FROM vectors
+ WHERE label IS NOT NULL AND norm > 0 AND isfinite(norm) AND len(v) = len(list_filter(v, lambda x: x IS NOT NULL))),
+links AS (
+ SELECT a.vec_id AS a, b.vec_id AS b FROM usable AS a JOIN usable AS b ON a.label = b.label AND a.vec_id <> b.vec_id
+ WHERE list_inner_product(a.v, b.v) / a.norm / b.norm >= {COSINE}),
+reached AS (
+ SELECT vec_id AS node, vec_id AS other FROM embeddings
+ UNION SELECT node, b FROM reached JOIN links ON other = a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least AS component_id, e.vec_id = least AS kept
+FROM embeddings AS e
+LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = vec_id
+JOIN (SELECT node, min(other) AS least FROM reached GROUP BY node) ON node = vec_id"""
+ORACLES: dict[str, str] = {"op6_near_vectors": _VECTORS, "op8_secret_ownership": _SECRETS}
