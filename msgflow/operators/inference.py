@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,21 +53,49 @@ def batch_schema(messages: DataFrame, column: str = "json_string") -> T.StructTy
     give string, and so do fields that were null everywhere; an empty text is a text. Empty if no row
     holds an object with a field.
     """
-    return _settle(messages, column, {}, _widened(messages, column, {}), [])
 
+    def values(asked: list[tuple[str, ...]]) -> DataFrame:
+        parsed = messages.select(F.from_json(column, _only(schema, set(asked))).alias("document"))
+        return parsed.select(*[reduce(Column.getField, path, F.col("document")) for path in asked])
 
-def recursive_schema(messages: DataFrame, column: str = "json_string") -> T.StructType:
+    schema = _widened(messages, column)
+    return _settled(schema, [], values)
+
+
+def recursive_schema(messages: DataFrame, column: str = "json_string", *, persist: bool = False) -> T.StructType:
     """``batch_schema`` of the objects alone, with ISO-8601 text fields as timestamps.
 
     A text field, at any depth of nested objects, becomes a timestamp if every value it has in the
-    batch is an ISO date or date and time.
+    batch is an ISO date or date and time. With ``persist`` the parsed documents are kept between the two
+    aggregations, so each text is parsed once; fit for batches of bounded size.
     """
-    schema = _widened(messages, column, OBJECT_TOKENS, arrays=False)
-    texts = [path for path, leaf in _leaves(schema) if leaf == T.StringType()]
-    if texts:
-        witness = messages.filter(_lead(column) == "{").select(column).first()
-        texts = _not_refuted(texts, witness and witness[0])
-    return _settle(messages, column, OBJECT_TOKENS, schema, texts)
+    documents = messages.filter(_lead(column) == "{").select(
+        F.col(column).alias("text"), F.from_json(column, T.VariantType(), dict(OBJECT_TOKENS)).alias("document")
+    )
+    documents = documents.persist() if persist else documents
+    try:
+        keep_repeated_keys(messages.sparkSession)
+        found = documents.agg(F.schema_of_variant_agg("document").alias("objects")).first()
+        schema = _from_variant_schema(found["objects"])
+        schema = schema if isinstance(schema, T.StructType) else T.StructType()
+        texts = [path for path, leaf in _leaves(schema) if leaf == T.StringType()]
+        if texts:
+            witness = documents.select("text").first()
+            texts = _not_refuted(texts, witness and witness[0])
+        return _settled(schema, texts, lambda asked: documents.select(*[_leaf(path) for path in asked]))
+    finally:
+        if persist:
+            documents.unpersist()
+
+
+def _leaf(path: tuple[str, ...]) -> Column:
+    """The value at a path of a document as text; a JSON null is null."""
+    if any('"' in name and "'" in name for name in path):
+        # A variant's path has no way to write such a name, so the text is parsed for it.
+        schema = reduce(lambda inner, name: T.StructType().add(name, inner), reversed(path), T.StringType())
+        return reduce(Column.getField, path, F.from_json("text", schema, dict(OBJECT_TOKENS)))
+    quoted = [f"['{name}']" if '"' in name else f'["{name}"]' for name in path]
+    return F.try_variant_get("document", "$" + "".join(quoted), "string")
 
 
 def merge_schemas(first: T.DataType, second: T.DataType, *, exact: bool = False) -> T.DataType:
@@ -100,9 +129,8 @@ def _lead(column: str) -> Column:
     return F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
 
 
-def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays: bool = True) -> T.StructType:
-    document = F.from_json(column, T.VariantType(), dict(tokens))
-    documents = messages.select(_lead(column).alias("lead"), document.alias("document"))
+def _widened(messages: DataFrame, column: str) -> T.StructType:
+    documents = messages.select(_lead(column).alias("lead"), F.from_json(column, T.VariantType()).alias("document"))
     document = F.col("document")
     is_object = F.col("lead") == "{"
     is_rows = (F.col("lead") == "[") & F.schema_of_variant(document).startswith("ARRAY<OBJECT<")
@@ -112,12 +140,11 @@ def _widened(messages: DataFrame, column: str, tokens: Mapping[str, str], arrays
         F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
     ).first()
     schema = _from_variant_schema(found["objects"])
-    if arrays:
-        rows = _from_variant_schema(found["rows"])
-        if isinstance(rows, T.ArrayType):
-            rows = rows.elementType
-        if isinstance(rows, T.StructType):
-            schema = merge_schemas(schema, rows) if isinstance(schema, T.StructType) else rows
+    rows = _from_variant_schema(found["rows"])
+    if isinstance(rows, T.ArrayType):
+        rows = rows.elementType
+    if isinstance(rows, T.StructType):
+        schema = merge_schemas(schema, rows) if isinstance(schema, T.StructType) else rows
     return schema if isinstance(schema, T.StructType) else T.StructType()
 
 
@@ -196,35 +223,26 @@ def _only(schema: T.StructType, paths: set[tuple[str, ...]], path=()) -> T.Struc
     return T.StructType(fields)
 
 
-def _settle(
-    messages: DataFrame,
-    column: str,
-    tokens: Mapping[str, str],
+def _settled(
     schema: T.StructType,
     texts: list[tuple[str, ...]],
+    values: Callable[[list[tuple[str, ...]]], DataFrame],
 ) -> T.StructType:
     """Decide the leaves whose type depends on the texts of their values, in one aggregation.
 
-    These are the given text leaves, and integers of 20 digits that may have been 2.0 somewhere. Only
-    they are read; without any there is no pass over the data.
+    These are the given text leaves, and integers of 20 digits that may have been 2.0 somewhere. ``values`` gives their
+    values as text, a column each; without any there is no pass over the data.
     """
     decimals = [path for path, leaf in _leaves(schema) if leaf == _UNSETTLED]
     if not decimals and not texts:
         return schema
-    asked = _only(schema, {*decimals, *texts})
-    parsed = messages.select(F.from_json(column, asked, dict(tokens)).alias("document"))
-
-    def value(path: tuple[str, ...]) -> Column:
-        node = F.col("document")
-        for name in path:
-            node = node.getField(name)
-        return node
-
-    fractions = [F.count_if(value(path).rlike("[.eE]")) for path in decimals]
-    seen = [F.count(value(path)) for path in texts]
-    other = [F.count_if(value(path).isNotNull() & ~is_iso_timestamp(value(path))) for path in texts]
-    counts = [count.alias(f"n{i}") for i, count in enumerate((*fractions, *seen, *other))]
-    found = list(parsed.agg(*counts).first())
+    rows = values([*decimals, *texts])
+    rows = rows.toDF(*[f"v{i}" for i in range(len(rows.columns))])
+    value = [F.col(name) for name in rows.columns]
+    fractions = [F.count_if(v.rlike("[.eE]")) for v in value[: len(decimals)]]
+    seen = [F.count(v) for v in value[len(decimals) :]]
+    other = [F.count_if(v.isNotNull() & ~is_iso_timestamp(v)) for v in value[len(decimals) :]]
+    found = list(rows.agg(*[n.alias(f"n{i}") for i, n in enumerate((*fractions, *seen, *other))]).first())
     settled: dict[tuple[str, ...], T.DataType] = {}
     for path, fraction in zip(decimals, found[: len(decimals)], strict=True):
         if fraction:

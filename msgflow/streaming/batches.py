@@ -265,8 +265,8 @@ class InferredBatches(BatchWriter):
 class ConvertedBatches(InferredBatches):
     """``InferredBatches`` with timestamp detection; messages it cannot use go to ``bad_path``.
 
-    Rejected messages are counted whether or not ``bad_path`` is given. A batch is parsed once more after its
-    schema is known, and both sides are written from that.
+    Rejected messages are counted whether or not ``bad_path`` is given. A batch is parsed twice: to find its schema, and
+    under the schema; both sides are written from the second one.
     """
 
     def __init__(
@@ -283,7 +283,7 @@ class ConvertedBatches(InferredBatches):
         self.keep = keep
 
     def infer(self, batch: DataFrame) -> T.StructType:
-        return recursive_schema(batch)
+        return recursive_schema(batch, persist=True)
 
     def rows(self, batch: DataFrame, schema: T.StructType) -> DataFrame:
         return converted_rows(batch, schema, keep=self.keep)

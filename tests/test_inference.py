@@ -140,6 +140,15 @@ def test_inference_and_rows_against_the_json_reader(spark, wide):
         assert rows.where("_corrupt_record IS NULL OR _corrupt_record != '[]'").count() == reader.count()
 
 
+@pytest.mark.parametrize("persist", [False, True])
+def test_timestamps_below_names_with_quotes(wide, persist):
+    texts = [json.dumps({"o'": {'q"': "2024-03-22", "b'\"": "2024-03-22T10:00Z", "t]": "x"}, "n": 12345678901234567890})]
+    schema = recursive_schema(wide(*texts, "bad", None, "[1]"), persist=persist)
+    types = {f.name: f.dataType.simpleString() for f in schema["o'"].dataType.fields}
+    assert types == {'q"': "timestamp", "b'\"": "timestamp", "t]": "string"}
+    assert schema["n"].dataType.simpleString() == "decimal(20,0)"
+
+
 def test_inference_keeps_the_last_of_repeated_keys(wide):
     assert batch_schema(wide('{"a":"x","a":1,"s":{"b":"y","b":2}}')).simpleString() == "struct<a:bigint,s:struct<b:bigint>>"
 
