@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import Tables
-from .text import BLOCK_BYTES, KINDS, SPACE, WORDS, column_bytes, lowered, mixed, runs
+from .text import BLOCK_BYTES, KINDS, SPACE, WORDS, column_bytes, first_of_docs, lowered, mixed, runs
 
 SEED_WORDS = 4
 #: A seed is rare if no more than this share of all passages hold it; a pair without a rare one needs several.
@@ -39,20 +39,6 @@ def _grams(words: np.ndarray, n: int) -> np.ndarray:
     return out
 
 
-def _words(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, bool]]:
-    """(first document, position of the first word, offsets of words, hashes, whole) of blocks of documents.
-
-    A document longer than a block comes in several pieces; the caller sends how many words a piece shares with the one
-    before it.
-    """
-    offsets, data = column_bytes(column)
-    first, n = 0, len(offsets) - 1
-    while first < n:
-        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1)
-        yield first, last, offsets[first : last + 1], data
-        first = last
-
-
 def _pieces(data: np.ndarray, begin: int, end: int, shared: int) -> Iterator[tuple[int, np.ndarray]]:
     """(position of the first word, hashes) of a document in pieces of a block that share ``shared`` words."""
     position = 0
@@ -72,18 +58,25 @@ def _pieces(data: np.ndarray, begin: int, end: int, shared: int) -> Iterator[tup
 
 
 def _documents(column: pa.Array, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(document, position in it, hash) of words, in pieces whose documents ascend."""
-    for first, last, offsets, data in _words(column):
-        begin, end = int(offsets[0]), int(offsets[-1])
-        if last == first + 1 and end - begin > BLOCK_BYTES:
+    """(document, position in it, hash) of the words of a column, in blocks whose documents ascend.
+
+    A document longer than a block comes in pieces that share ``shared`` words.
+    """
+    offsets, data = column_bytes(column)
+    first, n = 0, len(offsets) - 1
+    while first < n:
+        last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1)
+        begin, end = int(offsets[first]), int(offsets[last])
+        if end - begin > BLOCK_BYTES:
             for position, hashes in _pieces(data, begin, end, shared):
                 yield np.full(len(hashes), first), position + np.arange(len(hashes)), hashes
         elif end > begin:
-            r = runs(lowered(data[begin:end]), offsets - begin, WORDS)
+            r = runs(lowered(data[begin:end]), offsets[first : last + 1] - begin, WORDS)
+            new = first_of_docs(r.docs)
+            lengths = np.diff(np.append(new, len(r.docs)))
             if len(r.docs):
-                new = np.flatnonzero(np.append(True, r.docs[1:] != r.docs[:-1]))
-                lengths = np.diff(np.append(new, len(r.docs)))
                 yield first + r.docs, np.arange(len(r.docs)) - np.repeat(new, lengths), r.hashes
+        first = last
 
 
 def item_words(items: DataFrame, id_col: str, text: str) -> DataFrame:

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from .samples import labelled_sample, sampled_docs
 from .tables import add_columns, unused, without
-from .text import WORDS, blocks, lowered, mixed, runs
+from .text import WORDS, blocks, first_of_docs, lowered, mixed, runs
 
 ROWS, DIMENSIONS = 1 << 14, 16
 #: Documents that are learnt from, at most.
@@ -167,7 +167,7 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text", dro
         for block in blocks(column):
             doc, row = subwords(block.data, block.offsets)
             if len(doc):
-                first = np.flatnonzero(np.append(True, doc[1:] != doc[:-1]))
+                first = first_of_docs(doc)
                 at = block.first + doc[first]
                 counts[at] += np.diff(np.append(first, len(doc)))
                 for k, weights in enumerate(model.weights):

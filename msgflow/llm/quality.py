@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .samples import labelled_sample, sampled_docs
 from .tables import add_columns
-from .text import KINDS, blocks, mixed, runs
+from .text import KINDS, blocks, first_of_docs, mixed, runs
 
 #: Rows of the word table, dimensions, non-zero places of an index vector, tokens of a context.
 WORD_ROWS, DIMENSIONS, PLACES, CONTEXT = 1 << 14, 32, 4, 32
@@ -44,7 +44,7 @@ def _add_contexts(table: np.ndarray, column: pa.Array) -> None:
         if not len(r.docs):
             continue
         context = _contexts(r)
-        first = np.flatnonzero(np.append(True, context[1:] != context[:-1]))
+        first = first_of_docs(context)
         seed = mixed(np.add.reduceat(r.hashes, first))
         row = (r.hashes % np.uint64(WORD_ROWS)).astype(np.int64) * DIMENSIONS
         for k in range(PLACES):
@@ -101,7 +101,7 @@ def pooled(column: pa.Array, vectors: np.ndarray) -> np.ndarray:
         if not len(r.docs):
             continue
         v = vectors[(r.hashes % np.uint64(WORD_ROWS)).astype(np.int64)]
-        first = np.flatnonzero(np.append(True, r.docs[1:] != r.docs[:-1]))
+        first = first_of_docs(r.docs)
         doc = block.first + r.docs[first]
         sums[doc, :DIMENSIONS] += np.add.reduceat(v, first, axis=0)
         v[1:] *= v[:-1].copy()
