@@ -42,7 +42,7 @@ COUNTS = np.array([0, 120, 60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1])
 WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 #: Bits of the numbers below 2**16.
 _BITS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
-_TEXT_BYTES = 4 << 20
+_TEXT_BYTES = 2 << 20
 #: Words that a task keeps with their ids before it starts afresh, some 200 bytes each.
 _KEPT_WORDS = 1_200_000
 
@@ -206,7 +206,7 @@ _PLAIN_WORDS = re.compile(
     r" ?[A-Za-zªµºÀ-ÖØ-öø-ɏ]+|'(?:[stmd]|re|ve|ll)| ?[0-9]+| ?[^\sA-Za-z0-9ªµºÀ-ÖØ-öø-ɏ]+|\s+(?!\S)|\s+"
 )
 #: Texts with other characters, or with what may be the mark of a special token, go to the library whole.
-_UNUSUAL = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]|<\|")
+_UNUSUAL = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-ɏ]")
 _JOINED_WORDS = 500
 
 
@@ -260,7 +260,7 @@ class WordTokens:
             self._afresh()
         words, counts = [], []
         for text in texts:
-            found = [text] if _UNUSUAL.search(text) else _PLAIN_WORDS.findall(text)
+            found = [text] if "<|" in text or _UNUSUAL.search(text) else _PLAIN_WORDS.findall(text)
             counts.append(len(found))
             words += found
         known = len(self.slot)
