@@ -198,7 +198,6 @@ def shard_rows(
     ph, pd_ = (np.array([_parted(c.key)[i] for c in cuts[1:]], np.int64) for i in (0, 1))
     firsts = np.array([c.rows_below - cuts[i // per_shard * per_shard].rows_below for i, c in enumerate(cuts)], np.int64)
 
-
     @F.pandas_udf("piece bigint, first bigint")
     def piece_of(h: pd.Series, d: pd.Series) -> pd.DataFrame:
         piece = places(ph, pd_, h.to_numpy(), d.to_numpy())
