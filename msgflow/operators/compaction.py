@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
+from pyspark.sql import types as T
 
 from ..parquet import PARQUET_OPTIONS
 
@@ -20,14 +21,15 @@ def compact(
     target_bytes: int = TARGET_BYTES,
     partition_by: Sequence[str] = (),
     ignore_folders: bool = False,
+    schema: T.StructType | None = None,
 ) -> None:
     """Copies a Parquet dataset into another folder, in files of about ``target_bytes``.
 
     Without partition columns there is no shuffle: the scan packs small files into splits of the
     target size and each split is written as one file, however many files that takes. With partition columns the
     rows are rebalanced by them; a large partition is spread over several tasks, so over several files.
-    ``ignore_folders`` keeps folder names such as ``batch_id=7`` from becoming columns; for the output of
-    ``InferredBatches`` compact the folder of one schema version at a time, as their files differ in types.
+    ``ignore_folders`` keeps folder names such as ``batch_id=7`` from becoming columns. Files that lack some of the
+    fields are read under ``schema``; for the output of ``InferredBatches`` see ``streaming.compact_versions``.
     """
     session = spark.newSession()
     session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
@@ -35,7 +37,8 @@ def compact(
     session.conf.set("spark.sql.files.openCostInBytes", "0")
     session.conf.set("spark.sql.files.minPartitionNum", "1")
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
-    rows = session.read.option("recursiveFileLookup", str(ignore_folders).lower()).parquet(source)
+    reader = session.read.option("recursiveFileLookup", str(ignore_folders).lower())
+    rows = (reader.schema(schema) if schema is not None else reader).parquet(source)
     if partition_by:
         rows = rows.hint("rebalance", *partition_by)
     rows.write.options(**PARQUET_OPTIONS).partitionBy(*partition_by).parquet(target)

@@ -2,6 +2,7 @@ from .batches import (
     ConvertedBatches,
     InferredBatches,
     SplitBatches,
+    compact_versions,
     dead_letter_batch,
     read_batches,
     read_versions,
@@ -16,6 +17,7 @@ __all__ = [
     "CounterListener",
     "InferredBatches",
     "SplitBatches",
+    "compact_versions",
     "dead_letter_batch",
     "every",
     "parquet_stream",

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.compaction import compact
 from ..operators.inference import batch_schema, merge_schemas, recursive_schema
 from ..operators.policies import (
     CORRUPT,
@@ -304,6 +305,31 @@ class ConvertedBatches(InferredBatches):
             discard_batch(batch.sparkSession, self.bad_path, batch_id)
 
 
+def _version_folders(spark: SparkSession, path: str) -> list[tuple[int, T.StructType, str]]:
+    """Version, schema of its rows and folder of those versions that have rows.
+
+    A batch that failed after its schema was logged leaves a version without any.
+    """
+    found = []
+    for version, schema in _SchemaLog(path).versions(spark):
+        folder = f"{path}/schema_version={version}"
+        location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
+            found.append((version, schema, folder))
+    return found
+
+
+def compact_versions(spark: SparkSession, path: str, target: str) -> None:
+    """The folder of ``InferredBatches`` with the same rows in larger files, each version under its own schema.
+
+    ``read_versions`` reads the result; the schema log is copied with its last entry per version.
+    """
+    log = _SchemaLog(target)
+    for entry, (version, schema, folder) in enumerate(_version_folders(spark, path)):
+        compact(spark, folder, f"{target}/schema_version={version}", ignore_folders=True, schema=schema)
+        log.add(spark, entry, version, schema, schema)
+
+
 def read_versions(spark: SparkSession, path: str, *, exact: bool = False) -> DataFrame:
     """All rows of an ``InferredBatches`` folder under its latest schema.
 
@@ -312,15 +338,8 @@ def read_versions(spark: SparkSession, path: str, *, exact: bool = False) -> Dat
     session's zone. Integers that later met a fraction read as doubles, which cannot hold all integers
     beyond 2**53; with ``exact`` such columns are read as text instead, every number as it was written.
     """
-    parts = []
-    for version, schema in _SchemaLog(path).versions(spark):
-        try:
-            reader = spark.read.option("recursiveFileLookup", "true").schema(schema)
-            parts.append(reader.parquet(f"{path}/schema_version={version}"))
-        except AnalysisException as error:
-            # A batch that failed after its schema was logged leaves a version without rows.
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+    reader = spark.read.option("recursiveFileLookup", "true")
+    parts = [reader.schema(schema).parquet(folder) for _, schema, folder in _version_folders(spark, path)]
     if not parts:
         raise ValueError(f"no batches below {path}")
     merge = partial(merge_schemas, exact=exact)

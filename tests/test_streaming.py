@@ -15,6 +15,7 @@ from msgflow.streaming import (
     CounterListener,
     InferredBatches,
     SplitBatches,
+    compact_versions,
     dead_letter_batch,
     every,
     parquet_stream,
@@ -285,6 +286,17 @@ def test_counts_of_inferred_and_converted_batches(wide, tmp_path):
     ]
 
 
+def test_compaction_keeps_added_fields_and_versions(spark, wide, tmp_path):
+    path, target = str(tmp_path / "data"), str(tmp_path / "compacted")
+    for number, text in enumerate(['{"a":1}', '{"a":2,"b":"x"}', '{"a":3,"c":{"d":1}}', '{"a":2.5}', '{"a":4,"e":true}']):
+        InferredBatches(path)(wide(text), number)
+    compact_versions(spark, path, target)
+    assert len(glob.glob(f"{target}/schema_version=*/*.parquet")) == 2
+    before, after = read_versions(spark, path), read_versions(spark, target)
+    assert before.schema == after.schema
+    assert sorted(map(str, before.collect())) == sorted(map(str, after.collect()))
+
+
 def test_payload_named_like_the_folders(spark, wide, tmp_path):
     text = '{"batch_id":"mine","schema_version":"too"}'
     schema = T.StructType().add("batch_id", "string").add("schema_version", "string")
