@@ -25,33 +25,29 @@ from .tables import add_columns
 from .text import column_bytes
 
 #: Words that a task keeps with their tokens before it starts afresh, and bytes of text replayed at once.
-KEPT_WORDS = 300_000
-BLOCK_BYTES = 4 << 20
+KEPT_WORDS = 150_000
+BLOCK_BYTES = 2 << 20
 
 
 class Ranks:
-    """A rank file: token bytes by id, and the merge (left id, right id) -> id of every pair of tokens that has a rank."""
+    """A rank file: token bytes by id, and for every pair of tokens whose joined bytes are a token that token's id."""
 
     def __init__(self, content: bytes) -> None:
         lines = [line.split() for line in content.splitlines() if line.strip()]
         self.ids = {base64.b64decode(token): int(rank) for token, rank in lines}
-        size = max(self.ids.values(), default=-1) + 1
-        self.tokens = [b""] * size
+        tokens = [b""] * (max(self.ids.values(), default=-1) + 1)
         for token, rank in self.ids.items():
-            self.tokens[rank] = token
+            tokens[rank] = token
         self.of_byte = np.array([self.ids.get(bytes([b]), -1) for b in range(256)], np.int64)
-        self.pairs: dict[int, int] = {}
-        self.lengths = np.array([len(t) for t in self.tokens], np.int64)
+        self.lengths = np.array([len(t) for t in tokens], np.int64)
         self.starts = np.append(0, np.cumsum(self.lengths))
-        self.flat = np.frombuffer(b"".join(self.tokens), np.uint8)
-
-    def merged(self, left: int, right: int) -> int:
-        """The id of the two tokens' joined bytes, or -1."""
-        key = left << 32 | right
-        found = self.pairs.get(key)
-        if found is None:
-            found = self.pairs[key] = self.ids.get(self.tokens[left] + self.tokens[right], -1)
-        return found
+        self.flat = np.frombuffer(b"".join(tokens), np.uint8)
+        self.pairs = {
+            self.ids[token[:cut]] << 32 | self.ids[token[cut:]]: rank
+            for token, rank in self.ids.items()
+            for cut in range(1, len(token))
+            if token[:cut] in self.ids and token[cut:] in self.ids
+        }
 
 
 def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
@@ -85,11 +81,10 @@ def replay(words: list[bytes], ranks: Ranks) -> tuple[np.ndarray, np.ndarray]:
         keys = token[at] << 32 | token[following[at]]
         order = np.argsort(keys, kind="stable")
         keys, at = keys[order], at[order]
-        cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])).tolist()
-        for lo, hi in zip(cuts, [*cuts[1:], len(keys)], strict=True):
-            pair = int(keys[lo])
-            rank = ranks.merged(pair >> 32, pair & 0xFFFFFFFF)
-            if rank >= 0:
+        cuts = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+        for lo, hi, pair in zip(cuts.tolist(), [*cuts[1:].tolist(), len(keys)], keys[cuts].tolist(), strict=True):
+            rank = ranks.pairs.get(pair)
+            if rank is not None:
                 if rank not in index:
                     index[rank] = []
                     heapq.heappush(heap, rank)
@@ -128,7 +123,10 @@ def gathered(values: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.
     """The slices values[starts[i] : starts[i] + lengths[i]], one after the other."""
     ends = np.cumsum(lengths)
     total = int(ends[-1]) if len(ends) else 0
-    return values[np.arange(total) + np.repeat(starts - (ends - lengths), lengths)]
+    kind = np.int32 if max(total, len(values)) < 1 << 31 else np.int64
+    places = np.repeat((starts - (ends - lengths)).astype(kind), lengths)
+    places += np.arange(total, dtype=kind)
+    return values[places]
 
 
 class Encoder:

@@ -119,7 +119,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> Runs:
     ends = np.append(starts[1:], n)
     keep = kind[starts] > 0
     starts, ends = starts[keep], ends[keep]
-    length = 1 << max(20, int(n).bit_length())
+    length = max(BLOCK_BYTES, n)
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * _powers(_FACTOR, length)[:n], out=sums[1:])
     hashes = mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, length)[starts])
@@ -128,5 +128,5 @@ def runs(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray) -> Runs:
 
 
 def first_of_docs(docs: np.ndarray) -> np.ndarray:
-    """Positions at which a new document begins in an ascending array of documents."""
+    """Positions at which a new number begins in an ascending array of numbers of documents (or contexts)."""
     return np.flatnonzero(np.append(True, docs[1:] != docs[:-1])) if len(docs) else np.zeros(0, np.int64)
