@@ -213,9 +213,12 @@ def one_of_each_group(
     rows, named = _grouped(tables, docs, id_col, text, shingle, max_bits, parts, tile_rows)
     first = F.min(F.struct(F.col("id").isNull(), "id", "key"))
     kept = tables.store(rows.join(named, "simhash").groupBy("root").agg(first["key"].alias("key")).select("key"))
+    repeated = not rows.groupBy("key").count().where("count > 1").isEmpty()
     tables.drop(rows, named)
     key, place = unused(docs, "_key", "_place")
     found = docs.withColumn(key, row_key(id_col, text)).join(kept.withColumnRenamed("key", key), key, "left_semi")
+    if not repeated:
+        return found.drop(key)
     numbered = found.withColumn(place, F.row_number().over(Window.partitionBy(key).orderBy(key)))
     return numbered.where(F.col(place) == 1).drop(key, place)
 
