@@ -1,6 +1,6 @@
 """Words of Arrow text columns as runs of bytes with 64-bit hashes, computed over blocks of bytes.
 
-A block is about a megabyte, whatever the documents' lengths: many short documents, or a piece of a long one,
+A block is about a quarter of a megabyte, whatever the documents' lengths: many short documents, or a piece of a long one,
 cut at white space. So the arrays of a task have a bound that does not depend on the texts.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
 
 SPACE, LETTER, UPPER, DIGIT, SIGN = range(5)
 _BYTES = np.arange(256)
