@@ -1,10 +1,10 @@
-"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
 Words are compared by the hashes of their lower-cased letters and digits. Every n-gram of an item is a seed. Documents are
 scanned once; a bit table of fixed size, made from the seeds, passes the places that may hold one, and the passage around
-them, wide enough for the longest item, leaves the scan. Passages meet items by a join on the seeds. A pair is aligned if
-they share a rare seed (one that few passages of the corpus hold) or several seeds, so a passage that is everywhere is aligned
-as well. The local alignment of words bears replaced, added and left-out words.
+them, wide enough for the longest item, leaves the scan. Passages meet items by a join on the seeds. Every pair that shares a
+seed is aligned, unless a bound from the words they have in common shows that the score can not suffice. The local alignment of
+words bears replaced, added and left-out words.
 """
 
 from __future__ import annotations
@@ -20,8 +20,6 @@ from .tables import Tables
 from .text import BLOCK_BYTES, KINDS, SPACE, WORDS, column_bytes, first_of_docs, lowered, mixed, runs
 
 SEED_WORDS = 4
-#: A seed is rare if no more than this share of all passages hold it; a pair without a rare one needs several.
-RARE_SHARE, SEVERAL = 0.001, 3
 #: Alignment: a match, a mismatch, a gap; and the share of the best possible score from which a pair counts.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SHARE = 0.5
@@ -168,6 +166,30 @@ def passages(docs: DataFrame, id_col: str, text: str, table: np.ndarray, widths:
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(scan, f"id {kind}, {fields}")
 
 
+def _best_run(lists: list[np.ndarray], common: np.ndarray) -> np.ndarray:
+    """For each list, the best sum over a run of its words: MATCH for a word that is ``common``, the least loss for another."""
+    sizes = np.array([len(x) for x in lists])
+    within = np.arange(sizes.max(initial=0)) < sizes[:, None]
+    sums = np.zeros((len(lists), within.shape[1] + 1), np.int32)
+    steps = np.full(within.shape, max(MISMATCH, GAP), np.int32)
+    steps[within] = np.where(common, MATCH, max(MISMATCH, GAP))
+    np.cumsum(steps, axis=1, out=sums[:, 1:])
+    return (sums - np.minimum.accumulate(sums, axis=1)).max(axis=1)
+
+
+def most_score(passages_: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
+    """A bound that the alignment scores of pairs of word sequences never exceed.
+
+    A word inside an alignment either meets its like, which the other side must hold, or costs a mismatch or a gap.
+    """
+    keys = []
+    for lists in (passages_, items):
+        pair = np.repeat(np.arange(len(lists), dtype=np.uint64), [len(x) for x in lists])
+        keys.append(mixed(np.concatenate(lists).view(np.uint64) + pair * np.uint64(0x9E3779B97F4A7C15)))
+    p, q = keys
+    return np.minimum(_best_run(passages_, np.isin(p, q)), _best_run(items, np.isin(q, p)))
+
+
 def align(passages_: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
     """The best local alignment scores of pairs of word sequences, all pairs at once, row by row of the table.
 
@@ -218,21 +240,13 @@ def leaks(
     found = tables.store(passages(docs, id_col, text, _bit_table(seeds), widths, longest))
     passage: Column = F.xxhash64("id", "at", "words").alias("passage")
     hits = tables.store(found.select(passage, F.explode("seeds").alias("seed")).distinct())
-    n_passages = found.count()
-    rare = hits.groupBy("seed").agg(F.count("*").alias("held")).where(F.col("held") <= max(10, RARE_SHARE * n_passages))
-    rare = tables.store(rare.select("seed"))
-    known = seeds.select("seed", "item_id").join(rare.withColumn("rare", F.lit(1)), "seed", "left")
-    known = tables.store(known)
-    pairs = hits.join(known, "seed").groupBy("passage", "item_id").agg(F.count("*").alias("seeds"), F.max("rare").alias("rare"))
-    fewer = F.least(F.lit(SEVERAL), F.col("in_item"))
-    sizes = seeds.groupBy("item_id").agg(F.count("*").alias("in_item"))
-    texts = tables.store(words.groupBy("item_id").agg(F.max("words").alias("item")).join(sizes, "item_id"))
+    pairs = hits.join(seeds.select("seed", "item_id"), "seed").groupBy("passage", "item_id").agg(F.count("*").alias("seeds"))
+    texts = tables.store(words.groupBy("item_id").agg(F.max("words").alias("item")))
     pairs = tables.store(pairs)
     candidates = (
         found.select("id", "at", passage, "words")
         .join(pairs, "passage")
         .join(texts, "item_id")
-        .where(F.col("rare").isNotNull() | (F.col("seeds") >= fewer))
         .select("id", "item_id", "seeds", "words", "item")
     )
     kinds = {c: candidates.schema[c].dataType.simpleString() for c in ("id", "item_id")}
@@ -240,14 +254,19 @@ def leaks(
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = ([np.asarray(v.values) for v in batch.column(c)] for c in ("words", "item"))
+            whole = MATCH * np.array([len(b) for b in right], np.float64)
             order = np.argsort([len(a) for a in left], kind="stable")
             score = np.zeros(len(order), np.int64)
+            for at in range(0, len(order), _PAIRS):
+                some = order[at : at + _PAIRS]
+                score[some] = most_score([left[k] for k in some], [right[k] for k in some])
+            order = order[(score / whole >= least_share)[order]]
             for at in range(0, len(order), _PAIRS):
                 some = order[at : at + _PAIRS]
                 score[some] = align([left[k] for k in some], [right[k] for k in some])
-            share = score / (MATCH * np.array([len(b) for b in right], np.float64))
-            columns = [batch.column("id"), batch.column("item_id"), pa.array(score), pa.array(share), batch.column("seeds")]
-            yield pa.RecordBatch.from_arrays(columns, names=["id", "item_id", "score", "share", "seeds"])
+            kept = pa.array(np.sort(order))
+            columns = [batch.column("id"), batch.column("item_id"), pa.array(score), pa.array(score / whole), batch.column("seeds")]
+            yield pa.RecordBatch.from_arrays([c.take(kept) for c in columns], names=["id", "item_id", "score", "share", "seeds"])
 
     scored = candidates.mapInArrow(
         aligned, f"id {kinds['id']}, item_id {kinds['item_id']}, score bigint, share double, seeds bigint"
@@ -255,5 +274,5 @@ def leaks(
     best = scored.where(F.col("share") >= least_share).groupBy(F.col("id").alias(id_col), F.col("item_id").alias(item_id_col))
     best = best.agg(F.max("score").alias("score"), F.max("share").alias("share"), F.max("seeds").alias("shared_seeds"))
     best = tables.store(best)
-    tables.drop(words, seeds, found, hits, rare, known, texts, pairs)
+    tables.drop(words, seeds, found, hits, texts, pairs)
     return best

@@ -3,7 +3,7 @@ import random
 import numpy as np
 from edge import SCHEMA, clashing, with_edges
 
-from msgflow.llm.decontamination import MATCH, align, leaks
+from msgflow.llm.decontamination import MATCH, align, leaks, most_score
 from msgflow.llm.queries import op5_decontamination
 
 
@@ -24,6 +24,14 @@ def test_alignment():
     assert found.tolist() == [plain_align(p, q) for p, q in pairs]
 
 
+def test_bound_of_the_alignment():
+    rng = random.Random(4)
+    pairs = [([rng.randint(0, 30) for _ in range(rng.randint(1, 40))], [rng.randint(0, 30) for _ in range(rng.randint(1, 20))]) for _ in range(300)]
+    bound = most_score([np.array(p, np.int64) for p, _ in pairs], [np.array(q, np.int64) for _, q in pairs])
+    scores = np.array([plain_align(p, q) for p, q in pairs])
+    assert (bound >= scores).all() and (bound < [2 * len(q) for _, q in pairs]).any()
+
+
 def words(rng, n):
     return [f"w{rng.randint(0, 3000)}" for _ in range(n)]
 
@@ -54,6 +62,24 @@ def test_whole_edited_and_common_passages(spark):
     assert 0.6 < found[2, 1] < 1 and abs(found[4, 2] - 0.75) < 0.1
 
 
+def test_edited_short_copies_of_an_item_that_is_everywhere(spark):
+    """Copies with one or two seeds left, all of them held by hundreds of passages."""
+    rng = random.Random(6)
+    item = [f"q{k}" for k in range(14)]
+    changes = {"whole": (), "one": (3, 8, 12), "two": (3, 9, 12)}
+    docs = {}
+    for k in range(300):
+        for n, at in enumerate(changes.values()):
+            docs[3 * k + n] = words(rng, 10) + [f"e{k}" if i in at else w for i, w in enumerate(item)] + words(rng, 10)
+    docs[5000] = words(rng, 10) + item[4:8] + words(rng, 10)
+    frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    found = {r.doc_id: (r.score, r.shared_seeds) for r in leaks(frame, bench).collect()}
+    assert set(found) == set(range(900))
+    assert all(found[d][0] == plain_align(docs[d], item) for d in (0, 1, 2))
+    assert [found[d][1] for d in (0, 1, 2)] == [11, 1, 2]
+
+
 def test_short_items_edges_and_empty_tables(spark, sf_dir):
     docs = with_edges(spark, sf_dir)
     bench = spark.createDataFrame([(1, "an id that is null"), (2, "one"), (3, "A NEGATIVE id")], "item_id bigint, text string")
