@@ -25,7 +25,8 @@ MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SHARE = 0.5
 #: Bits of the table that the scan asks first: 4 MB, whatever the benchmark.
 FILTER_BITS = 1 << 25
-_PAIRS = 128
+#: Pairs compared at once, and words of their items, each taken as long as the longest.
+_PAIRS, _ITEM_WORDS = 128, 1 << 17
 
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
@@ -48,7 +49,7 @@ def _pieces(data: np.ndarray, begin: int, end: int, shared: int) -> Iterator[tup
         yield position, r.hashes
         if stop == end:
             return
-        if len(r.starts) > 2 * shared:
+        if 0 < 2 * shared < len(r.starts):
             position += len(r.starts) - shared
             begin += int(r.starts[-shared])
         else:
@@ -190,6 +191,15 @@ def most_score(passages_: list[np.ndarray], items: list[np.ndarray]) -> np.ndarr
     return np.minimum(_best_run(passages_, np.isin(p, q)), _best_run(items, np.isin(q, p)))
 
 
+def _together(order: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """``order`` in parts of pairs whose items are of like size, so that a long item does not stretch the short ones."""
+    magnitude = np.frexp(sizes[order])[1]
+    for m in np.unique(magnitude).tolist():
+        mine = order[magnitude == m]
+        n = max(1, min(_PAIRS, _ITEM_WORDS >> m))
+        yield from (mine[at : at + n] for at in range(0, len(mine), n))
+
+
 def align(passages_: list[np.ndarray], items: list[np.ndarray]) -> np.ndarray:
     """The best local alignment scores of pairs of word sequences, all pairs at once, row by row of the table.
 
@@ -254,15 +264,14 @@ def leaks(
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = ([np.asarray(v.values) for v in batch.column(c)] for c in ("words", "item"))
-            whole = MATCH * np.array([len(b) for b in right], np.float64)
+            sizes = np.array([len(b) for b in right], np.float64)
+            whole = MATCH * sizes
             order = np.argsort([len(a) for a in left], kind="stable")
             score = np.zeros(len(order), np.int64)
-            for at in range(0, len(order), _PAIRS):
-                some = order[at : at + _PAIRS]
+            for some in _together(order, sizes):
                 score[some] = most_score([left[k] for k in some], [right[k] for k in some])
             order = order[(score / whole >= least_share)[order]]
-            for at in range(0, len(order), _PAIRS):
-                some = order[at : at + _PAIRS]
+            for some in _together(order, sizes):
                 score[some] = align([left[k] for k in some], [right[k] for k in some])
             kept = pa.array(np.sort(order))
             columns = [batch.column("id"), batch.column("item_id"), pa.array(score), pa.array(score / whole), batch.column("seeds")]

@@ -5,6 +5,7 @@ from edge import SCHEMA, clashing, with_edges
 
 from msgflow.llm.decontamination import MATCH, align, leaks, most_score
 from msgflow.llm.queries import op5_decontamination
+from msgflow.llm.text import BLOCK_BYTES
 
 
 def plain_align(p, q):
@@ -80,6 +81,18 @@ def test_edited_short_copies_of_an_item_that_is_everywhere(spark):
     assert [found[d][1] for d in (0, 1, 2)] == [11, 1, 2]
 
 
+def test_item_longer_than_a_block(spark):
+    rng = random.Random(7)
+    item = [f"{k:03d}" + "z" * 1200 for k in range(240)]
+    short = words(rng, 20)
+    docs = {1: words(rng, 50) + item + words(rng, 50), 2: item[:150], 3: item[:60], 4: words(rng, 30) + short}
+    assert len(" ".join(item)) > BLOCK_BYTES
+    frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+    bench = spark.createDataFrame([(1, " ".join(item)), (2, " ".join(short))], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in leaks(frame, bench).collect()}
+    assert found == {(1, 1): 480, (2, 1): 300, (4, 2): 40}
+
+
 def test_short_items_edges_and_empty_tables(spark, sf_dir):
     docs = with_edges(spark, sf_dir)
     bench = spark.createDataFrame([(1, "an id that is null"), (2, "one"), (3, "A NEGATIVE id")], "item_id bigint, text string")
