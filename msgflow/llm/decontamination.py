@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import Tables
-from .text import BLOCK_BYTES, KINDS, SPACE, WORDS, column_bytes, first_of_docs, lowered, mixed, runs
+from .text import BLOCK_BYTES, WORDS, column_bytes, first_of_docs, lowered, mixed, runs
 
 SEED_WORDS = 4
 #: Alignment: a match, a mismatch, a gap; and the share of the best possible score from which a pair counts.
@@ -39,21 +39,25 @@ def _grams(words: np.ndarray, n: int) -> np.ndarray:
 
 
 def _pieces(data: np.ndarray, begin: int, end: int, shared: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(position of the first word, hashes) of a document in pieces of a block that share ``shared`` words."""
-    position = 0
-    while True:
+    """(position of the first word, hashes) of a document in pieces that begin with the last ``shared`` words of the piece before.
+
+    A piece is read block by block until it has as many words of its own, however few of them a block holds.
+    """
+    parts: list[np.ndarray] = []
+    position = own = 0
+    while begin < end:
         stop = min(end, begin + BLOCK_BYTES)
-        if stop < end and len(spaces := np.flatnonzero(KINDS[data[begin:stop]] == SPACE)):
-            stop = begin + int(spaces[-1]) + 1
-        r = runs(lowered(data[begin:stop]), np.array([0, stop - begin]), WORDS)
-        yield position, r.hashes
-        if stop == end:
-            return
-        if 0 < 2 * shared < len(r.starts):
-            position += len(r.starts) - shared
-            begin += int(r.starts[-shared])
-        else:
-            position, begin = position + len(r.starts), stop
+        if stop < end and len(breaks := np.flatnonzero(WORDS[data[begin:stop]] == 0)):
+            stop = begin + int(breaks[-1]) + 1
+        parts.append(runs(lowered(data[begin:stop]), np.array([0, stop - begin]), WORDS).hashes)
+        own += len(parts[-1])
+        begin = stop
+        if own and (own >= shared or begin == end):
+            hashes = np.concatenate(parts)
+            yield position, hashes
+            kept = min(shared, len(hashes))
+            position += len(hashes) - kept
+            parts, own = [hashes[len(hashes) - kept :]], 0
 
 
 def _documents(column: pa.Array, shared: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:

@@ -3,9 +3,9 @@ import random
 import numpy as np
 from edge import SCHEMA, clashing, with_edges
 
-from msgflow.llm.decontamination import MATCH, align, leaks, most_score
+from msgflow.llm.decontamination import MATCH, _pieces, align, leaks, most_score
 from msgflow.llm.queries import op5_decontamination
-from msgflow.llm.text import BLOCK_BYTES
+from msgflow.llm.text import BLOCK_BYTES, WORDS, runs
 
 
 def plain_align(p, q):
@@ -93,6 +93,36 @@ def test_item_longer_than_a_block(spark):
     assert found == {(1, 1): 480, (2, 1): 300, (4, 2): 40}
 
 
+def test_pieces_carry_the_shared_words():
+    """Wherever a document is cut, each of its stretches of ``shared`` words lies whole in some piece, at its place."""
+    rng = random.Random(8)
+    long = [f"{k}" + "y" * rng.randint(0, 3000) for k in range(900)]
+    for split, shared in ((" ", 0), (" ", 40), (" ", 400), (" ", 5000), (",", 40)):
+        text = np.frombuffer(split.join(long).encode(), np.uint8)
+        whole = runs(text, np.array([0, len(text)]), WORDS).hashes
+        covered, reached = np.zeros(len(long), bool), 0
+        for position, hashes in _pieces(text, 0, len(text), shared):
+            assert (hashes == whole[position : position + len(hashes)]).all()
+            assert reached == 0 or position <= max(0, reached - shared)
+            covered[position : position + len(hashes)] = True
+            reached = position + len(hashes)
+        assert covered.all() and reached == len(long)
+
+
+def test_copies_across_the_borders_of_pieces(spark):
+    """With words so long that a block holds fewer than the shared ones, edited copies lie on every border."""
+    rng = random.Random(9)
+    item = words(rng, 40)
+    copy = [w if k % 6 else "changed" for k, w in enumerate(item)]
+    unlike = [f"{k:04d}" + "y" * 700 for k in range(900)]
+    head = " ".join(unlike[:360])
+    docs = {k: [head, "x" * (BLOCK_BYTES - len(head) - 2 - k), *copy, *unlike[360:]] for k in range(0, len(" ".join(copy)), 20)}
+    frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    score = plain_align(copy, item)
+    assert {r.doc_id: r.score for r in leaks(frame, bench).collect()} == dict.fromkeys(docs, score)
+
+
 def test_short_items_edges_and_empty_tables(spark, sf_dir):
     docs = with_edges(spark, sf_dir)
     bench = spark.createDataFrame([(1, "an id that is null"), (2, "one"), (3, "A NEGATIVE id")], "item_id bigint, text string")
