@@ -83,7 +83,7 @@ def _documents(column: pa.Array, shared: int) -> Iterator[tuple[np.ndarray, np.n
 
 
 def item_words(items: DataFrame, id_col: str, text: str) -> DataFrame:
-    """(item_id, words) of items with at least one word; rows that repeat an id are joined into one item each."""
+    """(item, item_id, words) of items with at least one word; ``item`` tells them apart by id, which can be null, and words."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -95,11 +95,12 @@ def item_words(items: DataFrame, id_col: str, text: str) -> DataFrame:
 
     kind = items.schema[id_col].dataType.simpleString()
     rows = items.select(F.col(id_col).alias("item_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(compute, f"item_id {kind}, words array<bigint>").where("size(words) > 0").distinct()
+    found = rows.mapInArrow(compute, f"item_id {kind}, words array<bigint>").where("size(words) > 0").distinct()
+    return found.select(F.xxhash64("item_id", "words").alias("item"), "item_id", "words")
 
 
 def item_seeds(items: DataFrame, n: int) -> DataFrame:
-    """(seed, item_id, words) of all n-grams of items; an item of fewer words is one seed."""
+    """(seed, item, width) of all n-grams of items; an item of fewer words is one seed."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -107,11 +108,10 @@ def item_seeds(items: DataFrame, n: int) -> DataFrame:
             sizes = [len(s) for s in seeds]
             at = pa.array(np.repeat(np.arange(len(seeds)), sizes))
             width = np.minimum(n, [len(v) for v in batch.column("words")])
-            columns = [pa.array(np.concatenate(seeds).view(np.int64)), batch.column("item_id").take(at), pa.array(np.repeat(width, sizes), pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["seed", "item_id", "width"])
+            columns = [pa.array(np.concatenate(seeds).view(np.int64)), batch.column("item").take(at), pa.array(np.repeat(width, sizes), pa.int32())]
+            yield pa.RecordBatch.from_arrays(columns, names=["seed", "item", "width"])
 
-    kind = items.schema["item_id"].dataType.simpleString()
-    return items.mapInArrow(compute, f"seed bigint, item_id {kind}, width int").distinct()
+    return items.select("item", "words").mapInArrow(compute, "seed bigint, item bigint, width int").distinct()
 
 
 def _bit_table(seeds: DataFrame) -> np.ndarray:
@@ -243,8 +243,8 @@ def leaks(
 
     ``score`` is the best local alignment's, ``share`` that of the score of the whole item unchanged; pairs from ``least_share`` on
     are returned, once per document id and item. Items of fewer words than a seed have all their words as the seed; items
-    without words match nothing, nor do null or empty texts. Null ids of documents are kept as null. Rows that
-    repeat give one row. Empty tables give an empty result. Other columns are not read.
+    without words match nothing, nor do null or empty texts. Null ids of documents and of items are kept as null. Rows that
+    repeat give one row; an item id with several texts is found by any of them, and has the scores of the best. Empty tables give an empty result. Other columns are not read.
     """
     tables = Tables(docs.sparkSession, "leaks")
     words = tables.store(item_words(items, item_id_col, item_text))
@@ -254,20 +254,19 @@ def leaks(
     found = tables.store(passages(docs, id_col, text, _bit_table(seeds), widths, longest))
     passage: Column = F.xxhash64("id", "at", "words").alias("passage")
     hits = tables.store(found.select(passage, F.explode("seeds").alias("seed")).distinct())
-    pairs = hits.join(seeds.select("seed", "item_id"), "seed").groupBy("passage", "item_id").agg(F.count("*").alias("seeds"))
-    texts = tables.store(words.groupBy("item_id").agg(F.max("words").alias("item")))
+    pairs = hits.join(seeds.select("seed", "item"), "seed").groupBy("passage", "item").agg(F.count("*").alias("seeds"))
     pairs = tables.store(pairs)
     candidates = (
         found.select("id", "at", passage, "words")
         .join(pairs, "passage")
-        .join(texts, "item_id")
-        .select("id", "item_id", "seeds", "words", "item")
+        .join(words.select("item", "item_id", F.col("words").alias("item_words")), "item")
+        .select("id", "item_id", "seeds", "words", "item_words")
     )
     kinds = {c: candidates.schema[c].dataType.simpleString() for c in ("id", "item_id")}
 
     def aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = ([np.asarray(v.values) for v in batch.column(c)] for c in ("words", "item"))
+            left, right = ([np.asarray(v.values) for v in batch.column(c)] for c in ("words", "item_words"))
             sizes = np.array([len(b) for b in right], np.float64)
             whole = MATCH * sizes
             order = np.argsort([len(a) for a in left], kind="stable")
@@ -287,5 +286,5 @@ def leaks(
     best = scored.where(F.col("share") >= least_share).groupBy(F.col("id").alias(id_col), F.col("item_id").alias(item_id_col))
     best = best.agg(F.max("score").alias("score"), F.max("share").alias("share"), F.max("seeds").alias("shared_seeds"))
     best = tables.store(best)
-    tables.drop(words, seeds, found, hits, texts, pairs)
+    tables.drop(words, seeds, found, hits, pairs)
     return best

@@ -123,6 +123,17 @@ def test_copies_across_the_borders_of_pieces(spark):
     assert {r.doc_id: r.score for r in leaks(frame, bench).collect()} == dict.fromkeys(docs, score)
 
 
+def test_item_ids_that_repeat_or_are_null(spark):
+    rng = random.Random(10)
+    texts = [words(rng, 20) for _ in range(4)]
+    docs = {k: words(rng, 30) + w + words(rng, 30) for k, w in enumerate(texts)}
+    frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+    items = [(1, texts[0]), (1, texts[1]), (1, texts[1]), (None, texts[2]), (None, texts[3]), (2, texts[3])]
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items], "item_id bigint, text string")
+    found = sorted(((r.doc_id, r.item_id, r.score) for r in leaks(frame, bench).collect()), key=repr)
+    assert found == sorted([(0, 1, 40), (1, 1, 40), (2, None, 40), (3, None, 40), (3, 2, 40)], key=repr)
+
+
 def test_short_items_edges_and_empty_tables(spark, sf_dir):
     docs = with_edges(spark, sf_dir)
     bench = spark.createDataFrame([(1, "an id that is null"), (2, "one"), (3, "A NEGATIVE id")], "item_id bigint, text string")
