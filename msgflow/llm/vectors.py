@@ -30,6 +30,9 @@ CODES, BLOCKS, WORDS = 8, 2, 64
 #: The threshold, in standard deviations of a random unit vector's inner product with a filter. Of pairs of random vectors of
 #: 64 dimensions whose cosine is just 0.93, 98 in 100 share a filter; of those with larger cosines, more (tests/llm/test_vectors.py).
 DEVIATIONS = 3.1
+#: Where fewer than this share of such pairs would share a filter, as in fewer dimensions, the threshold is lower; it is found
+#: from so many random pairs.
+LEAST_RECALL, _SAMPLE = 0.985, 2000
 _ROWS = 512
 _PAIRS = 1 << 14
 
@@ -48,6 +51,39 @@ def _codes(dimension: int, code: int) -> tuple[np.ndarray, list[np.ndarray]]:
     return rotation, codes
 
 
+def _products(x: np.ndarray, code: int) -> np.ndarray:
+    """Inner products of unit vectors with all filters of a code."""
+    rotation, codes = _codes(x.shape[1], code)
+    turned, out, at = x @ rotation, np.zeros((len(x), 1)), 0
+    for c in codes:
+        out = (out[:, :, None] + (turned[:, at : at + len(c)] @ c)[:, None, :]).reshape(len(x), -1)
+        at += len(c)
+    return out
+
+
+@lru_cache(maxsize=32)
+def deviations_for(dimension: int, cosine: float) -> float:
+    """The largest threshold, up to DEVIATIONS, by which LEAST_RECALL of pairs that have just this cosine share a filter.
+
+    It is minus infinity, for one filter that all vectors pass, where vectors would pass so many filters that comparing all
+    with all is no more work.
+    """
+    if dimension < 3:
+        return -np.inf
+    rng = np.random.default_rng([7, dimension])
+    a, other = unit(rng.normal(size=(_SAMPLE, dimension))), rng.normal(size=(_SAMPLE, dimension))
+    other = unit(other - (other * a).sum(axis=1, keepdims=True) * a)
+    b = cosine * a + max(0.0, 1 - cosine**2) ** 0.5 * other
+    parts = [slice(at, at + _ROWS // 2) for at in range(0, _SAMPLE, _ROWS // 2)]
+    shared = [
+        np.max([np.minimum(_products(a[part], code), _products(b[part], code)).max(axis=1) for code in range(CODES)], axis=0)
+        for part in parts
+    ]
+    least = min(float(np.quantile(np.concatenate(shared), 1 - LEAST_RECALL)), DEVIATIONS / dimension**0.5)
+    passed = np.mean([(_products(a[parts[0]], code) >= least).sum(axis=1).mean() for code in range(CODES)]) * CODES
+    return least * dimension**0.5 if passed**2 < CODES * WORDS**BLOCKS else -np.inf
+
+
 def passed_filters(x: np.ndarray, deviations: float = DEVIATIONS) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of all filters of all codes that the unit vectors ``x`` pass, by row and filter."""
     found = [_decoded(x, deviations, code) for code in range(CODES)]
@@ -104,7 +140,7 @@ def _with_bytes(rows: DataFrame, single: bool) -> DataFrame:
     return add_columns(rows, compute, "vec binary", drop=("vector",))
 
 
-def _with_filters(classes: DataFrame, single: bool, deviations: float) -> DataFrame:
+def _with_filters(classes: DataFrame, single: bool, cosine: float, deviations: float | None) -> DataFrame:
     """``classes`` with ``filters``: those that the vector passes, ascending."""
     width = 4 if single else 8
 
@@ -112,11 +148,16 @@ def _with_filters(classes: DataFrame, single: bool, deviations: float) -> DataFr
         vec = batch.column(batch.schema.get_field_index("vec"))
         found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(vec)
         sizes = np.array([len(v.as_buffer()) // width for v in vec])
-        for dimension in np.unique(sizes):
+        for dimension in np.unique(sizes).tolist():
             mine = np.flatnonzero(sizes == dimension)
+            threshold = deviations_for(dimension, cosine) if deviations is None else deviations
+            if threshold == -np.inf:
+                for i in mine.tolist():
+                    found[i] = np.zeros(1, np.int32)
+                continue
             for at in range(0, len(mine), _ROWS):
                 some = mine[at : at + _ROWS]
-                row, filter_ = passed_filters(unit(_matrix(vec.take(pa.array(some)), single)), deviations)
+                row, filter_ = passed_filters(unit(_matrix(vec.take(pa.array(some)), single)), threshold)
                 parts = np.split(filter_.astype(np.int32), np.searchsorted(row, np.arange(1, len(some))))
                 for i, part in zip(some.tolist(), parts, strict=True):
                     found[i] = np.sort(part)
@@ -194,7 +235,7 @@ def near_vectors(
     vector: str = "embedding",
     label: str = "label",
     cosine: float = COSINE,
-    deviations: float = DEVIATIONS,
+    deviations: float | None = None,
     tile_rows: int = TILE_ROWS,
 ) -> DataFrame:
     """(id_col, n_links, component_id, kept): a row per vector, compared with the vectors of the same label.
@@ -205,6 +246,7 @@ def near_vectors(
     non-finite components, link with nothing. Vectors of different dimensions do not link. A null id is grouped, but
     names a group only where no id is there; then ``kept`` is false. An empty table gives an empty result. Other columns are
     not read. No pair under ``cosine`` links; a pair above it is missed only if it shares no filter.
+    ``deviations`` is the threshold of all filters; by default it follows from the dimension and ``cosine``.
     """
     kind = vectors.schema[vector].dataType
     single = isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType)
@@ -216,7 +258,7 @@ def near_vectors(
     usable = F.col("vec").isNotNull() & F.col("label").isNotNull()
     classes = rows.where(usable).groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("n"))
     classes = tables.store(classes.withColumn("node", F.coalesce("least", F.xxhash64("label", "vec"))))
-    filtered = tables.store(_with_filters(classes.select("node", "n", "label", "vec"), single, deviations))
+    filtered = tables.store(_with_filters(classes.select("node", "n", "label", "vec"), single, cosine, deviations))
     found = _links(filtered, tables, single, cosine, tile_rows)
     nodes = components(tables, found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))

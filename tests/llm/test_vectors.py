@@ -3,7 +3,7 @@ import math
 import numpy as np
 
 from msgflow.llm.queries import op6_near_vectors
-from msgflow.llm.vectors import first_common, near_vectors, passed_filters, unit
+from msgflow.llm.vectors import deviations_for, first_common, near_vectors, passed_filters, unit
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, n_links string, k string"
 
@@ -66,6 +66,41 @@ def test_matches_comparison_of_all_pairs(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_production_default_in_few_dimensions(spark):
+    """Against the comparison of all pairs, dimension by dimension: nothing else links, and hardly a link is missed."""
+    rng = np.random.default_rng(12)
+    dimensions, rows = (1, 2, 4, 8, 16, 24), []
+    for d in dimensions:
+        for _ in range(30):
+            base = unit(rng.normal(size=(1, d)))
+            for _ in range(4):
+                rows.append((len(rows), (base + rng.normal(size=(1, d)) * 0.22 / d**0.5)[0].tolist(), 1))
+    df = spark.createDataFrame([(*r, "own", "own") for r in rows], SCHEMA)
+    found = {r.vec_id: r.n_links for r in near_vectors(df).collect()}
+    expected = {vec: n for vec, n, _, _ in plain(rows)}
+    for d in dimensions:
+        ids = [i for i, v, _ in rows if len(v) == d]
+        assert all(found[i] <= expected[i] for i in ids)
+        assert sum(found[i] for i in ids) >= 0.96 * sum(expected[i] for i in ids) > 0
+
+
+def test_recall_at_the_least_cosine_in_other_dimensions():
+    rng = np.random.default_rng(13)
+    for d, cosine in ((6, 0.93), (8, 0.93), (12, 0.93), (16, 0.93), (24, 0.93), (32, 0.93), (100, 0.93), (32, 0.98)):
+        a, other = unit(rng.normal(size=(2000, d))), rng.normal(size=(2000, d))
+        other = unit(other - (other * a).sum(1, keepdims=True) * a)
+        b = cosine * a + math.sqrt(1 - cosine**2) * other
+        pairs = [[set() for _ in a] for _ in range(2)]
+        for sets, x in zip(pairs, (a, b)):
+            for r, f in zip(*(v.tolist() for v in passed_filters(x, deviations_for(d, cosine)))):
+                sets[r].add(f)
+        recall = np.mean([bool(p & q) for p, q in zip(*pairs)])
+        print(f"{d} dimensions, recall at {cosine}: {recall}, filters a vector: {np.mean([len(p) for p in pairs[0]])}")
+        assert recall >= 0.97
+    assert deviations_for(2, 0.93) == deviations_for(4, 0.93) == -math.inf
+    assert deviations_for(64, 0.93) == 3.1
+
+
 def test_list_decoding_finds_exactly_the_filters_that_exceed():
     rng = np.random.default_rng(8)
     from msgflow.llm.vectors import BLOCKS, CODES, DEVIATIONS, WORDS, _codes
