@@ -24,6 +24,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import compress, count, islice
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -43,8 +44,8 @@ WIDTHS = np.array([0, 0, 1, 2, 3, 4, 5, 6, 7, 8, 10, 12, 15, 20, 30, 60])
 #: Bits of the numbers below 2**16.
 _BITS = np.frexp(np.arange(1 << 16))[1].astype(np.uint8)
 _TEXT_BYTES = 2 << 20
-#: Words that a task keeps with their ids before it starts afresh, some 200 bytes each.
-_KEPT_WORDS = 1_200_000
+#: Bytes of words and their ids that a task keeps before it starts afresh; besides the text a word takes so many.
+_KEPT_BYTES, _WORD_BYTES = 240_000_000, 140
 
 
 def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,7 +215,7 @@ class WordTokens:
     """Encodes texts with the tokenizers library, each distinct word once.
 
     The library splits a text into words by a pattern and merges within words only, so a text's ids are those of
-    its words. Texts with unusual characters are left to the library whole.
+    its words. Texts with unusual characters are left to the library whole, and not kept.
     """
 
     def __init__(self, path: str) -> None:
@@ -227,6 +228,7 @@ class WordTokens:
     def _afresh(self) -> None:
         self.slot: dict[str, int] = defaultdict(count().__next__)
         self.values, self.offsets = np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.kept_bytes = 0
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the words as the library gives them, and their offsets.
@@ -256,23 +258,38 @@ class WordTokens:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offsets of each text's ids."""
-        if len(self.slot) > _KEPT_WORDS:
+        if self.kept_bytes > _KEPT_BYTES:
             self._afresh()
-        words, counts = [], []
+        words, counts, places, unusual = [], [], [], []
         for text in texts:
-            found = [text] if "<|" in text or _UNUSUAL.search(text) else _PLAIN_WORDS.findall(text)
+            if "<|" in text or _UNUSUAL.search(text):
+                places.append(len(words))
+                unusual.append(text)
+                found = [""]  # holds the place of the whole text
+            else:
+                found = _PLAIN_WORDS.findall(text)
             counts.append(len(found))
             words += found
         known = len(self.slot)
         at = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))  # gives new words the next slots
         if len(self.slot) > known:
-            values, offsets = self._ids(list(islice(self.slot, known, None)))
+            new = list(islice(self.slot, known, None))
+            values, offsets = self._ids(new)
+            self.kept_bytes += sum(map(getsizeof, new)) + _WORD_BYTES * len(new) + values.nbytes
             self.offsets = np.concatenate([self.offsets, offsets[1:] + len(self.values)])
             self.values = np.concatenate([self.values, values])
         starts = self.offsets[at]
         lengths = self.offsets[at + 1] - starts
+        values = self.values
+        if unusual:
+            texts_at: dict[str, int] = defaultdict(count().__next__)
+            mine = np.array([texts_at[text] for text in unusual])  # a text that repeats is encoded once
+            encoded = [np.array(e.ids, np.uint32) for e in self.library.encode_batch_fast(list(texts_at), add_special_tokens=False)]
+            bounds = len(values) + np.append(0, np.cumsum([len(e) for e in encoded]))
+            starts[places], lengths[places] = bounds[mine], bounds[mine + 1] - bounds[mine]
+            values = np.concatenate([values, *encoded])
         ends = np.append(0, np.cumsum(lengths))
-        return gathered(self.values, starts, lengths), ends[np.append(0, np.cumsum(counts))]
+        return gathered(values, starts, lengths), ends[np.append(0, np.cumsum(counts))]
 
 
 @lru_cache(maxsize=2)

@@ -122,3 +122,25 @@ def test_files_of_all_rows(spark, sf_dir):
     folder = shared_folder(spark, "test-none")
     assert read_token_files(spark, folder, write_token_files(spark.createDataFrame([], SCHEMA), folder, JSON)).collect() == []
     assert op2_token_files(spark, sf_dir).count() == spark.read.parquet(f"{sf_dir}/documents.parquet").count()
+
+
+def test_kept_words_are_bound_by_bytes(monkeypatch):
+    """Texts with unusual characters leave nothing behind, and long words count by their bytes."""
+    from tokenizers import Tokenizer
+
+    from msgflow.llm import tokenfile
+
+    library, mine = Tokenizer.from_file(JSON), WordTokens(JSON)
+
+    def same(texts):
+        ids, bounds = mine.encode(texts)
+        expected = library.encode_batch(texts, add_special_tokens=False)
+        assert [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:])] == [e.ids for e in expected]
+
+    for k in range(20):
+        same([f"text {n % 3} — “quoted” 漢字 🙂 " * 5 + str(k) for n in range(10)] + ["", "plain words", f"<|endoftext|> {k}"])
+    assert len(mine.slot) < 10 and mine.kept_bytes < 10_000
+    monkeypatch.setattr(tokenfile, "_KEPT_BYTES", 100_000)
+    for k in range(20):
+        same([f"{letter}" * (20_000 + k) for letter in "abc"] + ["naïve — words"])
+        assert sum(map(len, mine.slot)) < 200_000
