@@ -1,10 +1,10 @@
 """Byte-level BPE by merge replay over a vocabulary of words, and decoding.
 
-Merges never cross the borders of the words that the splitting pattern matches. So the corpus is a set of distinct words:
-an inverted index from each pair of neighbouring tokens to its positions in those words is built once, and the merges
-are applied in rank order, each to all its positions at once; only the pairs of the touched neighbours are added to
-the index. A task replays the merges for the words of its rows that it has not met before, and documents are put together
-from their words' tokens. (The words of the whole corpus in one shared table would have to meet the documents in a
+Merges never cross the borders of the words that the splitting pattern matches. So a block of texts is a set of distinct words:
+an inverted index from each pair of neighbouring tokens to its positions in those words is built once for the block, and the
+merges are applied in rank order, each to all its positions at once; only the pairs of the touched neighbours are added to
+the index. A task replays the merges block by block (BLOCK_BYTES), each time for the words that it does not keep from earlier
+blocks (KEPT_WORDS), and documents are put together from their words' tokens. (The words of the whole corpus in one shared table would have to meet the documents in a
 shuffle of all texts; what a word becomes does not depend on the other words, so the result is the same.)
 """
 
