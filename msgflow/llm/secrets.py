@@ -2,7 +2,8 @@
 
 Candidates are found by patterns. What tells a live credential from an example is who has it: an example is copied into
 many repositories of many owners, a live credential stays with its owner. So the hashes of all candidate values
-are counted by distinct repositories and owners over the corpus, and each finding is labelled by its value's counts.
+are counted by distinct repositories and owners over the corpus. The label follows from the owners alone: one owner may have
+a live credential in any number of repositories. So an example that only one or two owners copy is labelled live, however often.
 """
 
 from __future__ import annotations
@@ -112,8 +113,8 @@ def find_secrets(
 
     ``findings`` is array<struct<start, rank, end, kind, owners, repositories, live>> by start, then kind; positions in code
     points, end exclusive. ``owners`` and ``repositories`` count distinct owners and repositories with the finding's
-    value; ``live`` is true where fewer than ``example_owners`` owners have it. Null owners are one owner, null
-    repositories one repository of each owner. A null or empty text has an empty array. A column named ``findings``
+    value; ``live`` is true where fewer than ``example_owners`` owners have it; repositories are counted but do not decide. Null
+    owners are one owner, null repositories one repository of each owner. A null or empty text has an empty array. A column named ``findings``
     is replaced; rows that repeat are labelled alike; an empty table gives an empty result.
     """
     tables = Tables(docs.sparkSession, "secrets")
