@@ -64,4 +64,65 @@ SELECT e.vec_id, coalesce(n, 0) AS n_links, least AS component_id, e.vec_id = le
 FROM embeddings AS e
 LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) ON a = vec_id
 JOIN (SELECT node, min(other) AS least FROM reached GROUP BY node) ON node = vec_id"""
-ORACLES: dict[str, str] = {"op6_near_vectors": _VECTORS, "op8_secret_ownership": _SECRETS}
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Codebooks round by round: every part against every entry, component by component."""
+    steps = [
+        """
+kept AS (SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS r, * FROM embeddings
+ WHERE embedding IS NOT NULL AND len(embedding) = len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x)))),
+places AS (SELECT r, vec_id, label, unnest(embedding) AS x, unnest(range(len(embedding))) AS i, len(embedding) // 4 AS width FROM kept),
+parts AS MATERIALIZED (SELECT r, vec_id, label, i // width AS part, i % width AS i, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM places),
+book0 AS MATERIALIZED (SELECT part, r - 1 AS entry, i, x AS c FROM parts WHERE r <= 256)"""
+    ]
+    for k in range(rounds + 1):
+        steps.append(f"""
+near{k} AS MATERIALIZED (SELECT r, part, min_by(entry, d * 256 + entry) AS entry, min(d) AS d FROM (
+ SELECT r, part, entry, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM parts JOIN book{k} USING (part, i) GROUP BY ALL) GROUP BY ALL)""")
+        if k < rounds:
+            steps.append(f"""
+book{k + 1} AS MATERIALIZED (SELECT part, entry, i, coalesce(m, c) AS c FROM book{k} LEFT JOIN (
+ SELECT part, entry, i, CAST(floor(CAST(sum(x) AS DOUBLE) / count(*)) AS BIGINT) AS m
+ FROM near{k} JOIN parts USING (r, part) GROUP BY ALL) USING (part, entry, i))""")
+    return f"""
+WITH {",".join(steps)},
+digest AS (SELECT sha256(string_agg(c, ',' ORDER BY part, entry, i)) AS codebooks_sha256 FROM book{rounds}),
+coded AS (SELECT r, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, CAST(sum(d) AS BIGINT) AS error FROM near{rounds} GROUP BY r)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (r) CROSS JOIN digest"""
+
+
+# Terms, counts and probabilities of the audit are written out once more here.
+_DIVERGENCE = r"""
+WITH docs AS (
+ SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source, regexp_extract_all(
+  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words
+ FROM documents),
+kept AS (SELECT lang, term FROM (SELECT lang, unnest(list_distinct(words)) AS term FROM docs) GROUP BY ALL HAVING count(*) >= 30),
+found AS (SELECT lang, source, term, count(*) AS n FROM (SELECT lang, source, unnest(words) AS term FROM docs)
+ JOIN kept USING (lang, term) GROUP BY ALL),
+sizes AS (SELECT lang, count(*) AS v FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (SELECT lang, source, coalesce(sum(n), 0) AS total FROM groups LEFT JOIN found USING (lang, source) GROUP BY ALL),
+p AS (SELECT lang, source, term, coalesce(n, 0) AS n, 1 + CAST(1000000000 AS HUGEINT) * (coalesce(n, 0) + 5) // (total + 5 * v) AS p
+ FROM totals JOIN sizes USING (lang) JOIN kept USING (lang) LEFT JOIN found USING (lang, source, term)),
+q AS (SELECT lang, term, 1 + CAST(1000000000 AS HUGEINT) * (sum(n) + 5) // (any_value(all_n) + 5 * any_value(v)) AS q
+ FROM found JOIN sizes USING (lang) JOIN (SELECT lang, sum(n) AS all_n FROM found GROUP BY lang) USING (lang) GROUP BY lang, term),
+pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(value, 0) AS value
+ FROM groups AS a JOIN groups AS b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN (
+  SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value FROM p AS x JOIN p AS y
+  ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL) AS s
+ ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+terms AS (SELECT lang, source, term AS item, p - q AS value FROM p JOIN q USING (lang, term) WHERE n > 0 AND p > q),
+both_parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS rank FROM both_parts)
+WHERE part = 'pair' OR rank <= 50"""
+
+ORACLES: dict[str, str] = {
+    "op6_near_vectors": _VECTORS,
+    "op8_secret_ownership": _SECRETS,
+    "op11_vector_codes": _codes_sql(),
+    "op13_source_divergence": _DIVERGENCE,
+}

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from .bpe import with_tokens
 from .decontamination import leaks
+from .divergence import source_divergence
+from .html import with_main_text
 from .langid import fit_languages, with_language
 from .quality import fit_quality, score_quality
 from .secrets import find_secrets, span_text
@@ -16,6 +18,7 @@ from .simhash import fingerprint_hex, simhash_groups
 from .tables import shared_folder
 from .tokenfile import read_token_files, write_token_files
 from .toxicity import fit_toxicity, score_toxicity
+from .vectorcodes import vector_codes
 from .vectors import near_vectors
 
 SHARDS = 40
@@ -116,6 +119,18 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return groups.select("doc_id", fingerprint_hex(F.col("simhash")).alias("fingerprint"), "component_id")
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(table(spark, sf_dir, "embeddings")).drop("label")
+
+
+def op12_html_density(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"), drop=("html",))
+
+
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_token_files": op2_token_files,
@@ -127,4 +142,7 @@ QUERIES = {
     "op8_secret_ownership": op8_secret_ownership,
     "op9_languages": op9_languages,
     "op10_simhash": op10_simhash,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_html_density": op12_html_density,
+    "op13_source_divergence": op13_source_divergence,
 }
