@@ -8,10 +8,10 @@ from __future__ import annotations
 
 import json
 import re
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -53,13 +53,30 @@ def batch_schema(messages: DataFrame, column: str = "json_string") -> T.StructTy
     give string, and so do fields that were null everywhere; an empty text is a text. Empty if no row
     holds an object with a field.
     """
+    return counted_batch_schema(messages, column)[1]
+
+
+def _aggregates(rows: DataFrame, columns: Sequence[Column], in_one_job: bool) -> list:
+    """The values of aggregate columns. In one job, they are observed: every task sends its part to the driver, without a shuffle."""
+    named = [column.alias(f"a{i}") for i, column in enumerate(columns)]
+    if not in_one_job:
+        return list(rows.agg(*named).first())
+    observation = Observation()
+    rows.observe(observation, *named).write.format("noop").mode("overwrite").save()
+    return [observation.get[f"a{i}"] for i in range(len(named))]
+
+
+def counted_batch_schema(
+    messages: DataFrame, column: str = "json_string", *, in_one_job: bool = False
+) -> tuple[int, T.StructType]:
+    """The number of rows, and their ``batch_schema``; ``in_one_job`` is fit for batches of bounded size."""
 
     def values(asked: list[tuple[str, ...]]) -> DataFrame:
         parsed = messages.select(F.from_json(column, _only(schema, set(asked))).alias("document"))
         return parsed.select(*[reduce(Column.getField, path, F.col("document")) for path in asked])
 
-    schema = _widened(messages, column)
-    return _settled(schema, [], values)
+    n, schema = _widened(messages, column, in_one_job)
+    return n, _settled(schema, [], values)
 
 
 def recursive_schema(messages: DataFrame, column: str = "json_string", *, persist: bool = False) -> T.StructType:
@@ -69,25 +86,52 @@ def recursive_schema(messages: DataFrame, column: str = "json_string", *, persis
     batch is an ISO date or date and time. With ``persist`` the parsed documents are kept between the two
     aggregations, so each text is parsed once; fit for batches of bounded size.
     """
-    documents = messages.filter(_lead(column) == "{").select(
-        F.col(column).alias("text"), F.from_json(column, T.VariantType(), dict(OBJECT_TOKENS)).alias("document")
+    return counted_recursive_schema(messages, column, persist=persist)[1]
+
+
+def counted_recursive_schema(
+    messages: DataFrame,
+    column: str = "json_string",
+    *,
+    persist: bool = False,
+    known: T.StructType | None = None,
+    in_one_job: bool = False,
+) -> tuple[int, T.StructType]:
+    """The number of rows, and their ``recursive_schema``, in one aggregation where that is possible, else in two.
+
+    ``known`` is a schema that the result is merged with afterwards: what is text there stays text, so it is not looked at, and
+    what is a timestamp there is tested together with the inference.
+    """
+    text = F.when(_lead(column) == "{", F.col(column))
+    documents = messages.select(
+        text.alias("text"), F.from_json(text, T.VariantType(), dict(OBJECT_TOKENS)).alias("document")
     )
     documents = documents.persist() if persist else documents
+    kinds = dict(_leaves(known)) if known is not None else {}
+    guesses = [path for path, leaf in kinds.items() if leaf == T.TimestampType()]
     try:
         keep_repeated_keys(messages.sparkSession)
-        found = documents.agg(F.schema_of_variant_agg("document").alias("objects")).first()
-        schema = _from_variant_schema(found["objects"])
+        tests = [n for path in guesses for n in _timestamp_counts(_leaf(path))]
+        wanted = [F.count(F.lit(1)), F.schema_of_variant_agg("document"), F.first("text", ignorenulls=True), *tests]
+        n, objects, witness, *counts = _aggregates(documents, wanted, in_one_job)
+        schema = _from_variant_schema(objects)
         schema = schema if isinstance(schema, T.StructType) else T.StructType()
-        texts = [path for path, leaf in _leaves(schema) if leaf == T.StringType()]
-        if texts:
-            witness = documents.select("text").first()
-            texts = _not_refuted(texts, witness and witness[0])
-        return _settled(schema, texts, lambda asked: documents.select(*[_leaf(path) for path in asked]))
+        texts = [path for path, leaf in _leaves(schema) if leaf == T.StringType() and kinds.get(path) != T.StringType()]
+        tested = dict(zip(guesses, zip(counts[::2], counts[1::2], strict=True), strict=True))
+        stamps = [path for path in texts if path in tested and tested[path][0] and not tested[path][1]]
+        schema = _replace(schema, dict.fromkeys(stamps, T.TimestampType()))
+        open_texts = _not_refuted([path for path in texts if path not in tested], witness)
+        return n, _settled(schema, open_texts, lambda asked: documents.select(*[_leaf(path) for path in asked]))
     finally:
         if persist:
             documents.unpersist()
 
 
+def _timestamp_counts(value: Column) -> tuple[Column, Column]:
+    """How many values there are, and how many of them are no timestamps."""
+    return F.count(value), F.count_if(value.isNotNull() & ~is_iso_timestamp(value))
+
+
 def _leaf(path: tuple[str, ...]) -> Column:
     """The value at a path of a document as text; a JSON null is null."""
     if any('"' in name and "'" in name for name in path):
@@ -129,23 +173,25 @@ def _lead(column: str) -> Column:
     return F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
 
 
-def _widened(messages: DataFrame, column: str) -> T.StructType:
+def _widened(messages: DataFrame, column: str, in_one_job: bool) -> tuple[int, T.StructType]:
     documents = messages.select(_lead(column).alias("lead"), F.from_json(column, T.VariantType()).alias("document"))
     document = F.col("document")
     is_object = F.col("lead") == "{"
     is_rows = (F.col("lead") == "[") & F.schema_of_variant(document).startswith("ARRAY<OBJECT<")
     keep_repeated_keys(messages.sparkSession)
-    found = documents.agg(
-        F.schema_of_variant_agg(F.when(is_object, document)).alias("objects"),
-        F.schema_of_variant_agg(F.when(is_rows, document)).alias("rows"),
-    ).first()
-    schema = _from_variant_schema(found["objects"])
-    rows = _from_variant_schema(found["rows"])
+    wanted = [
+        F.count(F.lit(1)),
+        F.schema_of_variant_agg(F.when(is_object, document)),
+        F.schema_of_variant_agg(F.when(is_rows, document)),
+    ]
+    n, objects, elements = _aggregates(documents, wanted, in_one_job)
+    schema = _from_variant_schema(objects)
+    rows = _from_variant_schema(elements)
     if isinstance(rows, T.ArrayType):
         rows = rows.elementType
     if isinstance(rows, T.StructType):
         schema = merge_schemas(schema, rows) if isinstance(schema, T.StructType) else rows
-    return schema if isinstance(schema, T.StructType) else T.StructType()
+    return n, schema if isinstance(schema, T.StructType) else T.StructType()
 
 
 def _not_refuted(paths: list[tuple[str, ...]], witness: str | None) -> list[tuple[str, ...]]:
@@ -240,8 +286,7 @@ def _settled(
     rows = rows.toDF(*[f"v{i}" for i in range(len(rows.columns))])
     value = [F.col(name) for name in rows.columns]
     fractions = [F.count_if(v.rlike("[.eE]")) for v in value[: len(decimals)]]
-    seen = [F.count(v) for v in value[len(decimals) :]]
-    other = [F.count_if(v.isNotNull() & ~is_iso_timestamp(v)) for v in value[len(decimals) :]]
+    seen, other = zip(*map(_timestamp_counts, value[len(decimals) :])) if texts else ((), ())
     found = list(rows.agg(*[n.alias(f"n{i}") for i, n in enumerate((*fractions, *seen, *other))]).first())
     settled: dict[tuple[str, ...], T.DataType] = {}
     for path, fraction in zip(decimals, found[: len(decimals)], strict=True):

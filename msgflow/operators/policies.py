@@ -130,10 +130,13 @@ def bad_rows(parsed: DataFrame, keep: Sequence[str] = NARROW) -> DataFrame:
     return _rows_of(parsed, keep, F.when(_is_bad(), row))
 
 
+def split_measures() -> list[Column]:
+    """The counts of both sides, to aggregate or to observe."""
+    return [F.count(F.lit(1)).alias("seen"), F.count_if(~_is_bad()).alias("good"), F.count_if(_is_bad()).alias("bad")]
+
+
 def split_counts(parsed: DataFrame) -> DataFrame:
-    return parsed.agg(
-        F.count(F.lit(1)).alias("seen"), F.count_if(~_is_bad()).alias("good"), F.count_if(_is_bad()).alias("bad")
-    )
+    return parsed.agg(*split_measures())
 
 
 def captured_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:
@@ -241,11 +244,10 @@ def rejected_of(parsed: DataFrame, *, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def conversion_counts(parsed: DataFrame) -> DataFrame:
+def conversion_measures() -> list[Column]:
+    """The counts of both sides, to aggregate or to observe."""
     fits = F.col("_fits")
-    return parsed.agg(
-        F.count(F.lit(1)).alias("seen"), F.count_if(fits).alias("kept"), F.count_if(~fits).alias("rejected")
-    )
+    return [F.count(F.lit(1)).alias("seen"), F.count_if(fits).alias("kept"), F.count_if(~fits).alias("rejected")]
 
 
 def converted_rows(messages: DataFrame, schema: T.StructType, *, keep: Sequence[str] = ()) -> DataFrame:

@@ -59,6 +59,7 @@ from ..streaming import (
     ConvertedBatches,
     CounterListener,
     InferredBatches,
+    OutputLog,
     SplitBatches,
     dead_letter_batch,
     parquet_stream,
@@ -463,6 +464,82 @@ def stream_replayed_failure(spark, sf_dir):
     return good.unionByName(bad).groupBy("side").agg(F.count(F.lit(1)).alias("messages"))
 
 
+def snapshots(spark, sf_dir):
+    """What readers of a split topic see: while each batch is between its sides, after it, and when the last one has run again.
+
+    All but the moments in flight are read at the end, from the versions of the log.
+    """
+    out = work_folder(spark, "published")
+    log, good, bad = OutputLog(f"{out}/log"), f"{out}/good", f"{out}/bad"
+    seen, again = [], []
+
+    def counts(version):
+        sides = [log.files(spark, version).where(F.col("side") == side).count() for side in (good, bad)]
+        return [log.read(spark, side, version).count() if n else 0 for side, n in zip((good, bad), sides, strict=True)]
+
+    class Watched(SplitBatches):
+        def put(self, rows, side, batch_id, folder=None):
+            super().put(rows, side, batch_id, folder)
+            if side == good:
+                seen.append(("in flight", log.latest(spark), *counts(log.latest(spark))))
+
+    write = Watched(USER, good, bad, log=log)
+
+    def breaks_off(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 3 and not again:
+            again.append(batch_id)
+            raise RuntimeError("the driver stops before the batch is committed")
+
+    def run(source):
+        for _ in range(2):
+            messages = narrow_envelope(replay_stream(spark, source))
+            query = run_batches(messages, breaks_off, f"{out}/checkpoint", trigger=AVAILABLE_NOW)
+            try:
+                run_to_end(query)
+            except StreamingQueryException:
+                continue
+            break
+
+    _run_by_partition(spark, sf_dir, run, [(0,), (1,), (2,), (3,)])
+    seen += [("published", version, *counts(version)) for version in range(log.latest(spark) + 1)]
+    return spark.createDataFrame(seen, "moment string, version bigint, good bigint, bad bigint")
+
+
+def transient_failure(spark, sf_dir):
+    """One batch meets a full disk and runs again, another holds data that the strict policy refuses: a dead letter."""
+    out = work_folder(spark, "transient")
+    log, data, errors = OutputLog(f"{out}/log"), f"{out}/data", f"{out}/errors"
+    failed = []
+
+    class Strict(SplitBatches):
+        def sides(self):
+            return [data]
+
+        def process(self, batch, batch_id):
+            self.put(strict_records(batch, keep=AT), data, batch_id)
+            if batch_id == 1 and not failed:
+                failed.append(batch_id)
+                raise OSError("no space left on device")
+            return {"seen": 1}
+
+    write = dead_letter_batch(Strict(USER, data, data, log=log), errors)
+
+    def run(source):
+        for _ in range(2):
+            query = run_batches(wide_envelope(replay_stream(spark, source)), write, f"{out}/checkpoint", trigger=AVAILABLE_NOW)
+            try:
+                run_to_end(query)
+            except StreamingQueryException:
+                continue
+            break
+
+    _run_by_partition(spark, sf_dir, run, [(0,), (1, 2), (3,)], ONE_BAD_PARTITION_VALUE)
+    written = log.read(spark, data).select(*AT, F.lit(False).alias("failed"))
+    dead = log.read(spark, errors).select(*AT, F.lit(True).alias("failed"))
+    return written.unionByName(dead).withColumn("attempts", F.lit(1 + len(failed)))
+
+
 def stream_widened(spark, sf_dir):
     """A timestamp field that becomes text, and large integers that meet a fraction, read back exactly as text."""
     out = work_folder(spark, "widened-rows")
@@ -696,6 +773,8 @@ QUERIES = {
     "stm5_widened_columns": stream_widened,
     "snk6_stream_dead_letter": stream_dead_letter,
     "snk6_replayed_failure": stream_replayed_failure,
+    "snk4_snapshot": snapshots,
+    "snk6_transient_failure": transient_failure,
     "stm6_stream_recursive": stream_recursive,
     "flt4_stream_rejected": stream_rejected,
     "stm4_stream_restart": stream_restart,

@@ -19,6 +19,7 @@ from ..parquet import PARQUET_OPTIONS
 from ..sources.envelope import narrow_envelope, wide_envelope
 from ..sources.files import literal_messages
 from ..streaming.batches import ConvertedBatches, InferredBatches, SplitBatches, dead_letter_batch
+from ..streaming.published import OutputLog
 from ..streaming.sinks import every, parquet_stream, run_batches
 
 
@@ -88,9 +89,10 @@ def split_stream(
     *,
     schema: T.StructType = FALLBACK_EVENT,
     trigger: Mapping | None = None,
+    log: OutputLog | None = None,
 ) -> StreamingQuery:
-    """Messages that fit a schema to one folder, all others to a second one."""
-    write = SplitBatches(schema, good_path, bad_path)
+    """Messages that fit a schema to one folder, all others to a second one; with a log, both sides of a batch at once."""
+    write = SplitBatches(schema, good_path, bad_path, log=log)
     return run_batches(narrow_envelope(messages), write, checkpoint, trigger=trigger)
 
 
@@ -102,18 +104,25 @@ def per_batch_schema_stream(
     *,
     accumulate: bool = True,
     trigger: Mapping | None = None,
+    log: OutputLog | None = None,
 ) -> StreamingQuery:
-    """Schema inferred from every batch, rows next to their envelope; a failed batch to ``error_path``."""
-    write = dead_letter_batch(InferredBatches(path, accumulate=accumulate), error_path)
+    """Schema inferred from every batch, rows next to their envelope; a batch whose data fail goes to ``error_path``."""
+    write = dead_letter_batch(InferredBatches(path, accumulate=accumulate, log=log), error_path)
     return run_batches(wide_envelope(messages), write, checkpoint, trigger=trigger)
 
 
 def recursive_schema_stream(
-    messages: DataFrame, path: str, bad_path: str, checkpoint: str, *, trigger: Mapping | None = None
+    messages: DataFrame,
+    path: str,
+    bad_path: str,
+    checkpoint: str,
+    *,
+    trigger: Mapping | None = None,
+    log: OutputLog | None = None,
 ) -> StreamingQuery:
     """Schema per batch with nested objects and timestamps; texts that are no object to ``bad_path``.
 
     Bound the batches at the source: ``maxOffsetsPerTrigger`` for Kafka, files per trigger for replay.
     """
-    write = ConvertedBatches(path, bad_path)
+    write = ConvertedBatches(path, bad_path, log=log)
     return run_batches(wide_envelope(messages), write, checkpoint, trigger=trigger or every("1 second"))

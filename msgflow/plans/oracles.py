@@ -212,6 +212,15 @@ SELECT {AT}, CASE WHEN event_id % 4 = 3 THEN 'soon' ELSE '2024-03-22T09:05:00Z'
 FROM events""",
     "snk6_replayed_failure": f"""
 SELECT CASE WHEN {_BAD} THEN 'bad' ELSE 'good' END AS side, count(*) AS messages FROM events GROUP BY 1""",
+    # Batch n holds partition n; the last one is published twice, and both times the version before it is what readers see meanwhile.
+    "snk4_snapshot": f"""
+WITH moments AS (
+ SELECT 'published' AS moment, v AS version, least(v, 3) AS last FROM range(5) AS r(v)
+ UNION ALL SELECT 'in flight', v - 1, least(v - 1, CASE v WHEN 4 THEN 3 ELSE v - 1 END) FROM range(5) AS r(v))
+SELECT moment, version, (SELECT count(*) FROM events WHERE event_id % 4 <= last AND NOT ({_BAD})) AS good,
+ (SELECT count(*) FROM events WHERE event_id % 4 <= last AND {_BAD}) AS bad
+FROM moments""",
+    "snk6_transient_failure": f"SELECT {AT}, event_id % 4 = 3 AS failed, 2 AS attempts FROM events",
     "obs1_batch_counters": f"""
 SELECT 'inferred' AS writer, count(*) AS seen, count(*) FILTER (WHERE {C} NOT IN (0, 7)) + count(*) FILTER (WHERE {C} = 8) AS kept,
  count(*) FILTER (WHERE {C} IN (0, 7)) AS rejected FROM events

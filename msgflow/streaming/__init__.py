@@ -8,7 +8,9 @@ from .batches import (
     read_versions,
     write_batch,
 )
+from .failures import is_data_error
 from .metrics import CounterListener
+from .published import OutputLog
 from .sinks import AVAILABLE_NOW, every, parquet_stream, run_batches, run_to_end, send, with_peek
 
 __all__ = [
@@ -16,10 +18,12 @@ __all__ = [
     "ConvertedBatches",
     "CounterListener",
     "InferredBatches",
+    "OutputLog",
     "SplitBatches",
     "compact_versions",
     "dead_letter_batch",
     "every",
+    "is_data_error",
     "parquet_stream",
     "read_batches",
     "read_versions",

@@ -3,6 +3,9 @@
 Each batch goes to its own folder ``run=<query id>/batch_id=N`` and replaces what is there, so a batch that runs
 again after a failure leaves one copy. The query id belongs to the checkpoint: a query that starts with a new
 checkpoint counts from 0 again, below a folder of its own, and earlier runs stay readable next to it.
+
+A writer with an ``OutputLog`` publishes instead: each attempt at a batch has folders of its own, and one entry of the log makes all sides
+of the batch visible at once.
 """
 
 from __future__ import annotations
@@ -19,11 +22,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.compaction import compact
-from ..operators.inference import batch_schema, merge_schemas, recursive_schema
+from ..operators.inference import counted_batch_schema, counted_recursive_schema, merge_schemas
 from ..operators.policies import (
     CORRUPT,
     bad_rows,
-    conversion_counts,
     converted_of,
     converted_rows,
     good_rows,
@@ -31,12 +33,15 @@ from ..operators.policies import (
     parse_converted,
     parse_with_capture,
     rejected_of,
-    split_counts,
+    conversion_measures,
+    split_measures,
 )
 from ..operators.shape import align
 from ..parquet import PARQUET_OPTIONS
 from ..session import delete_folder
 from ..sources.envelope import ORIGIN
+from .failures import is_data_error
+from .published import Attempt, OutputLog
 
 logger = logging.getLogger(__name__)
 
@@ -47,9 +52,13 @@ def log_counts(batch_id: int, counts: Mapping[str, int]) -> None:
     logger.info("batch %d: %s", batch_id, ", ".join(f"{name} {n}" for name, n in counts.items()))
 
 
+def _run_id(spark: SparkSession) -> str | None:
+    return spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+
+
 def batch_folder(spark: SparkSession, path: str, batch_id: int) -> str:
     """The folder of a batch of the query that is running; outside of a query, of no run."""
-    run = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
+    run = _run_id(spark)
     return f"{path}/run={run}/batch_id={batch_id}" if run else f"{path}/batch_id={batch_id}"
 
 
@@ -63,8 +72,13 @@ def discard_batch(spark: SparkSession, path: str, batch_id: int) -> None:
     delete_folder(spark, batch_folder(spark, path, batch_id))
 
 
-def read_batches(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all batches of all runs below a folder; folder names do not become columns."""
+def read_batches(spark: SparkSession, path: str, log: OutputLog | None = None, version: int | None = None) -> DataFrame:
+    """The rows of all batches of all runs below a folder; folder names do not become columns.
+
+    With a log, those that are published, as of the given version or the last one.
+    """
+    if log is not None:
+        return log.read(spark, path, version)
     return spark.read.option("recursiveFileLookup", "true").parquet(path)
 
 
@@ -78,46 +92,92 @@ def _persisted(rows: DataFrame):
 
 
 class BatchWriter:
-    """A writer of batches that reports counts once a batch is written, and can take a batch back."""
+    """A writer of batches that reports counts once a batch is written, and can take a batch back.
+
+    With a ``log`` the batch is published when all its sides are written, and is not visible before.
+    """
 
     report: Report
+    log: OutputLog | None = None
+    attempt: Attempt | None = None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        self.reported(batch_id, self.process(batch, batch_id))
+        self.reported(batch_id, self.attempted(batch, batch_id, ()))
+
+    def attempted(self, batch: DataFrame, batch_id: int, others: Sequence[str]) -> Mapping[str, int]:
+        """``process``, and publication of what it wrote; ``others`` are sides on which the batch has nothing."""
+        if self.log is None:
+            return self.process(batch, batch_id)
+        spark = batch.sparkSession
+        self.attempt = Attempt(spark, self.log, _run_id(spark) or "", batch_id)
+        try:
+            counts = self.process(batch, batch_id)
+            if counts.get("seen"):
+                self.attempt.publish([*self.sides(), *others])
+            return counts
+        except BaseException:
+            self.attempt.give_up()
+            raise
+        finally:
+            self.attempt = None
+
+    def put(self, rows: DataFrame, side: str, batch_id: int, folder: str | None = None) -> None:
+        """Writes rows of the batch that belong to a side, in ``folder`` or the side's own."""
+        if self.attempt is not None:
+            self.attempt.write(rows, side, folder)
+        else:
+            write_batch(rows, folder or side, batch_id)
 
     def reported(self, batch_id: int, counts: Mapping[str, int]) -> None:
         if counts.get("seen"):
             self.report(batch_id, counts)
 
+    def sides(self) -> list[str]:
+        """The folders of the writer's outputs."""
+        raise NotImplementedError
+
     def process(self, batch: DataFrame, batch_id: int) -> Mapping[str, int]:
         """Writes the batch and returns its counts, without ``seen`` or with 0 for an empty one."""
         raise NotImplementedError
 
     def discard(self, batch: DataFrame, batch_id: int) -> None:
-        """Removes whatever of the batch has been written."""
+        """Removes whatever of the batch has been written; of a published batch an attempt takes care itself."""
         raise NotImplementedError
 
 
 class SplitBatches(BatchWriter):
-    """Good rows to one folder, bad rows to another, under a fixed schema; parsed once per batch."""
+    """Good rows to one folder, bad rows to another, under a fixed schema; parsed once per batch.
 
-    def __init__(self, schema: T.StructType, good_path: str, bad_path: str, report: Report = log_counts):
+    The counts are observed while the rows are written: two jobs a batch, of which the second reads the parsed rows from memory.
+    """
+
+    def __init__(
+        self,
+        schema: T.StructType,
+        good_path: str,
+        bad_path: str,
+        report: Report = log_counts,
+        log: OutputLog | None = None,
+    ):
         self.schema = schema
         self.good_path = good_path
         self.bad_path = bad_path
         self.report = report
+        self.log = log
+
+    def sides(self) -> list[str]:
+        return [self.good_path, self.bad_path]
 
     def process(self, batch: DataFrame, batch_id: int) -> Mapping[str, int]:
+        counted = Observation()
         with _persisted(parse_with_capture(batch, self.schema)) as parsed:
-            counts = split_counts(parsed).first().asDict()
-            if counts["good"]:
-                write_batch(good_rows(parsed), self.good_path, batch_id)
-            if counts["bad"]:
-                write_batch(bad_rows(parsed), self.bad_path, batch_id)
-            return counts
+            self.put(good_rows(parsed.observe(counted, *split_measures())), self.good_path, batch_id)
+            if counted.get["bad"]:
+                self.put(bad_rows(parsed), self.bad_path, batch_id)
+            return counted.get
 
     def discard(self, batch: DataFrame, batch_id: int) -> None:
-        for path in (self.good_path, self.bad_path):
+        for path in self.sides():
             discard_batch(batch.sparkSession, path, batch_id)
 
 
@@ -126,25 +186,39 @@ def dead_letter_batch(
     error_path: str,
     discard: Callable[[DataFrame, int], None] | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Wraps a batch writer: a batch it fails on goes, unparsed and whole, to ``error_path``.
+    """Wraps a batch writer: a batch whose data it can not bear goes, unparsed and whole, to ``error_path``.
+
+    What is no fault of the data (lost executors, a full disk, lack of memory, an unreachable store) is raised instead: the query stops,
+    nothing of the batch is committed, and it runs again at the next start. See ``is_data_error``.
 
     A batch ends up in one place: after a failure, what has been written of it is discarded (``BatchWriter`` does
     that itself, for other functions pass ``discard``), and after a success, what a failed attempt has left in
-    ``error_path``. Counts are reported outside of the guard, so a report that fails is no failed batch.
+    ``error_path``. A writer with a log publishes its dead letters there too. Counts are reported outside of the guard, so a report that
+    fails is no failed batch.
     """
     writer = write if isinstance(write, BatchWriter) else None
+    log = writer and writer.log
 
     def guarded(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
         try:
-            counts = (writer.process if writer else write)(batch, batch_id)
-        except Exception as error:  # whatever the reason, the batch is kept and the query goes on
+            counts = writer.attempted(batch, batch_id, [error_path]) if writer else write(batch, batch_id)
+        except Exception as error:
+            if not is_data_error(error):
+                raise
             # The message of the error may quote payload, so only its type is logged.
             logger.error("batch %d failed (%s), kept in %s", batch_id, type(error).__name__, error_path)
+            if log is not None:
+                kept = Attempt(spark, log, _run_id(spark) or "", batch_id)
+                kept.write(batch, error_path)
+                kept.publish([*writer.sides(), error_path])
+                return
             write_batch(batch, error_path, batch_id)
             if undo := discard or (writer and writer.discard):
                 undo(batch, batch_id)
             return
-        discard_batch(batch.sparkSession, error_path, batch_id)
+        if log is None:
+            discard_batch(spark, error_path, batch_id)
         if writer:
             writer.reported(batch_id, counts)
 
@@ -214,15 +288,27 @@ class InferredBatches(BatchWriter):
 
     keep: Sequence[str] = ORIGIN
 
-    def __init__(self, path: str, *, accumulate: bool = True, report: Report = log_counts):
+    def __init__(
+        self, path: str, *, accumulate: bool = True, report: Report = log_counts, log: OutputLog | None = None
+    ):
         self.path = path
         self.accumulate = accumulate
         self.report = report
+        self.log = log
         self._log = _SchemaLog(path)
         self._latest: tuple[int, int, T.StructType] | None = None
 
-    def infer(self, batch: DataFrame) -> T.StructType:
-        return batch_schema(batch)
+    def sides(self) -> list[str]:
+        return [self.path]
+
+    def infer(self, batch: DataFrame) -> tuple[int, T.StructType]:
+        """The number of messages and their schema."""
+        return counted_batch_schema(batch, in_one_job=True)
+
+    def _known(self, spark: SparkSession) -> tuple[int, int, T.StructType | None]:
+        """Number and version of the last entry of the schema log, and the schema it names."""
+        self._latest = self._latest or (self._log.latest(spark) if self.accumulate else None)
+        return self._latest or (-1, 0, None)
 
     def rows(self, batch: DataFrame, schema: T.StructType) -> DataFrame:
         return inferred_rows(batch, schema, keep=(*self.keep,))
@@ -232,7 +318,7 @@ class InferredBatches(BatchWriter):
         if not self.accumulate:
             return self.path, schema
         spark = batch.sparkSession
-        entry, version, known = self._latest or self._log.latest(spark) or (-1, 0, None)
+        entry, version, known = self._known(spark)
         schema = merge_schemas(known, schema) if known is not None else schema
         if schema != known:
             version += known is not None and not _only_adds(known, schema)
@@ -243,9 +329,10 @@ class InferredBatches(BatchWriter):
 
     def process(self, batch: DataFrame, batch_id: int) -> Mapping[str, int]:
         with _persisted(batch):
-            if batch.isEmpty():
+            n, schema = self.infer(batch)
+            if not n:
                 return {}
-            folder, schema = self._folder(batch, self.infer(batch))
+            folder, schema = self._folder(batch, schema)
             return self.write(batch, schema, folder, batch_id)
 
     def write(self, batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> Mapping[str, int]:
@@ -253,7 +340,7 @@ class InferredBatches(BatchWriter):
         rows = self.rows(batch.observe(seen, F.count(F.lit(1)).alias("seen")), schema)
         corrupt = F.col(CORRUPT).isNotNull()
         rows = rows.observe(written, F.count_if(~corrupt).alias("kept"), F.count_if(corrupt).alias("rejected"))
-        write_batch(rows, folder, batch_id)
+        self.put(rows, self.path, batch_id, folder)
         return {**seen.get, **written.get}
 
     def discard(self, batch: DataFrame, batch_id: int) -> None:
@@ -278,26 +365,33 @@ class ConvertedBatches(InferredBatches):
         keep: Sequence[str] = (),
         accumulate: bool = True,
         report: Report = log_counts,
+        log: OutputLog | None = None,
     ):
-        super().__init__(path, accumulate=accumulate, report=report)
+        super().__init__(path, accumulate=accumulate, report=report, log=log)
         self.bad_path = bad_path
         self.keep = keep
 
-    def infer(self, batch: DataFrame) -> T.StructType:
-        return recursive_schema(batch, persist=True)
+    def sides(self) -> list[str]:
+        return [self.path, *([self.bad_path] if self.bad_path else [])]
+
+    def infer(self, batch: DataFrame) -> tuple[int, T.StructType]:
+        known = self._known(batch.sparkSession)[2]
+        return counted_recursive_schema(batch, persist=True, known=known, in_one_job=True)
 
     def rows(self, batch: DataFrame, schema: T.StructType) -> DataFrame:
         return converted_rows(batch, schema, keep=self.keep)
 
     def write(self, batch: DataFrame, schema: T.StructType, folder: str, batch_id: int) -> Mapping[str, int]:
+        counted = Observation()
         with _persisted(parse_converted(batch, schema)) as parsed:
-            counts = conversion_counts(parsed).first().asDict()
-            # The rejected ones first: if they fail, nothing has been written.
-            if self.bad_path and counts["rejected"]:
-                write_batch(rejected_of(parsed, keep=ORIGIN), self.bad_path, batch_id)
-            if counts["kept"]:
-                write_batch(converted_of(parsed, schema, keep=self.keep), folder, batch_id)
-        return counts
+            observed = parsed.observe(counted, *conversion_measures())
+            if schema.fields:
+                self.put(converted_of(observed, schema, keep=self.keep), self.path, batch_id, folder)
+            else:
+                observed.write.format("noop").mode("overwrite").save()  # no field, so no row of this batch fits
+            if self.bad_path and counted.get["rejected"]:
+                self.put(rejected_of(parsed, keep=ORIGIN), self.bad_path, batch_id)
+            return counted.get
 
     def discard(self, batch: DataFrame, batch_id: int) -> None:
         super().discard(batch, batch_id)
@@ -305,17 +399,25 @@ class ConvertedBatches(InferredBatches):
             discard_batch(batch.sparkSession, self.bad_path, batch_id)
 
 
-def _version_folders(spark: SparkSession, path: str) -> list[tuple[int, T.StructType, str]]:
-    """Version, schema of its rows and folder of those versions that have rows.
+def _version_parts(
+    spark: SparkSession, path: str, log: OutputLog | None = None, at: int | None = None
+) -> list[tuple[int, T.StructType, list[str]]]:
+    """Version, schema of its rows and where they are, of those versions that have rows.
 
-    A batch that failed after its schema was logged leaves a version without any.
+    A batch that failed after its schema was logged leaves a version without any. Without a log the rows are in the version's folder, with
+    one in the files that are published.
     """
+    published = log.paths(spark, path, at) if log is not None else []
     found = []
     for version, schema in _SchemaLog(path).versions(spark):
         folder = f"{path}/schema_version={version}"
-        location = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location):
-            found.append((version, schema, folder))
+        if log is not None:
+            parts = [file for file in published if file.startswith(f"{folder}/")]
+        else:
+            location = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            parts = [folder] if location.getFileSystem(spark._jsc.hadoopConfiguration()).exists(location) else []
+        if parts:
+            found.append((version, schema, parts))
     return found
 
 
@@ -325,13 +427,15 @@ def compact_versions(spark: SparkSession, path: str, target: str) -> None:
     ``read_versions`` reads the result; the schema log is copied with its last entry per version.
     """
     log = _SchemaLog(target)
-    for entry, (version, schema, folder) in enumerate(_version_folders(spark, path)):
+    for entry, (version, schema, (folder,)) in enumerate(_version_parts(spark, path)):
         compact(spark, folder, f"{target}/schema_version={version}", ignore_folders=True, schema=schema)
         log.add(spark, entry, version, schema, schema)
 
 
-def read_versions(spark: SparkSession, path: str, *, exact: bool = False) -> DataFrame:
-    """All rows of an ``InferredBatches`` folder under its latest schema.
+def read_versions(
+    spark: SparkSession, path: str, *, exact: bool = False, log: OutputLog | None = None, version: int | None = None
+) -> DataFrame:
+    """All rows of an ``InferredBatches`` folder under its latest schema; with a log, those published as of a version.
 
     Files are read version by version with the types of their version, and cast to the latest ones; there are as many
     reads as there were changes of a type. A timestamp that later became text reads as ISO text in UTC, whatever the
@@ -339,7 +443,7 @@ def read_versions(spark: SparkSession, path: str, *, exact: bool = False) -> Dat
     beyond 2**53; with ``exact`` such columns are read as text instead, every number as it was written.
     """
     reader = spark.read.option("recursiveFileLookup", "true")
-    parts = [reader.schema(schema).parquet(folder) for _, schema, folder in _version_folders(spark, path)]
+    parts = [reader.schema(schema).parquet(*found) for _, schema, found in _version_parts(spark, path, log, version)]
     if not parts:
         raise ValueError(f"no batches below {path}")
     merge = partial(merge_schemas, exact=exact)
