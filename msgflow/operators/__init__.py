@@ -1,3 +1,4 @@
+from .bounded_requests import bounded_request_batches
 from .compaction import compact
 from .inference import (
     DEFAULT_SCHEMA,
@@ -7,6 +8,7 @@ from .inference import (
     sample_schema,
     schema_of_sample,
 )
+from .offsets import offset_account, offset_gaps
 from .policies import (
     FALLBACK_EVENT,
     PRODUCT,
@@ -25,7 +27,7 @@ from .policies import (
     strict_records,
 )
 from .profile import describe_topic, end_offsets, topic_list, topic_profile, topic_totals
-from .requests import request_batches, request_bodies, score_requests
+from .requests import item_json_bytes, request_batches, request_bodies, room_for_items, score_requests
 
 __all__ = [
     "DEFAULT_SCHEMA",
@@ -35,6 +37,7 @@ __all__ = [
     "array_rows",
     "bad_rows",
     "batch_schema",
+    "bounded_request_batches",
     "captured_rows",
     "compact",
     "converted_rows",
@@ -43,13 +46,17 @@ __all__ = [
     "fixed_schema_rows",
     "good_rows",
     "inferred_rows",
+    "item_json_bytes",
     "lenient_records",
     "merge_schemas",
+    "offset_account",
+    "offset_gaps",
     "parse_with_capture",
     "recursive_schema",
     "rejected_rows",
     "request_batches",
     "request_bodies",
+    "room_for_items",
     "sample_schema",
     "schema_of_sample",
     "score_requests",

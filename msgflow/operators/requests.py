@@ -6,7 +6,7 @@ import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -115,6 +115,17 @@ def request_bodies(
     return batches.withColumn("body", body).withColumn("body_bytes", F.octet_length("body"))
 
 
+def item_json_bytes(content: Column) -> Column:
+    """What an item adds to the size of a body."""
+    return F.octet_length(F.to_json(F.struct(content.alias("image")))) + 1
+
+
+def room_for_items(spark: SparkSession, max_body_bytes: int, **request: str | float | int) -> int:
+    """The bytes that a body of at most ``max_body_bytes`` leaves to its items; ``request`` are the arguments of ``request_bodies``."""
+    empty = spark.createDataFrame([([],)], "items array<struct<position: bigint, content: string>>")
+    return max_body_bytes - request_bodies(empty, **request).first()["body_bytes"]
+
+
 Scorer = Callable[[pd.Series], pd.DataFrame]
 
 

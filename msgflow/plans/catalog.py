@@ -20,6 +20,7 @@ from ..operators import (
     array_rows,
     bad_rows,
     batch_schema,
+    bounded_request_batches,
     captured_rows,
     compact,
     converted_rows,
@@ -27,12 +28,16 @@ from ..operators import (
     fixed_schema_rows,
     good_rows,
     inferred_rows,
+    item_json_bytes,
     lenient_records,
+    offset_account,
+    offset_gaps,
     parse_with_capture,
     recursive_schema,
     rejected_rows,
     request_batches,
     request_bodies,
+    room_for_items,
     sample_schema,
     schema_of_sample,
     score_requests,
@@ -45,6 +50,7 @@ from ..operators import (
 from ..parquet import PARQUET_OPTIONS, legacy_layout
 from ..session import work_folder
 from ..sources import (
+    bytes_per_batch,
     first_document,
     narrow_envelope,
     replay_batch,
@@ -59,10 +65,13 @@ from ..streaming import (
     ConvertedBatches,
     CounterListener,
     InferredBatches,
+    OffsetAccounts,
     OutputLog,
     SplitBatches,
     dead_letter_batch,
+    grouped_messages,
     parquet_stream,
+    read_account,
     read_batches,
     read_versions,
     run_batches,
@@ -76,6 +85,7 @@ from .corpus import (
     TIMESTAMP_TEXT,
     USER_VALUE,
     WIDENED_VALUE,
+    damaged_topic,
     event_messages,
     product_messages,
     store_messages,
@@ -97,8 +107,11 @@ PROMPT = 'What is "new" here?'
 IMAGES_PER_REQUEST = 3
 # The scorer of the registered query refuses bodies whose size is divisible by this.
 REFUSED = 5
-# Files of a micro-batch at most; staged topics come in four batches or more.
-BATCH_FILES = 64
+# Staged topics come in so many batches or more.
+LEAST_BATCHES = 4
+# Bounds of a request body, and of a group of messages.
+BODY_BYTES = 40_000
+GROUP_MESSAGES, GROUP_IDLE = 20, "2 hours"
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -119,10 +132,9 @@ def _staged(messages: DataFrame, purpose: str) -> str:
     return path
 
 
-def replayed(spark: SparkSession, path: str) -> DataFrame:
-    """A staged topic as a stream in bounded batches: a quarter of the files each, and BATCH_FILES at most."""
-    files = len(replay_batch(spark, path).inputFiles())
-    return replay_stream(spark, path, files_per_trigger=max(1, min(BATCH_FILES, files // 4)))
+def replayed(spark: SparkSession, path: str, batches: int = LEAST_BATCHES) -> DataFrame:
+    """A staged topic as a stream in batches of bounded bytes: a share of the topic each, and a split a core at most."""
+    return replay_stream(spark, path, bytes_per_trigger=bytes_per_batch(spark, path, batches))
 
 
 # Envelopes and messages
@@ -389,7 +401,7 @@ def stream_batch_inferred(spark, sf_dir):
 
     def run(source):
         write = dead_letter_batch(InferredBatches(f"{out}/data"), f"{out}/errors")
-        messages = wide_envelope(replay_stream(spark, source))
+        messages = wide_envelope(replayed(spark, source, 1))
         run_to_end(run_batches(messages, write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
 
     _run_by_partition(spark, sf_dir, run, [(0,), (1,), (2,), (3,)])
@@ -405,7 +417,7 @@ def stream_dead_letter(spark, sf_dir):
 
     def run(source):
         write = dead_letter_batch(write_strict, f"{out}/errors")
-        messages = wide_envelope(replay_stream(spark, source))
+        messages = wide_envelope(replayed(spark, source, 1))
         run_to_end(run_batches(messages, write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
 
     _run_by_partition(spark, sf_dir, run, [(0, 1, 2), (3,)], ONE_BAD_PARTITION_VALUE)
@@ -493,7 +505,7 @@ def snapshots(spark, sf_dir):
 
     def run(source):
         for _ in range(2):
-            messages = narrow_envelope(replay_stream(spark, source))
+            messages = narrow_envelope(replayed(spark, source, 1))
             query = run_batches(messages, breaks_off, f"{out}/checkpoint", trigger=AVAILABLE_NOW)
             try:
                 run_to_end(query)
@@ -527,7 +539,7 @@ def transient_failure(spark, sf_dir):
 
     def run(source):
         for _ in range(2):
-            query = run_batches(wide_envelope(replay_stream(spark, source)), write, f"{out}/checkpoint", trigger=AVAILABLE_NOW)
+            query = run_batches(wide_envelope(replayed(spark, source, 1)), write, f"{out}/checkpoint", trigger=AVAILABLE_NOW)
             try:
                 run_to_end(query)
             except StreamingQueryException:
@@ -546,7 +558,7 @@ def stream_widened(spark, sf_dir):
 
     def run(source):
         write = ConvertedBatches(f"{out}/data", f"{out}/bad", keep=AT)
-        messages = wide_envelope(replay_stream(spark, source))
+        messages = wide_envelope(replayed(spark, source, 1))
         run_to_end(run_batches(messages, write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
 
     _run_by_partition(spark, sf_dir, run, [(0, 1), (2,), (3,)], WIDENED_VALUE)
@@ -594,7 +606,7 @@ def stream_restart(spark, sf_dir):
     out = work_folder(spark, "restarted-rows")
 
     def run(source):
-        rows = lenient_records(wide_envelope(replay_stream(spark, source)), keep=AT)
+        rows = lenient_records(wide_envelope(replayed(spark, source, 1)), keep=AT)
         for _ in range(2):
             run_to_end(parquet_stream(rows, f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW))
 
@@ -656,6 +668,46 @@ def describe_topic_query(spark, sf_dir):
     return describe_topic(messages, "purchase").unionByName(describe_topic(messages, "refund"))
 
 
+def offset_gaps_query(spark, sf_dir):
+    """Lost and repeated ranges of offsets of a damaged topic."""
+    return offset_gaps(offset_account(damaged_topic(spark, sf_dir)))
+
+
+def offset_account_stream(spark, sf_dir):
+    """The whole account of the same topic, kept from batch to batch; one batch is published and then runs again."""
+    path, out = _staged(damaged_topic(spark, sf_dir), "damaged"), work_folder(spark, "account")
+    log = OutputLog(f"{out}/log")
+    write = OffsetAccounts(f"{out}/account", log)
+    broken = []
+
+    def breaks_off(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id == 1 and not broken:
+            broken.append(batch_id)
+            raise RuntimeError("the driver stops before the batch is committed")
+
+    for _ in range(2):
+        try:
+            run_to_end(run_batches(replayed(spark, path), breaks_off, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+        except StreamingQueryException:
+            continue
+    return read_account(spark, f"{out}/account", log)
+
+
+def count_or_idle(spark, sf_dir):
+    """Closed groups of each topic partition; the topic arrives in four parts, and the query is started anew for each."""
+    out, source = work_folder(spark, "groups"), work_folder(spark, "in-order")
+    messages = event_messages(spark, sf_dir)
+    first, last = messages.agg(F.min("offset"), F.max("offset")).first()
+    for quarter in range(4):
+        part = F.floor((F.col("offset") - first) * 4 / (last - first + 1)) == quarter
+        messages.where(part).write.mode("append").options(**PARQUET_OPTIONS).parquet(source)
+        wide = wide_envelope(replayed(spark, source, 1))
+        groups = grouped_messages(wide, size=GROUP_MESSAGES, idle=GROUP_IDLE)
+        run_to_end(parquet_stream(groups, f"{out}/data", f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+    return spark.read.parquet(f"{out}/data")
+
+
 # Requests
 
 
@@ -701,6 +753,30 @@ def hot_group_requests(spark, sf_dir):
     )
 
 
+def byte_bounded_requests(spark, sf_dir):
+    """Requests of at most seven items whose bodies have a bound in bytes, one group with nine of ten documents; an item that is larger is alone."""
+    group = F.when(F.col("doc_id") % 10 > 0, F.lit("hot")).otherwise(F.col("source")).alias("owner")
+    documents = table(spark, sf_dir, "documents").select(group, "doc_id", base64_text(F.encode("text", "UTF-8")).alias("content"))
+    request = {"system": SYSTEM, "prompt": PROMPT, "domain": "Text", "model": "describer"}
+    batches = bounded_request_batches(
+        documents,
+        group="owner",
+        order="doc_id",
+        max_items=7,
+        max_bytes=room_for_items(spark, BODY_BYTES, **request),
+        content=F.col("content"),
+        item_bytes=item_json_bytes(F.col("content")),
+    )
+    return request_bodies(batches, **request).select(
+        "owner",
+        "request_no",
+        F.array_join(F.transform("items", lambda item: item["position"].cast("string")), ",").alias("item_ids"),
+        "items_bytes",
+        F.col("body_bytes").cast("bigint").alias("body_bytes"),
+        F.md5(F.encode("body", "UTF-8")).alias("body_md5"),
+    )
+
+
 def request_bodies_query(spark, sf_dir):
     """Fields read back from each body, its size and its fingerprint."""
     body = F.col("body")
@@ -778,17 +854,21 @@ QUERIES = {
     "stm6_stream_recursive": stream_recursive,
     "flt4_stream_rejected": stream_rejected,
     "stm4_stream_restart": stream_restart,
+    "stm6_count_or_idle": count_or_idle,
     "obs1_stream_counters": stream_counters,
     "obs1_batch_counters": batch_counters,
     "snk8_legacy_layout": legacy_sales,
     "snk9_compacted": compacted,
     "agg3_topic_profile": topic_profile_query,
+    "agg3_offset_gaps": offset_gaps_query,
+    "agg3_offset_account": offset_account_stream,
     "agg4_topic_totals": topic_totals_query,
     "agg5_topic_list": topic_list_query,
     "flt7_describe_topic": describe_topic_query,
     "str2_base64_documents": base64_documents,
     "req1_request_batches": request_batches_query,
     "req1_hot_group": hot_group_requests,
+    "req4_byte_bounded": byte_bounded_requests,
     "req3_request_bodies": request_bodies_query,
     "udf4_score_requests": score_requests_query,
 }

@@ -155,6 +155,26 @@ def event_messages(spark: SparkSession, sf_dir: str, value: str = USER_VALUE, ke
     )
 
 
+# Offsets by their remainder to 100: 40 to 49 lost, 10 to 13 twice, 12 a third time.
+LOST_OFFSET = "event_id div 4 % 100 BETWEEN 40 AND 49"
+COPIES = """CASE WHEN event_id div 4 % 100 = 12 THEN 3 WHEN event_id div 4 % 100 BETWEEN 10 AND 13 THEN 2 ELSE 1 END"""
+
+
+def damaged_topic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Envelopes from ``events`` in four partitions with consecutive offsets, of which some are lost and some come again."""
+    events = table(spark, sf_dir, "events").where(f"NOT ({LOST_OFFSET})")
+    copies = events.withColumn("copy", F.explode(F.sequence(F.lit(1), F.expr(COPIES))))
+    return to_envelope(
+        copies,
+        key=F.col("user_id").cast("string"),
+        value=F.col("props"),
+        topic=F.lit("events"),
+        partition=F.expr("event_id % 4"),
+        offset=F.expr("event_id div 4"),
+        timestamp=F.col("ts"),
+    )
+
+
 def keyed_messages(rows: DataFrame, key: str, value: str, topic: str) -> DataFrame:
     """Envelopes from any table with an integer id; the id is the offset of one partition."""
     return to_envelope(

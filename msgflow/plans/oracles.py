@@ -6,9 +6,10 @@ base tables without parsing any JSON.
 
 from __future__ import annotations
 
-from .catalog import IMAGES_PER_REQUEST, PROMPT, REFUSED, SYSTEM
+from .catalog import BODY_BYTES, GROUP_IDLE, GROUP_MESSAGES, IMAGES_PER_REQUEST, PROMPT, REFUSED, SYSTEM
 from .corpus import EDGE_VALUE, TIMESTAMP_TEXT, USER_KEY, USER_VALUE
 
+GROUP_HOURS = int(GROUP_IDLE.removesuffix(" hours"))
 AT = "CAST(event_id % 4 AS INTEGER) AS kafka_partition, event_id AS kafka_offset"
 ORIGIN = f"""coalesce({USER_KEY}, 'no_key') AS message_key, ts AS kafka_timestamp, event_type AS kafka_topic,
  {AT}"""
@@ -112,6 +113,57 @@ SELECT 'txn' || l_orderkey || '-' || l_linenumber, 'STR' || l_suppkey, date_trun
  l_returnflag, 'delivery', l_linestatus, l_tax, 1
 FROM lineitem"""
 
+# A body is its frame and, for each item, the item's JSON and a comma.
+_FRAME = f"""'{{"domainName":"Text","modelName":"describer","modelPayload":{{"messages":[{{"role":"system","content":"{SYSTEM}"}},'
+ || '{{"role":"user","content":[' || ITEMS || '{{"type":"text","text":"{_PROMPT_JSON}"}}]}}],"temperature":0.5,"top_p":0.95,"max_tokens":3000}}}}'"""
+_BOUNDED = f"""
+WITH RECURSIVE sized AS MATERIALIZED (
+ SELECT owner, doc_id, '{{"image":"' || content || '"}},' AS item, octet_length(encode('{{"image":"' || content || '"}},')) AS b,
+  row_number() OVER (PARTITION BY owner ORDER BY doc_id) AS rn
+ FROM (SELECT CASE WHEN doc_id % 10 > 0 THEN 'hot' ELSE source END AS owner, doc_id, base64(encode(text)) AS content FROM documents)),
+room AS (SELECT {BODY_BYTES} - octet_length(encode({_FRAME.replace("ITEMS", "''")})) AS room),
+walk AS (
+ SELECT owner, rn, CAST(0 AS BIGINT) AS request_no, 1 AS n, CAST(b AS BIGINT) AS total FROM sized WHERE rn = 1
+ UNION ALL
+ SELECT s.owner, s.rn, CASE WHEN n < 7 AND total + b <= room THEN request_no ELSE request_no + 1 END,
+  CASE WHEN n < 7 AND total + b <= room THEN n + 1 ELSE 1 END, CASE WHEN n < 7 AND total + b <= room THEN total + b ELSE b END
+ FROM walk AS w JOIN sized AS s ON s.owner = w.owner AND s.rn = w.rn + 1 CROSS JOIN room),
+bodies AS (
+ SELECT owner, request_no, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY rn) AS item_ids, CAST(sum(b) AS BIGINT) AS items_bytes,
+  string_agg(item, '' ORDER BY rn) AS all_items
+ FROM walk JOIN sized USING (owner, rn) GROUP BY owner, request_no)
+SELECT owner, request_no, item_ids, items_bytes, octet_length(encode(body)) AS body_bytes, md5(body) AS body_md5
+FROM (SELECT *, {_FRAME.replace("ITEMS", "all_items")} AS body FROM bodies)"""
+
+_OFFSETS = """
+SELECT event_id % 4 AS partition, event_id // 4 AS pos,
+ CASE WHEN event_id // 4 % 100 = 12 THEN 3 WHEN event_id // 4 % 100 BETWEEN 10 AND 13 THEN 2 ELSE 1 END AS copies
+FROM events WHERE NOT (event_id // 4 % 100 BETWEEN 40 AND 49)"""
+_ACCOUNT = f"""
+WITH places AS (SELECT * FROM ({_OFFSETS})),
+every AS (SELECT partition, unnest(range(min(pos), max(pos) + 1)) AS pos FROM places GROUP BY partition),
+copied AS (SELECT partition, pos, coalesce(copies, 0) AS copies FROM every LEFT JOIN places USING (partition, pos)),
+stretches AS (SELECT *, pos - row_number() OVER (PARTITION BY partition, copies ORDER BY pos) AS stretch FROM copied)
+SELECT 'events' AS topic, CAST(partition AS INTEGER) AS partition, min(pos) AS first_offset, max(pos) AS last_offset, CAST(copies AS BIGINT) AS copies
+FROM stretches GROUP BY partition, copies, stretch"""
+
+_GROUPS = f"""
+WITH messages AS (SELECT event_type AS topic, event_id % 4 AS part, event_id, epoch_us(ts) AS pos FROM events),
+paused AS (SELECT *, pos - lag(pos) OVER p > {GROUP_HOURS * 3_600_000_000} AS pause FROM messages WINDOW p AS (PARTITION BY topic, part ORDER BY event_id)),
+runs AS (SELECT *, count(*) FILTER (WHERE pause) OVER (PARTITION BY topic, part ORDER BY event_id) AS run FROM paused),
+numbered AS (SELECT *, (row_number() OVER (PARTITION BY topic, part, run ORDER BY event_id) - 1) // {GROUP_MESSAGES} AS piece FROM runs),
+groups AS (
+ SELECT topic, part, run, piece, min(event_id) AS first_offset, max(event_id) AS last_offset, count(*) AS messages, max(pos) AS last_at
+ FROM numbered GROUP BY ALL),
+placed AS (
+ SELECT *, row_number() OVER p - 1 AS group_no, lead(run) OVER p IS NOT NULL AS followed
+ FROM groups WINDOW p AS (PARTITION BY topic, part ORDER BY run, piece))
+SELECT topic AS kafka_topic, CAST(part AS INTEGER) AS kafka_partition, group_no, first_offset, last_offset, messages,
+ CASE WHEN messages = {GROUP_MESSAGES} THEN 'count' ELSE 'idle' END AS closed_by
+FROM placed
+WHERE messages = {GROUP_MESSAGES} OR followed
+ OR (last_at + {GROUP_HOURS * 3_600_000_000}) // 1000 < (SELECT max(pos) // 1000 - 1000 FROM messages)"""
+
 ORACLES = {
     "prj1_envelope_wide": f"SELECT {ORIGIN}, {USER_VALUE} AS json_string FROM events",
     "prj2_envelope_narrow": f"SELECT {NARROW}, {USER_VALUE} AS json_string FROM events",
@@ -239,6 +291,11 @@ FROM events""",
     "snk8_legacy_layout": f"SELECT transaction_id, item_id, name, price, quantity FROM ({_ITEMS})",
     "snk9_compacted": _LENIENT,
     "agg3_topic_profile": _TOPIC_PARTITIONS,
+    "agg3_offset_account": _ACCOUNT,
+    "agg3_offset_gaps": f"""
+SELECT topic, partition, CASE copies WHEN 0 THEN 'missing' ELSE 'repeated' END AS kind, first_offset, last_offset, copies
+FROM ({_ACCOUNT}) WHERE copies <> 1""",
+    "stm6_count_or_idle": _GROUPS,
     "agg4_topic_totals": f"""
 SELECT topic, count(*) AS partitions, CAST(sum(end_offset) AS BIGINT) AS approximate_messages,
  CAST(sum(messages) AS BIGINT) AS messages
@@ -260,6 +317,7 @@ SELECT owner, request_no, string_agg(CAST(doc_id AS VARCHAR), ',' ORDER BY doc_i
 FROM (SELECT *, (row_number() OVER (PARTITION BY owner ORDER BY doc_id) - 1) // 7 AS request_no
  FROM (SELECT CASE WHEN doc_id % 10 > 0 THEN 'hot' ELSE source END AS owner, doc_id, text FROM documents))
 GROUP BY owner, request_no""",
+    "req4_byte_bounded": _BOUNDED,
     "req3_request_bodies": f"""
 SELECT source, request_no, 'describer' AS model, 3000 AS max_tokens, 'system' AS first_role, first_image,
  CAST(octet_length(encode(body)) AS INTEGER) AS body_bytes, md5(body) AS body_md5

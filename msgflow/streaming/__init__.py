@@ -1,3 +1,4 @@
+from .account import OffsetAccounts, read_account
 from .batches import (
     ConvertedBatches,
     InferredBatches,
@@ -9,6 +10,7 @@ from .batches import (
     write_batch,
 )
 from .failures import is_data_error
+from .grouping import grouped_messages
 from .metrics import CounterListener
 from .published import OutputLog
 from .sinks import AVAILABLE_NOW, every, parquet_stream, run_batches, run_to_end, send, with_peek
@@ -18,13 +20,16 @@ __all__ = [
     "ConvertedBatches",
     "CounterListener",
     "InferredBatches",
+    "OffsetAccounts",
     "OutputLog",
     "SplitBatches",
     "compact_versions",
     "dead_letter_batch",
     "every",
+    "grouped_messages",
     "is_data_error",
     "parquet_stream",
+    "read_account",
     "read_batches",
     "read_versions",
     "run_batches",

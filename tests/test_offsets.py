@@ -1,0 +1,80 @@
+"""Accounts of offsets against plain counting."""
+
+from collections import Counter
+
+import pytest
+from msgflow.operators import offset_account, offset_gaps, offsets
+from msgflow.sources import ENVELOPE
+from msgflow.streaming import OffsetAccounts, OutputLog, read_account
+
+
+def envelope(spark, rows):
+    """Messages of (topic, partition, offset)."""
+    return spark.createDataFrame([(None, None, t, p, o, None, 0) for t, p, o in rows], ENVELOPE)
+
+
+def plain_account(rows):
+    out = []
+    for topic, partition in {r[:2] for r in rows}:
+        counts = Counter(r[2] for r in rows if r[:2] == (topic, partition) and r[2] is not None)
+        if not counts:
+            continue
+        first = None
+        for at in range(min(counts), max(counts) + 2):
+            n = counts[at] if at <= max(counts) else None
+            if first is None or n != first[1]:
+                if first is not None:
+                    out.append((topic, partition, first[0], at - 1, first[1]))
+                first = (at, n)
+    return sorted(out, key=repr)
+
+
+def collected(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+ROWS = (
+    [("t", 0, o) for o in range(1000) if not 300 <= o < 310 and o != 500]
+    + [("t", 0, o) for o in (5, 6, 7, 7, 998, 999)]
+    + [("t", 1, o * 3) for o in range(40)]
+    + [("t", None, 4), (None, 0, 8), (None, 0, 8), ("u", 0, 10**15), ("u", 0, 10**15 + 2)]
+)
+
+
+@pytest.mark.parametrize("bits", [0, 2, 16])
+def test_account(spark, monkeypatch, bits):
+    monkeypatch.setattr(offsets, "RANGE_BITS", bits)
+    messages = envelope(spark, ROWS).repartition(7)
+    assert collected(offset_account(messages)) == plain_account(ROWS)
+
+
+def test_gaps(spark):
+    rows = [("t", 0, o) for o in (1, 2, 2, 5, 6)]
+    assert collected(offset_gaps(offset_account(envelope(spark, rows)))) == [
+        ("t", 0, "missing", 3, 4, 0),
+        ("t", 0, "repeated", 2, 2, 2),
+    ]
+    assert collected(offset_account(envelope(spark, []))) == []
+    assert collected(offset_account(envelope(spark, [("t", 0, 7)]))) == [("t", 0, 7, 7, 1)]
+
+
+def test_accounts_add_up(spark):
+    known = None
+    for part in (ROWS[:400], ROWS[400:401], ROWS[401:]):
+        account = offset_account(envelope(spark, part), known)
+        known = spark.createDataFrame(account.collect(), account.schema)
+    assert collected(known) == plain_account(ROWS)
+
+
+def test_only_borders_are_shuffled(spark):
+    messages = envelope(spark, [("t", 0, o) for o in range(5000)]).coalesce(1)
+    assert offsets._borders(messages).count() <= 2
+
+
+def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
+    log, path = OutputLog(str(tmp_path / "log")), str(tmp_path / "account")
+    assert read_account(spark, path, log).collect() == []
+    parts = [ROWS[:300], ROWS[300:700], ROWS[700:]]
+    for batch_id in (0, 1, 1, 2, 2):
+        OffsetAccounts(path, log)(envelope(spark, parts[batch_id]), batch_id)
+    assert collected(read_account(spark, path, log)) == plain_account(ROWS)
