@@ -15,14 +15,23 @@ def kafka_session(app_name: str, package: str = KAFKA_PACKAGE) -> SparkSession.B
     return SparkSession.builder.appName(app_name).config("spark.jars.packages", package)
 
 
-def work_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder for intermediate tables that every executor can reach.
+def shared_base(spark: SparkSession) -> str:
+    """The folder for intermediate tables that every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
 
-    It lies below the folder the cluster names in ``spark.checkpoint.dir``. A session without that
-    setting uses its warehouse, which executors share as well; never a machine's own temporary folder.
+    A session on one machine may leave it unset, and uses its warehouse; on a cluster that is an error, since the default of the
+    warehouse is a folder of the driver's own.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/msgflow/{purpose}-{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = spark.conf.get("spark.sql.warehouse.dir")
+    return base.rstrip("/")
+
+
+def work_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder for intermediate tables that every executor can reach, see ``shared_base``."""
+    return f"{shared_base(spark)}/msgflow/{purpose}-{uuid.uuid4().hex}"
 
 
 def delete_folder(spark: SparkSession, path: str) -> None:
