@@ -28,6 +28,7 @@ from .policies import (
 )
 from .profile import describe_topic, end_offsets, topic_list, topic_profile, topic_totals
 from .requests import item_json_bytes, request_batches, request_bodies, room_for_items, score_requests
+from .summaries import merged_summaries, schema_conflicts, schema_summary, summarized_schema
 
 __all__ = [
     "DEFAULT_SCHEMA",
@@ -49,6 +50,7 @@ __all__ = [
     "item_json_bytes",
     "lenient_records",
     "merge_schemas",
+    "merged_summaries",
     "offset_account",
     "offset_gaps",
     "parse_with_capture",
@@ -58,10 +60,13 @@ __all__ = [
     "request_bodies",
     "room_for_items",
     "sample_schema",
+    "schema_conflicts",
     "schema_of_sample",
+    "schema_summary",
     "score_requests",
     "split_counts",
     "strict_records",
+    "summarized_schema",
     "topic_list",
     "topic_profile",
     "topic_totals",

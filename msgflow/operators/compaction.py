@@ -13,6 +13,16 @@ from ..parquet import PARQUET_OPTIONS
 TARGET_BYTES = 128 * 1024 * 1024
 
 
+def packing_session(spark: SparkSession, target_bytes: int) -> SparkSession:
+    """A session whose file scans pack small files into splits of the target size, without a shuffle."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
+    # A file counts with its size only, so that one pass is enough for files of any size.
+    session.conf.set("spark.sql.files.openCostInBytes", "0")
+    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    return session
+
+
 def compact(
     spark: SparkSession,
     source: str,
@@ -31,11 +41,7 @@ def compact(
     ``ignore_folders`` keeps folder names such as ``batch_id=7`` from becoming columns. Files that lack some of the
     fields are read under ``schema``; for the output of ``InferredBatches`` see ``streaming.compact_versions``.
     """
-    session = spark.newSession()
-    session.conf.set("spark.sql.files.maxPartitionBytes", str(target_bytes))
-    # A file counts with its size only, so that one pass is enough for files of any size.
-    session.conf.set("spark.sql.files.openCostInBytes", "0")
-    session.conf.set("spark.sql.files.minPartitionNum", "1")
+    session = packing_session(spark, target_bytes)
     session.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
     reader = session.read.option("recursiveFileLookup", str(ignore_folders).lower())
     rows = (reader.schema(schema) if schema is not None else reader).parquet(source)

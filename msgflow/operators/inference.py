@@ -102,12 +102,12 @@ def counted_recursive_schema(
     ``known`` is a schema that the result is merged with afterwards: what is text there stays text, so it is not looked at, and
     what is a timestamp there is tested together with the inference.
     """
-    text = F.when(_lead(column) == "{", F.col(column))
+    text = F.when(lead_character(column) == "{", F.col(column))
     documents = messages.select(
         text.alias("text"), F.from_json(text, T.VariantType(), dict(OBJECT_TOKENS)).alias("document")
     )
     documents = documents.persist() if persist else documents
-    kinds = dict(_leaves(known)) if known is not None else {}
+    kinds = dict(leaves(known)) if known is not None else {}
     guesses = [path for path, leaf in kinds.items() if leaf == T.TimestampType()]
     try:
         keep_repeated_keys(messages.sparkSession)
@@ -116,7 +116,7 @@ def counted_recursive_schema(
         n, objects, witness, *counts = _aggregates(documents, wanted, in_one_job)
         schema = _from_variant_schema(objects)
         schema = schema if isinstance(schema, T.StructType) else T.StructType()
-        texts = [path for path, leaf in _leaves(schema) if leaf == T.StringType() and kinds.get(path) != T.StringType()]
+        texts = [path for path, leaf in leaves(schema) if leaf == T.StringType() and kinds.get(path) != T.StringType()]
         tested = dict(zip(guesses, zip(counts[::2], counts[1::2], strict=True), strict=True))
         stamps = [path for path in texts if path in tested and tested[path][0] and not tested[path][1]]
         schema = _replace(schema, dict.fromkeys(stamps, T.TimestampType()))
@@ -168,13 +168,13 @@ def merge_schemas(first: T.DataType, second: T.DataType, *, exact: bool = False)
     return T.StringType()
 
 
-def _lead(column: str) -> Column:
+def lead_character(column: str) -> Column:
     """The first character that is no white space: tells objects and arrays apart without parsing."""
     return F.ltrim(F.col(column), F.lit(" \t\r\n")).substr(1, 1)
 
 
 def _widened(messages: DataFrame, column: str, in_one_job: bool) -> tuple[int, T.StructType]:
-    documents = messages.select(_lead(column).alias("lead"), F.from_json(column, T.VariantType()).alias("document"))
+    documents = messages.select(lead_character(column).alias("lead"), F.from_json(column, T.VariantType()).alias("document"))
     document = F.col("document")
     is_object = F.col("lead") == "{"
     is_rows = (F.col("lead") == "[") & F.schema_of_variant(document).startswith("ARRAY<OBJECT<")
@@ -211,12 +211,15 @@ def _not_refuted(paths: list[tuple[str, ...]], witness: str | None) -> list[tupl
 
 
 def _from_variant_schema(text: str | None) -> T.DataType | None:
-    if text is None:
-        return None
+    return None if text is None else _storable(variant_type(text))
+
+
+def variant_type(text: str) -> T.DataType:
+    """The type that ``schema_of_variant`` names."""
     # Names stand in backticks where they are not plain, so only the parts outside count.
     parts = re.split(r"(`(?:[^`]|``)*`)", text)
     parts[::2] = [part.replace("OBJECT<", "STRUCT<") for part in parts[::2]]
-    return _storable(T.DataType.fromDDL("".join(parts)))
+    return T.DataType.fromDDL("".join(parts))
 
 
 def _storable(data_type: T.DataType) -> T.DataType | None:
@@ -236,10 +239,10 @@ def _storable(data_type: T.DataType) -> T.DataType | None:
     return data_type
 
 
-def _leaves(data_type: T.DataType, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
+def leaves(data_type: T.DataType, path: tuple[str, ...] = ()) -> Iterator[tuple[tuple[str, ...], T.DataType]]:
     if isinstance(data_type, T.StructType):
         for field in data_type.fields:
-            yield from _leaves(field.dataType, (*path, field.name))
+            yield from leaves(field.dataType, (*path, field.name))
     else:
         yield path, data_type
 
@@ -279,7 +282,7 @@ def _settled(
     These are the given text leaves, and integers of 20 digits that may have been 2.0 somewhere. ``values`` gives their
     values as text, a column each; without any there is no pass over the data.
     """
-    decimals = [path for path, leaf in _leaves(schema) if leaf == _UNSETTLED]
+    decimals = [path for path, leaf in leaves(schema) if leaf == _UNSETTLED]
     if not decimals and not texts:
         return schema
     rows = values([*decimals, *texts])

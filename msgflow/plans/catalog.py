@@ -30,6 +30,7 @@ from ..operators import (
     inferred_rows,
     item_json_bytes,
     lenient_records,
+    merged_summaries,
     offset_account,
     offset_gaps,
     parse_with_capture,
@@ -43,6 +44,7 @@ from ..operators import (
     score_requests,
     split_counts,
     strict_records,
+    summarized_schema,
     topic_list,
     topic_profile,
     topic_totals,
@@ -68,6 +70,7 @@ from ..streaming import (
     OffsetAccounts,
     OutputLog,
     SplitBatches,
+    compact_published,
     dead_letter_batch,
     grouped_messages,
     parquet_stream,
@@ -639,6 +642,55 @@ def compacted(spark, sf_dir):
     return spark.read.parquet(f"{out}/large")
 
 
+def compacted_in_place(spark, sf_dir):
+    """Published batches merged in place, a second time without news, and again after two more batches.
+
+    Each row has what readers see after a step, and at the version before any merge.
+    """
+    out = work_folder(spark, "merged")
+    log, good, bad = OutputLog(f"{out}/log"), f"{out}/good", f"{out}/bad"
+    write = SplitBatches(USER, good, bad, log=log)
+    messages = event_messages(spark, sf_dir)
+
+    def arrive(*numbers):
+        for number in numbers:
+            write(narrow_envelope(messages.where(F.col("offset") % 6 == number)), number)
+
+    arrive(0, 1, 2, 3)
+    before, steps = log.latest(spark), []
+
+    def step(name):
+        sizes = {r["path"]: r["bytes"] for r in log.files(spark).where(F.col("side") == good).collect()}
+        done = compact_published(spark, log, good)
+        gone = set(sizes) - set(log.paths(spark, good))
+        exact = done.bytes_read == sum(sizes[path] for path in gone) and done.files_read == len(gone)
+        rows, earlier = log.read(spark, good).count(), log.read(spark, good, before).count()
+        steps.append((name, done.version is not None, exact, rows, earlier))
+
+    step("first")
+    step("again")
+    arrive(4, 5)
+    step("more")
+    return spark.createDataFrame(steps, "step string, merged boolean, read_small_files_only boolean, n_rows bigint, rows_before bigint")
+
+
+def schema_from_summaries(spark, sf_dir):
+    """The schema of a folder from the summaries of its four batches alone, with the kinds of value on every path and their counts."""
+    out = work_folder(spark, "summarized")
+    log, summaries = OutputLog(f"{out}/log"), f"{out}/summaries"
+
+    def run(source):
+        write = ConvertedBatches(f"{out}/data", f"{out}/bad", log=log, summary_path=summaries)
+        run_to_end(run_batches(wide_envelope(replayed(spark, source, 1)), write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+
+    _run_by_partition(spark, sf_dir, run, [(0,), (1,), (2,), (3,)])
+    summary = merged_summaries(log.read(spark, summaries))
+    types = _as_rows(spark, summarized_schema(spark, summary))
+    kind = F.when(F.col("kind").rlike("^(DECIMAL|DOUBLE)"), "FRACTION").otherwise(F.col("kind")).alias("kind")
+    counts = summary.groupBy(F.array_join("path", ".").alias("field"), kind).agg(F.sum("messages").alias("messages"))
+    return counts.join(types, "field", "left")
+
+
 def legacy_sales(spark, sf_dir):
     """Nested sales written in the layout for old readers, read back item by item."""
     out = work_folder(spark, "legacy-sales")
@@ -859,6 +911,8 @@ QUERIES = {
     "obs1_batch_counters": batch_counters,
     "snk8_legacy_layout": legacy_sales,
     "snk9_compacted": compacted,
+    "snk9_second_run": compacted_in_place,
+    "inf2_from_summaries": schema_from_summaries,
     "agg3_topic_profile": topic_profile_query,
     "agg3_offset_gaps": offset_gaps_query,
     "agg3_offset_account": offset_account_stream,

@@ -290,6 +290,24 @@ SELECT count(*) AS seen, count(*) FILTER (WHERE {C} NOT IN (0, 1, 2, 7, 8, 12))
 FROM events""",
     "snk8_legacy_layout": f"SELECT transaction_id, item_id, name, price, quantity FROM ({_ITEMS})",
     "snk9_compacted": _LENIENT,
+    "snk9_second_run": f"""
+WITH good AS (SELECT count(*) AS all_rows, count(*) FILTER (WHERE event_id % 6 < 4) AS early FROM events WHERE NOT ({_BAD}))
+SELECT step, step <> 'again' AS merged, TRUE AS read_small_files_only, CASE step WHEN 'more' THEN all_rows ELSE early END AS n_rows, early AS rows_before
+FROM good CROSS JOIN (VALUES ('first'), ('again'), ('more')) AS steps(step)""",
+    "inf2_from_summaries": f"""
+WITH messages AS (SELECT {USER_VALUE} AS v FROM events WHERE {_OBJECTS}),
+kinds AS (
+ SELECT unnest(['id', 'name', 'age', 'specs', 'specs.v', 'specs.at']) AS field,
+  unnest([json_type(v, '$.id'), json_type(v, '$.name'), json_type(v, '$.age'), json_type(v, '$.specs'), json_type(v, '$.specs.v'),
+   CASE WHEN json_type(v, '$.specs.at') = 'VARCHAR' THEN 'TIMESTAMP' END]) AS raw
+ FROM messages),
+named AS (
+ SELECT field, CASE raw WHEN 'UBIGINT' THEN 'BIGINT' WHEN 'DOUBLE' THEN 'FRACTION' WHEN 'VARCHAR' THEN 'STRING' WHEN 'NULL' THEN 'VOID' ELSE raw END
+  AS kind
+ FROM kinds WHERE raw IS NOT NULL)
+SELECT field, kind, count(*) AS messages,
+ CASE field WHEN 'specs' THEN NULL WHEN 'specs.v' THEN 'double' WHEN 'specs.at' THEN 'timestamp' ELSE 'string' END AS type
+FROM named GROUP BY field, kind""",
     "agg3_topic_profile": _TOPIC_PARTITIONS,
     "agg3_offset_account": _ACCOUNT,
     "agg3_offset_gaps": f"""

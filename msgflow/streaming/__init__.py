@@ -13,6 +13,7 @@ from .failures import is_data_error
 from .grouping import grouped_messages
 from .metrics import CounterListener
 from .published import OutputLog
+from .published_compaction import compact_published
 from .sinks import AVAILABLE_NOW, every, parquet_stream, run_batches, run_to_end, send, with_peek
 
 __all__ = [
@@ -23,6 +24,7 @@ __all__ = [
     "OffsetAccounts",
     "OutputLog",
     "SplitBatches",
+    "compact_published",
     "compact_versions",
     "dead_letter_batch",
     "every",

@@ -37,6 +37,7 @@ from ..operators.policies import (
     split_measures,
 )
 from ..operators.shape import align
+from ..operators.summaries import schema_summary
 from ..parquet import PARQUET_OPTIONS
 from ..session import delete_folder
 from ..sources.envelope import ORIGIN
@@ -353,7 +354,8 @@ class InferredBatches(BatchWriter):
 class ConvertedBatches(InferredBatches):
     """``InferredBatches`` with timestamp detection; messages it cannot use go to ``bad_path``.
 
-    Rejected messages are counted whether or not ``bad_path`` is given. A batch is parsed twice: to find its schema, and
+    Rejected messages are counted whether or not ``bad_path`` is given. With ``summary_path`` every batch leaves a summary there, from which the
+    schema of all batches follows (``summarized_schema``). A batch is parsed twice: to find its schema, and
     under the schema; both sides are written from the second one.
     """
 
@@ -366,13 +368,15 @@ class ConvertedBatches(InferredBatches):
         accumulate: bool = True,
         report: Report = log_counts,
         log: OutputLog | None = None,
+        summary_path: str | None = None,
     ):
         super().__init__(path, accumulate=accumulate, report=report, log=log)
         self.bad_path = bad_path
+        self.summary_path = summary_path
         self.keep = keep
 
     def sides(self) -> list[str]:
-        return [self.path, *([self.bad_path] if self.bad_path else [])]
+        return [path for path in (self.path, self.bad_path, self.summary_path) if path]
 
     def infer(self, batch: DataFrame) -> tuple[int, T.StructType]:
         known = self._known(batch.sparkSession)[2]
@@ -391,12 +395,14 @@ class ConvertedBatches(InferredBatches):
                 observed.write.format("noop").mode("overwrite").save()  # no field, so no row of this batch fits
             if self.bad_path and counted.get["rejected"]:
                 self.put(rejected_of(parsed, keep=ORIGIN), self.bad_path, batch_id)
+            if self.summary_path:
+                self.put(schema_summary(batch).coalesce(1), self.summary_path, batch_id)
             return counted.get
 
     def discard(self, batch: DataFrame, batch_id: int) -> None:
         super().discard(batch, batch_id)
-        if self.bad_path:
-            discard_batch(batch.sparkSession, self.bad_path, batch_id)
+        for path in self.sides()[1:]:
+            discard_batch(batch.sparkSession, path, batch_id)
 
 
 def _version_parts(

@@ -111,8 +111,8 @@ class OutputLog:
         self._store_state(spark, version)
         return version
 
-    def replace(self, spark: SparkSession, base: int, files: Sequence[File], removed: Sequence[str]) -> bool:
-        """Puts files into the place of others that hold the same rows, or does nothing and returns False.
+    def replace(self, spark: SparkSession, base: int, files: Sequence[File], removed: Sequence[str]) -> int | None:
+        """Puts files into the place of others that hold the same rows and returns the version, or does nothing and returns None.
 
         ``base`` is the version from which the others were read. If one of them is no longer visible, its batch has run
         again meanwhile, and the new files hold what it had before.
@@ -123,14 +123,14 @@ class OutputLog:
             if version > base:
                 gone = spark.createDataFrame([(path,) for path in removed], "path string")
                 if not gone.join(self.files(spark, version), "path", "left_anti").isEmpty():
-                    return False
+                    return None
                 base = version
             try:
                 self.create(spark, version + 1, content)
             except Taken:
                 continue
             self._store_state(spark, version + 1)
-            return True
+            return version + 1
 
     def _state(self, version: int) -> str:
         return f"{self.path}/states/{version}"

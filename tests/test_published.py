@@ -152,11 +152,11 @@ def test_replacing_files(spark, out):
     log = OutputLog(out("log"))
     for n in range(3):
         log.publish(spark, "q", n, ["a"], [File("a", f"a/{n}", 1)])
-    assert log.replace(spark, 2, [File("a", "a/merged", 2)], ["a/0", "a/1"])
+    assert log.replace(spark, 2, [File("a", "a/merged", 2)], ["a/0", "a/1"]) == 3
     assert log.paths(spark, "a") == ["a/2", "a/merged"]
     # The batch ran again between the read and the replacement: the merged file holds what it had before.
     log.publish(spark, "q", 2, ["a"], [File("a", "a/again", 1)])
-    assert not log.replace(spark, 3, [File("a", "a/stale", 2)], ["a/2", "a/merged"])
+    assert log.replace(spark, 3, [File("a", "a/stale", 2)], ["a/2", "a/merged"]) is None
     assert log.paths(spark, "a") == ["a/again", "a/merged"]
 
 
