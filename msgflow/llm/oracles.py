@@ -5,10 +5,19 @@ Model fits, hashes of shingles, alignments, merges and file formats are beyond i
 
 from __future__ import annotations
 
-from .secrets import ACCESS, ASSIGN, ASSIGN_VALUE, EXAMPLE_OWNERS, HEX, LEAST_VALUE, MIXED
+from .secrets import EXAMPLE_OWNERS, EXAMPLE_REPOSITORIES
 from .vectors import COSINE
 
 
+# The patterns of the contract and of the method, written out apart from those of the operator.
+ASSIGN = r"""(?i)(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?[A-Za-z0-9+/_.=-]+"""
+ASSIGN_VALUE = r"""(?i)^(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)$"""
+ACCESS = "AKIA[A-Z0-9]{16,}"
+HEX = "[0-9a-f]{24,}"
+MIXED = "[A-Za-z0-9+/_-]{20,}"
+LEAST_VALUE = 6
+
+
 def _quoted(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -35,7 +44,9 @@ mixed AS (
  WHERE regexp_matches(hit, '[A-Z]') AND regexp_matches(hit, '[a-z]') AND regexp_matches(hit, '[0-9]')
   AND NOT EXISTS (SELECT 1 FROM base AS b WHERE b.doc_id = m.doc_id AND b.start < m.stop AND m.start < b.stop)),
 findings AS (SELECT * FROM base UNION ALL SELECT * FROM mixed),
-owners AS (SELECT value, count(DISTINCT coalesce(source, chr(0))) < {EXAMPLE_OWNERS} AS live FROM findings GROUP BY value),
+owners AS (
+ SELECT value, count(DISTINCT coalesce(source, chr(0))) < {EXAMPLE_OWNERS}
+  AND count(DISTINCT (coalesce(source, chr(0)), coalesce(doc_id, -1))) < {EXAMPLE_REPOSITORIES} AS live FROM findings GROUP BY value),
 spans AS (
  SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS n_assign, count(*) FILTER (WHERE rank = 1) AS n_access,
   count(*) FILTER (WHERE rank = 2) AS n_hex,

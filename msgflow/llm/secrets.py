@@ -1,13 +1,16 @@
 """Secret scans on DataFrame functions: pattern spans, and ownership frequency over the whole corpus.
 
 Candidates are found by patterns. What tells a live credential from an example is who has it: an example is copied into
-many repositories of many owners, a live credential stays with its owner. So the hashes of all candidate values
-are counted by distinct repositories and owners over the corpus. The label follows from the owners alone: one owner may have
-a live credential in any number of repositories. So an example that only one or two owners copy is labelled live, however often.
+many repositories of many owners, a live credential stays with its owner, in a few repositories. So the hashes of all candidate values
+are counted by distinct repositories and owners over the corpus, and a value that many owners have, or that lies in very many
+repositories of few owners, is a widely copied example.
+
+Within a text all work is linear in its findings: positions and overlaps come from scans of arrays, see ``exclusive_scan``.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -25,8 +28,54 @@ HEX = r"[0-9a-f]{24,}"
 MIXED = r"[A-Za-z0-9+/_-]{20,}"
 KINDS = ("assign", "access", "hex", "mixed")
 LEAST_VALUE = 6
-#: A value that at least so many owners have is a widely copied example.
+#: A value that at least so many owners have, or that lies in so many repositories, is a widely copied example.
 EXAMPLE_OWNERS = 3
+EXAMPLE_REPOSITORIES = 100
+#: Elements that a scan adds to an array one by one, and code points that are looked through for a place in a text.
+_CHUNK, _TEXT_CHUNK = 64, 4096
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def exclusive_scan(values: Column, merge: Callable[[Column, Column], Column], zero: Column, levels: int = 2) -> Column:
+    """For each element of an array<bigint> the fold of all elements before it, by an associative function.
+
+    A step that adds to an array copies it, so only short arrays are built that way: the array is cut into chunks, the
+    chunks' own folds are scanned by the level above, and each chunk goes on from there.
+    """
+    if not levels:
+        return _scan_from(values, merge, zero)
+
+    def scan(v: Column) -> Column:
+        begins = F.when(F.size(v) > 0, F.sequence(F.lit(0), F.size(v) - 1, F.lit(_CHUNK))).otherwise(F.array().cast("array<int>"))
+        chunks = F.transform(begins, lambda i: F.slice(v, i + 1, F.lit(_CHUNK)))
+        return _let(chunks, joined)
+
+    def joined(chunks: Column) -> Column:
+        firsts = exclusive_scan(F.transform(chunks, lambda c: F.aggregate(c, zero, merge)), merge, zero, levels - 1)
+        return F.flatten(F.zip_with(chunks, firsts, lambda c, first: _scan_from(c, merge, first)))
+
+    return _let(values, scan)
+
+
+def _scan_from(values: Column, merge: Callable[[Column, Column], Column], first: Column) -> Column:
+    begin = F.struct(first.alias("at"), F.array().cast("array<bigint>").alias("out"))
+
+    def step(done: Column, value: Column) -> Column:
+        return F.struct(merge(done["at"], value).alias("at"), F.concat(done["out"], F.array(done["at"])).alias("out"))
+
+    return F.aggregate(values, begin, step, lambda done: done["out"])
+
+
+def _sum(a: Column, b: Column) -> Column:
+    return a + b
+
+
+def _most(a: Column, b: Column) -> Column:
+    return F.greatest(a, b)
 
 
 def spans(text: Column, pattern: str) -> Column:
@@ -36,24 +85,50 @@ def spans(text: Column, pattern: str) -> Column:
     texts that match at all are split. The pattern must not match the empty text.
     """
     nothing = F.array().cast("array<struct<start:int,end:int,found:string>>")
-
-    def step(done: Column, piece: Column) -> Column:
-        start = done["at"] + F.length(piece["part"])
-        end = start + F.length(piece["found"])
-        one = F.struct(start.alias("start"), end.alias("end"), piece["found"].alias("found"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], F.array(one)).alias("spans"))
-
     pieces = F.filter(
         F.zip_with(
             F.split(text, pattern, -1),
             F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
-            lambda part, found: F.struct(part.alias("part"), found.alias("found")),
+            lambda part, found: F.struct(F.length(part).cast("bigint").alias("part"), found.alias("found")),
         ),
         lambda piece: piece["found"].isNotNull(),
     )
-    begin = F.struct(F.lit(0).alias("at"), nothing.alias("spans"))
-    walked = F.aggregate(pieces, begin, step, lambda done: done["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(nothing)
+
+    def placed(pieces: Column) -> Column:
+        lengths = F.transform(pieces, lambda piece: piece["part"] + F.length(piece["found"]))
+        return F.zip_with(pieces, exclusive_scan(lengths, _sum, F.lit(0).cast("bigint")), one)
+
+    def one(piece: Column, before: Column) -> Column:
+        start = (before + piece["part"]).cast("int")
+        return F.struct(start.alias("start"), (start + F.length(piece["found"])).alias("end"), piece["found"].alias("found"))
+
+    return F.when(text.rlike(pattern), _let(pieces, placed)).otherwise(nothing)
+
+
+def _apart(mixed: Column, base: Column) -> Column:
+    """The spans of ``mixed`` that share no character with one of ``base``.
+
+    Both are put into one order, base spans by their start and the others by their end; a span is apart if all base spans before
+    its end have ended by its start.
+    """
+    nobody = F.lit(-1).cast("bigint")
+
+    def event(key: Column, is_base: int, span: Column) -> Column:
+        reach = span["end"].cast("bigint") if is_base else nobody
+        return F.struct(key.alias("key"), F.lit(is_base).alias("is_base"), reach.alias("reach"), span.alias("span"))
+
+    events = F.sort_array(
+        F.concat(F.transform(base, lambda b: event(b["start"], 1, b)), F.transform(mixed, lambda m: event(m["end"], 0, m)))
+    )
+
+    def kept(events: Column) -> Column:
+        before = exclusive_scan(F.transform(events, lambda e: e["reach"]), _most, nobody)
+        free = F.zip_with(
+            events, before, lambda e, reach: F.when((e["is_base"] == 0) & (reach <= e["span"]["start"]), e["span"])
+        )
+        return F.filter(free, lambda span: span.isNotNull())
+
+    return F.when((F.size(mixed) > 0) & (F.size(base) > 0), _let(events, kept)).otherwise(mixed)
 
 
 def _finding(kind: str, value: Column, span: Column) -> Column:
@@ -84,10 +159,10 @@ def with_candidates(docs: DataFrame, text: str) -> DataFrame:
         F.filter(spans(whole, MIXED), lambda s: reduce(Column.__and__, [s["found"].rlike(c) for c in classes])),
         lambda s: _finding("mixed", s["found"], s),
     )
-    apart = lambda m: ~F.exists("_base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"]))
     # (the caller passes columns of its own only, so these names are free)
     rows = docs.withColumns({"_base": base, "_mixed": mixed})
-    return rows.withColumn("found", F.array_sort(F.concat("_base", F.filter("_mixed", apart)))).drop("_base", "_mixed")
+    apart = _apart(F.col("_mixed"), F.col("_base"))
+    return rows.withColumn("found", F.sort_array(F.concat("_base", apart))).drop("_base", "_mixed")
 
 
 def ownership(candidates: DataFrame) -> DataFrame:
@@ -108,14 +183,16 @@ def find_secrets(
     repository_col: str = "doc_id",
     owner_col: str = "source",
     example_owners: int = EXAMPLE_OWNERS,
+    example_repositories: int = EXAMPLE_REPOSITORIES,
 ) -> DataFrame:
     """``docs`` with ``findings``, labelled by who has the same value anywhere in the corpus.
 
     ``findings`` is array<struct<start, rank, end, kind, owners, repositories, live>> by start, then kind; positions in code
     points, end exclusive. ``owners`` and ``repositories`` count distinct owners and repositories with the finding's
-    value; ``live`` is true where fewer than ``example_owners`` owners have it; repositories are counted but do not decide. Null
-    owners are one owner, null repositories one repository of each owner. A null or empty text has an empty array. A column named ``findings``
-    is replaced; rows that repeat are labelled alike; an empty table gives an empty result.
+    value; ``live`` is true where fewer than ``example_owners`` owners have it and it lies in fewer than ``example_repositories``
+    repositories. Null owners are one owner, null repositories one repository of each owner. A null or empty text has an empty array. A text of
+    any length is scanned whole, in time that is linear in its length and findings. A column named ``findings`` is replaced; rows that
+    repeat are labelled alike; an empty table gives an empty result.
     """
     tables = Tables(docs.sparkSession, "secrets")
     narrow = docs.select(
@@ -132,7 +209,7 @@ def find_secrets(
         *[F.col(f"c.{name}") for name in ("start", "rank", "end", "kind")],
         "owners",
         "repositories",
-        (F.col("owners") < example_owners).alias("live"),
+        ((F.col("owners") < example_owners) & (F.col("repositories") < example_repositories)).alias("live"),
     )
     rows_ = without(docs, ["findings"])
     id_, h_ = unused(rows_, "_id", "_h")
@@ -149,16 +226,35 @@ def find_secrets(
 
 
 def redacted(text: Column, spans_: Column, mark: str = "[secret]") -> Column:
-    """``text`` with each of the given spans (by start; they may overlap) replaced by ``mark``."""
+    """``text`` with each of the given spans (by start; they may overlap) replaced by ``mark``.
+
+    The text is cut into chunks once, so the place of a span is looked for in a chunk, not in the whole text.
+    """
+
+    def clean(chunks: Column, s: Column) -> Column:
+        ends = F.transform(s, lambda one: one["end"].cast("bigint"))
+        before = exclusive_scan(ends, _most, F.lit(0).cast("bigint"))
+        parts = F.zip_with(
+            s,
+            before,
+            lambda one, at: F.when(one["start"] < at, "").otherwise(F.concat(_between(chunks, at, one["start"]), F.lit(mark))),
+        )
+        return F.concat(F.array_join(parts, ""), _between(chunks, F.array_max(ends), F.length(text)))
+
+    chunks = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{_TEXT_CHUNK}}}"), F.lit(0))
+    whole = _let(F.struct(chunks.alias("chunks"), spans_.alias("spans")), lambda both: clean(both["chunks"], both["spans"]))
+    return F.when(F.size(spans_) > 0, whole).otherwise(text)
+
+
+def _between(chunks: Column, begin: Column, end: Column) -> Column:
+    """The code points from ``begin`` to ``end`` of a text in chunks."""
+    first, last = F.floor(begin / _TEXT_CHUNK).cast("int"), F.floor((end - 1) / _TEXT_CHUNK).cast("int")
 
-    def step(done: Column, s: Column) -> Column:
-        gap = F.substring(text, done["at"] + 1, s["start"] - done["at"])
-        out = F.when(s["start"] < done["at"], done["out"]).otherwise(F.concat(done["out"], gap, F.lit(mark)))
-        return F.struct(F.greatest(done["at"], s["end"]).alias("at"), out.alias("out"))
+    def piece(i: Column) -> Column:
+        at = F.greatest(begin - i * _TEXT_CHUNK, F.lit(0)).cast("int")
+        return F.substring(chunks[i], at + 1, (F.least(end - i * _TEXT_CHUNK, F.lit(_TEXT_CHUNK)) - at).cast("int"))
 
-    begin = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = lambda done: F.concat(done["out"], F.substring(text, done["at"] + 1, F.length(text)))
-    return F.when(F.size(spans_) > 0, F.aggregate(spans_, begin, step, rest)).otherwise(text)
+    return F.when(end > begin, F.array_join(F.transform(F.sequence(first, last), piece), "")).otherwise("")
 
 
 def span_text(findings: Column) -> Column:

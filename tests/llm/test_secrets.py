@@ -1,12 +1,14 @@
 import hashlib
 import re
+import time
 from collections import defaultdict
 
+import pytest
 from edge import SCHEMA, clashing, edge_rows, rows_of
 from pyspark.sql import functions as F
 
 from msgflow.llm.queries import op8_secret_ownership
-from msgflow.llm.secrets import find_secrets, redacted, spans
+from msgflow.llm.secrets import exclusive_scan, find_secrets, redacted, spans
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 
@@ -57,7 +59,7 @@ def test_base_spans_and_ownership(spark):
         for f in r.findings:
             if f.kind != "assign":
                 assert f.owners == len(owners[r.text[f.start : f.end]])
-            assert f.live == (f.owners < 3)
+            assert f.live == (f.owners < 3 and f.repositories < 100)
     assert any(f.kind == "mixed" for r in rows for f in r.findings)
     assert find_secrets(spark.createDataFrame([], SCHEMA)).collect() == []
 
@@ -68,6 +70,44 @@ def test_copied_examples_and_live_credentials(spark):
     found = {r.doc_id: r.findings[0] for r in find_secrets(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert (found[0].owners, found[0].repositories, found[0].live) == (5, 5, False)
     assert (found[10].owners, found[10].repositories, found[10].live) == (1, 5, True)
+    # Copied into very many repositories, a value is an example even of one or two owners.
+    rows = [(i, "token = \"manycopies11\"", "en", f"src{i % 2}", 1) for i in range(120)]
+    found = find_secrets(spark.createDataFrame(rows, SCHEMA)).first().findings[0]
+    assert (found.owners, found.repositories, found.live) == (2, 120, False)
+    found = find_secrets(spark.createDataFrame(rows, SCHEMA), example_repositories=121).first().findings[0]
+    assert found.live
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 65, 130, 4096, 4097, 9000])
+def test_scans(spark, n):
+    values = [(i * 7919) % 101 for i in range(n)]
+    df = spark.createDataFrame([(values,)], "v array<bigint>")
+    zero = F.lit(0).cast("bigint")
+    sums, most = df.select(exclusive_scan(F.col("v"), lambda a, b: a + b, zero), exclusive_scan(F.col("v"), lambda a, b: F.greatest(a, b), zero)).first()
+    assert sums == [sum(values[:i]) for i in range(n)] and most == [max(values[:i], default=0) for i in range(n)]
+
+
+def checksums(n):
+    lines = (f"{hashlib.sha256(str(i).encode()).hexdigest()[:40]}  Ab9/{'x' * (i % 5)}é-Zz0123456789abcdefGH{i}" for i in range(n))
+    return "\n".join(lines)
+
+
+def test_time_is_linear_in_the_findings_of_a_text(spark):
+    def seconds(n):
+        docs = spark.createDataFrame([(1, checksums(n), "en", "s", 1)], SCHEMA)
+        began = time.time()
+        found = find_secrets(docs)
+        n_found, clean = found.select(F.size("findings"), F.md5(redacted(F.col("text"), F.col("findings")))).first()
+        return time.time() - began, n_found, clean
+
+    seconds(500)
+    text = checksums(2000)
+    _, n_found, clean = seconds(2000)
+    assert n_found == 4000
+    expected = re.sub(r"[0-9a-f]{40}  (Ab9/x*)é(-Zz0123456789abcdefGH\d+)", lambda m: f"[secret]  {m[1]}é[secret]", text)
+    assert clean == hashlib.md5(expected.encode()).hexdigest()
+    small, large = seconds(20_000)[0], seconds(40_000)[0]
+    assert large < 2.3 * small + 1
 
 
 def test_redaction(spark):
