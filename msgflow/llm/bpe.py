@@ -4,7 +4,7 @@ Merges never cross the borders of the words that the splitting pattern matches.
 an inverted index from each pair of neighbouring tokens to its positions in those words is built once for the block, and the
 merges are applied in rank order, each to all its positions at once; only the pairs of the touched neighbours are added to
 the index. A task replays the merges block by block (BLOCK_BYTES), each time for the words that it does not keep from earlier
-blocks (KEPT_WORDS), and documents are put together from their words' tokens. (The words of the whole corpus in one shared table would have to meet the documents in a
+blocks (KEPT_BYTES), and documents are put together from their words' tokens. (The words of the whole corpus in one shared table would have to meet the documents in a
 shuffle of all texts; what a word becomes does not depend on the other words, so the result is the same.)
 """
 
@@ -14,6 +14,7 @@ import base64
 import hashlib
 import heapq
 from functools import lru_cache
+from sys import getsizeof
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +25,11 @@ from pyspark.sql import DataFrame
 from .tables import add_columns
 from .text import column_bytes
 
-#: Words that a task keeps with their tokens before it starts afresh, and bytes of text replayed at once.
-KEPT_WORDS = 150_000
+#: Bytes of words and their tokens that a task keeps before it starts afresh, and bytes of text replayed at once.
+KEPT_BYTES = 32 << 20
 BLOCK_BYTES = 2 << 20
+#: What a kept word takes besides its characters and tokens: its place in the dictionary, its number and its offset.
+_WORD_BYTES = 120
 
 
 class Ranks:
@@ -140,10 +143,11 @@ class Encoder:
         self.slot: dict[str, int] = {}
         self.values = np.zeros(0, np.int64)
         self.offsets = np.zeros(1, np.int64)
+        self.kept_bytes = 0
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and the offsets of each text's ids."""
-        if len(self.slot) > KEPT_WORDS:
+        if self.kept_bytes > KEPT_BYTES:
             self._afresh()
         words, counts = [], []
         for text in texts:
@@ -155,6 +159,7 @@ class Encoder:
         if fresh:
             slot.update(zip(fresh, range(len(slot), len(slot) + len(fresh)), strict=True))
             values, offsets = replay([w.encode() for w in fresh], self.ranks)
+            self.kept_bytes += sum(map(getsizeof, fresh)) + _WORD_BYTES * len(fresh) + values.nbytes
             self.offsets = np.concatenate([self.offsets, offsets[1:] + len(self.values)])
             self.values = np.concatenate([self.values, values])
         at = np.fromiter(map(slot.__getitem__, words), np.int64, len(words))
@@ -192,7 +197,8 @@ def with_tokens(
     """``docs`` with ``token_ids`` (array<int>, left out unless ``ids``), ``n_tokens`` and two digests.
 
     ``ids_sha256`` is over the ids as little-endian unsigned 32-bit integers, ``decoded_sha256`` over the bytes that the
-    ids decode to. A null text is an empty one. ``ranks_file`` is shipped to the executors by Spark. The rank file must
+    ids decode to. A null text is an empty one. A text of any length is encoded whole; its task holds its words and ids at once. Rows that
+    repeat are encoded alike, and an empty table gives an empty result. ``ranks_file`` is shipped to the executors by Spark. The rank file must
     have all 256 single bytes. Columns of those names are replaced; all others stay.
     """
     docs.sparkSession.sparkContext.addFile(ranks_file)
