@@ -10,14 +10,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
+from ..session import shared_base
 
-def shared_folder(spark: SparkSession, purpose: str) -> str:
-    """A fresh folder below ``spark.checkpoint.dir``, which all executors share.
 
-    A session without that setting (tests) uses its warehouse, which is shared as well.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
-    return f"{base.rstrip('/')}/llm/{purpose}-{uuid.uuid4().hex}"
+def shared_folder(spark: SparkSession, purpose: str) -> str:
+    """A fresh folder below ``spark.checkpoint.dir``, which all executors share; see ``shared_base`` where that is unset."""
+    return f"{shared_base(spark)}/llm/{purpose}-{uuid.uuid4().hex}"
 
 
 def delete_folder(spark: SparkSession, folder: str) -> None:
