@@ -1,33 +1,73 @@
-"""Benchmark decontamination: n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
+"""Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
-Words are compared by the hashes of their lower-cased letters and digits. Every n-gram of an item is a seed. Documents are
-scanned once; a bit table of fixed size, made from the seeds, passes the places that may hold one, and the passage around
-them, wide enough for the longest item, leaves the scan. Passages meet items by a join on the seeds. Every pair that shares a
-seed is aligned, unless a bound from the words they have in common shows that the score can not suffice. The local alignment of
-words bears replaced, added and left-out words.
+Words are runs of letters, marks and digits in lower case; in scripts without spaces each character is one. The n-grams of an item, with n by the item's
+length, are its seeds. A first scan of the documents counts them. Of each item the most frequent seeds are left out, as many as a copy can do
+without. A second scan finds the places of the seeds that are left, and passages around them, wide enough for the items of a length class, leave it.
+Passages meet items by a join on the seeds, by ids alone. Words are attached to the pairs, and every pair that a bound from the words in common does
+not rule out is aligned. The local alignment of words bears replaced, added and left-out words.
+
+A copy that reaches half of the best score has at most a third of its words replaced. So of the two-word seeds of a short item of L words L - 1 - 2 * (L // 3)
+are intact at least (``intact_seeds``): all but two of these may be left out if two shared seeds are asked for. Items of more than SHORT_ITEM words have
+three-word seeds, of which a third may be left out; a copy then is lost only if its replaced words leave none of the others whole.
 """
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import regex
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import Tables
 from .text import BLOCK_BYTES, WORDS, column_bytes, first_of_docs, lowered, mixed, runs
 
-SEED_WORDS = 4
+#: Items of at most so many words have seeds of two words, longer ones of three.
+SHORT_ITEM = 12
+#: Seeds that occur at most so often in all documents are never left out.
+RARE_SEED = 1000
 #: Alignment: a match, a mismatch, a gap; and the share of the best possible score from which a pair counts.
 MATCH, MISMATCH, GAP = 2, -1, -1
 LEAST_SHARE = 0.5
-#: Bits of the table that the scan asks first: 4 MB, whatever the benchmark.
-FILTER_BITS = 1 << 25
+#: The table that a scan asks first has so many bits a seed, between these bounds (the upper one is 32 MB a length class).
+FILTER_BITS_PER_SEED, LEAST_FILTER_BITS, MOST_FILTER_BITS = 64, 1 << 16, 1 << 28
 #: Pairs compared at once, and words of their items, each taken as long as the longest.
 _PAIRS, _ITEM_WORDS = 128, 1 << 17
 
+#: What the fast path for words can not tell apart: characters that are neither ASCII nor letters of Latin-1.
+_SIGN = regex.compile(r"[^\p{L}\p{M}\p{N}]+")
+_SINGLE = regex.compile(r"[\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}]")
+
+
+def plain_words(text: str) -> str:
+    """The words of a text, in lower case and composed form, with white space between them."""
+    text = unicodedata.normalize("NFC", text).lower()
+    return _SINGLE.sub(r" \g<0> ", _SIGN.sub(" ", text))
+
+
+def _unusual(offsets: np.ndarray, data: np.ndarray) -> np.ndarray:
+    """The texts with characters that are neither ASCII nor letters of Latin-1."""
+    lead = data >= 0xC0
+    odd = lead & (data != 0xC3)
+    if len(data) > 1:
+        odd[:-1] |= (data[:-1] == 0xC3) & ((data[1:] == 0x97) | (data[1:] == 0xB7))
+    return np.unique(np.searchsorted(offsets, np.flatnonzero(odd), "right") - 1)
+
+
+def _word_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Offsets and bytes of a text column, unusual texts replaced by their plain words."""
+    offsets, data = column_bytes(column)
+    unusual = _unusual(offsets - offsets[0], data[offsets[0] : offsets[-1]]) if len(offsets) > 1 else []
+    if len(unusual):
+        texts = column.cast(pa.large_string()).to_pylist()
+        for i in unusual.tolist():
+            texts[i] = plain_words(texts[i])
+        return column_bytes(pa.array(texts, pa.large_string()))
+    return offsets, data
+
 
 def _grams(words: np.ndarray, n: int) -> np.ndarray:
     """64-bit hashes of the runs of n words."""
@@ -65,7 +105,7 @@ def _documents(column: pa.Array, shared: int) -> Iterator[tuple[np.ndarray, np.n
 
     A document longer than a block comes in pieces that share ``shared`` words.
     """
-    offsets, data = column_bytes(column)
+    offsets, data = _word_bytes(column)
     first, n = 0, len(offsets) - 1
     while first < n:
         last = max(first + 1, int(np.searchsorted(offsets, offsets[first] + BLOCK_BYTES, "right")) - 1)
@@ -99,74 +139,150 @@ def item_words(items: DataFrame, id_col: str, text: str) -> DataFrame:
     return found.select(F.xxhash64("item_id", "words").alias("item"), "item_id", "words")
 
 
-def item_seeds(items: DataFrame, n: int) -> DataFrame:
-    """(seed, item, width) of all n-grams of items; an item of fewer words is one seed."""
+def seed_width(words: int) -> int:
+    """The words of a seed of an item of so many words."""
+    return min(words, 2 if words <= SHORT_ITEM else 3)
+
+
+def intact_seeds(words: int) -> int:
+    """How many two-word seeds a copy keeps at least that has a third of its words replaced."""
+    return words - 1 - 2 * (words // 3)
+
+
+def seeds_asked(words: int) -> int:
+    """How many kept seeds a passage shares with an item before the two are compared."""
+    return 2 if seed_width(words) == 2 and intact_seeds(words) >= 2 else 1
+
+
+def seeds_left_out(words: int) -> int:
+    """How many of its most frequent seeds an item can do without."""
+    if seed_width(words) == 3:
+        return (words - 2) // 3
+    return max(0, intact_seeds(words) - seeds_asked(words)) if words > 2 else 0
+
+
+def item_seeds(items: DataFrame) -> DataFrame:
+    """(seed, item, width, class, asked, left_out) of all seeds of items; the class is the item's length rounded up to a power of two."""
 
     def compute(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seeds = [_grams(w := np.asarray(v.values).view(np.uint64), min(n, len(w))) for v in batch.column("words")]
-            sizes = [len(s) for s in seeds]
-            at = pa.array(np.repeat(np.arange(len(seeds)), sizes))
-            width = np.minimum(n, [len(v) for v in batch.column("words")])
-            columns = [pa.array(np.concatenate(seeds).view(np.int64)), batch.column("item").take(at), pa.array(np.repeat(width, sizes), pa.int32())]
-            yield pa.RecordBatch.from_arrays(columns, names=["seed", "item", "width"])
+            lengths = [len(v) for v in batch.column("words")]
+            seeds = [_grams(np.asarray(v.values).view(np.uint64), seed_width(n)) for v, n in zip(batch.column("words"), lengths)]
+            at = np.repeat(np.arange(len(seeds)), [len(s) for s in seeds])
+            by_item = [
+                [seed_width(n) for n in lengths],
+                [max(4, (n - 1).bit_length()) for n in lengths],
+                [seeds_asked(n) for n in lengths],
+                [seeds_left_out(n) for n in lengths],
+            ]
+            columns = [pa.array(np.concatenate(seeds).view(np.int64)), batch.column("item").take(pa.array(at))]
+            columns += [pa.array(np.array(values)[at], pa.int32()) for values in by_item]
+            yield pa.RecordBatch.from_arrays(columns, names=["seed", "item", "width", "class", "asked", "left_out"])
+
+    fields = "seed bigint, item bigint, width int, class int, asked int, left_out int"
+    return items.select("item", "words").mapInArrow(compute, fields).distinct()
+
+
+def rare_seeds(seeds: DataFrame, counts: DataFrame) -> DataFrame:
+    """The seeds without the most frequent ones of each item. A seed that occurs RARE_SEED times or less stays in any case."""
+    known = seeds.join(counts, "seed", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    rank = F.row_number().over(Window.partitionBy("item").orderBy(F.desc("n"), "seed"))
+    return known.withColumn("rank", rank).where((F.col("rank") > F.col("left_out")) | (F.col("n") <= RARE_SEED)).drop("rank", "n")
+
+
+class _Filter:
+    """The seeds of one class: a bit for each hash value modulo the size of the table, and the widths of the seeds."""
+
+    def __init__(self, table: np.ndarray, widths: list[int], longest: int) -> None:
+        self.table, self.widths, self.longest = table, widths, longest
+
+    def hits(self, grams: np.ndarray) -> np.ndarray:
+        bit = grams % np.uint64(8 * len(self.table))
+        return (self.table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+
+def _filters(seeds: DataFrame) -> dict[int, _Filter]:
+    """The filter of each class of items, of which there are as many as powers of two up to the longest item."""
+    out = {}
+    classes = seeds.groupBy("class").agg(F.count_distinct("seed").alias("n"), F.collect_set("width").alias("widths")).collect()
+    for row in classes:
+        bits = min(MOST_FILTER_BITS, max(LEAST_FILTER_BITS, 1 << (FILTER_BITS_PER_SEED * row["n"] - 1).bit_length()))
+        bit = F.pmod(F.col("seed"), F.lit(bits))
+        one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
+        words = seeds.where(F.col("class") == row["class"]).groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one))
+        table = np.zeros(bits // 64, np.int64)
+        for at, value in words.collect():
+            table[at] = value
+        out[row["class"]] = _Filter(table.view(np.uint8), sorted(row["widths"]), 1 << row["class"])
+    return out
+
 
-    return items.select("item", "words").mapInArrow(compute, "seed bigint, item bigint, width int").distinct()
+def _hits(filters: dict[int, _Filter], doc: np.ndarray, words: np.ndarray) -> Iterator[tuple[int, list[tuple[np.ndarray, np.ndarray]]]]:
+    """For each class the grams of its widths, and which of them lie in one document and may be seeds."""
+    grams: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    for number, filter_ in filters.items():
+        found = []
+        for n in filter_.widths:
+            if n not in grams:
+                g = _grams(words, n)
+                grams[n] = g, doc[: len(g)] == doc[n - 1 :] if n > 1 else np.ones(len(g), bool)
+            g, inside = grams[n]
+            found.append((g, inside & filter_.hits(g)))
+        yield number, found
 
 
-def _bit_table(seeds: DataFrame) -> np.ndarray:
-    """A bit for each hash value modulo FILTER_BITS, set where some seed has it. Rows of 64 bits reach the driver."""
-    bit = F.pmod(F.col("seed"), F.lit(FILTER_BITS))
-    one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
-    words = seeds.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one))
-    table = np.zeros(FILTER_BITS // 64, np.int64)
-    for at, value in words.collect():
-        table[at] = value
-    return table.view(np.uint8)
+def seed_counts(docs: DataFrame, text: str, filters: dict[int, _Filter]) -> DataFrame:
+    """(seed, n): how often each possible seed occurs in all documents; every task adds up its own."""
 
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = []
+            for doc, _, words in _documents(batch.column("text"), 0):
+                found += [g[ok] for _, hits in _hits(filters, doc, words) for g, ok in hits if ok.any()]
+            if found:
+                seeds, counts = np.unique(np.concatenate(found), return_counts=True)
+                columns = [pa.array(seeds.view(np.int64)), pa.array(counts, pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, names=["seed", "n"])
 
-def _asked(table: np.ndarray, grams: np.ndarray) -> np.ndarray:
-    bit = grams % np.uint64(FILTER_BITS)
-    return (table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+    counted = docs.select(F.col(text).alias("text")).mapInArrow(scan, "seed bigint, n bigint")
+    return counted.groupBy("seed").agg(F.sum("n").alias("n"))
 
 
-def passages(docs: DataFrame, id_col: str, text: str, table: np.ndarray, widths: list[int], longest: int) -> DataFrame:
-    """(id, at, seeds, words): places of documents with possible seeds, and the words around them.
+def passages(docs: DataFrame, id_col: str, text: str, filters: dict[int, _Filter]) -> DataFrame:
+    """(id, class, at, seeds, words): places of documents with possible seeds of a class, and the words around them.
 
     Hits within four item lengths of the first one share a passage, which reaches one and a half item lengths further on either
-    side; so every alignment around a hit lies in a passage, and the size of a passage has a bound.
+    side; so every alignment around a hit lies in a passage, and the size of a passage has a bound. The length is the longest of the class.
     """
-    margin, reach = longest + longest // 2, 4 * longest
-    fields = "at bigint, seeds array<bigint>, words array<bigint>"
+    fields = "class int, at bigint, seeds array<bigint>, words array<bigint>"
     kind = docs.schema[id_col].dataType.simpleString()
+    longest = max((f.longest for f in filters.values()), default=1)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found: tuple[list, list, list, list] = [], [], [], []
-            for doc, position, words in _documents(batch.column("text"), reach + 2 * margin):
-                hit = np.zeros(len(words), bool)
-                grams = {}
-                for n in widths:
-                    g = _grams(words, n)
-                    inside = doc[: len(g)] == doc[n - 1 :] if n > 1 else np.ones(len(g), bool)
-                    grams[n] = g, inside & _asked(table, g)
-                    hit[: len(g)] |= grams[n][1]
-                hits = np.flatnonzero(hit)
-                while len(hits):
-                    d = doc[hits[0]]
-                    inside = int(np.searchsorted(hits, min(hits[0] + reach, np.searchsorted(doc, d, "right")), "left"))
-                    mine, hits = hits[:inside], hits[inside:]
-                    lo = max(int(mine[0]) - margin, int(np.searchsorted(doc, d, "left")))
-                    hi = min(int(mine[-1]) + margin, int(np.searchsorted(doc, d, "right")))
-                    seeds = np.unique(np.concatenate([g[mine[mine < len(g)]][ok[mine[mine < len(g)]]] for g, ok in grams.values()]))
-                    found[0].append(int(d))
-                    found[1].append(int(position[lo]))
-                    found[2].append(seeds.view(np.int64))
-                    found[3].append(words[lo:hi].view(np.int64))
+            found: tuple[list, ...] = [], [], [], [], []
+            for doc, position, words in _documents(batch.column("text"), 7 * longest):
+                for number, grams in _hits(filters, doc, words):
+                    length = filters[number].longest
+                    margin, reach = length + length // 2, 4 * length
+                    hit = np.zeros(len(words), bool)
+                    for g, ok in grams:
+                        hit[: len(g)] |= ok
+                    hits = np.flatnonzero(hit)
+                    while len(hits):
+                        d = doc[hits[0]]
+                        inside = int(np.searchsorted(hits, min(hits[0] + reach, np.searchsorted(doc, d, "right")), "left"))
+                        mine, hits = hits[:inside], hits[inside:]
+                        lo = max(int(mine[0]) - margin, int(np.searchsorted(doc, d, "left")))
+                        hi = min(int(mine[-1]) + margin, int(np.searchsorted(doc, d, "right")))
+                        seeds = np.unique(np.concatenate([g[mine[mine < len(g)]][ok[mine[mine < len(g)]]] for g, ok in grams]))
+                        values = int(d), number, int(position[lo]), seeds.view(np.int64), words[lo:hi].view(np.int64)
+                        for held, value in zip(found, values):
+                            held.append(value)
             if found[0]:
-                lists = [pa.array(v, pa.list_(pa.int64())) for v in found[2:]]
-                columns = [batch.column("id").take(pa.array(found[0])), pa.array(found[1], pa.int64()), *lists]
-                yield pa.RecordBatch.from_arrays(columns, names=["id", "at", "seeds", "words"])
+                columns = [batch.column("id").take(pa.array(found[0])), pa.array(found[1], pa.int32()), pa.array(found[2], pa.int64())]
+                columns += [pa.array(v, pa.list_(pa.int64())) for v in found[3:]]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "class", "at", "seeds", "words"])
 
     return docs.select(F.col(id_col).alias("id"), F.col(text).alias("text")).mapInArrow(scan, f"id {kind}, {fields}")
 
@@ -236,26 +352,27 @@ def leaks(
     text: str = "text",
     item_id_col: str = "item_id",
     item_text: str = "text",
-    seed_words: int = SEED_WORDS,
     least_share: float = LEAST_SHARE,
 ) -> DataFrame:
     """(id_col, item_id_col, score, share, shared_seeds) of documents that hold an item, whole, edited or in large part.
 
     ``score`` is the best local alignment's, ``share`` that of the score of the whole item unchanged; pairs from ``least_share`` on
-    are returned, once per document id and item. Items of fewer words than a seed have all their words as the seed; items
+    are returned, once per document id and item. An item of one word has it as its seed; items
     without words match nothing, nor do null or empty texts. Null ids of documents and of items are kept as null. Rows that
     repeat give one row; an item id with several texts is found by any of them, and has the scores of the best. Empty tables give an empty result. Other columns are not read.
+    Documents and items may have any length: long ones are read in pieces that share more words than an alignment spans.
+    ``shared_seeds`` counts the kept seeds that passage and item share.
     """
     tables = Tables(docs.sparkSession, "leaks")
     words = tables.store(item_words(items, item_id_col, item_text))
-    seeds = tables.store(item_seeds(words, seed_words))
-    longest = words.agg(F.max(F.size("words"))).first()[0] or 1
-    widths = sorted(r["width"] for r in seeds.select("width").distinct().collect())
-    found = tables.store(passages(docs, id_col, text, _bit_table(seeds), widths, longest))
-    passage: Column = F.xxhash64("id", "at", "words").alias("passage")
-    hits = tables.store(found.select(passage, F.explode("seeds").alias("seed")).distinct())
-    pairs = hits.join(seeds.select("seed", "item"), "seed").groupBy("passage", "item").agg(F.count("*").alias("seeds"))
-    pairs = tables.store(pairs)
+    seeds = tables.store(item_seeds(words))
+    counts = tables.store(seed_counts(docs, text, _filters(seeds)))
+    rare = tables.store(rare_seeds(seeds, counts))
+    found = tables.store(passages(docs, id_col, text, _filters(rare)))
+    passage: Column = F.xxhash64("id", "class", "at", "words").alias("passage")
+    hits = tables.store(found.select(passage, "class", F.explode("seeds").alias("seed")).distinct())
+    shared = hits.join(rare.select("seed", "item", "class", "asked"), ["seed", "class"]).groupBy("passage", "item", "asked")
+    pairs = tables.store(shared.agg(F.count("*").alias("seeds")).where(F.col("seeds") >= F.col("asked")).drop("asked"))
     candidates = (
         found.select("id", "at", passage, "words")
         .join(pairs, "passage")
@@ -286,5 +403,5 @@ def leaks(
     best = scored.where(F.col("share") >= least_share).groupBy(F.col("id").alias(id_col), F.col("item_id").alias(item_id_col))
     best = best.agg(F.max("score").alias("score"), F.max("share").alias("share"), F.max("seeds").alias("shared_seeds"))
     best = tables.store(best)
-    tables.drop(words, seeds, found, hits, pairs)
+    tables.drop(words, seeds, counts, rare, found, hits, pairs)
     return best

@@ -1,9 +1,26 @@
 import random
+import time
+import unicodedata
+from itertools import combinations
 
 import numpy as np
 from edge import SCHEMA, clashing, with_edges
 
-from msgflow.llm.decontamination import MATCH, _pieces, align, leaks, most_score
+from msgflow.llm.decontamination import (
+    MATCH,
+    _filters,
+    _pieces,
+    align,
+    intact_seeds,
+    item_seeds,
+    item_words,
+    leaks,
+    most_score,
+    passages,
+    plain_words,
+    seeds_asked,
+    seeds_left_out,
+)
 from msgflow.llm.queries import op5_decontamination
 from msgflow.llm.text import BLOCK_BYTES, WORDS, runs
 
@@ -78,7 +95,7 @@ def test_edited_short_copies_of_an_item_that_is_everywhere(spark):
     found = {r.doc_id: (r.score, r.shared_seeds) for r in leaks(frame, bench).collect()}
     assert set(found) == set(range(900))
     assert all(found[d][0] == plain_align(docs[d], item) for d in (0, 1, 2))
-    assert [found[d][1] for d in (0, 1, 2)] == [11, 1, 2]
+    assert [found[d][1] for d in (0, 1, 2)] == [12, 4, 4]  # seeds of three words
 
 
 def test_item_longer_than_a_block(spark):
@@ -144,6 +161,129 @@ def test_short_items_edges_and_empty_tables(spark, sf_dir):
     assert leaks(docs, bench.limit(0)).collect() == []
 
 
+def edited(rng, item, share):
+    """The words of an item, each replaced, left out or followed by another word with a probability, replaced most often."""
+    out = []
+    for word in item:
+        chance = rng.random()
+        if chance < share * 0.7:
+            out.append(f"new{rng.randint(0, 10**6)}")
+        elif chance < share * 0.85:
+            continue
+        else:
+            out += [word] + ([f"added{rng.randint(0, 10**6)}"] if chance < share else [])
+    return out
+
+
+def test_recall_of_edited_copies(spark):
+    """Copies of items of 8, 14 and 20 words with 10, 20 and 30 % edits: of those that reach the share 95 % are found at least, at their score."""
+    rng = random.Random(11)
+    items = {k: words(rng, (8, 14, 20)[k % 3]) for k in range(90)}
+    docs, made = {}, {}
+    for k in range(2700):
+        share, item = (0.1, 0.2, 0.3)[k % 3], k // 3 % 90
+        copy = edited(rng, items[item], share)
+        docs[k] = words(rng, 15) + copy + words(rng, 15)
+        made[k] = item, share, plain_align(docs[k], items[item])
+    frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in leaks(frame, bench).collect()}
+    recall = {}
+    for d, (item, share, score) in made.items():
+        if score >= len(items[item]):
+            assert found.get((d, item), score) == score
+            recall.setdefault((len(items[item]), share), []).append((d, item) in found)
+    recall = {k: sum(v) / len(v) for k, v in recall.items()}
+    print(recall)
+    assert len(recall) == 9 and min(recall.values()) >= 0.95
+
+
+def test_every_fourth_word_replaced(spark):
+    rng = random.Random(12)
+    item = words(rng, 24)
+    copy = [f"x{k}" if k % 4 == 3 else w for k, w in enumerate(item)]
+    frame = spark.createDataFrame([(1, " ".join(words(rng, 9) + copy), "en", "s", 1)], SCHEMA)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id bigint, text string")
+    assert [r.score for r in leaks(frame, bench).collect()] == [plain_align(copy, item)]
+
+
+def test_words_of_other_scripts_and_signs(spark):
+    chinese = "长江是亚洲最长的河流也是世界第三长的河流"
+    russian = "Волга впадает в Каспийское море через широкую дельту у города Астрахань"
+    english = "The teacher's \"old\" rule - never run indoors - wasn't followed by anyone at the school"
+    french = "Où était l'élève quand l'école a brûlé près de la forêt l'été dernier"
+    items = {1: chinese, 2: russian, 3: english, 4: french}
+    docs = {
+        1: f"前文{chinese}后文还有很多字",
+        2: f"ВОТ ТЕКСТ: {russian.upper()}!",
+        3: "So: " + english.replace("'", "\u2019").replace(' "', " \u201c").replace('" ', "\u201d ").replace(" - ", " \u2014 "),
+        4: "«" + unicodedata.normalize("NFD", french) + "»",
+        5: "nothing of this kind — \u201cat all\u201d",
+    }
+    frame = spark.createDataFrame([(d, t, "xx", "s", 1) for d, t in docs.items()], SCHEMA)
+    bench = spark.createDataFrame(list(items.items()), "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.share for r in leaks(frame, bench).collect()}
+    assert found == {(k, k): 1.0 for k in items}
+
+
+def test_a_phrase_that_thousands_of_items_share(spark):
+    """Documents and items that have only a common phrase in common are not paired; what holds more of an item is."""
+    rng = random.Random(13)
+    phrase = "which of the following statements is true about".split()
+
+    def seconds(n):
+        items = [(k, " ".join(phrase + [f"i{k}x{j}" for j in range(12)])) for k in range(n)]
+        docs = {k: words(rng, 10) + phrase + words(rng, 10) for k in range(n)}
+        docs[n] = words(rng, 10) + items[7][1].split()[:-4] + words(rng, 10)
+        frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+        began = time.time()
+        found = leaks(frame, spark.createDataFrame(items, "item_id bigint, text string")).collect()
+        assert [(r.doc_id, r.item_id) for r in found] == [(n, 7)]
+        return time.time() - began
+
+    seconds(1500)
+    small, large = seconds(1500), seconds(6000)
+    assert large < 4 * small + 2
+
+
+def test_seeds_left_out_leave_enough():
+    """With a third of its words replaced, wherever they are, a short item keeps the seeds that are asked for."""
+    for n in range(2, 13):
+        for gone in combinations(range(n), n // 3):
+            intact = sum(k not in gone and k + 1 not in gone for k in range(n - 1))
+            assert intact >= intact_seeds(n)
+        assert n < 3 or intact_seeds(n) - seeds_left_out(n) >= min(seeds_asked(n), intact_seeds(n))
+
+
+def test_long_and_short_items_together(spark):
+    """One very long item does not widen the passages of the short ones, and both are found."""
+    rng = random.Random(14)
+    long, short = words(rng, 3000), words(rng, 14)
+    docs = {1: words(rng, 500) + long[:2000] + words(rng, 500), 2: words(rng, 20_000) + short + words(rng, 20_000), 3: words(rng, 50)}
+    frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+    bench = spark.createDataFrame([(1, " ".join(long)), (2, " ".join(short))], "item_id bigint, text string")
+    found = {(r.doc_id, r.item_id): r.score for r in leaks(frame, bench).collect()}
+    assert found[2, 2] == 28 and found[1, 1] >= 4000 and len(found) == 2
+    seeds = item_seeds(item_words(bench, "item_id", "text"))
+    rows = passages(frame, "doc_id", "text", _filters(seeds)).where("class = 4").selectExpr("max(size(words)) as n").first()
+    assert rows.n <= 7 * 16
+
+
+def test_query_equals_aligning_everything(spark, sf_dir):
+    """Every document with every item, cell by cell."""
+    rows = {(r.doc_id, r.item_id): (r.score, r.share) for r in op5_decontamination(spark, sf_dir).collect()}
+    docs = {r.doc_id: plain_words(r.text or "").split() for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()}
+    items = {r.item_id: plain_words(r.text).split() for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()}
+    number: dict[str, int] = {}
+    coded = lambda w: np.array([number.setdefault(x, len(number) + 1) for x in w], np.int64)
+    docs, items = {d: coded(w) for d, w in docs.items()}, {i: coded(w) for i, w in items.items()}
+    expected = {}
+    for d, p in docs.items():
+        scores = align([p] * len(items), list(items.values()))
+        expected |= {(d, i): (s, s / (MATCH * len(q))) for (i, q), s in zip(items.items(), scores.tolist()) if s >= len(q)}
+    assert expected and rows == expected
+
+
 def test_query_finds_what_contains_an_item(spark):
     """Against a plain look-up of whole items in the words of whole documents, and the score of each alignment found."""
     import re
