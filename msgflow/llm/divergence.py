@@ -133,13 +133,15 @@ def probabilities(counts: np.ndarray, total: int, v: int) -> np.ndarray:
     return quotient + 1
 
 
-def run_columns(terms: DataFrame, block_terms: int = BLOCK_TERMS) -> DataFrame:
+def run_columns(terms: DataFrame, n_terms: int, block_terms: int = BLOCK_TERMS) -> DataFrame:
     """(lang, block, size, source, starts, counts): of each block of the ordered vocabulary, the runs of equal counts of each source in it.
 
     ``terms`` has (lang, order, tie, counts), ``order`` being (place of the source, n) by source. A source that holds none of the
-    block's terms has no row. A block lies within one task's range of the order, and in one language.
+    block's terms has no row. A block lies within one task's range of the order, and in one language. There are about as many ranges as
+    blocks, so the sample from which Spark finds their borders grows with the ``n_terms`` terms, not with the documents.
     """
-    ordered = terms.repartitionByRange("lang", "order", "tie").sortWithinPartitions("lang", "order", "tie")
+    ranges = max(1, -(-n_terms // block_terms))
+    ordered = terms.repartitionByRange(ranges, "lang", "order", "tie").sortWithinPartitions("lang", "order", "tie")
     ordered = ordered.select(F.spark_partition_id().alias("task"), "lang", "counts")
     names = ["lang", "block", "size", "source", "starts", "counts"]
 
@@ -269,7 +271,8 @@ def source_divergence(
         F.sort_array(F.collect_list(entry)).alias("order"), F.collect_list(F.struct("source", "n")).alias("counts")
     )
     ordered = tables.store(ordered.select("lang", "order", F.xxhash64("term").alias("tie"), "counts"))
-    columns = tables.store(run_columns(ordered, block_terms))
+    n_terms = groups.where("place = 0").agg(F.sum("v")).first()[0] or 0
+    columns = tables.store(run_columns(ordered, n_terms, block_terms))
     blocks = columns.select("lang", "block", "size").distinct()
     # Every source has a column in every block of its language; one without a row there is a single run of zeros.
     grid = groups.where(F.col("sources") > 1).join(blocks, "lang", "left")
