@@ -1,4 +1,5 @@
 from .bounded_requests import bounded_request_batches
+from .clustering import clustered
 from .compaction import compact
 from .inference import (
     DEFAULT_SCHEMA,
@@ -28,6 +29,8 @@ from .policies import (
 )
 from .profile import describe_topic, end_offsets, topic_list, topic_profile, topic_totals
 from .requests import item_json_bytes, request_batches, request_bodies, room_for_items, score_requests
+from .samples import merged_sample, message_sample
+from .sketches import merged_sketches, sketched_figures, topic_sketches
 from .summaries import merged_summaries, schema_conflicts, schema_summary, summarized_schema
 
 __all__ = [
@@ -40,6 +43,7 @@ __all__ = [
     "batch_schema",
     "bounded_request_batches",
     "captured_rows",
+    "clustered",
     "compact",
     "converted_rows",
     "describe_topic",
@@ -50,7 +54,10 @@ __all__ = [
     "item_json_bytes",
     "lenient_records",
     "merge_schemas",
+    "merged_sample",
+    "merged_sketches",
     "merged_summaries",
+    "message_sample",
     "offset_account",
     "offset_gaps",
     "parse_with_capture",
@@ -64,10 +71,12 @@ __all__ = [
     "schema_of_sample",
     "schema_summary",
     "score_requests",
+    "sketched_figures",
     "split_counts",
     "strict_records",
     "summarized_schema",
     "topic_list",
     "topic_profile",
+    "topic_sketches",
     "topic_totals",
 ]

@@ -22,6 +22,7 @@ from ..operators import (
     batch_schema,
     bounded_request_batches,
     captured_rows,
+    clustered,
     compact,
     converted_rows,
     describe_topic,
@@ -30,7 +31,10 @@ from ..operators import (
     inferred_rows,
     item_json_bytes,
     lenient_records,
+    merged_sample,
+    merged_sketches,
     merged_summaries,
+    message_sample,
     offset_account,
     offset_gaps,
     parse_with_capture,
@@ -42,11 +46,13 @@ from ..operators import (
     sample_schema,
     schema_of_sample,
     score_requests,
+    sketched_figures,
     split_counts,
     strict_records,
     summarized_schema,
     topic_list,
     topic_profile,
+    topic_sketches,
     topic_totals,
 )
 from ..parquet import PARQUET_OPTIONS, legacy_layout
@@ -62,11 +68,14 @@ from ..sources import (
 )
 from ..sources.envelope import to_envelope
 from ..sources.envelope import ENVELOPE, ORIGIN
+from ..operators.samples import SAMPLE
+from ..operators.sketches import SKETCHES
 from ..streaming import (
     AVAILABLE_NOW,
     ConvertedBatches,
     CounterListener,
     InferredBatches,
+    KeptTable,
     OffsetAccounts,
     OutputLog,
     SplitBatches,
@@ -74,12 +83,15 @@ from ..streaming import (
     dead_letter_batch,
     grouped_messages,
     parquet_stream,
+    profile_stream,
     read_account,
     read_batches,
+    read_kept,
     read_versions,
     run_batches,
     run_to_end,
 )
+from ..streaming.account import PROFILE
 from .corpus import (
     COERCION_VALUE,
     EDGE_VALUE,
@@ -115,6 +127,9 @@ LEAST_BATCHES = 4
 # Bounds of a request body, and of a group of messages.
 BODY_BYTES = 40_000
 GROUP_MESSAGES, GROUP_IDLE = 20, "2 hours"
+SAMPLE_MESSAGES = 100
+# What the estimates of the registered query keep to: three standard errors of the keys, and the ranks of the sizes.
+KEYS_ERROR, RANK_ERROR = 0.05, 0.02
 
 
 def _plain(rows: DataFrame) -> DataFrame:
@@ -720,6 +735,69 @@ def describe_topic_query(spark, sf_dir):
     return describe_topic(messages, "purchase").unionByName(describe_topic(messages, "refund"))
 
 
+def running_profile(spark, sf_dir):
+    """The profile of a topic that arrives in four parts, the query started anew for each: what is kept after the last batch."""
+    out = work_folder(spark, "profile")
+    log = OutputLog(f"{out}/log")
+
+    def run(source):
+        messages = replayed(spark, source, 1)
+        run_to_end(profile_stream(messages, f"{out}/profile", log, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+
+    _run_by_partition(spark, sf_dir, run, [(0, 1), (2,), (3,)])
+    return read_kept(spark, f"{out}/profile", log, PROFILE)
+
+
+def kept_sample(spark, sf_dir):
+    """The messages with the least digests, kept from batch to batch of a staged topic."""
+    path, out = _staged(event_messages(spark, sf_dir), "sampled"), work_folder(spark, "sample")
+    log = OutputLog(f"{out}/log")
+
+    def update(known, batch):
+        new = message_sample(batch, SAMPLE_MESSAGES)
+        return merged_sample(new if known is None else known.unionByName(new), SAMPLE_MESSAGES)
+
+    write = KeptTable(f"{out}/sample", log, SAMPLE, update)
+    run_to_end(run_batches(wide_envelope(replayed(spark, path)), write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+    return read_kept(spark, f"{out}/sample", log, SAMPLE)
+
+
+def kept_sketches(spark, sf_dir):
+    """Estimates from sketches that were merged batch by batch, and whether they keep to their bounds against the exact figures."""
+    path, out = _staged(event_messages(spark, sf_dir), "sketched"), work_folder(spark, "sketches")
+    log = OutputLog(f"{out}/log")
+
+    def update(known, batch):
+        new = topic_sketches(batch)
+        return new if known is None else merged_sketches(known.unionByName(new))
+
+    write = KeptTable(f"{out}/sketches", log, SKETCHES, update)
+    run_to_end(run_batches(replayed(spark, path), write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+    figures = sketched_figures(read_kept(spark, f"{out}/sketches", log, SKETCHES), (0.5, 0.9))
+    messages = event_messages(spark, sf_dir).select("topic", "key", F.octet_length("value").alias("size"))
+    sized = messages.join(F.broadcast(figures), "topic")
+
+    def close(i, share):
+        below = F.count_if(F.col("size") < F.col("sizes")[i]) / F.count("size")
+        upto = F.count_if(F.col("size") <= F.col("sizes")[i]) / F.count("size")
+        return (below <= share + RANK_ERROR) & (upto >= share - RANK_ERROR)
+
+    exact = F.count_distinct("key")
+    return sized.groupBy("topic", F.col("messages")).agg(
+        (F.abs(F.first("distinct_keys") - exact) <= KEYS_ERROR * exact).alias("keys_close"),
+        close(0, 0.5).alias("median_close"),
+        close(1, 0.9).alias("tenth_close"),
+    )
+
+
+def clustered_users(spark, sf_dir):
+    """Records written along a curve through two columns, read back."""
+    out = work_folder(spark, "clustered")
+    users = lenient_records(_users(spark, sf_dir), keep=AT)
+    clustered(users, ["id", "age"]).write.options(**PARQUET_OPTIONS).parquet(out)
+    return spark.read.parquet(out)
+
+
 def offset_gaps_query(spark, sf_dir):
     """Lost and repeated ranges of offsets of a damaged topic."""
     return offset_gaps(offset_account(damaged_topic(spark, sf_dir)))
@@ -914,6 +992,10 @@ QUERIES = {
     "snk9_second_run": compacted_in_place,
     "inf2_from_summaries": schema_from_summaries,
     "agg3_topic_profile": topic_profile_query,
+    "agg3_running_profile": running_profile,
+    "src10_kept_sample": kept_sample,
+    "obs1_kept_sketches": kept_sketches,
+    "snk2_clustered": clustered_users,
     "agg3_offset_gaps": offset_gaps_query,
     "agg3_offset_account": offset_account_stream,
     "agg4_topic_totals": topic_totals_query,

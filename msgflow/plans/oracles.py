@@ -6,7 +6,7 @@ base tables without parsing any JSON.
 
 from __future__ import annotations
 
-from .catalog import BODY_BYTES, GROUP_IDLE, GROUP_MESSAGES, IMAGES_PER_REQUEST, PROMPT, REFUSED, SYSTEM
+from .catalog import BODY_BYTES, GROUP_IDLE, GROUP_MESSAGES, IMAGES_PER_REQUEST, PROMPT, REFUSED, SAMPLE_MESSAGES, SYSTEM
 from .corpus import EDGE_VALUE, TIMESTAMP_TEXT, USER_KEY, USER_VALUE
 
 GROUP_HOURS = int(GROUP_IDLE.removesuffix(" hours"))
@@ -309,6 +309,14 @@ SELECT field, kind, count(*) AS messages,
  CASE field WHEN 'specs' THEN NULL WHEN 'specs.v' THEN 'double' WHEN 'specs.at' THEN 'timestamp' ELSE 'string' END AS type
 FROM named GROUP BY field, kind""",
     "agg3_topic_profile": _TOPIC_PARTITIONS,
+    "agg3_running_profile": _TOPIC_PARTITIONS,
+    "src10_kept_sample": f"""
+SELECT event_type AS kafka_topic, {AT}, {USER_VALUE} AS json_string,
+ md5(event_type || ':' || event_id % 4 || ':' || event_id) AS digest
+FROM events ORDER BY digest LIMIT {SAMPLE_MESSAGES}""",
+    "obs1_kept_sketches": """
+SELECT event_type AS topic, count(*) AS messages, TRUE AS keys_close, TRUE AS median_close, TRUE AS tenth_close FROM events GROUP BY event_type""",
+    "snk2_clustered": _LENIENT,
     "agg3_offset_account": _ACCOUNT,
     "agg3_offset_gaps": f"""
 SELECT topic, partition, CASE copies WHEN 0 THEN 'missing' ELSE 'repeated' END AS kind, first_offset, last_offset, copies

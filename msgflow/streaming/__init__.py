@@ -1,4 +1,4 @@
-from .account import OffsetAccounts, read_account
+from .account import KeptTable, OffsetAccounts, profile_stream, read_account, read_kept, upserted
 from .batches import (
     ConvertedBatches,
     InferredBatches,
@@ -21,6 +21,7 @@ __all__ = [
     "ConvertedBatches",
     "CounterListener",
     "InferredBatches",
+    "KeptTable",
     "OffsetAccounts",
     "OutputLog",
     "SplitBatches",
@@ -31,12 +32,15 @@ __all__ = [
     "grouped_messages",
     "is_data_error",
     "parquet_stream",
+    "profile_stream",
     "read_account",
     "read_batches",
+    "read_kept",
     "read_versions",
     "run_batches",
     "run_to_end",
     "send",
+    "upserted",
     "with_peek",
     "write_batch",
 ]
