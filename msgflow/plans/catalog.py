@@ -81,6 +81,7 @@ from ..streaming import (
     SplitBatches,
     compact_published,
     dead_letter_batch,
+    every,
     grouped_messages,
     parquet_stream,
     profile_stream,
@@ -377,6 +378,19 @@ def stream_partitioned(spark, sf_dir):
     return spark.read.parquet(f"{out}/data")
 
 
+def stream_interval(spark, sf_dir):
+    """The partitioned sink at a fixed interval: it runs until it has caught up, and is stopped."""
+    path, out = _staged(store_messages(spark, sf_dir), "stores"), work_folder(spark, "interval-rows")
+    query = product_stream_by_value(
+        replayed(spark, path), f"{out}/data", f"{out}/checkpoint", partition_by=["id"], trigger=every("1 second")
+    )
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return spark.read.parquet(f"{out}/data")
+
+
 def stream_sampled(spark, sf_dir):
     path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "sampled-rows")
     sample, messages = replay_batch(spark, path), replayed(spark, path)
@@ -970,6 +984,7 @@ QUERIES = {
     "cst4_timestamp_detect": timestamp_detect,
     "snk1_stream_file_sink": stream_file_sink,
     "snk2_stream_partitioned": stream_partitioned,
+    "stm2_stream_interval": stream_interval,
     "snk3_stream_lenient": stream_lenient,
     "src10_stream_sampled": stream_sampled,
     "snk4_stream_split_good": stream_split_good,

@@ -250,6 +250,8 @@ SELECT event_id, {TIMESTAMP_TEXT} AS text,
 FROM events""",
     "snk1_stream_file_sink": f"SELECT {_PRODUCT_FIELDS} FROM part",
     "snk2_stream_partitioned": """
+SELECT c_nationkey AS id, c_name AS product, c_acctbal AS price, c_acctbal > 0 AS in_stock FROM customer""",
+    "stm2_stream_interval": """
 SELECT c_nationkey AS id, c_name AS product, c_acctbal AS price, c_acctbal > 0 AS in_stock FROM customer""",
     "snk3_stream_lenient": f"SELECT id, name, age FROM ({_LENIENT})",
     "src10_stream_sampled": f"SELECT {_SAMPLED_ID} AS id, {_USER_NAME} AS name, {_SAMPLED_AGE} AS age FROM events",

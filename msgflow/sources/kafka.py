@@ -8,6 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 SASL_PROTOCOLS = ("SASL_SSL", "SASL_PLAINTEXT")
 
+# The words that client libraries accept for auto.offset.reset, by the two that Spark's source knows.
+START_WORDS = {"earliest": ("earliest", "smallest", "beginning"), "latest": ("latest", "largest", "end")}
+
 # Client settings that Spark's source decides itself, or that are translated below.
 _NOT_PASSED_ON = {
     "auto.offset.reset",
@@ -56,6 +59,14 @@ def _login(mechanism: str, user: str, password: str) -> str:
     )
 
 
+def _start(word: str) -> str:
+    """The source's word for where a client property says to start."""
+    for start, words in START_WORDS.items():
+        if word.strip().lower() in words:
+            return start
+    raise ValueError(f"auto.offset.reset can not be {word!r} here: one of {', '.join(w for ws in START_WORDS.values() for w in ws)}")
+
+
 def kafka_options(
     properties: Mapping[str, str],
     topic: str,
@@ -82,7 +93,7 @@ def kafka_options(
     validate_properties(properties, require)
     options = {f"kafka.{k}": v for k, v in properties.items() if k not in _NOT_PASSED_ON}
     options["subscribe"] = topic
-    options["startingOffsets"] = starting_offsets or properties.get("auto.offset.reset", "earliest")
+    options["startingOffsets"] = starting_offsets or _start(properties.get("auto.offset.reset", "earliest"))
     options["failOnDataLoss"] = str(fail_on_data_loss).lower()
     if properties.get("security.protocol", "").upper() in SASL_PROTOCOLS:
         mechanism = _mechanism(properties)

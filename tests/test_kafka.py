@@ -138,3 +138,16 @@ def test_reported_offsets(spark):
     rows = end_offsets(spark, '{"a":{"0":5,"10":7},"b":{"0":0}}')
     assert rows.dtypes == [("topic", "string"), ("partition", "int"), ("end_offset", "bigint")]
     assert sorted(map(tuple, rows.collect())) == [("a", 0, 5), ("a", 10, 7), ("b", 0, 0)]
+
+
+@pytest.mark.parametrize(
+    "word, start",
+    [("smallest", "earliest"), ("beginning", "earliest"), ("Earliest", "earliest"), ("largest", "latest"), ("end", "latest")],
+)
+def test_all_words_for_the_start(word, start):
+    assert kafka_options({**PLAIN, "auto.offset.reset": word}, "t")["startingOffsets"] == start
+
+
+def test_a_start_that_the_source_does_not_know():
+    with pytest.raises(ValueError, match="auto.offset.reset"):
+        kafka_options({**PLAIN, "auto.offset.reset": "error"}, "t")
