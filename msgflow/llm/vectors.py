@@ -6,6 +6,10 @@ blocks, each block has a random code, and the filters are all combinations of th
 filters need only WORDS * BLOCKS inner products; list decoding finds those that exceed the threshold by extending
 partial sums only as far as the best remaining blocks can still lift them over it. Several such codes, with rotations of their
 own, make the filters less alike.
+
+The filters of a label grow with its vectors: twice the code words make four times as many filters, of smaller caps, for four times the vectors. So a
+vector is compared with about as many unlike vectors of its label, however many there are. Where vectors have four dimensions or fewer, a constant
+share of all pairs are links, and all pairs of a label are compared: there the work is that of the links.
 """
 
 from __future__ import annotations
@@ -15,7 +19,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, FloatType
 
@@ -33,20 +37,24 @@ DEVIATIONS = 3.1
 #: Where fewer than this share of such pairs would share a filter, as in fewer dimensions, the threshold is lower; it is found
 #: from so many random pairs.
 LEAST_RECALL, _SAMPLE = 0.985, 2000
+#: A label has at least so many filters for each of its vectors, up to so many code words (for some 500 million vectors).
+FILTERS_PER_VECTOR, MOST_WORDS = 1, 8192
+#: The labels with more code words than WORDS, one of some thousands of vectors each, are broadcast up to this many.
+BROADCAST_LABELS = 200_000
 _ROWS = 512
 _PAIRS = 1 << 14
 
 
 @lru_cache(maxsize=32)
-def _codes(dimension: int, code: int) -> tuple[np.ndarray, list[np.ndarray]]:
+def _codes(dimension: int, code: int, n_words: int = WORDS) -> tuple[np.ndarray, list[np.ndarray]]:
     """The rotation, and for each block its code words (columns), scaled so that filters are unit vectors."""
     rng = np.random.default_rng([6, code, dimension])
     rotation, _ = np.linalg.qr(rng.normal(size=(dimension, dimension)))
     edges = [dimension * b // BLOCKS for b in range(BLOCKS + 1)]
     codes = []
     for a, b in zip(edges[:-1], edges[1:], strict=True):
-        words = rng.normal(size=(b - a, WORDS))
-        norms = np.linalg.norm(words, axis=0) if b > a else np.ones(WORDS)
+        words = rng.normal(size=(b - a, n_words))
+        norms = np.linalg.norm(words, axis=0) if b > a else np.ones(n_words)
         codes.append(words / norms / BLOCKS**0.5)
     return rotation, codes
 
@@ -61,19 +69,26 @@ def _products(x: np.ndarray, code: int) -> np.ndarray:
     return out
 
 
+def _pairs_at(dimension: int, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """Random pairs of unit vectors with this cosine."""
+    rng = np.random.default_rng([7, dimension])
+    a, other = unit(rng.normal(size=(_SAMPLE, dimension))), rng.normal(size=(_SAMPLE, dimension))
+    other = unit(other - (other * a).sum(axis=1, keepdims=True) * a)
+    return a, cosine * a + max(0.0, 1 - cosine**2) ** 0.5 * other
+
+
 @lru_cache(maxsize=32)
-def deviations_for(dimension: int, cosine: float) -> float:
-    """The largest threshold, up to DEVIATIONS, by which LEAST_RECALL of pairs that have just this cosine share a filter.
+def deviations_for(dimension: int, cosine: float, n_words: int = WORDS) -> float:
+    """The largest threshold by which LEAST_RECALL of pairs that have just this cosine share a filter; with WORDS code words DEVIATIONS at most.
 
     It is minus infinity, for one filter that all vectors pass, where vectors would pass so many filters that comparing all
     with all is no more work.
     """
     if dimension < 3:
         return -np.inf
-    rng = np.random.default_rng([7, dimension])
-    a, other = unit(rng.normal(size=(_SAMPLE, dimension))), rng.normal(size=(_SAMPLE, dimension))
-    other = unit(other - (other * a).sum(axis=1, keepdims=True) * a)
-    b = cosine * a + max(0.0, 1 - cosine**2) ** 0.5 * other
+    if n_words > WORDS:
+        return _more_deviations(dimension, cosine, n_words)
+    a, b = _pairs_at(dimension, cosine)
     parts = [slice(at, at + _ROWS // 2) for at in range(0, _SAMPLE, _ROWS // 2)]
     shared = [
         np.max([np.minimum(_products(a[part], code), _products(b[part], code)).max(axis=1) for code in range(CODES)], axis=0)
@@ -84,18 +99,52 @@ def deviations_for(dimension: int, cosine: float) -> float:
     return least * dimension**0.5 if passed**2 < CODES * WORDS**BLOCKS else -np.inf
 
 
-def passed_filters(x: np.ndarray, deviations: float = DEVIATIONS) -> tuple[np.ndarray, np.ndarray]:
+def _more_deviations(dimension: int, cosine: float, n_words: int) -> float:
+    """The threshold with more code words, above that with half as many: only filters that pass the lower one are looked at."""
+    lower = deviations_for(dimension, cosine, n_words // 2)
+    if lower == -np.inf:
+        return lower
+    a, b = _pairs_at(dimension, cosine)
+    best = np.full(len(a), -np.inf)
+    rows = _rows_at_once(n_words)
+    for at in range(0, len(a), rows):
+        left, right = a[at : at + rows], b[at : at + rows]
+        for code in range(CODES):
+            row, filter_ = _decoded(left, lower, code, n_words)
+            both = [_at_filters(x, code, n_words, row, filter_) for x in (left, right)]
+            np.maximum.at(best, at + row, np.minimum(*both))
+    least = float(np.quantile(best, 1 - LEAST_RECALL, method="lower"))
+    return max(lower, least * dimension**0.5)
+
+
+def _at_filters(x: np.ndarray, code: int, n_words: int, row: np.ndarray, filter_: np.ndarray) -> np.ndarray:
+    """The inner products of rows of ``x`` with filters of a code."""
+    rotation, codes = _codes(x.shape[1], code, n_words)
+    turned, total, at = x @ rotation, np.zeros(len(row)), 0
+    for b, c in enumerate(codes):
+        word = filter_ // n_words ** (BLOCKS - 1 - b) % n_words
+        total += (turned[:, at : at + len(c)] @ c)[row, word]
+        at += len(c)
+    return total
+
+
+def _rows_at_once(n_words: int) -> int:
+    """Vectors decoded at once, so that the partial sums of a block have a bound."""
+    return int(np.clip((1 << 26) // n_words**2, 1, _ROWS))
+
+
+def passed_filters(x: np.ndarray, deviations: float = DEVIATIONS, n_words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     """(row, filter) of all filters of all codes that the unit vectors ``x`` pass, by row and filter."""
-    found = [_decoded(x, deviations, code) for code in range(CODES)]
+    found = [_decoded(x, deviations, code, n_words) for code in range(CODES)]
     row = np.concatenate([r for r, _ in found])
-    filter_ = np.concatenate([f + code * WORDS**BLOCKS for code, (_, f) in enumerate(found)])
+    filter_ = np.concatenate([f + code * n_words**BLOCKS for code, (_, f) in enumerate(found)])
     order = np.lexsort((filter_, row))
     return row[order], filter_[order]
 
 
-def _decoded(x: np.ndarray, deviations: float, code: int) -> tuple[np.ndarray, np.ndarray]:
+def _decoded(x: np.ndarray, deviations: float, code: int, n_words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
     n, dimension = x.shape
-    rotation, codes = _codes(dimension, code)
+    rotation, codes = _codes(dimension, code, n_words)
     threshold = deviations / dimension**0.5
     turned = x @ rotation
     edges = np.cumsum([0, *(len(c) for c in codes)])
@@ -106,7 +155,7 @@ def _decoded(x: np.ndarray, deviations: float, code: int) -> tuple[np.ndarray, n
         rest = reach[b + 1][row] if b + 1 < BLOCKS else np.zeros(len(row))
         extended = total[:, None] + product[row]
         at, word = np.nonzero(extended + rest[:, None] >= threshold)
-        total, filter_, row = extended[at, word], filter_[at] * WORDS + word, row[at]
+        total, filter_, row = extended[at, word], filter_[at] * n_words + word, row[at]
     return row, filter_
 
 
@@ -140,6 +189,20 @@ def _with_bytes(rows: DataFrame, single: bool) -> DataFrame:
     return add_columns(rows, compute, "vec binary", drop=("vector",))
 
 
+def words_for(n: Column) -> Column:
+    """The code words for a label of n vectors: WORDS, or the least power of two that gives FILTERS_PER_VECTOR filters for each."""
+    words = F.pow(2, F.ceil(F.log2(F.pow(n * FILTERS_PER_VECTOR / CODES, 1 / BLOCKS))))
+    return F.least(F.greatest(words, F.lit(WORDS)), F.lit(MOST_WORDS)).cast("int")
+
+
+def _with_words(classes: DataFrame, tables: Tables) -> DataFrame:
+    """``classes`` with ``words``: the code words for the vectors of its label."""
+    many = classes.groupBy("label").agg(words_for(F.count("*")).alias("words")).where(F.col("words") > WORDS)
+    many = tables.store(many)
+    many = F.broadcast(many) if many.count() <= BROADCAST_LABELS else many
+    return classes.join(many, "label", "left").withColumn("words", F.coalesce("words", F.lit(WORDS)))
+
+
 def _with_filters(classes: DataFrame, single: bool, cosine: float, deviations: float | None) -> DataFrame:
     """``classes`` with ``filters``: those that the vector passes, ascending."""
     width = 4 if single else 8
@@ -148,22 +211,24 @@ def _with_filters(classes: DataFrame, single: bool, cosine: float, deviations: f
         vec = batch.column(batch.schema.get_field_index("vec"))
         found: list[np.ndarray] = [np.zeros(0, np.int32)] * len(vec)
         sizes = np.array([len(v.as_buffer()) // width for v in vec])
-        for dimension in np.unique(sizes).tolist():
-            mine = np.flatnonzero(sizes == dimension)
-            threshold = deviations_for(dimension, cosine) if deviations is None else deviations
+        levels = batch.column(batch.schema.get_field_index("words")).to_numpy()
+        for dimension, n_words in np.unique(np.stack([sizes, levels], 1), axis=0).tolist():
+            mine = np.flatnonzero((sizes == dimension) & (levels == n_words))
+            threshold = deviations_for(dimension, cosine, n_words) if deviations is None else deviations
             if threshold == -np.inf:
                 for i in mine.tolist():
                     found[i] = np.zeros(1, np.int32)
                 continue
-            for at in range(0, len(mine), _ROWS):
-                some = mine[at : at + _ROWS]
-                row, filter_ = passed_filters(unit(_matrix(vec.take(pa.array(some)), single)), threshold)
+            rows = _rows_at_once(n_words)
+            for at in range(0, len(mine), rows):
+                some = mine[at : at + rows]
+                row, filter_ = passed_filters(unit(_matrix(vec.take(pa.array(some)), single)), threshold, n_words)
                 parts = np.split(filter_.astype(np.int32), np.searchsorted(row, np.arange(1, len(some))))
                 for i, part in zip(some.tolist(), parts, strict=True):
                     found[i] = np.sort(part)
         return {"filters": pa.array(found, pa.list_(pa.int32()))}
 
-    return add_columns(classes, compute, "filters array<int>")
+    return add_columns(classes, compute, "filters array<int>", drop=("words",))
 
 
 def first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -258,7 +323,7 @@ def near_vectors(
     usable = F.col("vec").isNotNull() & F.col("label").isNotNull()
     classes = rows.where(usable).groupBy("label", "vec").agg(F.min("id").alias("least"), F.count("*").alias("n"))
     classes = tables.store(classes.withColumn("node", F.coalesce("least", F.xxhash64("label", "vec"))))
-    filtered = tables.store(_with_filters(classes.select("node", "n", "label", "vec"), single, cosine, deviations))
+    filtered = tables.store(_with_filters(_with_words(classes.select("node", "n", "label", "vec"), tables), single, cosine, deviations))
     found = _links(filtered, tables, single, cosine, tile_rows)
     nodes = components(tables, found.where("b is not null").select("a", "b"))
     links = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))

@@ -1,9 +1,12 @@
 import math
+from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from msgflow.llm.queries import op6_near_vectors
-from msgflow.llm.vectors import deviations_for, first_common, near_vectors, passed_filters, unit
+from msgflow.llm import vectors
+from msgflow.llm.vectors import _rows_at_once, deviations_for, first_common, near_vectors, passed_filters, unit, words_for
 
 SCHEMA = "vec_id bigint, embedding array<float>, label int, n_links string, k string"
 
@@ -132,6 +135,48 @@ def test_recall_at_the_least_cosine():
     assert recall >= 0.97
 
 
+def test_filters_grow_with_the_vectors(spark):
+    """The unlike vectors of a label that a vector is compared with stay about as many from 10,000 to 2 million, and the recall stays."""
+    rng = np.random.default_rng(14)
+    a = unit(rng.normal(size=(1200, 64)))
+    other = rng.normal(size=a.shape)
+    other = unit(other - (other * a).sum(1, keepdims=True) * a)
+    b = 0.93 * a + math.sqrt(1 - 0.93**2) * other
+    sizes = [10_000, 50_000, 200_000, 2_000_000]
+    levels = [r.w for r in spark.createDataFrame([(n,) for n in sizes], "n long").select("n", words_for(F.col("n")).alias("w")).orderBy("n").collect()]
+    assert levels == [64, 128, 256, 512] and all(8 * w * w >= n for w, n in zip(levels, sizes))
+    compared = []
+    for n, n_words in zip(sizes, levels):
+        threshold, rows = deviations_for(64, 0.93, n_words), _rows_at_once(n_words)
+        left, right = [], []
+        for sets, x in ((left, a), (right, b)):
+            for at in range(0, len(x), rows):
+                part = x[at : at + rows]
+                row, filter_ = passed_filters(part, threshold, n_words)
+                sets += [set(p.tolist()) for p in np.split(filter_, np.searchsorted(row, np.arange(1, len(part))))]
+        together = Counter(f for sets in left for f in sets)
+        compared.append(n * sum(c * (c - 1) for c in together.values()) / len(a) / (len(a) - 1))
+        recall = np.mean([bool(p & q) for p, q in zip(left, right)])
+        print(f"{n} vectors, {n_words} words: {compared[-1]:.0f} comparisons a vector, recall {recall:.3f}")
+        assert recall >= 0.97
+    assert max(compared[:3]) <= 2 * min(compared[:3]) and compared[3] <= 8 * compared[0]
+
+
+def test_labels_of_all_sizes(spark, monkeypatch):
+    """With many filters a vector, labels have code words of their own number; nothing is lost against the comparison of all pairs."""
+    rng = np.random.default_rng(15)
+    rows = []
+    for label, n in ((0, 3), (1, 60), (2, 200)):
+        for _ in range(n):
+            base = rng.normal(size=32)
+            rows += [(len(rows) + k, (base + rng.normal(size=32) * 0.05).tolist(), label) for k in range(2)]
+    df = spark.createDataFrame([(*r, "own", "own") for r in rows], SCHEMA)
+    for limit in (200_000, 0):
+        monkeypatch.setattr(vectors, "FILTERS_PER_VECTOR", 500)
+        monkeypatch.setattr(vectors, "BROADCAST_LABELS", limit)
+        assert sorted(map(tuple, near_vectors(df).collect()), key=repr) == plain(rows)
+
+
 def test_first_common():
     a, b = np.array([[1, 4, 9], [2, 3, -1]], np.int32), np.array([[4, 9, -2], [5, 6, 7]], np.int32)
     assert first_common(a, b).tolist() == [4, np.iinfo(np.int32).max]
