@@ -154,7 +154,8 @@ def with_language(docs: DataFrame, model: LanguageModel, text: str = "text", dro
     """``docs`` with ``lang_pred``, ``score`` (its calibrated probability) and ``rejected`` (score under the threshold).
 
     A text that is null or has no letter has ``und``, score 0, and is rejected. Columns of those names are replaced; all
-    others stay; ``drop`` names columns to leave out. Rows that repeat are answered alike.
+    others stay; ``drop`` names columns to leave out. Rows that repeat are answered alike, an empty table gives an empty result, and a text of any
+    length is read whole, block by block.
     """
     rows = without(docs, ["lang_pred", "score", "rejected"])
     (letters,) = unused(rows, "_letters")

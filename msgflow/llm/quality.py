@@ -206,8 +206,8 @@ def fit_quality(
 def score_quality(docs: DataFrame, model: QualityModel, text: str = "text", drop: tuple = ()) -> DataFrame:
     """``docs`` with ``score`` (double, 0 to 1): how likely its label is 1.
 
-    Null and empty texts have the features zero and a score like any other. A column named ``score`` is replaced; all
-    others stay. Rows that repeat are scored alike.
+    Null and empty texts have the features zero and a score like any other. A text of any length is read whole, block by block. A column named
+    ``score`` is replaced; all others stay. Rows that repeat are scored alike, and an empty table gives an empty result.
     """
 
     def compute(batch: pa.RecordBatch) -> dict:

@@ -1,11 +1,13 @@
 """Toxicity: cumulative-link ordinal regression of severity grades on sparse word features.
 
-Grades. Labels say toxic or not. Within the toxic documents of the sample, words that occur in many of them and hardly
-elsewhere are markers; the number of markers in a document sorts it into grade 1, 2 or 3, and grade 0 is not toxic.
+Grades. Labels say toxic or not, so the grades to learn from are made: words that occur in many toxic documents of the sample and hardly
+elsewhere are markers, and the number of markers in a toxic document sorts it into grade 1, 2 or 3; grade 0 is not toxic. The sample is cut into
+folds, and a document is graded by the markers of the other folds, so its own words do not make themselves markers.
 
 Model. P(grade > k) = sigmoid(w x - theta_k): one weight vector for all ordered thresholds theta_1 <= theta_2 <= theta_3. The
 features are the logarithms of 1 + the counts of words, hashed to a table of fixed size; an L1 penalty keeps the weights of
-words that say nothing at zero, so long texts do not add up noise. The expected severity is the sum of P(grade > k).
+words that say nothing at zero, so long texts do not add up noise. The expected severity is the sum of P(grade > k). Cuts of the expected
+severity, each with the best F1 for its grade, make the predicted grade, and a document is toxic from grade 1 on.
 """
 
 from __future__ import annotations
@@ -27,15 +29,16 @@ MARKER_DOCS, MARKER_SHARE = 5, 0.7
 #: From so many markers on a toxic document has grade 2, and grade 3.
 GRADE_MARKERS = (2, 4)
 GRADES = 3
+FOLDS = 5
 ROUNDS, PENALTY, RATE = 300, 2e-4, 0.3
 
 
 class ToxicityModel(NamedTuple):
-    """Weights of hashed words, ordered thresholds, and the severity from which a document counts as toxic."""
+    """Weights of hashed words, ordered thresholds, and the expected severities from which on a document has grade 1, 2 and 3."""
 
     weights: np.ndarray
     thresholds: np.ndarray
-    cut: float
+    cuts: np.ndarray
 
 
 def _word_counts(column: pa.Array, only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -59,11 +62,16 @@ def expected_severity(eta: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
 
 
 def grades(doc: np.ndarray, row: np.ndarray, count: np.ndarray, toxic: np.ndarray) -> np.ndarray:
-    """Severity grades of documents with word counts and labels."""
-    in_toxic = np.bincount(row, toxic[doc], ROWS)
-    in_all = np.bincount(row, minlength=ROWS)
-    marker = (in_toxic >= MARKER_DOCS) & (in_toxic >= MARKER_SHARE * in_all)
-    n = np.bincount(doc, count * marker[row], len(toxic))
+    """Severity grades of documents with word counts and labels, each by the markers of the other folds."""
+    fold = np.arange(len(toxic)) % FOLDS
+    n = np.zeros(len(toxic))
+    for f in range(FOLDS):
+        others = fold[doc] != f
+        in_toxic = np.bincount(row[others], toxic[doc[others]], ROWS)
+        in_all = np.bincount(row[others], minlength=ROWS)
+        marker = (in_toxic >= MARKER_DOCS) & (in_toxic >= MARKER_SHARE * in_all)
+        mine = ~others
+        n += np.bincount(doc[mine], count[mine] * marker[row[mine]], len(toxic))
     return np.where(toxic > 0, 1 + sum((n >= m).astype(np.int64) for m in GRADE_MARKERS), 0)
 
 
@@ -134,7 +142,7 @@ def fit_toxicity(
     if not len(toxic) or toxic.min() == toxic.max():
         share = toxic.mean() if len(toxic) else 0.0
         theta = np.full(GRADES, np.log((1 - share * 0.999 + 1e-3) / (share + 1e-3)))
-        return ToxicityModel(np.zeros(ROWS), theta, float("inf"))
+        return ToxicityModel(np.zeros(ROWS), theta, np.full(GRADES, np.inf))
     sizes = np.array([len(r) for r in table["rows"]], np.int64)
     doc = np.repeat(np.arange(len(toxic)), sizes)
     row, count = (np.concatenate([np.asarray(v.values) for v in table[c]]) for c in ("rows", "counts"))
@@ -143,18 +151,21 @@ def fit_toxicity(
     doc, row, x = doc[often], row[often], np.log1p(count[often])
     weights, theta = fit_ordinal(doc, row, x, y)
     eta = np.bincount(doc, weights[row] * x, len(y))
-    return ToxicityModel(weights, theta, best_cut(expected_severity(eta, theta), toxic))
+    severity = expected_severity(eta, theta)
+    cuts = [best_cut(severity, (y > k).astype(np.int64)) if (y > k).any() else np.inf for k in range(GRADES)]
+    return ToxicityModel(weights, theta, np.maximum.accumulate(cuts))
 
 
 def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", drop: tuple = ()) -> DataFrame:
-    """``docs`` with ``severity`` (double, the expected grade 0 to 3), ``grade`` (the likeliest) and ``toxic`` (boolean).
+    """``docs`` with ``severity`` (double, the expected grade 0 to 3), ``grade`` (0 to 3) and ``toxic`` (boolean).
 
-    A null or empty text has no features: its severity is that of the thresholds alone. Columns of those names are
-    replaced; all others stay; rows that repeat are scored alike.
+    The grade follows from the severity, and ``toxic`` is true from grade 1 on. A null or empty text has no features: its severity is that of the
+    thresholds alone. A text of any length is read whole, block by block. Columns of those names are
+    replaced; all others stay; rows that repeat are scored alike; an empty table gives an empty result.
     """
     used = model.weights != 0
     rows = np.flatnonzero(used)
-    values, thresholds, cut = model.weights[rows], model.thresholds, model.cut
+    values, thresholds, cuts = model.weights[rows], model.thresholds, model.cuts
 
     def compute(batch: pa.RecordBatch) -> dict:
         only = np.zeros(ROWS, bool)
@@ -163,10 +174,8 @@ def score_toxicity(docs: DataFrame, model: ToxicityModel, text: str = "text", dr
         weights[rows] = values
         doc, row, count = _word_counts(batch.column(batch.schema.get_field_index(text)), only)
         eta = np.bincount(doc, weights[row] * np.log1p(count), batch.num_rows)
-        above = sigmoid(eta[:, None] - thresholds[None, :])
-        steps = np.column_stack([np.ones(len(eta)), above, np.zeros(len(eta))])
-        grade = np.argmax(steps[:, :-1] - steps[:, 1:], axis=1).astype(np.int32)
-        severity = above.sum(axis=1)
-        return {"severity": severity, "grade": grade, "toxic": severity >= cut}
+        severity = expected_severity(eta, thresholds)
+        grade = (severity[:, None] >= cuts[None, :]).sum(axis=1).astype(np.int32)
+        return {"severity": severity, "grade": grade, "toxic": grade > 0}
 
     return add_columns(docs, compute, "severity double, grade int, toxic boolean", drop)

@@ -1,3 +1,7 @@
+import math
+import re
+from collections import Counter
+
 import numpy as np
 import pytest
 from edge import SCHEMA, clashing, with_edges
@@ -5,6 +9,7 @@ from pyspark.sql import functions as F
 
 from msgflow.llm import langid, quality, toxicity
 from msgflow.llm.queries import op1_toxicity, op4_quality, op9_languages, remainder
+from msgflow.llm.text import KINDS, WORDS, lowered, runs
 
 WIDER = "/root/testdata/sf0.01"
 
@@ -107,6 +112,75 @@ def test_toxicity_on_held_out_rows(spark):
     assert np.mean([r.toxic == r.marked for r in rows]) > 0.95
 
 
+def test_grades_agree_with_severity_and_label(spark):
+    """Grade, severity and the toxic mark say the same, and of held-out rows higher grades are toxic more often."""
+    sf_dir = "/root/testdata/sf0.1"
+    found = op1_toxicity(spark, sf_dir).join(labels(spark, sf_dir).withColumnRenamed("toxic", "marked"), "doc_id")
+    rows = found.where(remainder("doc_id", 5) == 0).collect()
+    assert all((r.grade >= 1) == (r.toxic == 1) for r in rows)
+    spans = [(min(s), max(s)) for g in range(4) if (s := [r.severity for r in rows if r.grade == g])]
+    assert all(low[1] < high[0] for low, high in zip(spans, spans[1:]))
+    marked = [r.grade for r in rows if r.marked == 1]
+    shares = [np.mean([r.marked for r in rows if r.grade == g]) for g in range(4) if any(r.grade == g for r in rows)]
+    print("share of toxic by grade:", shares, "toxic rows without a grade:", np.mean([g == 0 for g in marked]))
+    assert shares[0] < 0.02 and min(shares[1:]) > 0.8 and np.mean([g == 0 for g in marked]) < 0.12
+
+
+def plain_words(text):
+    """Words as the models see them, one after the other: runs of letters and digits in lower case, bytes over 127 being letters."""
+    data = lowered(np.frombuffer((text or "").encode(), np.uint8)).tobytes()
+    return re.findall(rb"[a-z0-9\x80-\xff]+", data)
+
+
+def hash_of(word, kinds):
+    data = np.frombuffer(word, np.uint8)
+    return int(runs(data, np.array([0, len(data)]), kinds).hashes[0])
+
+
+def test_toxicity_scores_document_by_document(spark, docs):
+    model = toxicity.fit_toxicity(docs, labels(spark))
+    rows = toxicity.score_toxicity(docs.where("length(text) < 20000 or text is null"), model).orderBy(F.rand(1)).limit(150).collect()
+    for r in rows:
+        counts = Counter(hash_of(w, WORDS) % toxicity.ROWS for w in plain_words(r.text))
+        eta = sum(model.weights[row] * math.log1p(n) for row, n in counts.items())
+        severity = sum(1 / (1 + math.exp(theta - eta)) for theta in model.thresholds)
+        assert r.severity == pytest.approx(severity, abs=1e-9)
+        assert r.grade == sum(r.severity >= cut for cut in model.cuts)
+
+
+def test_quality_scores_document_by_document(spark, docs):
+    model = quality.fit_quality(docs, labels(spark), use=remainder("doc_id", 5) != 0)
+    rows = quality.score_quality(docs.where("length(text) < 20000 or text is null"), model).orderBy(F.rand(1)).limit(60).collect()
+    for r in rows:
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        found = runs(data, np.array([0, len(data)]), KINDS)
+        vectors = [model.vectors[int(h % np.uint64(quality.WORD_ROWS))].astype(float) for h in found.hashes]
+        pooled = np.zeros(2 * quality.DIMENSIONS)
+        for k, v in enumerate(vectors):
+            pooled[: quality.DIMENSIONS] += v / len(vectors)
+            if k:
+                pooled[quality.DIMENSIONS :] += v * vectors[k - 1] / len(vectors)
+        x = np.append(pooled, np.linalg.norm(pooled[: quality.DIMENSIONS]))
+        net = model.network
+        hidden = [math.tanh(sum((x - net.mean) / net.scale * net.w1[:, j]) + net.b1[j]) for j in range(len(net.w2))]
+        logit = (sum(h * w for h, w in zip(hidden, net.w2)) + net.b2) / net.temperature
+        assert r.score == pytest.approx(1 / (1 + math.exp(-logit)), abs=1e-4)
+
+
+def test_languages_document_by_document(spark, docs):
+    model = langid.fit_languages(docs)
+    rows = langid.with_language(docs.where("length(text) < 20000 or text is null"), model).orderBy(F.rand(1)).limit(60).collect()
+    for r in rows:
+        data = np.frombuffer((r.text or "").encode(), np.uint8)
+        found = langid.subwords(data, np.array([0, len(data)]))[1] if len(data) else []
+        logits = model.bias.astype(float) + sum((model.weights[:, row].astype(float) for row in found), np.zeros(len(model.bias))) / max(1, len(found))
+        p = np.exp(logits / model.temperature - max(logits / model.temperature))
+        if any(c.isalpha() for c in r.text or ""):
+            assert r.lang_pred == model.languages[int(p.argmax())] and r.score == pytest.approx(p.max() / p.sum(), abs=1e-4)
+        else:
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0, True)
+
+
 def test_toxicity_of_all_rows(spark, docs):
     model = toxicity.fit_toxicity(docs, labels(spark))
     assert (np.diff(model.thresholds) >= 0).all()
