@@ -79,6 +79,7 @@ from ..streaming import (
     OffsetAccounts,
     OutputLog,
     SplitBatches,
+    VariantBatches,
     compact_published,
     dead_letter_batch,
     every,
@@ -91,6 +92,7 @@ from ..streaming import (
     read_versions,
     run_batches,
     run_to_end,
+    variant_field,
 )
 from ..streaming.account import PROFILE
 from .corpus import (
@@ -597,6 +599,34 @@ def stream_widened(spark, sf_dir):
     return read_versions(spark, f"{out}/data", exact=True).select(*AT, "at", "n")
 
 
+def stream_variants(spark, sf_dir):
+    """The same topic stored as variants: one folder, every value as it was written, typed by the reader."""
+    out = work_folder(spark, "variants")
+    log = OutputLog(f"{out}/log")
+
+    def run(source):
+        write = VariantBatches(f"{out}/data", keep=AT, log=log)
+        run_to_end(run_batches(wide_envelope(replayed(spark, source, 1)), write, f"{out}/checkpoint", trigger=AVAILABLE_NOW))
+
+    _run_by_partition(spark, sf_dir, run, [(0, 1), (2,), (3,)], WIDENED_VALUE)
+    rows = log.read(spark, f"{out}/data")
+    return rows.select(
+        *AT,
+        variant_field("at").alias("at"),
+        variant_field("n").alias("n"),
+        variant_field("n", "bigint").alias("whole"),
+        variant_field("n", "double").alias("number"),
+    )
+
+
+def variant_users(spark, sf_dir):
+    """User messages of all kinds as variants: their fields by path, and the texts that are no JSON."""
+    out = work_folder(spark, "variant-users")
+    VariantBatches(out, keep=AT)(_users(spark, sf_dir), 0)
+    rows = read_batches(spark, out)
+    return rows.select(*AT, variant_field("name").alias("name"), variant_field("specs.v", "double").alias("specs_v"), "_corrupt_record")
+
+
 def batch_counters(spark, sf_dir):
     """What the batch writers report over a topic: messages seen, rows kept and rejected."""
     path, out = _staged(event_messages(spark, sf_dir), "users"), work_folder(spark, "counted-batches")
@@ -992,6 +1022,8 @@ QUERIES = {
     "snk4_checkpoint_reset": stream_checkpoint_reset,
     "stm5_stream_batch_inferred": stream_batch_inferred,
     "stm5_widened_columns": stream_widened,
+    "snk7_stream_variants": stream_variants,
+    "prs6_variant_users": variant_users,
     "snk6_stream_dead_letter": stream_dead_letter,
     "snk6_replayed_failure": stream_replayed_failure,
     "snk4_snapshot": snapshots,

@@ -263,6 +263,16 @@ SELECT message_key, id, name, age, 2 * count(*) AS copies FROM ({_GOOD}) GROUP B
     "stm5_widened_columns": f"""
 SELECT {AT}, CASE WHEN event_id % 4 = 3 THEN 'soon' ELSE '2024-03-22T09:05:00Z' END AS at,
  CASE WHEN event_id % 4 >= 2 THEN '2.5' ELSE '9007199254740993' END AS n
+FROM events""",
+    "snk7_stream_variants": f"""
+SELECT {AT}, CASE WHEN event_id % 4 = 3 THEN 'soon' ELSE '2024-03-22T14:35:00+05:30' END AS at,
+ CASE WHEN event_id % 4 >= 2 THEN '2.5' ELSE '9007199254740993' END AS n,
+ CAST(CASE WHEN event_id % 4 >= 2 THEN 2 ELSE 9007199254740993 END AS BIGINT) AS whole,
+ CAST(CASE WHEN event_id % 4 >= 2 THEN 2.5 ELSE 9007199254740992 END AS DOUBLE) AS number
+FROM events""",
+    "prs6_variant_users": f"""
+SELECT {AT}, CASE WHEN {C} IN (0, 1, 3, 7, 8, 12) THEN NULL WHEN {C} = 5 THEN 'big' WHEN {C} = 9 THEN '7' ELSE event_type END AS name,
+ CASE WHEN {C} = 11 THEN value END AS specs_v, CASE WHEN {C} IN (0, 7) THEN {USER_VALUE} END AS _corrupt_record
 FROM events""",
     "snk6_replayed_failure": f"""
 SELECT CASE WHEN {_BAD} THEN 'bad' ELSE 'good' END AS side, count(*) AS messages FROM events GROUP BY 1""",

@@ -15,6 +15,7 @@ from .metrics import CounterListener
 from .published import OutputLog
 from .published_compaction import compact_published
 from .sinks import AVAILABLE_NOW, every, parquet_stream, run_batches, run_to_end, send, with_peek
+from .variants import VariantBatches, variant_field, variant_fields, variant_rows
 
 __all__ = [
     "AVAILABLE_NOW",
@@ -25,6 +26,7 @@ __all__ = [
     "OffsetAccounts",
     "OutputLog",
     "SplitBatches",
+    "VariantBatches",
     "compact_published",
     "compact_versions",
     "dead_letter_batch",
@@ -41,6 +43,9 @@ __all__ = [
     "run_to_end",
     "send",
     "upserted",
+    "variant_field",
+    "variant_fields",
+    "variant_rows",
     "with_peek",
     "write_batch",
 ]
