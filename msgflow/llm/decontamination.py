@@ -2,13 +2,13 @@
 
 Words are runs of letters, marks and digits in lower case; in scripts without spaces each character is one. The n-grams of an item, with n by the item's
 length, are its seeds. A first scan of the documents counts them. Of each item the most frequent seeds are left out, as many as a copy can do
-without. A second scan finds the places of the seeds that are left, and passages around them, wide enough for the items of a length class, leave it.
-Passages meet items by a join on the seeds, by ids alone. Words are attached to the pairs, and every pair that a bound from the words in common does
+without. A second scan finds the places where as many of an item's other seeds come together as a copy keeps, and passages around them, wide enough
+for the items of a length class, leave it. Passages meet items by a join on the seeds, by ids alone. Words are attached to the pairs, and every pair that a bound from the words in common does
 not rule out is aligned. The local alignment of words bears replaced, added and left-out words.
 
 A copy that reaches half of the best score has at most a third of its words replaced. So of the two-word seeds of a short item of L words L - 1 - 2 * (L // 3)
-are intact at least (``intact_seeds``): all but two of these may be left out if two shared seeds are asked for. Items of more than SHORT_ITEM words have
-three-word seeds, of which a third may be left out; a copy then is lost only if its replaced words leave none of the others whole.
+are intact at least (``intact_seeds``): what is beyond those asked for may be left out. Items of more than SHORT_ITEM words have
+three-word seeds, of which two or three are asked for and a third may be left out; a copy is lost if its edits leave fewer whole.
 """
 
 from __future__ import annotations
@@ -26,7 +26,9 @@ from .tables import Tables
 from .text import BLOCK_BYTES, WORDS, column_bytes, first_of_docs, lowered, mixed, runs
 
 #: Items of at most so many words have seeds of two words, longer ones of three.
-SHORT_ITEM = 12
+SHORT_ITEM = 13
+#: Seeds that tasks know exactly, with their items (some 24 MB); of a larger benchmark they know the bits only, and the join finds the rest.
+MOST_KNOWN_SEEDS = 1_500_000
 #: Seeds that occur at most so often in all documents are never left out.
 RARE_SEED = 1000
 #: Alignment: a match, a mismatch, a gap; and the share of the best possible score from which a pair counts.
@@ -151,7 +153,9 @@ def intact_seeds(words: int) -> int:
 
 def seeds_asked(words: int) -> int:
     """How many kept seeds a passage shares with an item before the two are compared."""
-    return 2 if seed_width(words) == 2 and intact_seeds(words) >= 2 else 1
+    if seed_width(words) == 3:
+        return 2 if words < 20 else 3
+    return max(1, min(intact_seeds(words), 2 if words < 10 else 3))
 
 
 def seeds_left_out(words: int) -> int:
@@ -190,30 +194,74 @@ def rare_seeds(seeds: DataFrame, counts: DataFrame) -> DataFrame:
     return known.withColumn("rank", rank).where((F.col("rank") > F.col("left_out")) | (F.col("n") <= RARE_SEED)).drop("rank", "n")
 
 
+class _Known:
+    """The seeds of a class in ascending order, the items of each, and how many seeds each item asks for."""
+
+    def __init__(self, seed: np.ndarray, item: np.ndarray, asked: np.ndarray) -> None:
+        order = np.argsort(seed, kind="stable")
+        _, number = np.unique(item, return_inverse=True)
+        self.seeds, first = np.unique(seed[order], return_index=True)
+        self.starts = np.append(first, len(seed))
+        self.items = number[order].astype(np.int32)
+        self.asked = np.zeros(len(np.unique(item)), np.int32)
+        self.asked[number] = asked
+
+    def together(self, doc: np.ndarray, at: np.ndarray, grams: np.ndarray, reach: int) -> np.ndarray:
+        """Of the places ``at`` those where seeds of one item lie so close together, as many as it asks for."""
+        found = np.minimum(np.searchsorted(self.seeds, grams), len(self.seeds) - 1)
+        exact = self.seeds[found] == grams
+        at, found = at[exact], found[exact]
+        n = self.starts[found + 1] - self.starts[found]
+        ends = np.cumsum(n)
+        if not len(ends):
+            return at
+        item = self.items[np.repeat(self.starts[found] - ends + n, n) + np.arange(ends[-1])]
+        place = np.repeat(at, n)
+        order = np.lexsort((place, item, doc[place]))
+        place, item = place[order], item[order]
+        d, marks = doc[place], np.zeros(len(place) + 1, np.int64)
+        for k in np.unique(self.asked).tolist():
+            i = np.flatnonzero(self.asked[item] == k)
+            i = i[i + k <= len(place)]
+            j = i + k - 1
+            near = (item[i] == item[j]) & (d[i] == d[j]) & (place[j] - place[i] <= reach)
+            np.add.at(marks, i[near], 1)
+            np.add.at(marks, j[near] + 1, -1)
+        return np.unique(place[np.cumsum(marks)[:-1] > 0])
+
+
 class _Filter:
-    """The seeds of one class: a bit for each hash value modulo the size of the table, and the widths of the seeds."""
+    """The seeds of one class: a bit for each hash value modulo the size of the table, the widths of the seeds, and the seeds where they are few."""
 
-    def __init__(self, table: np.ndarray, widths: list[int], longest: int) -> None:
-        self.table, self.widths, self.longest = table, widths, longest
+    def __init__(self, table: np.ndarray, widths: list[int], longest: int, known: _Known | None) -> None:
+        self.table, self.widths, self.longest, self.known = table, widths, longest, known
 
     def hits(self, grams: np.ndarray) -> np.ndarray:
         bit = grams % np.uint64(8 * len(self.table))
         return (self.table[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
 
 
-def _filters(seeds: DataFrame) -> dict[int, _Filter]:
+def _filters(seeds: DataFrame, most_known: int = 0) -> dict[int, _Filter]:
     """The filter of each class of items, of which there are as many as powers of two up to the longest item."""
     out = {}
-    classes = seeds.groupBy("class").agg(F.count_distinct("seed").alias("n"), F.collect_set("width").alias("widths")).collect()
+    classes = seeds.groupBy("class").agg(
+        F.count_distinct("seed").alias("n"), F.collect_set("width").alias("widths"), F.count("*").alias("rows")
+    ).collect()
+    few = sum(row["rows"] for row in classes) <= most_known
     for row in classes:
         bits = min(MOST_FILTER_BITS, max(LEAST_FILTER_BITS, 1 << (FILTER_BITS_PER_SEED * row["n"] - 1).bit_length()))
         bit = F.pmod(F.col("seed"), F.lit(bits))
         one = F.call_function("shiftleft", F.lit(1).cast("bigint"), (bit % 64).cast("int"))
-        words = seeds.where(F.col("class") == row["class"]).groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one))
+        mine = seeds.where(F.col("class") == row["class"])
         table = np.zeros(bits // 64, np.int64)
-        for at, value in words.collect():
+        for at, value in mine.groupBy(F.shiftright(bit, 6).alias("at")).agg(F.bit_or(one)).collect():
             table[at] = value
-        out[row["class"]] = _Filter(table.view(np.uint8), sorted(row["widths"]), 1 << row["class"])
+        known = None
+        if few:
+            columns = mine.select("seed", "item", "asked").toArrow()
+            seed, item, asked = (columns[c].to_numpy() for c in ("seed", "item", "asked"))
+            known = _Known(seed.view(np.uint64), item, asked)
+        out[row["class"]] = _Filter(table.view(np.uint8), sorted(row["widths"]), 1 << row["class"], known)
     return out
 
 
@@ -251,7 +299,7 @@ def seed_counts(docs: DataFrame, text: str, filters: dict[int, _Filter]) -> Data
 def passages(docs: DataFrame, id_col: str, text: str, filters: dict[int, _Filter]) -> DataFrame:
     """(id, class, at, seeds, words): places of documents with possible seeds of a class, and the words around them.
 
-    Hits within four item lengths of the first one share a passage, which reaches one and a half item lengths further on either
+    Where the seeds are known, places count at which an item's seeds come together as it asks for, else all. Hits within four item lengths of the first one share a passage, which reaches one and a half item lengths further on either
     side; so every alignment around a hit lies in a passage, and the size of a passage has a bound. The length is the longest of the class.
     """
     fields = "class int, at bigint, seeds array<bigint>, words array<bigint>"
@@ -269,6 +317,10 @@ def passages(docs: DataFrame, id_col: str, text: str, filters: dict[int, _Filter
                     for g, ok in grams:
                         hit[: len(g)] |= ok
                     hits = np.flatnonzero(hit)
+                    if len(hits) and (known := filters[number].known):
+                        places = [np.flatnonzero(ok) for _, ok in grams]
+                        values = [g[at] for (g, _), at in zip(grams, places)]
+                        hits = known.together(doc, np.concatenate(places), np.concatenate(values), reach)
                     while len(hits):
                         d = doc[hits[0]]
                         inside = int(np.searchsorted(hits, min(hits[0] + reach, np.searchsorted(doc, d, "right")), "left"))
@@ -368,7 +420,7 @@ def leaks(
     seeds = tables.store(item_seeds(words))
     counts = tables.store(seed_counts(docs, text, _filters(seeds)))
     rare = tables.store(rare_seeds(seeds, counts))
-    found = tables.store(passages(docs, id_col, text, _filters(rare)))
+    found = tables.store(passages(docs, id_col, text, _filters(rare, MOST_KNOWN_SEEDS)))
     passage: Column = F.xxhash64("id", "class", "at", "words").alias("passage")
     hits = tables.store(found.select(passage, "class", F.explode("seeds").alias("seed")).distinct())
     shared = hits.join(rare.select("seed", "item", "class", "asked"), ["seed", "class"]).groupBy("passage", "item", "asked")

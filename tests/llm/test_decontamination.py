@@ -6,6 +6,7 @@ from itertools import combinations
 import numpy as np
 from edge import SCHEMA, clashing, with_edges
 
+from msgflow.llm import decontamination
 from msgflow.llm.decontamination import (
     MATCH,
     _filters,
@@ -198,6 +199,18 @@ def test_recall_of_edited_copies(spark):
     assert len(recall) == 9 and min(recall.values()) >= 0.95
 
 
+def test_a_benchmark_too_large_to_know(spark, monkeypatch):
+    """Without the tasks' knowledge of seeds the same pairs are found."""
+    rng = random.Random(15)
+    items = {k: words(rng, 8 + k) for k in range(40)}
+    docs = {k: words(rng, 200) + edited(rng, items[k % 40], 0.2) + words(rng, 200) for k in range(200)}
+    frame = spark.createDataFrame([(d, " ".join(w), "en", "s", 1) for d, w in docs.items()], SCHEMA)
+    bench = spark.createDataFrame([(k, " ".join(w)) for k, w in items.items()], "item_id bigint, text string")
+    known = {(r.doc_id, r.item_id, r.score) for r in leaks(frame, bench).collect()}
+    monkeypatch.setattr(decontamination, "MOST_KNOWN_SEEDS", 0)
+    assert {(r.doc_id, r.item_id, r.score) for r in leaks(frame, bench).collect()} == known and len(known) > 150
+
+
 def test_every_fourth_word_replaced(spark):
     rng = random.Random(12)
     item = words(rng, 24)
