@@ -1,9 +1,10 @@
 """SimHash near-duplicates: fingerprints, pivot distance tables, links within a Hamming distance, components.
 
 Pivot distances. The Hamming distance is a metric, so for every reference fingerprint p (a pivot) the distances
-d(x, p) and d(y, p) differ by at most d(x, y). A table of the distances of every fingerprint to ``PIVOTS`` full-width
-pivots is computed once; a candidate pair whose coordinates differ by more than ``max_bits`` anywhere is discarded,
-and the survivors are verified by their exact distance.
+d(x, p) and d(y, p) differ by at most d(x, y). A table of the distances of the fingerprints to ``PIVOTS`` full-width
+pivots is computed for every tile of candidates; a pair whose coordinates differ by more than ``max_bits`` anywhere is discarded,
+and the survivors are verified by their exact distance. Distances of 64 bits are cheap themselves, so the table saves no time; it is the
+method's own filter, and loses nothing.
 
 The same bound, for pivots that see only one part of the bits, finds the candidates without comparing everything
 with everything: of ``PARTS`` parts, ``max_bits`` differing bits leave at least ``PARTS - max_bits`` parts alike, and
