@@ -15,6 +15,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -64,14 +65,16 @@ NO_TEXT_ROLES = frozenset(
 LABELS = frozenset(
     "ad ads adv advert adverts advertisement advertisements advertising advertorial adsense adslot adbox banner banners "
     "sponsor sponsors sponsored promo promos promoted promotion promotions "
-    "comment comments commentlist disqus respond reply replies discussion "
+    "comment comments commentlist disqus respond reply replies responses reactions discussion feedback "
     "nav navbar navigation menu menus submenu breadcrumb breadcrumbs pagination pager topbar "
-    "header masthead footer colophon copyright sidebar sidebars sidenav rail widget widgets related recommended recommendations "
+    "header masthead footer colophon copyright sidebar sidebars sidenav rail widget widgets related recommended recommendations trending "
     "share sharing social cookie cookies consent gdpr notice notices notification notifications "
     "newsletter subscribe subscription paywall signup login signin popup popups modal overlay toolbar".split()
 )
 #: With one of these a class name tells a state of the whole, as in "has-sidebar" or "comments-open".
 STATES = frozenset("has with no without is open closed enabled disabled on off left right".split())
+#: Words for the readers' part of a page.
+COMMENTS = frozenset("comment comments commentlist disqus reply replies responses reactions discussion feedback".split())
 #: The header of one of these is that of the article, not of the page.
 OWN_HEADERS = frozenset("article post entry story content".split())
 #: Headings of the readers' part of a page.
@@ -214,11 +217,16 @@ def parse(source: str) -> Page:
     return Page(page.nodes, page.texts)
 
 
+def _names(attrs: dict[str, str]) -> Iterator[set[str]]:
+    """The words of each class name and of the id."""
+    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
+        yield {word.lower() for word in _WORD.findall(name)}
+
+
 def _label(attrs: dict[str, str]) -> str:
     """What the class names and the id say: "cut" for boilerplate, "header" for an article's own header, or nothing."""
     said = ""
-    for name in f"{attrs.get('class', '')} {attrs.get('id', '')}".split():
-        words = {word.lower() for word in _WORD.findall(name)}
+    for words in _names(attrs):
         if (found := words & LABELS) and not words & STATES:
             if found == {"header"} and words & OWN_HEADERS:
                 said = said or "header"
@@ -227,9 +235,16 @@ def _label(attrs: dict[str, str]) -> str:
     return said
 
 
-def _is_article(node: Node) -> bool:
-    named = node.name in ("article", "main") or node.attrs.get("role") in ("main", "article") or node.attrs.get("itemprop") == "articleBody"
-    return named and not {"comment", "comments", "reply"} & set(node.attrs.get("class", "").lower().split())
+def _articles(page: Page, readers: list[bool]) -> list[bool]:
+    """For each node whether it is an explicit article; those of readers, by their own label or that of an element around them, are not."""
+    nodes = page.nodes
+    found, theirs = [False] * len(nodes), list(readers)
+    for i in range(2, len(nodes)):
+        node, attrs = nodes[i], nodes[i].attrs
+        theirs[i] |= theirs[node.parent] or any(words & COMMENTS and not words & STATES for words in _names(attrs))
+        named = node.name in ("article", "main") or attrs.get("role") in ("main", "article") or attrs.get("itemprop") == "articleBody"
+        found[i] = named and not theirs[i]
+    return found
 
 
 class Sizes(NamedTuple):
@@ -245,7 +260,7 @@ class Sizes(NamedTuple):
     articles: list[int]
 
 
-def sizes(page: Page, silent: list[bool]) -> Sizes:
+def sizes(page: Page, silent: list[bool], articles: list[bool]) -> Sizes:
     """Counts without the silent nodes."""
     nodes, n = page.nodes, len(page.nodes)
     out = Sizes(*([0] * n for _ in Sizes._fields))
@@ -262,7 +277,7 @@ def sizes(page: Page, silent: list[bool]) -> Sizes:
         if out.chars[i]:
             out.paragraphs[i] += node.name == "p"
             out.titles[i] += node.name == "h1"
-            out.articles[i] += _is_article(node)
+            out.articles[i] += articles[i]
         for counts in out:
             counts[up] += counts[i]
         if not silent[i]:
@@ -271,21 +286,22 @@ def sizes(page: Page, silent: list[bool]) -> Sizes:
     return out
 
 
-def boilerplate(page: Page) -> tuple[list[bool], list[bool]]:
-    """For each node whether it is cut off with all below it, and whether its own text is left out."""
+def boilerplate(page: Page) -> tuple[list[bool], list[bool], list[bool]]:
+    """For each node whether it is cut off with all below it, whether its own text is left out, and whether it is an explicit article."""
     nodes, n = page.nodes, len(page.nodes)
-    size = sizes(page, [False] * n)
     readers = _readers(page)
+    article = _articles(page, readers)
+    size = sizes(page, [False] * n, article)
     cut, header, inside, quoted, titled = ([False] * n for _ in range(5))
     own_text = [False] * n  # of articles: paragraphs outside of the articles in them
     nearest = [0] * n
     for i in range(1, n):
-        nearest[i] = i if _is_article(nodes[i]) else nearest[nodes[i].parent]
+        nearest[i] = i if article[i] else nearest[nodes[i].parent]
         own_text[nearest[i]] |= nodes[i].name == "p"
     for i in range(2, n):
         node, up = nodes[i], nodes[i].parent
         name, attrs, role = node.name, node.attrs, node.attrs.get("role")
-        inside[i] = inside[up] or _is_article(node)
+        inside[i] = inside[up] or article[i]
         quoted[i] = quoted[up] or name == "blockquote"
         titled[i] = titled[up] or name in HEADINGS
         header[i] = header[up]
@@ -297,7 +313,7 @@ def boilerplate(page: Page) -> tuple[list[bool], list[bool]]:
             cut[i] = True
         elif "hidden" in attrs or attrs.get("aria-hidden") == "true" or _HIDDEN.search(attrs.get("style", "")):
             cut[i] = True
-        elif _is_article(node):
+        elif article[i]:
             cut[i] = name == "article" and nearest[up] > 0 and nodes[nearest[up]].name == "article" and own_text[nearest[up]]
         elif name == "article" or name == "main":
             cut[i] = True  # a reader's comment
@@ -312,7 +328,7 @@ def boilerplate(page: Page) -> tuple[list[bool], list[bool]]:
             cut[i] = not header[i]
         else:
             cut[i] = role in NO_TEXT_ROLES or label == "cut" or readers[i]
-    return cut, [cut[i] or (header[i] and not titled[i]) for i in range(n)]
+    return cut, [cut[i] or (header[i] and not titled[i]) for i in range(n)], article
 
 
 def _readers(page: Page) -> list[bool]:
@@ -351,7 +367,7 @@ def densities(page: Page, cut: list[bool], size: Sizes) -> tuple[list[float], li
     return density, [density[i] if leaf[i] else sums[i] for i in range(n)]
 
 
-def article_nodes(page: Page, cut: list[bool], size: Sizes) -> list[bool]:
+def article_nodes(page: Page, cut: list[bool], size: Sizes, explicit: list[bool]) -> list[bool]:
     """For each node whether it belongs to the article."""
     nodes, n = page.nodes, len(page.nodes)
     density, sums = densities(page, cut, size)
@@ -366,7 +382,7 @@ def article_nodes(page: Page, cut: list[bool], size: Sizes) -> list[bool]:
         path.append(nodes[path[-1]].parent)
     threshold = min(density[i] for i in path)
     chosen = [False] * n
-    article = next((i for i in path if _is_article(nodes[i])), 0)
+    article = next((i for i in path if explicit[i]), 0)
     if article:
         root = article
     else:
@@ -404,11 +420,11 @@ def _whole(page: Page, cut: list[bool], size: Sizes, path: list[int]) -> int:
 def main_text(source: str | None) -> str:
     """The article of a page: its blocks, white space turned into one space, joined by an empty line."""
     page = parse(source or "")
-    cut, silent = boilerplate(page)
-    size = sizes(page, silent)
+    cut, silent, explicit = boilerplate(page)
+    size = sizes(page, silent, explicit)
     if not size.chars[1]:
         return ""
-    chosen = article_nodes(page, cut, size)
+    chosen = article_nodes(page, cut, size, explicit)
     blocks: dict[int, list[str]] = {}
     for node, block, text in page.texts:
         if chosen[node] and not silent[node]:

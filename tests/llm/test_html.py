@@ -36,6 +36,9 @@ LAYOUTS = {
     "comments heading": f"<article><h1>{TITLE}</h1>{BODY}<section><h2>3 Comments</h2><p>{COMMENT}</p></section></article>",
     "comments as articles": f"<article><h1>{TITLE}</h1>{BODY}<article><p>{COMMENT}</p></article></article>",
     "comment articles": f'<article><h1>{TITLE}</h1>{BODY}</article><article class="comment"><p>{COMMENT}</p></article>',
+    "comments as articles without an article": f'<div><h1>{TITLE}</h1>{BODY}</div><section class="comments"><article><p>{COMMENT}</p></article></section>',
+    "announced comments as articles": f"<div><h1>{TITLE}</h1>{BODY}</div><section><h2>Comments (2)</h2><article><p>{COMMENT}</p></article></section>",
+    "responses": f'<main><h1>{TITLE}</h1>{BODY}<div id="reader-responses"><p>{COMMENT}</p></div></main>',
     "cookie notice": f'<div class="cookie-notice"><p>{AD}</p><button>Accept</button></div><article><h1>{TITLE}</h1>{BODY}</article>',
     "alert": f'<div role="alert">{AD}</div><main><h1>{TITLE}</h1>{BODY}</main>',
     "hidden": f'<div hidden>{AD}</div><div style="display: none">{AD}</div><main><h1>{TITLE}</h1>{BODY}</main>',
@@ -87,8 +90,8 @@ def test_densities_follow_their_definition():
     import math
 
     page = parse(f"<div>{MENU}<p>See <a href=x>here</a> and <b>there</b>.</p></div>{BODY}")
-    cut, silent = boilerplate(page)
-    size = sizes(page, silent)
+    cut, silent, explicit = boilerplate(page)
+    size = sizes(page, silent, explicit)
     density, sums = densities(page, cut, size)
 
     def below(i, j):
