@@ -112,11 +112,20 @@ def unpack(words: np.ndarray, raw: np.ndarray) -> np.ndarray:
     return out
 
 
+def store_uri(folder: str) -> str:
+    """A folder in the words of Arrow's file systems, which know Hadoop's schemes for S3 by another name."""
+    return re.sub(r"^s3[an]://", "s3://", folder)
+
+
+def _store(folder: str) -> tuple[pafs.FileSystem, str]:
+    return pafs.FileSystem.from_uri(store_uri(folder))
+
+
 class Writer:
     """Writes one file; it appears under its name when it is complete."""
 
     def __init__(self, folder: str, name: str) -> None:
-        self.fs, self.folder = pafs.FileSystem.from_uri(folder)
+        self.fs, self.folder = _store(folder)
         self.name, self.draft = name, f"{self.folder}/_{name}.{uuid.uuid4().hex}"
         self.fs.create_dir(self.folder, recursive=True)
         self.out = self.fs.open_output_stream(self.draft)
@@ -163,7 +172,7 @@ class Reader:
     """Reads one file: its documents, and its ids block by block from any block on."""
 
     def __init__(self, folder: str, name: str) -> None:
-        self.fs, path = pafs.FileSystem.from_uri(folder)
+        self.fs, path = _store(folder)
         self.file = self.fs.open_input_file(f"{path}/{name}")
         size = self.file.size()
         at, n_blocks, n_docs, magic = struct.unpack("<QQQ8s", self.file.read_at(32, size - 32))

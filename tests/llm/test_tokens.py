@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from msgflow.llm import bpe
 from msgflow.llm.queries import op2_token_files, op7_byte_bpe
 from msgflow.llm.tables import shared_folder
-from msgflow.llm.tokenfile import Reader, WordTokens, Writer, pack, read_token_files, unpack, write_token_files
+from msgflow.llm.tokenfile import Reader, WordTokens, Writer, pack, read_token_files, store_uri, unpack, write_token_files
 
 RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 JSON = public_tokenizers.path("byte_bpe_50k.json")
@@ -144,3 +144,10 @@ def test_kept_words_are_bound_by_bytes(monkeypatch):
     for k in range(20):
         same([f"{letter}" * (20_000 + k) for letter in "abc"] + ["naïve — words"])
         assert sum(map(len, mine.slot)) < 200_000
+
+
+def test_schemes_of_the_shared_folder():
+    for scheme in ("s3", "s3a", "s3n"):
+        assert store_uri(f"{scheme}://bucket/a/s3a://b") == "s3://bucket/a/s3a://b"
+    for folder in ("file:/tmp/x", "hdfs://host/x", "abfss://c@a.example/x", "/tmp/s3a"):
+        assert store_uri(folder) == folder
