@@ -24,6 +24,7 @@ from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import compress, count, islice
+from operator import itemgetter
 from sys import getsizeof
 
 import numpy as np
@@ -72,13 +73,20 @@ def pack(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             widest = np.maximum(widest[:-1], bits[size:])
             size += 1
         best[: len(widest)][widest <= width] = selector
-    steps = np.maximum(COUNTS[best], 1).tolist()
-    begins, at = [], 0
-    push = begins.append
+    # From each place the next word's begin; the walk over them takes 16 words at a step, and the words between are looked up together.
+    following = np.append(np.minimum(np.arange(n) + np.maximum(COUNTS[best], 1), n), n)
+    leap = following
+    for _ in range(4):
+        leap = leap[leap]
+    leaps, begins, at = memoryview(leap), [], 0
     while at < n:
-        push(at)
-        at += steps[at]
-    starts = np.fromiter(begins, np.int64, len(begins))
+        begins.append(at)
+        at = leaps[at]
+    rows = [np.array(begins)]
+    while len(rows) < 16:
+        rows.append(following[rows[-1]])
+    starts = np.stack(rows, 1).ravel()
+    starts = starts[starts < n]
     chosen = best[starts]
     raw = chosen == 0
     places = np.arange(len(starts)) + np.cumsum(raw) - raw
@@ -280,7 +288,9 @@ class WordTokens:
             counts.append(len(found))
             words += found
         known = len(self.slot)
-        at = np.fromiter(map(self.slot.__getitem__, words), np.int64, len(words))  # gives new words the next slots
+        # Looking a word up gives a new one the next slot.
+        found = itemgetter(*words)(self.slot) if len(words) > 1 else map(self.slot.__getitem__, words)
+        at = np.fromiter(found, np.int64, len(words))
         if len(self.slot) > known:
             new = list(islice(self.slot, known, None))
             values, offsets = self._ids(new)
