@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from ..session import delete_folder, work_folder
 
 
+# The sampling settings that a request has unless others are asked for.
+TEMPERATURE, TOP_P, MAX_TOKENS = 0.5, 0.95, 3000
+
+
 def _stored(table: DataFrame, purpose: str) -> tuple[DataFrame, str]:
     path = work_folder(table.sparkSession, purpose)
     table.write.parquet(path)
@@ -77,9 +81,9 @@ def request_bodies(
     prompt: str,
     domain: str,
     model: str,
-    temperature: float = 0.5,
-    top_p: float = 0.95,
-    max_tokens: int = 3000,
+    temperature: float = TEMPERATURE,
+    top_p: float = TOP_P,
+    max_tokens: int = MAX_TOKENS,
 ) -> DataFrame:
     """Adds ``body``, the JSON text of each request, and ``body_bytes``, its size.
 
