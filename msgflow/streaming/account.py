@@ -23,15 +23,19 @@ class KeptTable(BatchWriter):
     """A table that each batch replaces by its update, published as a whole in a log of its own.
 
     A batch that runs again starts from the table before it, so it counts once. The first batch of a new checkpoint starts from the last table.
-    The table is written by one task: it is meant for what stays small, however many messages there are.
+    A ``small`` table, one that stays small however many messages there are, becomes one file; it is put together by all tasks
+    before. Any other is written by the tasks that hold its rows.
     """
 
-    def __init__(self, path: str, log: OutputLog, schema: str, update: Update, report: Report = log_counts):
+    def __init__(
+        self, path: str, log: OutputLog, schema: str, update: Update, report: Report = log_counts, *, small: bool = True
+    ):
         self.path = path.rstrip("/")
         self.log = log
         self.schema = schema
         self.update = update
         self.report = report
+        self.small = small
 
     def sides(self) -> list[str]:
         return [self.path]
@@ -40,7 +44,9 @@ class KeptTable(BatchWriter):
         spark = batch.sparkSession
         before = _last_files(spark, self.path, self.log, self.attempt.run, batch_id)
         known = spark.read.schema(self.schema).parquet(*before) if before else None
-        self.put(self.update(known, batch).coalesce(1), self.path, batch_id)
+        table = self.update(known, batch)
+        # Unlike a coalesce, the shuffle leaves the windows, sorts and joins of the update to as many tasks as they have.
+        self.put(table.repartition(1) if self.small else table, self.path, batch_id)
         return {"seen": 1}
 
 
@@ -60,10 +66,13 @@ def read_kept(spark: SparkSession, path: str, log: OutputLog, schema: str) -> Da
 
 
 class OffsetAccounts(KeptTable):
-    """Adds the offsets of every batch to a stored account. What a new checkpoint reads again is found to be repeated."""
+    """Adds the offsets of every batch to a stored account. What a new checkpoint reads again is found to be repeated.
+
+    An account grows with the holes of a topic, and a batch that has every fourth offset is all holes, so no task takes it whole.
+    """
 
     def __init__(self, path: str, log: OutputLog, report: Report = log_counts):
-        super().__init__(path, log, STRETCH, lambda known, batch: offset_account(batch, known), report)
+        super().__init__(path, log, STRETCH, lambda known, batch: offset_account(batch, known), report, small=False)
 
 
 def read_account(spark: SparkSession, path: str, log: OutputLog) -> DataFrame:

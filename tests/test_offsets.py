@@ -78,3 +78,19 @@ def test_a_batch_that_runs_again_counts_once(spark, tmp_path):
     for batch_id in (0, 1, 1, 2, 2):
         OffsetAccounts(path, log)(envelope(spark, parts[batch_id]), batch_id)
     assert collected(read_account(spark, path, log)) == plain_account(ROWS)
+
+
+def test_no_task_writes_a_whole_account(spark, tmp_path):
+    log, path = OutputLog(str(tmp_path / "log")), str(tmp_path / "account")
+    rows = [("t", p, o) for p in (0, 1) for o in range(0, 4000, 4)]
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "false")
+    try:
+        for batch_id in (0, 1):
+            OffsetAccounts(path, log)(envelope(spark, rows[batch_id::2]), batch_id)
+    finally:
+        spark.conf.set(setting, before)
+    account = read_account(spark, path, log)
+    assert collected(account) == plain_account(rows)
+    assert len(account.inputFiles()) > 1
