@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import gc
 import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -132,29 +136,58 @@ def room_for_items(spark: SparkSession, max_body_bytes: int, **request: str | fl
 
 Scorer = Callable[[pd.Series], pd.DataFrame]
 
+#: Bytes of bodies that a scorer gets at once, unless one body alone has more.
+CALL_BYTES = 4_000_000
+
+
+def _bounded_calls(bodies: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and length of the runs of consecutive bodies that have ``CALL_BYTES`` together, or are one body."""
+    sizes = pc.fill_null(pc.binary_length(bodies), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(sizes, dtype=np.int64)
+    start = 0
+    while start < len(ends):
+        before = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, before + CALL_BYTES, side="right")))
+        yield start, stop - start
+        start = stop
+
 
 def score_requests(requests: DataFrame, scorer: Scorer, *, fail_on_error: bool = False) -> DataFrame:
     """Calls ``scorer`` with batches of bodies; it returns the columns ``status`` and ``response``.
 
     The other columns of ``requests`` are passed through. A status other than 200 leaves the response
-    in ``error`` and ``response`` null, or fails the job if ``fail_on_error``. Batch sizes follow
+    in ``error`` and ``response`` null, or fails the job if ``fail_on_error``. A batch has ``CALL_BYTES`` of bodies, or
+    one body that is larger, so what a scorer makes of them stays small. What Spark sends to Python at once follows
     ``spark.sql.execution.arrow.maxRecordsPerBatch`` and ``maxBytesPerBatch``.
     """
     passed = [f for f in requests.schema.fields if f.name != "body"]
-
-    def call(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            scored = scorer(frame["body"])
-            failed = (scored["status"] != 200).to_numpy()
-            if fail_on_error and failed.any():
-                raise RuntimeError(f"{failed.sum()} of {len(frame)} scoring requests failed")
-            result = frame.drop(columns="body")
-            response = scored["response"].to_numpy()
-            result["status"] = scored["status"].to_numpy()
-            result["response"] = pd.Series(response, index=frame.index).mask(failed, None)
-            result["error"] = pd.Series(response, index=frame.index).where(failed, None)
-            yield result
+    at = requests.columns.index("body")
+
+    def scored(run: pa.RecordBatch) -> pa.RecordBatch:
+        answers = scorer(pd.Series(run.column(at).to_pandas(), name="body"))
+        status = answers["status"].to_numpy()
+        failed = status != 200
+        if fail_on_error and failed.any():
+            raise RuntimeError(f"{failed.sum()} of {run.num_rows} scoring requests failed")
+        text = run.column(at).type
+        response = pd.Series(answers["response"].to_numpy())
+        columns = [run.column(i) for i in range(run.num_columns) if i != at]
+        columns += [
+            pa.array(status, pa.int32(), from_pandas=True),
+            pa.array(response.mask(failed, None), text, from_pandas=True),
+            pa.array(response.where(failed, None), text, from_pandas=True),
+        ]
+        names = [name for i, name in enumerate(run.schema.names) if i != at]
+        return pa.RecordBatch.from_arrays(columns, names=[*names, "status", "response", "error"])
+
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for start, length in _bounded_calls(batch.column(at)):
+                yield scored(batch.slice(start, length))
+            # A series whose ``str`` was used is a cycle with its accessor, so bodies would pile up until Python looks for cycles.
+            del batch
+            gc.collect()
 
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in passed)
     prefix = f"{columns}, " if columns else ""
-    return requests.mapInPandas(call, f"{prefix}status INT, response STRING, error STRING")
+    return requests.mapInArrow(call, f"{prefix}status INT, response STRING, error STRING")

@@ -95,3 +95,20 @@ def test_scoring(spark):
     assert sorted(map(tuple, scored.collect())) == [(1, 200, "answer to abc", None), (2, 413, None, "answer to abcd")]
     with pytest.raises(PySparkException, match="1 of 1 scoring requests failed|1 of 2 scoring requests failed"):
         score_requests(requests, refusing, fail_on_error=True).collect()
+
+
+def test_a_scorer_gets_bounded_bytes(spark):
+    def counting(bodies):
+        size = int(bodies.str.encode("utf-8").str.len().sum())
+        return pd.DataFrame({"status": 200, "response": [f"{len(bodies)},{size}"] * len(bodies)})
+
+    sizes = [500_000] * 20 + [9_000_000, 3, None, 500_000]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(sizes)], "n int, size int").coalesce(1)
+    requests = rows.select("n", F.repeat(F.lit("é"), F.expr("size div 2")).alias("body"), F.current_timestamp().alias("at"))
+    scored = score_requests(requests, counting)
+    assert scored.columns == ["n", "at", "status", "response", "error"]
+    found = scored.orderBy("n").collect()
+    assert [r["n"] for r in found] == list(range(len(sizes))) and {r["status"] for r in found} == {200}
+    calls = [tuple(map(int, r["response"].split(","))) for r in found]
+    assert all(size <= 4_000_000 or n == 1 for n, size in calls)
+    assert (1, 9_000_000 // 2 * 2) in calls
