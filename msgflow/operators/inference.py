@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.json_fields import keep_repeated_keys
+from ..functions.json_fields import PLAIN_JSON, keep_repeated_keys
 from ..functions.timestamps import ISO_FORM, is_iso_timestamp
 from ..sources.files import literal_messages
 from ..sources.sample import first_document, first_document_of_stream
@@ -26,6 +26,9 @@ DEFAULT_SCHEMA = T.StructType([T.StructField("data", T.StringType())])
 # JSON with double quotes only; NaN and Infinity are numbers.
 OBJECT_TOKENS = {"allowSingleQuotes": "false"}
 
+# Where the shape of a document is looked for: so many messages, of so many characters at most.
+_SHAPE_MESSAGES, _SHAPE_CHARACTERS = 20, 65_536
+
 # An integer column that also saw 2.0, or one with integers beyond 64 bits: told apart later.
 _UNSETTLED = T.DecimalType(20, 0)
 
@@ -84,9 +87,10 @@ def recursive_schema(messages: DataFrame, column: str = "json_string", *, persis
 
     A text field, at any depth of nested objects, becomes a timestamp if every value it has in the
     batch is an ISO date or date and time. With ``persist`` the parsed documents are kept between the two
-    aggregations, so each text is parsed once; fit for batches of bounded size.
+    aggregations, so each text is parsed once; fit for batches of bounded size. Without it the texts are compared with the
+    shape of one of the first documents, and only those that differ from it are looked at type by type.
     """
-    return counted_recursive_schema(messages, column, persist=persist)[1]
+    return counted_recursive_schema(messages, column, persist=persist, by_shape=not persist)[1]
 
 
 def counted_recursive_schema(
@@ -96,11 +100,13 @@ def counted_recursive_schema(
     persist: bool = False,
     known: T.StructType | None = None,
     in_one_job: bool = False,
+    by_shape: bool = False,
 ) -> tuple[int, T.StructType]:
     """The number of rows, and their ``recursive_schema``, in one aggregation where that is possible, else in two.
 
     ``known`` is a schema that the result is merged with afterwards: what is text there stays text, so it is not looked at, and
-    what is a timestamp there is tested together with the inference.
+    what is a timestamp there is tested together with the inference. ``by_shape``, without ``known``, is for many messages that
+    are cheap to read from the start: it looks at the first ones beforehand.
     """
     text = F.when(lead_character(column) == "{", F.col(column))
     documents = messages.select(
@@ -109,11 +115,17 @@ def counted_recursive_schema(
     documents = documents.persist() if persist else documents
     kinds = dict(leaves(known)) if known is not None else {}
     guesses = [path for path, leaf in kinds.items() if leaf == T.TimestampType()]
+    shaped = _first_shape(messages, column) if by_shape and known is None else None
     try:
         keep_repeated_keys(messages.sparkSession)
-        tests = [n for path in guesses for n in _timestamp_counts(_leaf(path))]
-        wanted = [F.count(F.lit(1)), F.schema_of_variant_agg("document"), F.first("text", ignorenulls=True), *tests]
-        n, objects, witness, *counts = _aggregates(documents, wanted, in_one_job)
+        if shaped is None:
+            looked_at = documents.withColumns({"counted": F.lit(True), **{f"g{i}": _leaf(p) for i, p in enumerate(guesses)}})
+        else:
+            guesses = _not_refuted([path for path, leaf in leaves(shaped[1]) if leaf == T.StringType()], shaped[0])
+            looked_at = _compared(messages.select(text.alias("text")), *shaped, guesses)
+        tests = [n for i in range(len(guesses)) for n in _timestamp_counts(F.col(f"g{i}"))]
+        wanted = [F.count_if("counted"), F.schema_of_variant_agg("document"), F.first("text", ignorenulls=True), *tests]
+        n, objects, witness, *counts = _aggregates(looked_at, wanted, in_one_job)
         schema = _from_variant_schema(objects)
         schema = schema if isinstance(schema, T.StructType) else T.StructType()
         texts = [path for path, leaf in leaves(schema) if leaf == T.StringType() and kinds.get(path) != T.StringType()]
@@ -121,12 +133,83 @@ def counted_recursive_schema(
         stamps = [path for path in texts if path in tested and tested[path][0] and not tested[path][1]]
         schema = _replace(schema, dict.fromkeys(stamps, T.TimestampType()))
         open_texts = _not_refuted([path for path in texts if path not in tested], witness)
+        open_texts = _not_refuted(open_texts, shaped[0]) if shaped is not None else open_texts
         return n, _settled(schema, open_texts, lambda asked: documents.select(*[_leaf(path) for path in asked]))
     finally:
         if persist:
             documents.unpersist()
 
 
+def _first_shape(messages: DataFrame, column: str) -> tuple[str, T.StructType] | None:
+    """One of the first texts, and the types of its fields in their order; None if no text there tells all of its types."""
+    short = F.when(F.length(column) <= _SHAPE_CHARACTERS, F.col(column))
+    for (text,) in messages.select(short).limit(_SHAPE_MESSAGES).collect():
+        try:
+            document = json.loads(text or "", object_pairs_hook=_fields_once, parse_constant=_no_number)
+            if isinstance(document, dict) and json.dumps(document, ensure_ascii=False, separators=(",", ":")) == text:
+                shape = _shape(document)
+                if shape is not None:
+                    return text, shape
+        except (ValueError, RecursionError):
+            continue
+    return None
+
+
+def _fields_once(pairs: list[tuple[str, object]]) -> dict:
+    fields = dict(pairs)
+    if len({name.lower() for name in fields}) < len(pairs):
+        raise ValueError("names that are the same, or differ only in case")
+    return fields
+
+
+def _no_number(name: str) -> None:
+    raise ValueError(name)
+
+
+def _shape(value: object) -> T.DataType | None:
+    """The type of a JSON value; None for values that leave it open, such as null, an empty list, or 2.0."""
+    if isinstance(value, bool):
+        return T.BooleanType()
+    if isinstance(value, str):
+        return T.StringType()
+    if isinstance(value, int):
+        return T.LongType() if -(2**63) <= value < 2**63 else None
+    if isinstance(value, float):
+        return T.DoubleType() if value % 1 > 0 else None
+    if isinstance(value, list):
+        elements = [_shape(element) for element in value]
+        same = bool(elements) and all(element == elements[0] for element in elements)
+        return T.ArrayType(elements[0]) if same and elements[0] is not None else None
+    if isinstance(value, dict):
+        types = {name: _shape(inner) for name, inner in value.items()}
+        known = bool(types) and all(inner is not None for inner in types.values())
+        return T.StructType([T.StructField(name, inner) for name, inner in types.items()]) if known else None
+    return None
+
+
+def _compared(texts: DataFrame, witness: str, shape: T.StructType, guesses: list[tuple[str, ...]]) -> DataFrame:
+    """The texts with a document only where it can add to the schema of the witness; ``g0`` ... are the values of the guesses.
+
+    A text that is the same after it was read under the shape and written again has the fields and types of the shape and
+    no others. The witness itself is added as a row that does not count.
+    """
+    added = texts.sparkSession.range(1, numPartitions=1).select(F.lit(witness).alias("text"), F.lit(False).alias("counted"))
+    rows = added.union(texts.select("text", F.lit(True)))
+    # NaN and infinity as text would pass for numbers otherwise.
+    rows = rows.withColumn("typed", F.from_json("text", shape, dict(PLAIN_JSON)))
+    same = F.coalesce(F.col("counted") & (F.to_json("typed") == F.col("text")), F.lit(False))
+    known = [reduce(Column.getField, path, F.col("typed")).alias(f"t{i}") for i, path in enumerate(guesses)]
+    rows = rows.select("text", "counted", same.alias("same"), *known)
+    other = F.from_json(F.when(~F.col("same"), F.col("text")), T.VariantType(), dict(OBJECT_TOKENS))
+    rows = rows.withColumn("document", other)
+    # The witness is a message as well, so its values are looked at with that.
+    counted = F.when(F.col("counted"), F.lit(True))
+    values = [
+        F.when(F.col("same"), F.col(f"t{i}")).when(counted, _leaf(path)).alias(f"g{i}") for i, path in enumerate(guesses)
+    ]
+    return rows.select("text", "counted", "document", *values)
+
+
 def _timestamp_counts(value: Column) -> tuple[Column, Column]:
     """How many values there are, and how many of them are no timestamps."""
     return F.count(value), F.count_if(value.isNotNull() & ~is_iso_timestamp(value))

@@ -2,6 +2,7 @@ import json
 import random
 
 import pytest
+from msgflow.functions import is_iso_timestamp
 from msgflow.operators import (
     DEFAULT_SCHEMA,
     batch_schema,
@@ -11,6 +12,8 @@ from msgflow.operators import (
     sample_schema,
     schema_of_sample,
 )
+from msgflow.operators import inference
+from msgflow.operators.inference import _aggregates, _first_shape, counted_recursive_schema
 from msgflow.operators.shape import align, unique_names
 from msgflow.sources import first_document
 from pyspark.sql import functions as F
@@ -191,3 +194,54 @@ def test_align_values(spark):
 
 def test_unique_names():
     assert unique_names(["a", "A", "k"], reserved=["K"]) == ["a", "A_1", "payload_k"]
+
+
+SHAPED = '{"id":7,"at":"2024-03-22T14:35:00Z","name":"x","in":{"v":1.5,"on":true},"list":[{"w":0.5,"s":"y"}]}'
+
+
+@pytest.mark.parametrize(
+    "others",
+    [
+        [],
+        ['{"id":8,"at":"2024-03-22"}', '{"in":{"on":false}}', '{"list":[]}', '{"list":[null]}', "bad", None, "[1]", "{}"],
+        ['{"at":"2024-02-31"}'],
+        ['{"at":5}', '{"name":"2024-03-22"}'],
+        ['{"in":{"v":"NaN"}}', '{"list":[{"w":"Infinity"}]}'],
+        ['{"in":{"v":NaN}}', '{"id":2.0}', '{"list":[{"w":3}]}'],
+        ['{"id":12345678901234567890}', '{"in":{"v":1234567890123456789012345}}'],
+        ['{"id":"7"}', '{"name":7}', '{"in":{"on":"true"}}'],
+        ['{"in":5}', '{"list":{"w":1}}', '{"at":{"b":1}}'],
+        ['{"new":"2024-03-22"}', '{"in":{"new":null}}', '{"list":[{"new":[1]}]}'],
+        ['{"id":1,"id":"x"}', '{"id":1} tail', '{"name":"\\u0041","at":"2024\\u002d03-22"}', '{ "at" : "2024-03-22" }'],
+        ['{"at":"2024-03-22T14:35:00Z\\n"}', "{'name':1}", SHAPED[:-1]],
+    ],
+)
+def test_schema_by_shape_is_the_schema_by_types(wide, others):
+    messages = wide(SHAPED, *others, SHAPED).coalesce(1)
+    assert counted_recursive_schema(messages, by_shape=True) == counted_recursive_schema(messages)
+
+
+def test_no_shape_of_texts_that_leave_types_open(wide):
+    texts = ['{"a":null}', '{"a":2.0}', '{"a":[]}', '{"a":{}}', '{"a":[1,2.5]}', '{"a":1,"a":2}', '{"a":1,"A":2}', '{"a":NaN}']
+    texts += ['{"a": 1}', "[1]", "bad", None, "", "[" * 5000]
+    for text in texts:
+        messages = wide(text, '{"a":"2024-03-22"}').coalesce(1)
+        assert _first_shape(messages, "json_string")[0] == '{"a":"2024-03-22"}'
+        assert counted_recursive_schema(messages, by_shape=True) == counted_recursive_schema(messages)
+
+
+def test_texts_of_one_shape_are_parsed_once_to_infer(wide, monkeypatch):
+    """Neither a pass of its own for the timestamps nor a document per text: only for those that differ from the shape."""
+    seen = []
+
+    def aggregates(rows, columns, in_one_job):
+        seen.append(rows.where("document IS NOT NULL").count())
+        return _aggregates(rows, columns, in_one_job)
+
+    monkeypatch.setattr(inference, "_aggregates", aggregates)
+    monkeypatch.setattr(inference, "is_iso_timestamp", lambda value: seen.append("tested") or is_iso_timestamp(value))
+    messages = wide(*[SHAPED.replace("7", str(i)) for i in range(50)], '{"at":null}').coalesce(1)
+    schema = recursive_schema(messages)
+    assert schema["at"].dataType.simpleString() == "timestamp"
+    # The witness and the odd one out; one test, in the same pass.
+    assert seen == ["tested", 2]
