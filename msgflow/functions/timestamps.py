@@ -17,7 +17,9 @@ def as_utc_timestamp(text: Column) -> Column:
     rest = F.substr(timed, F.lit(17))
     seconds = F.when(rest.startswith(":"), rest).otherwise(F.concat(F.lit(":00"), rest))
     zone = F.when(timed.rlike(ISO_ZONE), F.lit("")).otherwise(F.lit("Z"))
-    complete = F.concat(timed.substr(1, 16), seconds, zone)
+    filled = F.concat(timed.substr(1, 16), seconds, zone)
+    # The most frequent form is complete as it is.
+    complete = F.when(text.endswith("Z") & (text.substr(17, 1) == ":"), text).otherwise(filled)
     return F.when(text.rlike(ISO_FORM), complete).try_cast("timestamp")
 
 

@@ -99,6 +99,15 @@ def test_timestamps_do_not_depend_on_the_session_zone(spark, zone):
     assert micros == [expected(text) for _, text in TIMESTAMPS]
 
 
+def test_complete_timestamps_that_end_with_z(spark):
+    texts = ["2024-03-22T14:35:00Z", "2024-03-22 14:35:00.5Z", "2024-03-22T14:35Z", "2024-03-22T14:35:00Z\n"]
+    wrong = ["2024-03-22T14:35:00ZZ", "2024-03-22T14:35:Z", "2024-03-22Z", "2024-02-30T14:35:00Z", "x024-03-22T14:35:00Z"]
+    rows = spark.createDataFrame([(t,) for t in texts + wrong], "t string").coalesce(1)
+    found = [r[0] for r in rows.select(as_utc_timestamp(F.col("t")).cast("string")).collect()]
+    minute = "2024-03-22 14:35:00"
+    assert found == [minute, f"{minute}.5", minute, minute, *[None] * len(wrong)]
+
+
 def test_encoding(spark):
     rows = spark.createDataFrame([(b"\xff{",), (b"caf\xc3\xa9",), (b"x" * 200,)], "b binary").coalesce(1)
     texts = rows.select(utf8_text(F.col("b")), base64_text(F.col("b"))).collect()
