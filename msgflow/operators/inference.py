@@ -141,18 +141,21 @@ def counted_recursive_schema(
 
 
 def _first_shape(messages: DataFrame, column: str) -> tuple[str, T.StructType] | None:
-    """One of the first texts, and the types of its fields in their order; None if no text there tells all of its types."""
+    """One of the first texts, and the types of its fields in their order; None unless half of the texts there have that shape."""
     short = F.when(F.length(column) <= _SHAPE_CHARACTERS, F.col(column))
-    for (text,) in messages.select(short).limit(_SHAPE_MESSAGES).collect():
+    first = messages.select(short).limit(_SHAPE_MESSAGES).collect()
+    found: list[tuple[str, T.StructType]] = []
+    for (text,) in first:
         try:
             document = json.loads(text or "", object_pairs_hook=_fields_once, parse_constant=_no_number)
             if isinstance(document, dict) and json.dumps(document, ensure_ascii=False, separators=(",", ":")) == text:
                 shape = _shape(document)
                 if shape is not None:
-                    return text, shape
+                    found.append((text, shape))
         except (ValueError, RecursionError):
             continue
-    return None
+    shapes = [shape for _, shape in found]
+    return next((pair for pair in found if 2 * shapes.count(pair[1]) >= len(first)), None)
 
 
 def _fields_once(pairs: list[tuple[str, object]]) -> dict:

@@ -217,7 +217,8 @@ SHAPED = '{"id":7,"at":"2024-03-22T14:35:00Z","name":"x","in":{"v":1.5,"on":true
     ],
 )
 def test_schema_by_shape_is_the_schema_by_types(wide, others):
-    messages = wide(SHAPED, *others, SHAPED).coalesce(1)
+    messages = wide(SHAPED, *others, *[SHAPED] * 8).coalesce(1)
+    assert _first_shape(messages, "json_string")[0] == SHAPED
     assert counted_recursive_schema(messages, by_shape=True) == counted_recursive_schema(messages)
 
 
@@ -230,6 +231,11 @@ def test_no_shape_of_texts_that_leave_types_open(wide):
         assert counted_recursive_schema(messages, by_shape=True) == counted_recursive_schema(messages)
 
 
+def test_no_shape_of_mixed_texts(wide):
+    assert _first_shape(wide('{"a":1}', '{"a":"x"}', '{"b":1}').coalesce(1), "json_string") is None
+    assert _first_shape(wide().coalesce(1), "json_string") is None
+
+
 def test_texts_of_one_shape_are_parsed_once_to_infer(wide, monkeypatch):
     """Neither a pass of its own for the timestamps nor a document per text: only for those that differ from the shape."""
     seen = []
