@@ -4,8 +4,10 @@ from collections import Counter
 
 import pytest
 from msgflow.operators import offset_account, offset_gaps, offsets
+from msgflow.plans import catalog
 from msgflow.sources import ENVELOPE
 from msgflow.streaming import OffsetAccounts, OutputLog, read_account
+from pyspark.errors import StreamingQueryException
 
 
 def envelope(spark, rows):
@@ -94,3 +96,33 @@ def test_no_task_writes_a_whole_account(spark, tmp_path):
     account = read_account(spark, path, log)
     assert collected(account) == plain_account(rows)
     assert len(account.inputFiles()) > 1
+
+
+class CountedAccounts(OffsetAccounts):
+    """Accounts that note the batches they take in, and fail once at one of them."""
+
+    seen: list[int]
+    failing: int | None
+
+    def process(self, batch, batch_id):
+        self.seen.append(batch_id)
+        if batch_id == self.failing:
+            type(self).failing = None
+            raise RuntimeError("the batch can not be written")
+        return super().process(batch, batch_id)
+
+
+@pytest.mark.parametrize("failing", [0, 2])
+def test_a_failure_that_was_not_planned_is_no_result(spark, sf_dir, monkeypatch, failing):
+    writer = type("Failing", (CountedAccounts,), {"seen": [], "failing": failing})
+    monkeypatch.setattr(catalog, "OffsetAccounts", writer)
+    with pytest.raises(StreamingQueryException, match="the batch can not be written"):
+        catalog.offset_account_stream(spark, sf_dir)
+
+
+def test_only_the_planned_failure_runs_a_batch_again(spark, sf_dir, monkeypatch):
+    writer = type("Counted", (CountedAccounts,), {"seen": [], "failing": None})
+    monkeypatch.setattr(catalog, "OffsetAccounts", writer)
+    account = catalog.offset_account_stream(spark, sf_dir)
+    assert collected(account) == collected(offset_account(catalog.damaged_topic(spark, sf_dir)))
+    assert writer.seen == sorted([*range(max(writer.seen) + 1), 1])
